@@ -1,10 +1,15 @@
 """DuckDB oracle SQL, one statement per registered query."""
 
-from oracle import gold_sql
+import importlib
+
+_MODULES = ["oracle.gold_sql", "oracle.reports_sql"]
 
 
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (gold_sql,):
-        out.update(mod.SQL)
+    for m in _MODULES:
+        try:
+            out.update(importlib.import_module(m).SQL)
+        except ModuleNotFoundError:
+            pass
     return out

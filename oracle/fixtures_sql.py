@@ -96,7 +96,7 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         from fx_disr0"""),
     "fx_cause": ((), """
         select p_type as code,
-               'Utrudnienie (' || lower(p_type) || ') na odcinku {stacja_poczatkowa} - {stacja_koncowa}' as description
+               'Utrudnienie (' || lower(p_type) || '). Na odcinku od stacji {stacja_poczatkowa} do stacji {stacja_koncowa}' as description
         from (select distinct p_type from part)"""),
     "fx_carrier": ((), """
         select * from (values

@@ -25,17 +25,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 def version_at_date(facts: DataFrame, versions: DataFrame, keys: Sequence[str], date_col: str,
                     out_prefix: str = "tt_", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    open_end: str = OPEN_END) -> DataFrame:
+                    open_end: str = OPEN_END, size_checked: bool = False) -> DataFrame:
     """Attach the dimension version valid at ``date_col``, else the open one.
 
     Two left joins on the equi key (the range test is a residual filter of
     a broadcast hash join, never a nested loop): the version whose
     ``valid_from..valid_to`` holds the date, and the current version
     (``valid_to = open_end``); attributes are coalesced. The dimension
-    must not hold overlapping versions (checked by tests).
+    must not hold overlapping versions (checked by tests). Pass
+    ``size_checked=True`` when ``versions`` already went through
+    ``bounded_broadcast``.
     """
     vcols = [c for c in versions.columns if c not in keys]
-    v = bounded_broadcast(versions, max_rows)
+    v = versions if size_checked else bounded_broadcast(versions, max_rows)
     m = v.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *[F.col(c).alias(f"_m_{c}") for c in vcols])
     c = (v.filter(F.col("valid_to") == F.lit(open_end).cast("date"))
          .select(*[F.col(k).alias(f"_c_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in vcols]))

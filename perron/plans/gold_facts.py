@@ -81,19 +81,26 @@ def confirmed_span(operation_details: DataFrame) -> DataFrame:
 
 
 def train_types(s: Silver) -> DataFrame:
-    return d_train_type(s.def_commercial_category, s.def_carrier, s.schedule_header)
+    """d_train_type for this silver snapshot, built once and size-checked once."""
+    if "d_train_type" not in s.extra:
+        tt = d_train_type(s.def_commercial_category, s.def_carrier, s.schedule_header)
+        s.extra["d_train_type"] = bounded_broadcast(tt)
+    return s.extra["d_train_type"]
 
 
 def with_type_version(df: DataFrame, s: Silver, date_col: str = "operating_date") -> DataFrame:
     """Version of (category, carrier) valid at the date, else the open version."""
     tt = train_types(s).select("category_code", "carrier_code", "valid_from", "valid_to")
-    out = version_at_date(df, tt, ["category_code", "carrier_code"], date_col, out_prefix="tt_")
+    out = version_at_date(df, tt, ["category_code", "carrier_code"], date_col, out_prefix="tt_",
+                          size_checked=True)
     return out.withColumn("type_valid_from", F.date_format("tt_valid_from", "yyyy-MM-dd")).drop(
         "tt_valid_from", "tt_valid_to")
 
 
 def _statuses(s: Silver) -> DataFrame:
-    return bounded_broadcast(s.def_train_status.select(F.col("code").alias("train_status")))
+    if "statuses" not in s.extra:
+        s.extra["statuses"] = bounded_broadcast(s.def_train_status.select(F.col("code").alias("train_status")))
+    return s.extra["statuses"]
 
 
 def run_resolved(s: Silver, w: Window_) -> DataFrame:

@@ -29,21 +29,27 @@ class Silver:
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> Silver:
-        fx = Fixture(spark, sf_dir)
-        return cls(
-            spark=spark,
-            schedule_header=fx.schedule_header(),
-            schedule_details=fx.schedule_details(),
-            operation_header=fx.operation_header(),
-            operation_details=fx.operation_details(),
-            disruption_header=fx.disruption_header(),
-            disruption_details=fx.disruption_details(),
-            def_station=fx.def_station(),
-            def_city=fx.def_city(),
-            def_carrier=fx.def_carrier(),
-            def_commercial_category=fx.def_commercial_category(),
-            def_train_status=fx.def_train_status(),
-            def_disruption_cause=fx.def_disruption_cause(),
-            def_stop_type=fx.def_stop_type(),
-            extra={"fixture": fx},
-        )
+        return _LazySilver(spark, Fixture(spark, sf_dir))
+
+
+_FIELDS = ["schedule_header", "schedule_details", "operation_header", "operation_details",
+           "disruption_header", "disruption_details", "def_station", "def_city", "def_carrier",
+           "def_commercial_category", "def_train_status", "def_disruption_cause", "def_stop_type"]
+
+
+class _LazySilver(Silver):
+    """Silver whose tables are built from the fixture on first access."""
+
+    def __init__(self, spark: SparkSession, fx: Fixture):  # noqa: D107
+        object.__setattr__(self, "spark", spark)
+        object.__setattr__(self, "extra", {"fixture": fx})
+        object.__setattr__(self, "_built", {})
+
+    def __getattribute__(self, name):
+        if name in _FIELDS:
+            built = object.__getattribute__(self, "_built")
+            if name not in built:
+                fx = object.__getattribute__(self, "extra")["fixture"]
+                built[name] = getattr(fx, name)()
+            return built[name]
+        return object.__getattribute__(self, name)

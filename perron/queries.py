@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from perron.plans import gold_facts as G
 from perron.plans import reports as H
 from perron.plans.silver_model import Silver
-from perron.sources.fixtures import AS_OF
+from perron.sources.fixtures import AS_OF, STATION_ID
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -52,3 +52,93 @@ def g14(spark, sf_dir):
 def h4(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return H.punctuality_monthly(s, G.run_monthly(G.run_daily(s, _win())))
+
+
+@query("g11_stop_daily")
+def g11(spark, sf_dir):
+    return G.stop_daily(_silver(spark, sf_dir), _win())
+
+
+@query("g12_dep_daily")
+def g12(spark, sf_dir):
+    return G.dep_daily(_silver(spark, sf_dir), _win())
+
+
+@query("g13_disruption_daily")
+def g13(spark, sf_dir):
+    return G.disruption_daily(_silver(spark, sf_dir), _win())
+
+
+@query("g15_stop_monthly")
+def g15(spark, sf_dir):
+    return G.stop_monthly(G.stop_daily(_silver(spark, sf_dir), _win()))
+
+
+@query("g16_disruption_monthly")
+def g16(spark, sf_dir):
+    return G.disruption_monthly(G.disruption_daily(_silver(spark, sf_dir), _win()))
+
+
+@query("g17_dep_monthly")
+def g17(spark, sf_dir):
+    return G.dep_monthly(G.dep_daily(_silver(spark, sf_dir), _win()))
+
+
+def _facts(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return s, _win()
+
+
+@query("h5_punctuality_by_daytype_monthly")
+def h5(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.punctuality_by_daytype_monthly(s, G.run_monthly(G.run_daily(s, w)))
+
+
+@query("h6_status_share_monthly")
+def h6(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.status_share_monthly(s, G.run_monthly(G.run_daily(s, w)))
+
+
+@query("h7_stop_hourly_monthly")
+def h7(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.stop_hourly_monthly(s, G.stop_monthly(G.stop_daily(s, w)))
+
+
+@query("h8_disruption_causes_monthly")
+def h8(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.disruption_causes_monthly(s, G.disruption_monthly(G.disruption_daily(s, w)))
+
+
+@query("h9_run_route")
+def h9(spark, sf_dir):
+    return H.run_route(_silver(spark, sf_dir))
+
+
+@query("h10_station_hourly_monthly")
+def h10(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.station_hourly_monthly(s, G.stop_monthly(G.stop_daily(s, w)), G.dep_monthly(G.dep_daily(s, w)),
+                                    STATION_ID)
+
+
+@query("h11_station_weekday_monthly")
+def h11(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.station_weekday_monthly(G.stop_daily(s, w), G.dep_daily(s, w), STATION_ID)
+
+
+@query("h12_station_directions_monthly")
+def h12(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.station_directions_monthly(s, G.stop_monthly(G.stop_daily(s, w)),
+                                        G.dep_monthly(G.dep_daily(s, w)), STATION_ID)
+
+
+@query("h13_station_disruptions_monthly")
+def h13(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return H.station_disruptions_monthly(s, G.disruption_daily(s, w), STATION_ID)

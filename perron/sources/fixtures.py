@@ -56,14 +56,25 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def _once(self, key: str, build) -> DataFrame:
+        # One DataFrame per shape: repeated use shares one analysed plan, and
+        # Catalyst can reuse the exchange when a shape feeds several branches.
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     # ---- raw ------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        return _read(self.spark, self.sf_dir, name)
+        return self._once("t:" + name, lambda: _read(self.spark, self.sf_dir, name))
 
     # ---- runs -----------------------------------------------------------
     def runs(self) -> DataFrame:
         """One row per run: header attributes of timetable and execution."""
+        return self._once("runs", self._runs)
+
+    def _runs(self) -> DataFrame:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
         c = self.table("customer").select("c_custkey", "c_mktsegment")
         prio = F.substring("o_orderpriority", 1, 1)
@@ -104,6 +115,9 @@ class Fixture:
     # ---- stops ----------------------------------------------------------
     def stop_raw(self) -> DataFrame:
         """Every line item as a stop row, actual sequence by a total order."""
+        return self._once("stop_raw", self._stop_raw)
+
+    def _stop_raw(self) -> DataFrame:
         li = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
@@ -167,6 +181,9 @@ class Fixture:
 
     # ---- disruptions ----------------------------------------------------
     def _disruption_rows(self) -> DataFrame:
+        return self._once("disr", self._disruption_rows0)
+
+    def _disruption_rows0(self) -> DataFrame:
         s = self.stop_raw().filter(F.col("l_returnflag") == "R")
         p = self.table("part").select("p_partkey", "p_type")
         tax = _tax_pct()
@@ -228,7 +245,7 @@ class Fixture:
         p = self.table("part").select("p_type").distinct()
         return p.select(F.col("p_type").alias("code"),
                         F.concat(F.lit("Utrudnienie ("), F.lower("p_type"),
-                                 F.lit(") na odcinku {stacja_poczatkowa} - {stacja_koncowa}"))
+                                 F.lit("). Na odcinku od stacji {stacja_poczatkowa} do stacji {stacja_koncowa}"))
                         .alias("description"))
 
     def def_stop_type(self) -> DataFrame:
