@@ -142,3 +142,85 @@ def h12(spark, sf_dir):
 def h13(spark, sf_dir):
     s, w = _facts(spark, sf_dir)
     return H.station_disruptions_monthly(s, G.disruption_daily(s, w), STATION_ID)
+
+
+# ---- trace views -------------------------------------------------------------
+from perron.plans import traces as T  # noqa: E402
+
+
+@query("h1_run_daily_trace")
+def h1(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return T.run_daily_trace(s, G.run_daily(s, w))
+
+
+@query("h2_stop_daily_trace")
+def h2(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return T.stop_daily_trace(s, G.stop_daily(s, w))
+
+
+@query("h3_disruption_daily_trace")
+def h3(spark, sf_dir):
+    s, w = _facts(spark, sf_dir)
+    return T.disruption_daily_trace(s, G.disruption_daily(s, w))
+
+
+# ---- dimensions ----------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from perron.plans import gold_dims as D  # noqa: E402
+
+
+@query("f1_d_date")
+def f1(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    d = D.d_date_covering(s.operation_header, "operating_date")
+    return d.withColumn("full_date", F.date_format("full_date", "yyyy-MM-dd"))
+
+
+@query("f2_d_hour")
+def f2(spark, sf_dir):
+    """Hour dimension with the number of planned departures per hour."""
+    s = _silver(spark, sf_dir)
+    used = (s.schedule_details.filter(F.col("departure_time").isNotNull())
+            .groupBy(F.substring("departure_time", 1, 2).cast("int").alias("id"))
+            .agg(F.count(F.lit(1)).alias("planned_departures")))
+    return D.d_hour(spark).join(used, "id", "left").select(
+        "id", "hour_label", "part_of_day", F.coalesce("planned_departures", F.lit(0)).alias("planned_departures"))
+
+
+@query("f3_d_station")
+def f3(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return D.d_station(s.def_station, s.def_city)
+
+
+@query("f4_d_route")
+def f4(spark, sf_dir):
+    return D.d_route(_silver(spark, sf_dir).schedule_details)
+
+
+@query("f4_d_route_daily")
+def f4d(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return D.d_route(s.schedule_details, s.schedule_header, day="2001-07-27")
+
+
+@query("f5_d_train_type")
+def f5(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return G.train_types(s).select(
+        "category_code", "category_name", "speed_category_code", "carrier_code", "carrier_name",
+        F.date_format("valid_from", "yyyy-MM-dd").alias("valid_from"),
+        F.date_format("valid_to", "yyyy-MM-dd").alias("valid_to"))
+
+
+@query("f6_d_train_status")
+def f6(spark, sf_dir):
+    return D.d_train_status(_silver(spark, sf_dir).def_train_status)
+
+
+@query("f7_d_disruption_cause")
+def f7(spark, sf_dir):
+    return D.d_disruption_cause(_silver(spark, sf_dir).def_disruption_cause)
