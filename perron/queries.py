@@ -224,3 +224,141 @@ def f6(spark, sf_dir):
 @query("f7_d_disruption_cause")
 def f7(spark, sf_dir):
     return D.d_disruption_cause(_silver(spark, sf_dir).def_disruption_cause)
+
+
+# ---- table write patterns (C) ---------------------------------------------------
+from perron.operators import tableops as C  # noqa: E402
+
+OLD_STAMP = "2001-07-01 00:00:00"
+NEW_STAMP = "2001-08-02 06:00:00"
+
+
+def _supplier_merge(spark, sf_dir):
+    """Stored suppliers (keys not divisible by 3) merged with the full feed,
+    in which names of keys divisible by 5 changed."""
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    target = sup.filter(F.col("s_suppkey") % 3 != 0).select(
+        "s_suppkey", "s_name", "s_nationkey", F.lit(OLD_STAMP).cast("timestamp").alias("loaded_at"))
+    source = sup.select("s_suppkey", F.when(F.col("s_suppkey") % 5 == 0, F.concat("s_name", F.lit(" (nowa)")))
+                        .otherwise(F.col("s_name")).alias("s_name"), "s_nationkey")
+    return C.merge_upsert(target, source, ["s_suppkey"], ["s_name", "s_nationkey"], NEW_STAMP)
+
+
+@query("c1_merge_upsert")
+def c1(spark, sf_dir):
+    new_target, _ = _supplier_merge(spark, sf_dir)
+    return new_target.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("c10_audit_changes")
+def c10(spark, sf_dir):
+    _, changes = _supplier_merge(spark, sf_dir)
+    a = C.audit_changes(changes, "supplier", ["s_suppkey"], ["s_name", "s_nationkey"], NEW_STAMP)
+    return a.withColumn("changed_at", F.date_format("changed_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("c2_insert_new")
+def c2(spark, sf_dir):
+    """Plan stops of days after 2001-07-27 inserted into a table holding the earlier days;
+    the batch is every raw stop row (duplicates included), first row per key wins."""
+    s = _silver(spark, sf_dir)
+    fx = s.extra["fixture"]
+    stored = s.schedule_details.join(
+        s.schedule_header.filter(F.col("operating_date") <= "2001-07-27").select("schedule_id", "order_id"),
+        ["schedule_id", "order_id"], "left_semi").select("schedule_id", "order_id", "order_number", "dsta_id")
+    raw = fx.stop_raw().select(
+        F.lit(2001).cast("bigint").alias("schedule_id"), F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("order_number"), (F.col("l_suppkey") % 10).alias("dsta_id"),
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    new = C.insert_new(stored, raw, ["schedule_id", "order_id", "order_number"],
+                       order_by=[F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"),
+                                 F.col("l_extendedprice")])
+    return new.select("schedule_id", "order_id", "order_number", "dsta_id")
+
+
+@query("c3_deactivate_missing")
+def c3(spark, sf_dir):
+    """Cities not named by any station of the feed become inactive."""
+    s = _silver(spark, sf_dir)
+    target = s.def_city.withColumn("is_active", F.lit(True))
+    batch = s.def_station.select(F.col("dcit_id").alias("id"))
+    return C.deactivate_missing(target, batch, ["id"])
+
+
+@query("c4_sync_flag")
+def c4(spark, sf_dir):
+    """Timetable headers re-sent for 2001-07-26..30 without cancelled runs: flags
+    flip inside that window only."""
+    s = _silver(spark, sf_dir)
+    fx = s.extra["fixture"]
+    target = s.schedule_header.select("operating_date", "schedule_id", "order_id", "train_order_id", "is_active")
+    batch = (fx.runs().filter((F.col("train_status") != "X")
+                              & F.col("operating_date").between("2001-07-26", "2001-07-30"))
+             .select("operating_date", "schedule_id", "order_id", "train_order_id"))
+    out = C.sync_flag(target, batch, ["operating_date", "schedule_id", "order_id", "train_order_id"],
+                      "operating_date")
+    return out.withColumn("operating_date", F.date_format("operating_date", "yyyy-MM-dd"))
+
+
+def _stale(df, cols):
+    return df.select(*[(F.col(c) + 1000).alias(c) if c == "runs_count" else F.col(c) for c in cols])
+
+
+@query("c7_recompute_days")
+def c7(spark, sf_dir):
+    """Daily fact whose last three days hold stale rows, recomputed for those days."""
+    s, w = _facts(spark, sf_dir)
+    full = G.run_daily(s, w)
+    recent = G.Window_.days_back(AS_OF, 3)
+    lo, hi = int(recent.date_from.strftime("%Y%m%d")), int(recent.date_to.strftime("%Y%m%d"))
+    stale = _stale(full, full.columns)      # previous load: wrong counts everywhere ...
+    old = full.filter(~F.col("date_id").between(lo, hi)).unionByName(
+        stale.filter(F.col("date_id").between(lo, hi)))   # ... of which the window is still stored
+    return C.recompute_days(old, G.run_daily(s, recent), "date_id", lo, hi)
+
+
+@query("c8_recompute_months")
+def c8(spark, sf_dir):
+    """Monthly fact with stale months rebuilt from the daily fact (window widened to months)."""
+    s, w = _facts(spark, sf_dir)
+    monthly = G.run_monthly(G.run_daily(s, w))
+    recent = G.Window_.days_back(AS_OF, 3)
+    old = _stale(monthly, monthly.columns)
+    return C.recompute_months(old, monthly, "month", recent.date_from, recent.date_to)
+
+
+@query("c9_insert_missing")
+def c9(spark, sf_dir):
+    """Calendar holding only the operating dates, completed by the generator."""
+    s = _silver(spark, sf_dir)
+    have = D.calendar_rows(s.operation_header.select(F.col("operating_date").alias("full_date")).distinct())
+    gen = D.d_date_covering(s.operation_header, "operating_date")
+    out = C.insert_missing(have, gen, ["id"])
+    return out.withColumn("full_date", F.date_format("full_date", "yyyy-MM-dd"))
+
+
+@query("c11_assign_ids")
+def c11(spark, sf_dir):
+    """Route ids: routes of the first day keep ids 1..n, new routes continue after the max."""
+    s = _silver(spark, sf_dir)
+    first = D.d_route(s.schedule_details, s.schedule_header, day="2001-07-23")
+    existing = C.assign_ids(spark.createDataFrame([], "id bigint, from_station_id bigint, to_station_id bigint"),
+                            first, ["from_station_id", "to_station_id"])
+    return C.assign_ids(existing, D.d_route(s.schedule_details), ["from_station_id", "to_station_id"])
+
+
+@query("c12_materialize")
+def c12(spark, sf_dir):
+    """Monthly punctuality report refreshed into a snapshot table and read back."""
+    path = C.scratch_root(spark, "c12_h4")
+    return C.materialize(h4(spark, sf_dir), path)
+
+
+@query("c13_publish")
+def c13(spark, sf_dir):
+    """Station and route dimensions published as one version; route read back via the pointer."""
+    s = _silver(spark, sf_dir)
+    root = C.scratch_root(spark, "c13_gold")
+    C.publish(spark, root, {"d_station": D.d_station(s.def_station, s.def_city),
+                            "d_route": D.d_route(s.schedule_details)})
+    return C.read_current(spark, root, "d_route")
