@@ -362,3 +362,176 @@ def c13(spark, sf_dir):
     C.publish(spark, root, {"d_station": D.d_station(s.def_station, s.def_city),
                             "d_route": D.d_route(s.schedule_details)})
     return C.read_current(spark, root, "d_route")
+
+
+# ---- shredding and silver loaders (B, D) ----------------------------------------
+from perron.operators import shred as B  # noqa: E402
+from perron.plans import silver as SL  # noqa: E402
+from perron.sources import payloads as P  # noqa: E402
+
+LOAD_STAMP = "2001-08-02 06:00:00"
+
+
+def _fx(spark, sf_dir):
+    return _silver(spark, sf_dir).extra["fixture"]
+
+
+def _empty(spark, ddl):
+    return spark.createDataFrame([], ddl)
+
+
+@query("b1_station_rows")
+def b1(spark, sf_dir):
+    x = B.explode_array(B.parse(P.stations_landing(_fx(spark, sf_dir)), "stations"), "stations")
+    return x.select("id", "name")
+
+
+@query("b2_route_dates")
+def b2(spark, sf_dir):
+    x = B.schedule_route_dates(B.parse(P.schedules_landing(_fx(spark, sf_dir)), "schedules"))
+    return x.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
+                    "order_id", "train_order_id", "name", "carrier_code", "category_code", "national_number")
+
+
+@query("b3_operation_stops")
+def b3(spark, sf_dir):
+    x = B.operations_rows(B.parse(P.operations_landing(_fx(spark, sf_dir)), "operations"))
+    ts = "yyyy-MM-dd HH:mm:ss"
+    return x.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "order_id",
+                    "train_status", "dsta_id", "planned_sequence", "actual_sequence",
+                    F.date_format("actual_arrival", ts).alias("actual_arrival"),
+                    F.date_format("actual_departure", ts).alias("actual_departure"),
+                    "arrival_delay_min", "departure_delay_min", "is_confirmed", "is_cancelled")
+
+
+@query("b4_disruption_rows")
+def b4(spark, sf_dir):
+    x = B.disruption_rows(B.parse(P.disruptions_landing(_fx(spark, sf_dir)), "disruptions"))
+    return x.select("disruption_id", "disruption_type_code", "message",
+                    F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
+                    "order_id", "train_order_id", "dsta_id", "sequence_number")
+
+
+@query("b5_city_members")
+def b5(spark, sf_dir):
+    x = B.city_members(B.parse(P.cities_landing(_fx(spark, sf_dir)), "cities"))
+    return x.select("city_name", "station_count", "station_id")
+
+
+@query("b6_map_entries")
+def b6(spark, sf_dir):
+    x = B.explode_map(B.parse(P.disruption_types_landing(_fx(spark, sf_dir)), "disruption_types"),
+                      "disruptionTypes")
+    return x.select(F.col("k").alias("code"), F.col("v").alias("description"))
+
+
+CITY_DDL = "id bigint, name string, station_count int, is_active boolean, loaded_at timestamp"
+
+
+def _cities(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return SL.load_def_city(P.cities_landing(fx), _empty(spark, CITY_DDL), LOAD_STAMP)
+
+
+@query("d2_def_city")
+def d2(spark, sf_dir):
+    return _cities(spark, sf_dir).drop("loaded_at")
+
+
+@query("d3_def_station")
+def d3(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    out = SL.load_def_station(P.stations_landing(fx), P.cities_landing(fx), _cities(spark, sf_dir),
+                              _empty(spark, "id bigint, name string, dcit_id bigint, loaded_at timestamp"), LOAD_STAMP)
+    return out.drop("loaded_at")
+
+
+@query("d6_def_train_status")
+def d6(spark, sf_dir):
+    out = SL.load_def_train_status(P.train_statuses_landing(_fx(spark, sf_dir)),
+                                   _empty(spark, "code string, name string, loaded_at timestamp"), LOAD_STAMP)
+    return out.drop("loaded_at")
+
+
+@query("d7_def_disruption_cause")
+def d7(spark, sf_dir):
+    out = SL.load_def_disruption_cause(P.disruption_types_landing(_fx(spark, sf_dir)),
+                                       _empty(spark, "code string, description string, loaded_at timestamp"),
+                                       LOAD_STAMP)
+    return out.drop("loaded_at")
+
+
+SH_DDL = ("operating_date date, schedule_id bigint, order_id bigint, train_order_id bigint, name string, "
+          "carrier_code string, category_code string, national_number string, intl_arrival_number string, "
+          "intl_departure_number string, snapshot_ts timestamp, is_active int")
+
+
+@query("d8_schedule_header")
+def d8(spark, sf_dir):
+    _, table = SL.load_schedule_header(P.schedules_landing(_fx(spark, sf_dir)), _empty(spark, SH_DDL))
+    return table.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
+                        "order_id", "train_order_id", "name", "carrier_code", "category_code", "national_number",
+                        "is_active")
+
+
+SD_DDL = ("schedule_id bigint, order_id bigint, order_number int, dsta_id bigint, arrival_time string, "
+          "arrival_day int, arrival_platform string, arrival_track string, departure_time string, departure_day int, "
+          "departure_platform string, departure_track string, dstty_id int")
+
+
+@query("d9_schedule_details")
+def d9(spark, sf_dir):
+    out = SL.load_schedule_details(P.schedules_landing(_fx(spark, sf_dir)), _empty(spark, SD_DDL))
+    return out.drop("snapshot_ts")
+
+
+OH_DDL = ("operating_date date, schedule_id bigint, order_id bigint, train_order_id bigint, train_status string, "
+          "snapshot_ts timestamp")
+
+
+@query("d10_operation_header")
+def d10(spark, sf_dir):
+    out = SL.load_operation_header(P.operations_landing(_fx(spark, sf_dir)), _empty(spark, OH_DDL))
+    return out.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
+                      "order_id", "train_order_id", "train_status",
+                      F.date_format("snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("snapshot_ts"))
+
+
+OD_DDL = ("ophe_id bigint, operating_date date, schedule_id bigint, order_id bigint, train_order_id bigint, "
+          "snapshot_ts timestamp, planned_sequence int, actual_sequence int, dsta_id bigint, "
+          "actual_arrival timestamp, actual_departure timestamp, is_confirmed boolean, is_cancelled boolean, "
+          "arrival_delay_min int, departure_delay_min int, dwell_time_sec bigint")
+
+
+@query("d11_operation_details")
+def d11(spark, sf_dir):
+    landing = P.operations_landing(_fx(spark, sf_dir))
+    header = SL.load_operation_header(landing, _empty(spark, OH_DDL))
+    header = header.withColumn("ophe_id", C.hash_id(*SL.HEADER_KEY))
+    out = SL.load_operation_details(landing, header, _empty(spark, OD_DDL))
+    ts = "yyyy-MM-dd HH:mm:ss"
+    return out.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "order_id",
+                      "planned_sequence", "actual_sequence", "dsta_id",
+                      F.date_format("actual_arrival", ts).alias("actual_arrival"),
+                      F.date_format("actual_departure", ts).alias("actual_departure"),
+                      "is_confirmed", "is_cancelled", "arrival_delay_min", "departure_delay_min", "dwell_time_sec")
+
+
+FIXTURE_ID_FACTOR = 10 ** 10   # the fixture's disruption ids exceed 10^6
+
+
+@query("d12_disruption_header")
+def d12(spark, sf_dir):
+    out = SL.load_disruption_header(P.disruptions_landing(_fx(spark, sf_dir)),
+                                    _empty(spark, "id bigint, disruption_type_code string, message string, "
+                                                  "snapshot_ts timestamp"), FIXTURE_ID_FACTOR)
+    return out.drop("snapshot_ts")
+
+
+@query("d13_disruption_details")
+def d13(spark, sf_dir):
+    out = SL.load_disruption_details(
+        P.disruptions_landing(_fx(spark, sf_dir)),
+        _empty(spark, "operating_date date, schedule_id bigint, order_id bigint, dsta_id bigint, dihe_id bigint, "
+                      "train_order_id bigint, sequence_number int"), FIXTURE_ID_FACTOR)
+    return out.withColumn("operating_date", F.date_format("operating_date", "yyyy-MM-dd"))
