@@ -77,7 +77,7 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_disr0": (("fx_stop_raw",), f"""
         select s.l_orderkey * 100 + s.actual_sequence as disruption_id,
                {_BASE} + cast(s.l_orderkey % 10 as integer) as operating_date,
-               s.l_orderkey, s.l_linenumber, s.l_suppkey,
+               s.l_orderkey, s.l_linenumber, s.l_suppkey, s.tax_pct,
                case when s.tax_pct = 2 then null when s.tax_pct = 4 then 'ZZ' else p.p_type end as disruption_type_code,
                case when s.tax_pct = 2 then p.p_type
                     when s.tax_pct = 3 then 'Utrudnienia w ruchu'

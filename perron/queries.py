@@ -535,3 +535,105 @@ def d13(spark, sf_dir):
         _empty(spark, "operating_date date, schedule_id bigint, order_id bigint, dsta_id bigint, dihe_id bigint, "
                       "train_order_id bigint, sequence_number int"), FIXTURE_ID_FACTOR)
     return out.withColumn("operating_date", F.date_format("operating_date", "yyyy-MM-dd"))
+
+
+# ---- live layer (E, C5, C6, D14, D15) ----------------------------------------------
+from perron.plans import live as LV  # noqa: E402
+from perron.sources import live_fixtures as LF  # noqa: E402
+
+
+@query("e3_run_diff")
+def e3(spark, sf_dir):
+    """Diff of every day's user snapshot against the previous day's."""
+    s = LF.user_snapshots(_fx(spark, sf_dir))
+    prev = s.withColumn("day", F.date_add("day", 1))
+    out = LV.diff_runs(prev, s, key=["user_id", "day"])
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "user_id", "event_type", "k_bucket",
+                      "change_hash", "diff_kind")
+
+
+def _dis_events(spark, sf_dir):
+    rows = LF.disruption_snapshot_rows(_fx(spark, sf_dir))
+    flat = LV.flatten_disruptions(rows, ["disruption_id"], ["snapshot_day"])
+    # previous snapshot = the snapshot of the day before, compared per snapshot day
+    prev = flat.withColumn("snapshot_day", F.date_add("snapshot_day", 1))
+    key = ["snapshot_day"] + LV.DIS_KEY
+    cols = key + LV.DIS_TRACKED + ["change_hash"]
+    c, p = flat.select(*cols), prev.select(*cols)
+    j = c.alias("c").join(p.alias("p"), LV._null_safe_join(key, "c", "p"), "full_outer")
+    day = F.coalesce(F.col("c.snapshot_day"), F.col("p.snapshot_day"))
+    bounds = flat.agg(F.max("snapshot_day").alias("hi"))
+    j = j.withColumn("_day", day).filter(day <= bounds.select("hi").scalar())
+    in_c, in_p = F.col("c.change_hash").isNotNull(), F.col("p.change_hash").isNotNull()
+    changed = j.filter(in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))).select(
+        *[F.col(f"c.{x}").alias(x) for x in cols], F.lit("changed").alias("kind"))
+    # tombstones only for runs on or after the window start of the current snapshot (day - 1)
+    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date") >= F.date_sub(F.col("_day"), 1))).select(
+        *[F.col(f"p.{x}").alias(x) for x in key + LV.DIS_TRACKED], F.lit(None).cast("string").alias("change_hash"),
+        F.lit("ended").alias("kind"))
+    return changed.unionByName(ended)
+
+
+@query("e5_disruption_diff")
+def e5(spark, sf_dir):
+    """Changed and ended disruption rows of every day's snapshot against the previous one."""
+    ev = _dis_events(spark, sf_dir)
+    return ev.select(F.date_format("snapshot_day", "yyyy-MM-dd").alias("snapshot_day"), "kind", "schedule_id",
+                     "order_id", "train_order_id", F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"),
+                     "dsta_id", "sequence_number", "disruption_type_code", "message", "change_hash")
+
+
+DLOG_DDL = ("operating_date date, schedule_id bigint, train_order_id bigint, dsta_id bigint, sequence_number int, "
+            "order_id bigint, disruption_type_code string, message string, change_hash string, is_active boolean, "
+            "snapshot_ts timestamp")
+
+
+@query("d15_disruption_tracking_log")
+def d15(spark, sf_dir):
+    """SCD2 disruption log after applying every snapshot's changed/ended sets in order."""
+    ev = _dis_events(spark, sf_dir).withColumn(
+        "snapshot_ts", F.timestamp_seconds(F.unix_date("snapshot_day").cast("bigint") * 86400 + 6 * 3600))
+    changed = ev.filter(F.col("kind") == "changed")
+    ended = ev.filter(F.col("kind") == "ended")
+    log = LV.scd2_apply(_empty(spark, DLOG_DDL), changed, ended)
+    return log.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
+                      "train_order_id", "dsta_id", "sequence_number", "order_id", "disruption_type_code", "message",
+                      "change_hash", "is_active",
+                      F.date_format("snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("snapshot_ts"))
+
+
+OLOG_DDL = ("operating_date date, schedule_id bigint, order_id bigint, train_order_id bigint, dsta_id bigint, "
+            "train_status string, actual_arrival timestamp, actual_departure timestamp, arrival_delay_min int, "
+            "departure_delay_min int, is_confirmed boolean, is_cancelled boolean, actual_sequence int, "
+            "snapshot_ts timestamp, change_hash string")
+
+
+def _track_log(spark, sf_dir):
+    batch = LF.track_versions(_fx(spark, sf_dir))
+    log = _empty(spark, OLOG_DDL)
+    new = LV.append_versions(log, batch.select(*log.columns))
+    return new
+
+
+@query("d14_operation_tracking_log")
+def d14(spark, sf_dir):
+    new = _track_log(spark, sf_dir)
+    ts = "yyyy-MM-dd HH:mm:ss"
+    return new.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "train_order_id",
+                      "dsta_id", "train_status", F.date_format("actual_arrival", ts).alias("actual_arrival"),
+                      F.date_format("actual_departure", ts).alias("actual_departure"), "arrival_delay_min",
+                      "is_confirmed", "is_cancelled", "change_hash",
+                      F.date_format("snapshot_ts", ts).alias("snapshot_ts"))
+
+
+@query("e12_latest_versions")
+def e12(spark, sf_dir):
+    """Latest logged version per (date, train, station) among versions with an arrival
+    between 06:00 and 18:00 of the run day (window applied before ranking)."""
+    log = _track_log(spark, sf_dir)
+    h = F.hour("actual_arrival")
+    out = LV.latest_versions(log, h.between(6, 17), tie="actual_sequence")
+    ts = "yyyy-MM-dd HH:mm:ss"
+    return out.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "train_order_id",
+                      "dsta_id", F.date_format("actual_arrival", ts).alias("actual_arrival"),
+                      F.date_format("snapshot_ts", ts).alias("snapshot_ts"))

@@ -191,7 +191,7 @@ class Fixture:
                 .select(
                     (F.col("l_orderkey") * 100 + F.col("actual_sequence")).alias("disruption_id"),
                     _run_date(F.col("l_orderkey")).alias("operating_date"),
-                    F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey"),
+                    F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey"), tax.alias("tax_pct"),
                     F.when(tax == 2, F.lit(None).cast("string"))
                      .when(tax == 4, F.lit("ZZ")).otherwise(F.col("p_type")).alias("disruption_type_code"),
                     F.when(tax == 2, F.col("p_type"))
