@@ -29,6 +29,23 @@ from perron.operators.joins import OPEN_END, bounded_broadcast, version_at_date
 from perron.plans.gold_dims import d_train_type, plan_ends
 from perron.plans.silver_model import Silver
 
+def _memo(fn):
+    """Memoize a ``(Silver, Window_) -> DataFrame`` builder on the silver bundle.
+
+    DataFrames are immutable plans; sharing one object per (builder, window)
+    saves the driver from re-analysing the same plan and lets Catalyst reuse
+    exchanges when several outputs of one job share a fact.
+    """
+    def wrapper(s, w):
+        key = (fn.__name__, w)
+        if key not in s.extra:
+            s.extra[key] = fn(s, w)
+        return s.extra[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 ON_TIME_MAX = 5      # on time: delay <= 5 min
 DELAYED_MIN = 6      # delayed: delay >= 6 min
 
@@ -48,6 +65,7 @@ class Window_:
         return F.col(col).between(F.lit(self.date_from), F.lit(self.date_to))
 
 
+@_memo
 def runs_in_window(s: Silver, w: Window_) -> DataFrame:
     """G1: executed runs of the window with their timetable attributes."""
     oh = s.operation_header.filter(w.between("operating_date")).select(
@@ -65,7 +83,7 @@ def ends_for(s: Silver, keys: DataFrame) -> DataFrame:
     return plan_ends(sd)
 
 
-def confirmed_span(operation_details: DataFrame) -> DataFrame:
+def confirmed_span(operation_details: DataFrame) -> DataFrame:  # noqa: D401
     """First and last confirmed stop of each run, one grouped pass."""
     od = operation_details.filter(F.col("is_confirmed"))
     agg = od.groupBy("ophe_id").agg(
@@ -103,6 +121,7 @@ def _statuses(s: Silver) -> DataFrame:
     return s.extra["statuses"]
 
 
+@_memo
 def run_resolved(s: Silver, w: Window_) -> DataFrame:
     """Per run: keys of the fact cell, terminal delay and travel minutes."""
     r = runs_in_window(s, w)
@@ -135,6 +154,7 @@ def run_resolved(s: Silver, w: Window_) -> DataFrame:
 RUN_CELL = ["date_id", "from_station_id", "to_station_id", *TYPE_KEY, "status_code"]
 
 
+@_memo
 def run_daily(s: Silver, w: Window_) -> DataFrame:
     """G10 f_train_run_daily."""
     td = F.col("terminal_delay")
@@ -200,16 +220,19 @@ def _stop_measures(prefix: str, singular: str) -> list[Column]:
     ]
 
 
+@_memo
 def stop_daily(s: Silver, w: Window_) -> DataFrame:
     """G11 f_train_stop_daily: arrivals per station and planned arrival hour (origin skipped)."""
     return _stop_rows(s, w, "arr").groupBy(*STOP_CELL).agg(*_stop_measures("arrivals", "arrival"))
 
 
+@_memo
 def dep_daily(s: Silver, w: Window_) -> DataFrame:
     """G12 f_train_dep_daily: departures per station and planned departure hour (terminal skipped)."""
     return _stop_rows(s, w, "dep").groupBy(*STOP_CELL).agg(*_stop_measures("departures", "departure"))
 
 
+@_memo
 def disruption_resolved(s: Silver, w: Window_) -> DataFrame:
     """Affected stops of the window with route, type, hour and cause (G13 rows)."""
     dd = s.disruption_details.filter(w.between("operating_date"))
@@ -242,6 +265,7 @@ def disruption_resolved(s: Silver, w: Window_) -> DataFrame:
 DIS_CELL = ["date_id", "from_station_id", "to_station_id", "station_id", *TYPE_KEY, "hour_id", "cause_code"]
 
 
+@_memo
 def disruption_daily(s: Silver, w: Window_) -> DataFrame:
     """G13 f_train_disruption_daily.
 

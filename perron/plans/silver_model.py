@@ -28,8 +28,21 @@ class Silver:
     extra: dict = field(default_factory=dict)
 
     @classmethod
-    def from_fixture(cls, spark: SparkSession, sf_dir: str) -> Silver:
-        return _LazySilver(spark, Fixture(spark, sf_dir))
+    def from_fixture(cls, spark: SparkSession, sf_dir: str, materialize: bool = True) -> Silver:
+        """Silver tables derived from the driver tables.
+
+        With ``materialize`` each table is written once (on first use) as
+        Parquet under the shared ``spark.checkpoint.dir`` and read back, as
+        the silver layer of a real deployment is a stored layer: jobs on top
+        read short plans and column-pruned scans, and the lineage to the raw
+        tables is cut by a written table (survives executor loss without
+        recomputing the derivation).
+        """
+        root = None
+        if materialize:
+            from perron.operators.tableops import scratch_root
+            root = scratch_root(spark, "silver")
+        return _LazySilver(spark, Fixture(spark, sf_dir), root)
 
 
 _FIELDS = ["schedule_header", "schedule_details", "operation_header", "operation_details",
@@ -40,16 +53,23 @@ _FIELDS = ["schedule_header", "schedule_details", "operation_header", "operation
 class _LazySilver(Silver):
     """Silver whose tables are built from the fixture on first access."""
 
-    def __init__(self, spark: SparkSession, fx: Fixture):  # noqa: D107
+    def __init__(self, spark: SparkSession, fx: Fixture, root: str | None = None):  # noqa: D107
         object.__setattr__(self, "spark", spark)
         object.__setattr__(self, "extra", {"fixture": fx})
         object.__setattr__(self, "_built", {})
+        object.__setattr__(self, "_root", root)
 
     def __getattribute__(self, name):
         if name in _FIELDS:
             built = object.__getattribute__(self, "_built")
             if name not in built:
                 fx = object.__getattribute__(self, "extra")["fixture"]
-                built[name] = getattr(fx, name)()
+                df = getattr(fx, name)()
+                root = object.__getattribute__(self, "_root")
+                if root is not None:
+                    path = f"{root}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                built[name] = df
             return built[name]
         return object.__getattribute__(self, name)

@@ -30,8 +30,17 @@ def query(name: str):
     return deco
 
 
+_SILVER: dict = {}
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> Silver:
-    return Silver.from_fixture(spark, sf_dir)
+    """One silver bundle per (session, input dir): its plans are built once and
+    shared by every query of the session (the driver bridge is the slow part
+    of building a plan; the data work is not shared or cached)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _SILVER:
+        _SILVER[key] = Silver.from_fixture(spark, sf_dir)
+    return _SILVER[key]
 
 
 def _win() -> G.Window_:
