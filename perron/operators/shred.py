@@ -10,19 +10,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perron.sources.schemas import FEEDS, required
 
 
+CORRUPT = "_corrupt_record"
+
+
 def parse(landing: DataFrame, feed: str) -> DataFrame:
-    """``(object_name, payload)`` -> adds ``p`` (parsed struct, null when not JSON)."""
-    return landing.withColumn("p", F.from_json("payload", FEEDS[feed], {"mode": "PERMISSIVE"}))
+    """``(object_name, payload)`` -> adds ``p`` (parsed struct).
+
+    A payload that is not valid JSON yields a null ``p`` or a struct whose
+    ``_corrupt_record`` holds the text (PERMISSIVE mode).
+    """
+    schema = T.StructType(FEEDS[feed].fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    return landing.withColumn("p", F.from_json("payload", schema,
+                                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+
+
+def is_corrupt(p: str = "p") -> Column:
+    return F.col(p).isNull() | F.col(f"{p}.{CORRUPT}").isNotNull()
 
 
 def validate(landing: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """A7 split into (valid, quarantined with reason) by the feed's required fields."""
     x = parse(landing, feed)
-    reason = (F.when(F.col("p").isNull(), F.lit("not a JSON object"))
+    reason = (F.when(is_corrupt("p"), F.lit("not a JSON object"))
               .when(~F.coalesce(required(feed), F.lit(False)), F.lit("required field missing")))
     x = x.withColumn("reason", reason)
     valid = x.filter(F.col("reason").isNull()).drop("reason")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from perron.plans import gold_facts as G
 from perron.plans import reports as H
@@ -646,3 +646,72 @@ def e12(spark, sf_dir):
     return out.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "train_order_id",
                       "dsta_id", F.date_format("actual_arrival", ts).alias("actual_arrival"),
                       F.date_format("snapshot_ts", ts).alias("snapshot_ts"))
+
+
+# ---- bronze file handling (A) ------------------------------------------------------
+from perron.sources import files as A  # noqa: E402
+
+
+def _ops_files(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return P.operations_landing(fx, "060000"), P.operations_landing(fx, "050000"), P.stations_landing(fx)
+
+
+@query("a2_file_attributes")
+def a2(spark, sf_dir):
+    late, early, dicts = _ops_files(spark, sf_dir)
+    files = late.select("object_name").unionByName(early.select("object_name")).unionByName(
+        dicts.select("object_name"))
+    return A.with_file_attributes(files)
+
+
+@query("a3_new_files")
+def a3(spark, sf_dir):
+    """Files not LOADED in the manifest (days up to 07-27 loaded, 07-28 failed)."""
+    late, _, _ = _ops_files(spark, sf_dir)
+    files = A.with_file_attributes(late.select("object_name"))
+    status = F.when(F.col("part_date") <= "20010728", "LOADED").when(F.col("part_date") == "20010729", "FAILED")
+    manifest = files.select("object_name", status.alias("status")).filter(F.col("status").isNotNull())
+    return A.new_files(late.select("object_name"), manifest)
+
+
+@query("a8_latest_run")
+def a8(spark, sf_dir):
+    late, early, dicts = _ops_files(spark, sf_dir)
+    files = late.select("object_name").unionByName(early.select("object_name")).unionByName(
+        dicts.select("object_name"))
+    return A.latest_run(files)
+
+
+def _damaged_ops(spark, sf_dir):
+    """Operations documents with injected faults: every 5th page loses its train ids,
+    every 7th page is cut off (not JSON any more)."""
+    late, _, _ = _ops_files(spark, sf_dir)
+    x = A.with_file_attributes(late)
+    k = F.col("page") - 1
+    payload = F.when(k % 5 == 4, F.regexp_replace("payload", '"orderId":', '"orderIdX":')).otherwise(F.col("payload"))
+    payload = F.when(k % 7 == 6, F.substring(payload, 1, 100)).otherwise(payload)
+    return x.select("object_name", payload.alias("payload"))
+
+
+@query("a7_validate")
+def a7(spark, sf_dir):
+    valid, bad = B.validate(_damaged_ops(spark, sf_dir), "operations")
+    return valid.select("object_name", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("object_name", "reason"))
+
+
+@query("a9_stitch_pages")
+def a9(spark, sf_dir):
+    """Live pages of one run per day; day 07-25 has an invalid page, day 07-26 lacks its
+    last page: both snapshots are dropped whole."""
+    late, _, _ = _ops_files(spark, sf_dir)
+    x = A.with_file_attributes(B.parse(late, "operations"))
+    biz = F.regexp_extract("object_name", r"operations_(\d{8})_", 1)
+    last = F.max("page").over(Window.partitionBy("run_ts"))
+    pages = x.select(
+        "run_ts", "page", (~((biz == "20010725") & (F.col("page") == 2))).alias("valid"),
+        F.when(biz == "20010726", F.lit(True)).otherwise(F.col("page") < last).alias("has_next"),
+        F.col("p.generatedAt").alias("generated_at"), F.col("p.trains").alias("trains"))
+    rows = A.stitch_pages(pages)
+    return rows.select("run_ts", "snapshot_generated_at", F.col("train.orderId").alias("order_id"))

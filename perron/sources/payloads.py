@@ -30,7 +30,7 @@ def _run_ts(d: Column, hhmmss: str = "060000") -> Column:
 def _object_name(category: str, feed: str, biz: Column, run_ts: Column, page: Column | None) -> Column:
     part = F.substring(run_ts, 1, 8)
     fname = F.concat(F.lit(f"{feed}_"), biz, F.lit("_"), run_ts,
-                     F.concat(F.lit("_p"), F.lpad(page.cast("string"), 3, "0")) if page is not None else F.lit(""),
+                     F.concat(F.lit("_p"), F.format_string("%03d", page)) if page is not None else F.lit(""),
                      F.lit(".json"))
     return F.concat(F.lit(f"daily/{category}/{feed}/date="), part, F.lit("/"), fname)
 
@@ -129,8 +129,8 @@ def _dict_doc(entries: DataFrame, name: str, field: str, key: Column, extra: dic
     x = entries.select((key / PAGE_SIZE).cast("bigint").alias("page_key"), F.col("e"))
     docs = x.groupBy("page_key").agg(F.collect_list("e").alias(field))
     cols = [F.lit("2001-07-22T06:00:00Z").alias("generatedAt"), F.col(field)]
-    fname = F.concat(F.lit(f"daily/dict/{name}/date=20010722/dict_{name}_2001072206"),
-                     F.lpad(F.col("page_key").cast("string"), 4, "0"), F.lit(".json"))
+    fname = F.concat(F.lit(f"daily/dict/{name}/date=20010722/dict_{name}_20010722060000_p"),
+                     F.format_string("%03d", F.col("page_key") + 1), F.lit(".json"))
     return docs.select(fname.alias("object_name"), F.to_json(F.struct(*cols)).alias("payload"))
 
 
