@@ -79,15 +79,17 @@ D15_SQL = _DIS + """,
 e2 AS (select ev.*, case kind when 'changed' then 'C' else 'E' end as k2 from ev),
 o AS (select e2.*,
              lag(change_hash) over w as prev_hash, lag(k2) over w as prev_kind,
-             lead(k2) over w is null as is_last
+             last_value(k2) over (w rows between unbounded preceding and unbounded following) as last_kind
       from e2 window w as (partition by operating_date, schedule_id, train_order_id, dsta_id, sequence_number
-                           order by snapshot_day, k2))
+                           order by snapshot_day, k2)),
+ins AS (select o.*, row_number() over (partition by operating_date, schedule_id, train_order_id, dsta_id,
+                                       sequence_number order by snapshot_day desc) as newest
+        from o where k2 = 'C' and change_hash is distinct from (case when prev_kind is null then null
+                                                                     when prev_kind = 'C' then prev_hash end))
 select strftime(operating_date, '%Y-%m-%d') as operating_date, schedule_id, train_order_id, dsta_id, sequence_number,
-       order_id, disruption_type_code, message, change_hash, is_last as is_active,
+       order_id, disruption_type_code, message, change_hash, newest = 1 and last_kind = 'C' as is_active,
        strftime(snapshot_day, '%Y-%m-%d') || ' 06:00:00' as snapshot_ts
-from o
-where k2 = 'C' and change_hash is distinct from (case when prev_kind is null then null
-                                                      when prev_kind = 'C' then prev_hash end)"""
+from ins"""
 
 _TRACK = cte("fx_run", "fx_stop_raw") + f""",
 x AS (select s.*, r.train_status, v.v,

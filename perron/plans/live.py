@@ -169,9 +169,14 @@ def scd2_apply(log: DataFrame, changed: DataFrame, ended: DataFrame, key: Sequen
         .select("e.*", "_active_hash")
     prior = F.when(F.col("_prev_kind").isNull(), F.col("_active_hash")) \
         .when(F.col("_prev_kind") == "C", F.col("_prev_hash"))
+    # the key's final event decides what stays active
+    ev = ev.withColumn("_last_kind", F.last("_kind").over(w.rowsBetween(Window.unboundedPreceding,
+                                                                         Window.unboundedFollowing)))
     ins = ev.filter((F.col("_kind") == "C") & ~F.col("change_hash").eqNullSafe(prior))
+    wi = Window.partitionBy("_k").orderBy(F.col("snapshot_ts").desc())
+    ins = ins.withColumn("_newest", F.row_number().over(wi) == 1)
     new_rows = ins.select(*key, "order_id", *DIS_TRACKED, "change_hash",
-                          F.col("_is_last").alias("is_active"), "snapshot_ts")
+                          (F.col("_newest") & (F.col("_last_kind") == "C")).alias("is_active"), "snapshot_ts")
     last = ev.filter(F.col("_is_last")).select(*key, F.col("_kind").alias("_last_kind"),
                                                F.col("change_hash").alias("_last_hash"))
     old = log.alias("l").join(last.alias("x"), _null_safe_join(key, "l", "x"), "left")
