@@ -21,7 +21,7 @@ def _st(*fields) -> T.StructType:
 PAGINATION = _st(("page", I), ("pageSize", I), ("totalCount", L), ("totalPages", I), ("hasNextPage", B))
 
 OP_STATION = _st(("stationId", L), ("plannedSequenceNumber", I), ("actualSequenceNumber", I),
-                 ("actualArrival", S), ("actualDeparture", S), ("arrivalDelayMinutes", I),
+                 ("plannedArrival", S), ("plannedDeparture", S), ("actualArrival", S), ("actualDeparture", S), ("arrivalDelayMinutes", I),
                  ("departureDelayMinutes", I), ("isConfirmed", B), ("isCancelled", B))
 OP_TRAIN = _st(("scheduleId", L), ("orderId", L), ("trainOrderId", L), ("operatingDate", S),
                ("trainStatus", S), ("stations", T.ArrayType(OP_STATION)))
