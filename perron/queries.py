@@ -715,3 +715,23 @@ def a9(spark, sf_dir):
         F.col("p.generatedAt").alias("generated_at"), F.col("p.trains").alias("trains"))
     rows = A.stitch_pages(pages)
     return rows.select("run_ts", "snapshot_generated_at", F.col("train.orderId").alias("order_id"))
+
+
+# ---- station and route reports (H22-H24) ------------------------------------------
+from perron.plans import station_reports as SR  # noqa: E402
+
+
+@query("h22_route_start_monthly")
+def h22(spark, sf_dir):
+    return SR.route_start_monthly(_silver(spark, sf_dir), AS_OF)
+
+
+@query("h23_station_calls")
+def h23(spark, sf_dir):
+    return SR.station_calls(_silver(spark, sf_dir), AS_OF, STATION_ID)
+
+
+@query("h24_station_disruptions")
+def h24(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return SR.station_disruptions(s, SR.station_calls(s, AS_OF, STATION_ID), STATION_ID)
