@@ -183,3 +183,119 @@ def route_start_monthly(s: Silver, as_of: dt.date, months: int = 24) -> DataFram
                      "from_station_id", "to_station_id", "category_name", "carrier_name").agg(
         F.sum(F.coalesce("departure_delay_min", F.lit(0))).cast("bigint").alias("suma_op_start"),
         F.count(F.lit(1)).cast("bigint").alias("liczba_start"))
+
+
+def _clock_day_minutes(t: str, d: str) -> F.Column:
+    return F.when(F.col(t).isNotNull(), F.coalesce(F.col(d), F.lit(0)) * 86400 + clock_seconds(F.col(t)))
+
+
+def completed_runs(s: Silver, as_of: dt.date, station_id) -> DataFrame:
+    """H18 completed runs D-7..D-1 whose plan calls at the station.
+
+    Plan side: one grouped pass per plan (ends by order number, the station
+    columns folded by max when the plan calls twice). Executed side: one
+    grouped pass per run with ordered struct maxima: the last reached stop
+    (confirmed and not cancelled, then actual sequence), the entry at the
+    planned end and the entry at the station (latest actual sequence).
+    """
+    lo, hi = as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1)
+    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+        F.col("id").alias("ophe_id"), *HDR, "train_status")
+    sh = s.schedule_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+        *HDR, F.col("carrier_code").alias("przewoznik"), F.col("category_code").alias("kategoria"),
+        F.col("national_number").alias("nr_pociagu"), F.col("name").alias("nazwa_pociagu"))
+    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
+    kurs = oh.join(sh, HDR, "inner").join(at_st, ["schedule_id", "order_id"], "left_semi")
+    sd = s.schedule_details.join(kurs.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"],
+                                 "left_semi")
+    here = F.col("dsta_id") == station_id
+    plan = sd.groupBy("schedule_id", "order_id").agg(
+        first_row(["order_number"], ["dsta_id", "departure_time", "departure_day"]).alias("f"),
+        F.max(F.struct("order_number", "dsta_id", "arrival_time", "arrival_day")).alias("l"),
+        F.max(F.when(here, F.col("order_number"))).alias("wro_seq"),
+        F.max(F.when(here, F.col("arrival_time"))).alias("wro_arr_time"),
+        F.max(F.when(here, F.col("arrival_day"))).alias("wro_arr_day"),
+        F.max(F.when(here, F.col("departure_time"))).alias("wro_dep_time"),
+        F.max(F.when(here, F.col("departure_day"))).alias("wro_dep_day"),
+    ).select("schedule_id", "order_id", F.col("f._o0").alias("start_seq"), F.col("l.order_number").alias("koniec_seq"),
+             F.col("f.dsta_id").alias("start_dsta"), F.col("l.dsta_id").alias("koniec_dsta"),
+             F.col("f.departure_time").alias("start_dep_time"), F.col("f.departure_day").alias("start_dep_day"),
+             F.col("l.arrival_time").alias("koniec_arr_time"), F.col("l.arrival_day").alias("koniec_arr_day"),
+             "wro_seq", "wro_arr_time", "wro_arr_day", "wro_dep_time", "wro_dep_day")
+    od = s.operation_details.join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id", "inner").join(
+        plan.select("schedule_id", "order_id", "koniec_seq", "wro_seq"), ["schedule_id", "order_id"], "inner")
+    reached = (F.col("is_confirmed") & ~F.col("is_cancelled")).cast("int")
+    e_k = (F.col("planned_sequence") == F.col("koniec_seq")).cast("int")
+    e_w = F.coalesce((F.col("planned_sequence") == F.col("wro_seq")).cast("int"), F.lit(0))
+    op = od.groupBy("ophe_id").agg(
+        first_row(["actual_sequence"], ["actual_departure", "departure_delay_min"]).alias("st"),
+        F.max(reached).alias("ol_jest"),
+        F.max(F.struct(reached.alias("k"), F.col("actual_sequence").alias("q"), "dsta_id", "actual_arrival",
+                       "arrival_delay_min")).alias("ol"),
+        F.max(e_k).alias("ok_jest"),
+        F.max(F.struct(e_k.alias("k"), F.col("actual_sequence").alias("q"), reached.alias("reached"),
+                       "actual_arrival", "arrival_delay_min")).alias("okk"),
+        F.max(e_w).alias("ow_jest"),
+        F.max(F.struct(e_w.alias("k"), F.col("actual_sequence").alias("q"), "actual_arrival", "actual_departure",
+                       "arrival_delay_min", "departure_delay_min",
+                       F.col("is_cancelled").cast("int").alias("canc"))).alias("ow"),
+        F.count_distinct(F.when(F.col("is_cancelled"), F.col("planned_sequence"))).alias("liczba_odwolanych"))
+    x = kurs.join(plan, ["schedule_id", "order_id"], "inner").join(op, "ophe_id", "left")
+    st = bounded_broadcast(s.def_station.select("id", "name"))
+    x = (x.join(st.select(F.col("id").alias("start_dsta"), F.col("name").alias("relacja_od")), "start_dsta", "left")
+         .join(st.select(F.col("id").alias("koniec_dsta"), F.col("name").alias("relacja_do")), "koniec_dsta", "left")
+         .join(st.select(F.col("id").alias("_ol_dsta"), F.col("name").alias("_ol_name")),
+               F.col("ol.dsta_id") == F.col("_ol_dsta"), "left"))
+    car = bounded_broadcast(s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to"))
+    cn = (x.select("ophe_id", "operating_date", "przewoznik").join(car, "przewoznik")
+          .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
+          .groupBy("ophe_id").agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
+    cat = bounded_broadcast(s.def_commercial_category.select(
+        F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
+        F.col("name").alias("kategoria_nazwa")))
+    x = x.join(cn, "ophe_id", "left").join(cat, ["kategoria", "przewoznik"], "left")
+    base = date_epoch_seconds(F.col("operating_date"))
+    start_d = _clock_day_minutes("start_dep_time", "start_dep_day")
+    end_d = _clock_day_minutes("koniec_arr_time", "koniec_arr_day")
+    wa = _clock_day_minutes("wro_arr_time", "wro_arr_day")
+    wd = _clock_day_minutes("wro_dep_time", "wro_dep_day")
+
+    def ts(sec):
+        return F.date_format(F.timestamp_seconds(sec), TS)
+
+    c = F.col
+    ok_end = (c("ok_jest") == 1) & (c("okk.reached") == 1)
+    c_last = (c("train_status") == "C") & (c("ol_jest") == 1)
+    ol = c("ol_jest") == 1
+    ow = c("ow_jest") == 1
+    return x.select(
+        F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "ophe_id", "schedule_id", "order_id",
+        "train_order_id", "train_status",
+        F.when(c("train_status") == "X", 1).otherwise(0).alias("czy_odwolany"),
+        F.when((c("train_status") == "C") | ok_end, 1).otherwise(0).alias("czy_dojechal"),
+        F.when((c("train_status") == "C") & (F.coalesce(c("ok_jest"), F.lit(0)) == 0), 1).otherwise(0)
+        .alias("czy_koniec_poza_pomiarem"),
+        F.coalesce(c("liczba_odwolanych"), F.lit(0)).cast("bigint").alias("liczba_stacji_odwolanych"),
+        "przewoznik", "przewoznik_nazwa", "kategoria", "kategoria_nazwa", "nr_pociagu", "nazwa_pociagu",
+        c("start_dsta").alias("relacja_od_id"), "relacja_od", c("koniec_dsta").alias("relacja_do_id"), "relacja_do",
+        F.when(c("wro_seq") == c("start_seq"), "START").when(c("wro_seq") == c("koniec_seq"), "KONIEC")
+        .otherwise("PRZEJAZD").alias("rola_wroclawia"),
+        ts(base + start_d).alias("plan_odjazd_start"),
+        F.date_format("st.actual_departure", TS).alias("rz_odjazd_start"),
+        c("st.departure_delay_min").alias("opoznienie_start_min"),
+        ts(base + end_d).alias("plan_przyjazd_koniec"),
+        F.when(ok_end, F.date_format("okk.actual_arrival", TS)).when(c_last, F.date_format("ol.actual_arrival", TS))
+        .alias("rz_przyjazd_koniec"),
+        F.when(ok_end, c("okk.arrival_delay_min")).when(c_last, c("ol.arrival_delay_min"))
+        .alias("opoznienie_koniec_min"),
+        F.when(ol, c("ol.dsta_id")).alias("ostatnia_stacja_id"), F.when(ol, c("_ol_name")).alias("ostatnia_stacja_nazwa"),
+        F.when(ol, F.date_format("ol.actual_arrival", TS)).alias("rz_przyjazd_ostatnia"),
+        F.when(ol, c("ol.arrival_delay_min")).alias("opoznienie_ostatnia_min"),
+        ts(base + wa).alias("plan_wro_przyjazd"), ts(base + wd).alias("plan_wro_odjazd"),
+        F.when(ow, F.date_format("ow.actual_arrival", TS)).alias("rz_wro_przyjazd"),
+        F.when(ow, F.date_format("ow.actual_departure", TS)).alias("rz_wro_odjazd"),
+        F.when(ow, c("ow.arrival_delay_min")).alias("opoznienie_wro_przyjazd_min"),
+        F.when(ow, c("ow.departure_delay_min")).alias("opoznienie_wro_odjazd_min"),
+        F.when(ow, c("ow.canc")).otherwise(0).alias("czy_wro_odwolany"),
+        F.round((end_d - start_d) / 60.0).cast("bigint").alias("plan_czas_przejazdu_min"),
+    )

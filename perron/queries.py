@@ -735,3 +735,8 @@ def h23(spark, sf_dir):
 def h24(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return SR.station_disruptions(s, SR.station_calls(s, AS_OF, STATION_ID), STATION_ID)
+
+
+@query("h18_completed_runs")
+def h18(spark, sf_dir):
+    return SR.completed_runs(_silver(spark, sf_dir), AS_OF, STATION_ID)
