@@ -299,3 +299,104 @@ def completed_runs(s: Silver, as_of: dt.date, station_id) -> DataFrame:
         F.when(ow, c("ow.canc")).otherwise(0).alias("czy_wro_odwolany"),
         F.round((end_d - start_d) / 60.0).cast("bigint").alias("plan_czas_przejazdu_min"),
     )
+
+
+def _runs_via_station(s: Silver, lo: dt.date, hi: dt.date, station_id) -> DataFrame:
+    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+        F.col("id").alias("ophe_id"), *HDR)
+    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
+    return oh.join(at_st, ["schedule_id", "order_id"], "left_semi")
+
+
+def run_disruptions(s: Silver, as_of: dt.date, station_id) -> DataFrame:
+    """H19 disruption sections of the completed runs (D-7..D-1 via the station).
+
+    Affected stops are matched on (day, schedule, order id OR train id) -- two
+    equi joins and a dedup instead of an OR nested loop; per run and
+    disruption the section runs from the lowest to the highest affected
+    sequence. Text precedence: description by type code, by trimmed message,
+    the message, the code; station placeholders are filled in. Same text on
+    the same section = one row (newest header id).
+    """
+    k = _runs_via_station(s, as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1), station_id)
+    dd = s.disruption_details.select("operating_date", "schedule_id", F.col("order_id").alias("d_order_id"),
+                                     F.col("train_order_id").alias("d_train_order_id"), "dsta_id", "dihe_id",
+                                     "sequence_number")
+    kk, d = k.alias("k"), dd.alias("d")
+    base = (F.col("k.operating_date") == F.col("d.operating_date")) & (F.col("k.schedule_id") == F.col("d.schedule_id"))
+    sel = [F.col("k.ophe_id").alias("ophe_id")] + [F.col(f"d.{c}").alias(c) for c in dd.columns]
+    j = (kk.join(d, base & (F.col("k.order_id") == F.col("d.d_order_id"))).select(*sel)
+         .unionByName(kk.join(d, base & (F.col("k.train_order_id") == F.col("d.d_train_order_id"))).select(*sel))
+         .distinct())
+    u = j.groupBy("ophe_id", "dihe_id").agg(
+        F.min("sequence_number").alias("dis_seq_od"), F.max("sequence_number").alias("dis_seq_do"),
+        F.min(F.struct("sequence_number", "dsta_id")).alias("f"),
+        F.max(F.struct("sequence_number", "dsta_id")).alias("l"),
+        F.count(F.lit(1)).cast("bigint").alias("liczba_przystankow"))
+    u = u.select("ophe_id", "dihe_id", "dis_seq_od", "dis_seq_do", F.col("f.dsta_id").alias("dsta_od"),
+                 F.col("l.dsta_id").alias("dsta_do"), "liczba_przystankow")
+    dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
+    causes = bounded_broadcast(s.def_disruption_cause.select("code", "description"))
+    st = bounded_broadcast(s.def_station.select("id", "name"))
+    t = (u.join(dh, "dihe_id", "inner")
+         .join(causes.select(F.col("code").alias("_ck"), F.col("description").alias("_dk")),
+               F.col("disruption_type_code") == F.col("_ck"), "left")
+         .join(causes.select(F.col("code").alias("_cm"), F.col("description").alias("_dm")),
+               F.trim(F.col("message")) == F.col("_cm"), "left")
+         .join(st.select(F.col("id").alias("dsta_od"), F.col("name").alias("stacja_od")), "dsta_od", "left")
+         .join(st.select(F.col("id").alias("dsta_do"), F.col("name").alias("stacja_do")), "dsta_do", "left"))
+    txt = F.coalesce("_dk", "_dm", "message", "disruption_type_code")
+    opis = F.replace(F.replace(txt, F.lit("{stacja_poczatkowa}"), F.coalesce("stacja_od", F.lit(""))),
+                     F.lit("{stacja_koncowa}"), F.coalesce("stacja_do", F.lit("")))
+    t = t.withColumn("opis", opis)
+    best = t.groupBy("ophe_id", "dsta_od", "dsta_do", "opis").agg(F.max("dihe_id").alias("dihe_id"))
+    t = t.join(best, ["ophe_id", "dsta_od", "dsta_do", "opis", "dihe_id"], "left_semi")
+    return t.select("ophe_id", "dihe_id", "dsta_od", "stacja_od", "dsta_do", "stacja_do", "dis_seq_od", "dis_seq_do",
+                    "liczba_przystankow", "opis")
+
+
+def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
+    """H21 model plan per month, route and category, then its stops.
+
+    Candidates: plans of runs in the month whose version of the train type
+    has the category; the plan's ends are the route. The plan with the most
+    stops with an arrival wins (ties: lowest schedule id, then order id),
+    chosen by one grouped max over a struct (map-side partial aggregation,
+    no month x route x category cross join).
+    """
+    m0 = as_of.year * 12 + as_of.month - 1 - (months - 1)
+    first_month = dt.date(m0 // 12, m0 % 12 + 1, 1)
+    nxt = (as_of.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(first_month),
+                                                                   F.lit(nxt - dt.timedelta(days=1)))).select(*HDR)
+    sh = s.schedule_header.select(*HDR, "category_code", "carrier_code")
+    tt = train_types(s).select("category_code", "carrier_code", "valid_from", "valid_to", "category_name")
+    r = (oh.join(sh, HDR, "inner").join(tt, ["category_code", "carrier_code"], "inner")
+         .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
+         .select((F.year("operating_date") * 100 + F.month("operating_date")).cast("bigint").alias("month"),
+                 "schedule_id", "order_id", "category_name").distinct())
+    sd = s.schedule_details
+    plans = sd.groupBy("schedule_id", "order_id").agg(
+        F.min(F.struct("order_number", "dsta_id")).alias("f"), F.max(F.struct("order_number", "dsta_id")).alias("l"),
+        F.count_distinct(F.when(F.col("arrival_time").isNotNull(), F.col("order_number"))).alias("n_arr"))
+    plans = plans.select("schedule_id", "order_id", F.col("f.dsta_id").alias("from_station_id"),
+                         F.col("l.dsta_id").alias("to_station_id"), "n_arr")
+    cand = r.join(plans, ["schedule_id", "order_id"], "inner")
+    key = ["month", "from_station_id", "to_station_id", "category_name"]
+    best = cand.groupBy(*key).agg(F.max(F.struct(
+        "n_arr", (-F.col("schedule_id")).alias("ns"), (-F.col("order_id")).alias("no"))).alias("b"))
+    best = best.select(*key, (-F.col("b.ns")).alias("schedule_id"), (-F.col("b.no")).alias("order_id"))
+    ends = plans.select("schedule_id", "order_id")
+    stops = sd.join(best.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"], "left_semi")
+    pe = stops.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("_mn"),
+                                                      F.max("order_number").alias("_mx"))
+    st = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa")))
+    x = stops.join(pe, ["schedule_id", "order_id"]).join(st, "dsta_id", "inner")
+    x = x.select("schedule_id", "order_id", F.col("order_number").alias("stacja_kolejnosc"),
+                 F.col("dsta_id").alias("stacja_id"), "stacja_nazwa", "arrival_time",
+                 F.when(F.col("order_number") == F.col("_mn"), 1).otherwise(0).alias("czy_start"),
+                 F.when(F.col("order_number") == F.col("_mx"), 1).otherwise(0).alias("czy_koniec"))
+    x = x.filter(F.col("arrival_time").isNotNull() | (F.col("czy_start") == 1))
+    _ = ends
+    return best.join(x, ["schedule_id", "order_id"], "inner").select(
+        *key, "stacja_kolejnosc", "stacja_id", "stacja_nazwa", "czy_start", "czy_koniec")

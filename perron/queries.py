@@ -740,3 +740,13 @@ def h24(spark, sf_dir):
 @query("h18_completed_runs")
 def h18(spark, sf_dir):
     return SR.completed_runs(_silver(spark, sf_dir), AS_OF, STATION_ID)
+
+
+@query("h19_run_disruptions")
+def h19(spark, sf_dir):
+    return SR.run_disruptions(_silver(spark, sf_dir), AS_OF, STATION_ID)
+
+
+@query("h21_model_plan_stops")
+def h21(spark, sf_dir):
+    return SR.model_plan_stops(_silver(spark, sf_dir), AS_OF)
