@@ -386,7 +386,6 @@ def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
     best = cand.groupBy(*key).agg(F.max(F.struct(
         "n_arr", (-F.col("schedule_id")).alias("ns"), (-F.col("order_id")).alias("no"))).alias("b"))
     best = best.select(*key, (-F.col("b.ns")).alias("schedule_id"), (-F.col("b.no")).alias("order_id"))
-    ends = plans.select("schedule_id", "order_id")
     stops = sd.join(best.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"], "left_semi")
     pe = stops.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("_mn"),
                                                       F.max("order_number").alias("_mx"))
@@ -397,6 +396,142 @@ def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
                  F.when(F.col("order_number") == F.col("_mn"), 1).otherwise(0).alias("czy_start"),
                  F.when(F.col("order_number") == F.col("_mx"), 1).otherwise(0).alias("czy_koniec"))
     x = x.filter(F.col("arrival_time").isNotNull() | (F.col("czy_start") == 1))
-    _ = ends
     return best.join(x, ["schedule_id", "order_id"], "inner").select(
         *key, "stacja_kolejnosc", "stacja_id", "stacja_nazwa", "czy_start", "czy_koniec")
+
+
+# Fixed value: a platform / track is kept only when it is digits plus an optional letter.
+PLATFORM_RE = r"(?i)^\d+[a-z]?$"
+
+
+def _opt(df: DataFrame, name: str) -> F.Column:
+    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+
+
+def _plan_secs(sd: DataFrame) -> DataFrame:
+    return sd.select("*", _clock_day_minutes("arrival_time", "arrival_day").alias("arr_sec"),
+                     _clock_day_minutes("departure_time", "departure_day").alias("dep_sec"),
+                     _opt(sd, "departure_category").alias("_dep_cat"), _opt(sd, "arrival_category").alias("_arr_cat"),
+                     _opt(sd, "departure_train_no").alias("_dep_no"), _opt(sd, "arrival_train_no").alias("_arr_no"))
+
+
+def _departing_calls(s: Silver, today: dt.date, station_id) -> tuple[DataFrame, DataFrame]:
+    kurs = s.schedule_header.filter((F.col("is_active") == 1)
+                                    & (F.col("operating_date") >= F.lit(today - dt.timedelta(days=1))))
+    sdx = _plan_secs(s.schedule_details)
+    wro = sdx.filter((F.col("dsta_id") == station_id) & F.col("dep_sec").isNotNull()
+                     & (F.coalesce(F.col("dstty_id"), F.lit(0)) != 2)).select(
+        "schedule_id", "order_id", F.col("order_number").alias("wro_order"), F.col("dep_sec").alias("wro_dep_sec"),
+        F.col("departure_platform").alias("wro_peron_raw"), F.col("departure_track").alias("wro_tor_raw"),
+        F.col("_dep_cat").alias("wro_kategoria"), F.col("_dep_no").alias("wro_nr_pociagu"))
+    return kurs.join(wro, ["schedule_id", "order_id"], "inner"), sdx
+
+
+def _keep_platform(c: F.Column) -> F.Column:
+    return F.when(c.rlike(PLATFORM_RE), c)
+
+
+def timetable_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
+    """H16 each later stop of active runs departing from the station today or later.
+
+    The station row must have a departure and not be an alighting-only stop;
+    target rows have a higher order number and an arrival (equi join on the
+    plan key + an inequality residual, bounded by the stops of one plan).
+    """
+    kw, sdx = _departing_calls(s, today, station_id)
+    kw = kw.filter(F.col("operating_date").cast("timestamp") + F.make_dt_interval(secs=F.col("wro_dep_sec"))
+                   >= F.lit(today).cast("timestamp"))
+    tgt = sdx.filter(F.col("arr_sec").isNotNull()).select(
+        "schedule_id", "order_id", F.col("order_number").alias("stacja_kolejnosc"), F.col("dsta_id").alias("stacja_id"),
+        "arr_sec", "dep_sec", "arrival_platform", "departure_platform", "arrival_track", "departure_track", "dstty_id")
+    x = kw.alias("k").join(tgt.alias("t"), (F.col("k.schedule_id") == F.col("t.schedule_id"))
+                           & (F.col("k.order_id") == F.col("t.order_id"))
+                           & (F.col("t.stacja_kolejnosc") > F.col("k.wro_order")), "inner")
+    x = x.select("k.*", "t.stacja_kolejnosc", "t.stacja_id", "t.arr_sec", "t.dep_sec", "t.arrival_platform",
+                 "t.departure_platform", "t.arrival_track", "t.departure_track", "t.dstty_id")
+    st = bounded_broadcast(s.def_station.select("id", "name"))
+    ends = plan_ends(s.schedule_details.join(kw.select("schedule_id", "order_id").distinct(),
+                                             ["schedule_id", "order_id"], "left_semi"))
+    x = (x.join(st.select(F.col("id").alias("stacja_id"), F.col("name").alias("stacja_nazwa")), "stacja_id", "inner")
+         .join(ends.select("schedule_id", "order_id", "from_station_id", "to_station_id"),
+               ["schedule_id", "order_id"], "inner")
+         .join(st.select(F.col("id").alias("from_station_id"), F.col("name").alias("relacja_od")), "from_station_id",
+               "left")
+         .join(st.select(F.col("id").alias("to_station_id"), F.col("name").alias("relacja_do")), "to_station_id",
+               "left"))
+    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("stacja_typ_postoju_opis")))
+    x = x.join(stt, "dstty_id", "left").withColumn("kategoria", F.coalesce("wro_kategoria", "category_code"))
+    cat = bounded_broadcast(s.def_commercial_category.select(
+        F.col("code").alias("kategoria"), F.col("carrier_code").alias("carrier_code"),
+        F.col("name").alias("kategoria_nazwa")))
+    car = bounded_broadcast(s.def_carrier.select(F.col("code").alias("carrier_code"), "name", "valid_from", "valid_to"))
+    cn = (x.select("operating_date", "carrier_code").distinct().join(car, "carrier_code")
+          .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
+          .groupBy("operating_date", "carrier_code")
+          .agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
+    x = x.join(cat, ["kategoria", "carrier_code"], "left").join(cn, ["operating_date", "carrier_code"], "left")
+    base = date_epoch_seconds(F.col("operating_date"))
+    mins = F.round((F.col("arr_sec") - F.col("wro_dep_sec")) / 60.0).cast("bigint")
+    plat = F.coalesce("arrival_platform", "departure_platform")
+    track = F.coalesce("arrival_track", "departure_track")
+    return x.select(
+        F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id", "order_id",
+        "train_order_id", F.col("carrier_code").alias("przewoznik"), "przewoznik_nazwa", "kategoria",
+        "kategoria_nazwa", F.coalesce("wro_nr_pociagu", "national_number").alias("nr_pociagu"),
+        F.col("name").alias("nazwa_pociagu"), "relacja_od", "relacja_do",
+        F.date_format(F.timestamp_seconds(base + F.col("wro_dep_sec")), "yyyy-MM-dd").alias("dzien_odjazdu"),
+        F.date_format(F.timestamp_seconds(base + F.col("wro_dep_sec")), TS).alias("wro_odjazd"),
+        _keep_platform(F.col("wro_peron_raw")).alias("wro_peron"), _keep_platform(F.col("wro_tor_raw")).alias("wro_tor"),
+        "stacja_kolejnosc", "stacja_id", "stacja_nazwa",
+        F.date_format(F.timestamp_seconds(base + F.col("arr_sec")), TS).alias("stacja_przyjazd"),
+        F.date_format(F.timestamp_seconds(base + F.col("dep_sec")), TS).alias("stacja_odjazd"),
+        _keep_platform(plat).alias("stacja_peron"), _keep_platform(track).alias("stacja_tor"),
+        F.col("dstty_id").alias("stacja_typ_postoju_id"), "stacja_typ_postoju_opis",
+        F.when(F.col("dep_sec").isNull(), 1).otherwise(0).alias("czy_stacja_koncowa"),
+        mins.alias("czas_przejazdu_min"),
+        F.concat((mins / 60).cast("bigint").cast("string"), F.lit("h:"),
+                 F.lpad((mins % 60).cast("string"), 2, "0"), F.lit("min")).alias("czas_przejazdu"),
+    )
+
+
+def route_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
+    """H17 stops of active runs from the station (inclusive) to the end."""
+    kw, sdx = _departing_calls(s, today, station_id)
+    tgt = sdx.select("schedule_id", "order_id", F.col("order_number").alias("stacja_kolejnosc"),
+                     F.col("dsta_id").alias("stacja_id"), "arr_sec", "dep_sec", "arrival_platform",
+                     "departure_platform", "arrival_track", "departure_track", "dstty_id", "_dep_cat", "_arr_cat",
+                     "_dep_no", "_arr_no")
+    x = kw.alias("k").join(tgt.alias("t"), (F.col("k.schedule_id") == F.col("t.schedule_id"))
+                           & (F.col("k.order_id") == F.col("t.order_id"))
+                           & (F.col("t.stacja_kolejnosc") >= F.col("k.wro_order"))
+                           & (F.col("t.arr_sec").isNotNull() | (F.col("t.stacja_kolejnosc") == F.col("k.wro_order"))),
+                           "inner")
+    x = x.select(
+        F.col("k.operating_date").alias("operating_date"), F.col("k.schedule_id").alias("schedule_id"),
+        F.col("k.order_id").alias("order_id"), F.col("k.train_order_id").alias("train_order_id"),
+        F.col("k.carrier_code").alias("carrier_code"), F.col("k.name").alias("nazwa_pociagu"),
+        F.col("k.wro_order").alias("wro_order"), *[F.col(f"t.{c}").alias(c) for c in tgt.columns
+                                                   if c not in ("schedule_id", "order_id")])
+    st = bounded_broadcast(s.def_station.select(F.col("id").alias("stacja_id"), F.col("name").alias("stacja_nazwa")))
+    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("typ_postoju_opis")))
+    x = x.join(st, "stacja_id", "inner").join(stt, "dstty_id", "left").withColumn(
+        "kategoria", F.coalesce("_dep_cat", "_arr_cat"))
+    cat = bounded_broadcast(s.def_commercial_category.select(
+        F.col("code").alias("kategoria"), "carrier_code", F.col("name").alias("kategoria_nazwa")))
+    x = x.join(cat, ["kategoria", "carrier_code"], "left")
+    base = date_epoch_seconds(F.col("operating_date"))
+    plat = F.coalesce("arrival_platform", "departure_platform")
+    track = F.coalesce("arrival_track", "departure_track")
+    return x.select(
+        F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id", "order_id",
+        "train_order_id", F.col("carrier_code").alias("przewoznik"), "nazwa_pociagu", "stacja_kolejnosc",
+        "stacja_id", "stacja_nazwa",
+        F.when(F.col("stacja_kolejnosc") == F.col("wro_order"), 1).otherwise(0).alias("czy_wroclaw"),
+        F.when(F.col("dep_sec").isNull(), 1).otherwise(0).alias("czy_stacja_koncowa"),
+        F.date_format(F.timestamp_seconds(base + F.col("arr_sec")), TS).alias("przyjazd"),
+        F.date_format(F.timestamp_seconds(base + F.col("dep_sec")), TS).alias("odjazd"),
+        _keep_platform(plat).alias("peron"), _keep_platform(track).alias("tor"), "kategoria", "kategoria_nazwa",
+        F.coalesce("_dep_no", "_arr_no").alias("nr_pociagu"), F.col("dstty_id").alias("typ_postoju_id"),
+        "typ_postoju_opis")

@@ -7,6 +7,7 @@ whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -750,3 +751,16 @@ def h19(spark, sf_dir):
 @query("h21_model_plan_stops")
 def h21(spark, sf_dir):
     return SR.model_plan_stops(_silver(spark, sf_dir), AS_OF)
+
+
+LIVE_DAY = dt.date(2001, 7, 27)   # the boards and timetables look at 2001-07-27 (future runs exist)
+
+
+@query("h16_timetable_from_station")
+def h16(spark, sf_dir):
+    return SR.timetable_from_station(_silver(spark, sf_dir), LIVE_DAY, STATION_ID)
+
+
+@query("h17_route_from_station")
+def h17(spark, sf_dir):
+    return SR.route_from_station(_silver(spark, sf_dir), LIVE_DAY, STATION_ID)
