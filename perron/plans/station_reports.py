@@ -535,3 +535,98 @@ def route_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
         _keep_platform(plat).alias("peron"), _keep_platform(track).alias("tor"), "kategoria", "kategoria_nazwa",
         F.coalesce("_dep_no", "_arr_no").alias("nr_pociagu"), F.col("dstty_id").alias("typ_postoju_id"),
         "typ_postoju_opis")
+
+
+def run_stops(s: Silver, as_of: dt.date, station_id) -> DataFrame:
+    """H20 completed run x plan stop with plan, execution and disrupted-section flags.
+
+    * one executed entry per planned position (the latest actual sequence);
+    * disruption sections (H19) mapped onto plan positions with a two-value
+      IN join written as an equi join on the exploded pair of stations;
+    * the section is expanded onto the stops between its ends (equi join on
+      the plan key plus a range residual, bounded by one plan's stops);
+    * the start text joins ``opis [od → do]`` lines ordered by section end
+      and text (a sorted collected list per run position).
+    """
+    lo, hi = as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1)
+    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+        F.col("id").alias("ophe_id"), *HDR, "train_status")
+    sh = s.schedule_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+        *HDR, F.col("carrier_code").alias("przewoznik"), F.col("name").alias("nazwa_pociagu"))
+    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
+    kurs = oh.join(sh, HDR, "inner").join(at_st, ["schedule_id", "order_id"], "left_semi")
+    sd = s.schedule_details.join(kurs.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"],
+                                 "left_semi")
+    ends = sd.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("start_seq"),
+                                                     F.max("order_number").alias("koniec_seq"))
+    sd = sd.join(ends, ["schedule_id", "order_id"])
+    od = (s.operation_details.join(kurs.select("ophe_id"), "ophe_id", "left_semi")
+          .groupBy("ophe_id", "planned_sequence").agg(F.max(F.struct(
+              "actual_sequence", "actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
+              "is_confirmed", "is_cancelled")).alias("o"))
+          .select("ophe_id", F.col("planned_sequence").alias("order_number"), "o.*"))
+    # disruption sections -> plan positions
+    u = run_disruptions(s, as_of, station_id).join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id")
+    pair = u.select("ophe_id", "dihe_id", "schedule_id", "order_id", "dsta_od", "dsta_do", "stacja_od", "stacja_do",
+                    "opis", F.explode(F.array_distinct(F.array("dsta_od", "dsta_do"))).alias("dsta_id"))
+    p = sd.select("schedule_id", "order_id", "dsta_id", "order_number")
+    pos = pair.join(p, ["schedule_id", "order_id", "dsta_id"], "inner").groupBy(
+        "ophe_id", "dihe_id", "schedule_id", "order_id", "stacja_od", "stacja_do", "opis").agg(
+        F.min(F.when(F.col("dsta_id") == F.col("dsta_od"), F.col("order_number"))).alias("pos_od"),
+        F.max(F.when(F.col("dsta_id") == F.col("dsta_do"), F.col("order_number"))).alias("pos_do"))
+    ut = pos.filter(F.col("pos_od").isNotNull() & F.col("pos_do").isNotNull()).select(
+        "ophe_id", "schedule_id", "order_id", "stacja_od", "stacja_do", "opis",
+        F.least("pos_od", "pos_do").alias("seq_od"), F.greatest("pos_od", "pos_do").alias("seq_do"))
+    uu, pp = ut.alias("u"), p.alias("p")
+    flag = (uu.join(pp, (F.col("u.schedule_id") == F.col("p.schedule_id")) & (F.col("u.order_id") == F.col("p.order_id"))
+                    & F.col("p.order_number").between(F.col("u.seq_od"), F.col("u.seq_do")), "inner")
+            .groupBy(F.col("u.ophe_id").alias("ophe_id"), F.col("p.order_number").alias("order_number"))
+            .agg(F.lit(1).alias("czy_stacja_utrudniona"),
+                 F.max(F.when(F.col("p.order_number") < F.col("u.seq_do"), 1).otherwise(0))
+                 .alias("czy_odcinek_utrudniony")))
+    line = F.concat_ws("", F.col("opis"), F.lit(" ["), F.col("stacja_od"), F.lit(" → "), F.col("stacja_do"),
+                       F.lit("]"))
+    start = ut.groupBy("ophe_id", F.col("seq_od").alias("order_number")).agg(
+        F.count(F.lit(1)).alias("liczba_utrudnien_start"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq_do", "opis", line.alias("t")))),
+                                 lambda e: e["t"]), "\n").alias("utrudnienia_start_txt"))
+    x = kurs.join(sd.filter(F.col("arrival_time").isNotNull() | (F.col("order_number") == F.col("start_seq"))),
+                  ["schedule_id", "order_id"], "inner")
+    x = x.join(od, ["ophe_id", "order_number"], "left").withColumn("_meas", F.col("actual_sequence").isNotNull())
+    st = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa")))
+    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("typ_postoju_opis")))
+    x = (x.join(st, "dsta_id", "left").join(stt, "dstty_id", "left")
+         .join(flag, ["ophe_id", "order_number"], "left").join(start, ["ophe_id", "order_number"], "left"))
+    kat = F.coalesce(_opt(x, "departure_category"), _opt(x, "arrival_category"))
+    cat = bounded_broadcast(s.def_commercial_category.select(
+        F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
+        F.col("name").alias("kategoria_nazwa")))
+    x = x.withColumn("kategoria", kat).join(cat, ["kategoria", "przewoznik"], "left")
+    base = date_epoch_seconds(F.col("operating_date"))
+    plat = F.coalesce("arrival_platform", "departure_platform")
+    track = F.coalesce("arrival_track", "departure_track")
+    return x.select(
+        F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "ophe_id", "schedule_id", "order_id",
+        "train_order_id", "train_status", "przewoznik", "nazwa_pociagu",
+        F.col("order_number").alias("stacja_kolejnosc"), F.col("dsta_id").alias("stacja_id"), "stacja_nazwa",
+        F.when(F.col("dsta_id") == station_id, 1).otherwise(0).alias("czy_wroclaw"),
+        F.when(F.col("order_number") == F.col("start_seq"), 1).otherwise(0).alias("czy_start"),
+        F.when(F.col("order_number") == F.col("koniec_seq"), 1).otherwise(0).alias("czy_koniec"),
+        F.date_format(F.timestamp_seconds(base + _clock_day_minutes("arrival_time", "arrival_day")), TS)
+        .alias("plan_przyjazd"),
+        F.date_format(F.timestamp_seconds(base + _clock_day_minutes("departure_time", "departure_day")), TS)
+        .alias("plan_odjazd"),
+        F.date_format("actual_arrival", TS).alias("rz_przyjazd"), F.date_format("actual_departure", TS).alias("rz_odjazd"),
+        F.col("arrival_delay_min").alias("opoznienie_przyjazd_min"),
+        F.col("departure_delay_min").alias("opoznienie_odjazd_min"),
+        F.when(F.col("is_confirmed"), 1).otherwise(0).alias("czy_potwierdzony"),
+        F.when(F.col("is_cancelled"), 1).otherwise(0).alias("czy_odwolany"),
+        F.when(~F.col("_meas"), 1).otherwise(0).alias("czy_brak_pomiaru"),
+        _keep_platform(plat).alias("peron"), _keep_platform(track).alias("tor"), "kategoria", "kategoria_nazwa",
+        F.coalesce(_opt(x, "departure_train_no"), _opt(x, "arrival_train_no")).alias("nr_pociagu"),
+        F.col("dstty_id").alias("typ_postoju_id"), "typ_postoju_opis",
+        F.coalesce("czy_stacja_utrudniona", F.lit(0)).alias("czy_stacja_utrudniona"),
+        F.coalesce("czy_odcinek_utrudniony", F.lit(0)).alias("czy_odcinek_utrudniony"),
+        F.coalesce("liczba_utrudnien_start", F.lit(0)).cast("bigint").alias("liczba_utrudnien_start"),
+        "utrudnienia_start_txt")

@@ -764,3 +764,8 @@ def h16(spark, sf_dir):
 @query("h17_route_from_station")
 def h17(spark, sf_dir):
     return SR.route_from_station(_silver(spark, sf_dir), LIVE_DAY, STATION_ID)
+
+
+@query("h20_run_stops")
+def h20(spark, sf_dir):
+    return SR.run_stops(_silver(spark, sf_dir), AS_OF, STATION_ID)
