@@ -102,6 +102,7 @@ y AS (select operating_date, cast(2001 as bigint) as schedule_id, l_orderkey as
                              + (l_partkey % 24) * 3600 + cast(l_quantity as integer) * 60
                              + coalesce(delay, 0) * 60 * (v - 1)) * 1000000) as act,
              tax_pct, case when v = 2 then delay end as arrival_delay_min,
+             case when v = 2 then delay end as departure_delay_min,
              l_linestatus = 'F' as is_confirmed, l_returnflag = 'R' as is_cancelled,
              cast(actual_sequence as integer) as actual_sequence,
              make_timestamp((cast(epoch(operating_date) as bigint) + v * 6 * 3600) * 1000000) as snapshot_ts
@@ -136,3 +137,116 @@ SQL = {
     "d14_operation_tracking_log": D14_SQL,
     "e12_latest_versions": E12_SQL,
 }
+
+
+def _local(sec_ts: str) -> str:
+    return f"timezone('Europe/Warsaw', timezone('UTC', {sec_ts}))"
+
+
+_BOARD = _TRACK.replace(cte("fx_run", "fx_stop_raw"), cte("fx_run", "fx_stop_raw", "fx_disr0", "fx_plan",
+                                                         "fx_station", "fx_cause") , 1) + _DIS.replace(
+    cte("fx_disr0"), "", 1) + """,
+e2 AS (select ev.*, case kind when 'changed' then 'C' else 'E' end as k2 from ev),
+o AS (select e2.*,
+             lag(change_hash) over w as prev_hash, lag(k2) over w as prev_kind,
+             last_value(k2) over (w rows between unbounded preceding and unbounded following) as last_kind
+      from e2 window w as (partition by operating_date, schedule_id, train_order_id, dsta_id, sequence_number
+                           order by snapshot_day, k2)),
+ins AS (select o.*, row_number() over (partition by operating_date, schedule_id, train_order_id, dsta_id,
+                                       sequence_number order by snapshot_day desc) as newest
+        from o where k2 = 'C' and change_hash is distinct from (case when prev_kind is null then null
+                                                                     when prev_kind = 'C' then prev_hash end)),
+dlog AS (select operating_date, schedule_id, train_order_id, dsta_id, sequence_number, order_id, disruption_type_code,
+                message, newest = 1 and last_kind = 'C' as is_active,
+                cast(snapshot_day as timestamp) + interval 6 hour as snapshot_ts from ins)"""
+
+
+_BOARD_COMMON = _BOARD + f""",
+ends AS (select schedule_id, order_id, min(order_number) as first_seq, max(order_number) as last_seq,
+                arg_min(dsta_id, order_number) as sid_start, arg_max(dsta_id, order_number) as sid_end
+         from fx_plan group by schedule_id, order_id),
+ends2 AS (select e.*, a.name as station_start, b.name as station_end from ends e
+          left join fx_station a on a.id = e.sid_start left join fx_station b on b.id = e.sid_end),
+dt AS (select d.schedule_id, d.order_id, d.operating_date, d.dsta_id, d.snapshot_ts,
+              replace(replace(coalesce(dc.description, d.message, d.disruption_type_code),
+                              '{{stacja_poczatkowa}}', coalesce(e.station_start, '—')),
+                      '{{stacja_koncowa}}', coalesce(e.station_end, '—')) as t
+       from dlog d left join fx_cause dc on lower(dc.code) = lower(coalesce(d.message, d.disruption_type_code))
+       left join ends2 e on e.schedule_id = d.schedule_id and e.order_id = d.order_id
+       where d.is_active and {_local('d.snapshot_ts')} >= timestamp '2001-07-26 12:00:00'),
+disr AS (select schedule_id, order_id, operating_date, dsta_id,
+                string_agg(t, ' | ' order by snapshot_ts, t) as utrudnienia
+         from dt where t is not null group by schedule_id, order_id, operating_date, dsta_id)"""
+
+
+def _board_rank(col: str) -> str:
+    return f"""lr AS (select * from (select logd.*, row_number() over (partition by operating_date, train_order_id, dsta_id
+                                     order by snapshot_ts desc, actual_sequence desc) as rn3
+                      from logd where dsta_id = 3 and operating_date >= date '2001-07-26'
+                       and {_local(col)} between timestamp '2001-07-27 11:55:00' and timestamp '2001-07-27 20:00:00')
+       where rn3 = 1)"""
+
+
+_NOW = "timestamp '2001-07-27 12:00:00'"
+_BOARD_TAIL = """
+from lr l
+join fx_run r on r.operating_date = l.operating_date and r.schedule_id = l.schedule_id and r.order_id = l.order_id
+             and r.train_order_id = l.train_order_id
+join fx_plan sd on sd.schedule_id = l.schedule_id and sd.order_id = l.order_id and sd.dsta_id = l.dsta_id
+left join ends2 e on e.schedule_id = sd.schedule_id and e.order_id = sd.order_id
+left join vias v on v.schedule_id = sd.schedule_id and v.order_id = sd.order_id
+left join disr dr on dr.operating_date = l.operating_date and dr.schedule_id = l.schedule_id
+                 and dr.order_id = l.order_id and dr.dsta_id = l.dsta_id"""
+
+_COMMON_COLS = """r.carrier_code as przewoznik, r.category_code as kategoria,
+       'Pociag ' || cast(r.order_id as varchar) as nazwa_pociagu, cast(r.order_id as varchar) as nr_pociagu,
+       e.station_start as stacja_poczatkowa, e.station_end as stacja_koncowa, v.stacje_posrednie,
+       sd.departure_platform as peron, sd.departure_track as tor"""
+
+H14_SQL = _BOARD_COMMON + f""",
+{_board_rank('l2.actual_departure').replace('logd where', 'logd l2 where').replace('select logd.*', 'select l2.*')},
+vias AS (select sd.schedule_id, sd.order_id, string_agg(st.name, ', ' order by sd2.order_number) as stacje_posrednie
+         from fx_plan sd join fx_plan sd2 on sd2.schedule_id = sd.schedule_id and sd2.order_id = sd.order_id
+                                          and sd2.order_number > sd.order_number
+         join ends e on e.schedule_id = sd.schedule_id and e.order_id = sd.order_id and sd2.order_number < e.last_seq
+         left join fx_station st on st.id = sd2.dsta_id
+         where sd.dsta_id = 3 group by sd.schedule_id, sd.order_id)
+select strftime(l.operating_date + coalesce(sd.departure_day, 0), '%Y-%m-%d') as planowy_odjazd_dzien,
+       sd.departure_time as planowy_odjazd_godzina, sd.arrival_time as planowy_przyjazd_godzina,
+       {_COMMON_COLS},
+       l.departure_delay_min as opoznienie_min,
+       case when l.is_cancelled then 'ODWOŁANY' when {_local('l.actual_departure')} <= {_NOW} then 'ODJECHAŁ'
+            when l.departure_delay_min > 5 then 'OPÓŹNIONY' else 'PLANOWY' end as status,
+       cast(round((epoch({_local('l.actual_departure')}) - epoch({_NOW})) / 60.0) as bigint) as do_odjazdu_min,
+       strftime({_local('l.actual_departure')}, {TS}) as faktyczny_odjazd, dr.utrudnienia
+{_BOARD_TAIL}
+where sd.departure_time is not null"""
+
+H15_SQL = _BOARD_COMMON + f""",
+{_board_rank('l2.actual_arrival').replace('logd where', 'logd l2 where').replace('select logd.*', 'select l2.*')},
+vias AS (select sd.schedule_id, sd.order_id, string_agg(st.name, ', ' order by sd2.order_number) as stacje_posrednie
+         from fx_plan sd join fx_plan sd2 on sd2.schedule_id = sd.schedule_id and sd2.order_id = sd.order_id
+                                          and sd2.order_number < sd.order_number
+         join ends e on e.schedule_id = sd.schedule_id and e.order_id = sd.order_id and sd2.order_number > e.first_seq
+         left join fx_station st on st.id = sd2.dsta_id
+         where sd.dsta_id = 3 group by sd.schedule_id, sd.order_id)
+select strftime(l.operating_date + coalesce(sd.arrival_day, 0), '%Y-%m-%d') as planowy_przyjazd_dzien,
+       sd.arrival_time as planowy_przyjazd_godzina,
+       {_COMMON_COLS},
+       l.arrival_delay_min as opoznienie_przyjazd_min,
+       case when l.is_cancelled then 'ODWOŁANY' when {_local('l.actual_departure')} <= {_NOW} then 'ODJECHAŁ'
+            when {_local('l.actual_arrival')} <= {_NOW} then 'PRZYJECHAŁ'
+            when l.arrival_delay_min > 5 then 'OPÓŹNIONY' else 'PLANOWY' end as status,
+       cast(round((epoch({_local('l.actual_arrival')}) - epoch({_NOW})) / 60.0) as bigint) as do_przyjazdu_min,
+       strftime({_local('l.actual_arrival')}, {TS}) as faktyczny_przyjazd,
+       case when e.sid_end = l.dsta_id then null
+            else strftime(l.operating_date + coalesce(sd.departure_day, 0), '%Y-%m-%d') end as planowy_odjazd_dzien,
+       case when e.sid_end = l.dsta_id then null else sd.departure_time end as planowy_odjazd_godzina,
+       l.departure_delay_min as opoznienie_odjazdu_min,
+       cast(round((epoch({_local('l.actual_departure')}) - epoch({_NOW})) / 60.0) as bigint) as do_odjazdu_min,
+       strftime({_local('l.actual_departure')}, {TS}) as faktyczny_odjazd, dr.utrudnienia
+{_BOARD_TAIL}
+where sd.arrival_time is not null"""
+
+SQL["h14_departures_board"] = H14_SQL
+SQL["h15_arrivals_board"] = H15_SQL

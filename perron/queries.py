@@ -769,3 +769,27 @@ def h17(spark, sf_dir):
 @query("h20_run_stops")
 def h20(spark, sf_dir):
     return SR.run_stops(_silver(spark, sf_dir), AS_OF, STATION_ID)
+
+
+# ---- live boards (H14, H15) -----------------------------------------------------
+from perron.plans import boards as BD  # noqa: E402
+from perron.sources.fixtures import LIVE_AS_OF  # noqa: E402
+
+
+def _dis_log(spark, sf_dir):
+    ev = _dis_events(spark, sf_dir).withColumn(
+        "snapshot_ts", F.timestamp_seconds(F.unix_date("snapshot_day").cast("bigint") * 86400 + 6 * 3600))
+    return LV.scd2_apply(_empty(spark, DLOG_DDL), ev.filter(F.col("kind") == "changed"),
+                         ev.filter(F.col("kind") == "ended"))
+
+
+@query("h14_departures_board")
+def h14(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return BD.board(s, _track_log(spark, sf_dir), _dis_log(spark, sf_dir), LIVE_AS_OF, STATION_ID, "dep")
+
+
+@query("h15_arrivals_board")
+def h15(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return BD.board(s, _track_log(spark, sf_dir), _dis_log(spark, sf_dir), LIVE_AS_OF, STATION_ID, "arr")
