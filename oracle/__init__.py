@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["oracle.gold_sql", "oracle.reports_sql", "oracle.dims_traces_sql", "oracle.tableops_sql", "oracle.silver_sql", "oracle.live_sql", "oracle.files_sql", "oracle.station_sql"]
+_MODULES = ["oracle.gold_sql", "oracle.reports_sql", "oracle.dims_traces_sql", "oracle.tableops_sql", "oracle.silver_sql", "oracle.live_sql", "oracle.files_sql", "oracle.station_sql", "oracle.ops_sql"]
 
 
 def all_sql() -> dict[str, str]:

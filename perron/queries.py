@@ -793,3 +793,43 @@ def h14(spark, sf_dir):
 def h15(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return BD.board(s, _track_log(spark, sf_dir), _dis_log(spark, sf_dir), LIVE_AS_OF, STATION_ID, "arr")
+
+
+# ---- ops reports (H25, E7/E10/E11) ------------------------------------------------
+from perron.plans import ops_reports as OR  # noqa: E402
+
+
+def _event_steps(spark, sf_dir):
+    """A step log derived from events: one pipeline run per day, one step per event
+    type (start = first event, end = last event, FAILED when an error event occurred
+    in that step's window)."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return ev.groupBy(F.date_format("ts", "yyyyMMdd").cast("bigint").alias("pipeline_run_id"),
+                      F.col("event_type").alias("step_name")).agg(
+        F.min("ts").alias("start_time"), F.max("ts").alias("end_time"),
+        F.when(F.max((F.col("value") < 1).cast("int")) == 1, "FAILED").otherwise("SUCCESS").alias("status"))
+
+
+@query("h25_step_report")
+def h25(spark, sf_dir):
+    return OR.step_report(_event_steps(spark, sf_dir))
+
+
+@query("e11_heartbeat_log")
+def e11(spark, sf_dir):
+    """Heartbeat of the daily user-snapshot cycles: delta size (E3), outcome (E7),
+    lag of the snapshot stamp behind the cycle time (E10), newest 10,000 kept (E11)."""
+    s = LF.user_snapshots(_fx(spark, sf_dir))
+    diff = LV.diff_runs(s.withColumn("day", F.date_add("day", 1)), s, key=["user_id", "day"])
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(F.to_date("ts").alias("day")).agg(
+        F.max("ts").alias("last_ts"))
+    n = diff.groupBy("day").agg(F.count(F.lit(1)).alias("delta_count"))
+    cyc = ev.join(n, "day", "left").select(
+        F.date_format("day", "yyyyMMdd").alias("run_ts"),
+        F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("generated_at_text"),
+        F.date_add("day", 1).cast("timestamp").alias("now"),
+        F.coalesce("delta_count", F.lit(0)).alias("delta_count"), F.lit(False).alias("stale"),
+        F.lit(None).cast("string").alias("error"))
+    rows = OR.heartbeat_rows(cyc, "users")
+    empty = spark.createDataFrame([], rows.schema)
+    return LV.heartbeat_append(empty, rows)
