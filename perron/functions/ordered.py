@@ -49,3 +49,48 @@ def keep_first_min(order: Sequence, value) -> Column:
     v = F.col(value) if isinstance(value, str) else value
     fields = [c.alias(f"_o{i}") for i, c in enumerate(_cols(order))]
     return F.min(F.struct(*fields, v.isNull().alias("_n"), v.alias("_v")))["_v"]
+
+
+def _sort_fields(df, order) -> list[Column]:
+    """Ascending struct fields that order rows like ``order``.
+
+    ``order``: column names (ascending, nulls first) or ``(name, "desc")``
+    (descending, nulls last). Descending keys are negated, so only numeric,
+    date, timestamp and boolean columns can be descending.
+    """
+    from pyspark.sql import types as T
+    out: list[Column] = []
+    for i, o in enumerate(order):
+        name, direction = (o, "asc") if isinstance(o, str) else o
+        c = F.col(name)
+        if direction == "asc":
+            out.append(c.alias(f"_k{i}"))
+            continue
+        dt = df.schema[name].dataType
+        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+            neg = -F.unix_micros(c.cast("timestamp"))
+        elif isinstance(dt, T.DateType):
+            neg = -F.unix_date(c)
+        elif isinstance(dt, T.BooleanType):
+            neg = -c.cast("int")
+        elif isinstance(dt, T.NumericType):
+            neg = -c
+        else:
+            raise TypeError(f"descending order on {dt} is not supported: {name}")
+        out.append(c.isNull().alias(f"_n{i}"))
+        out.append(neg.alias(f"_k{i}"))
+    return out
+
+
+def top1(df, keys: Sequence[str], order) -> "DataFrame":  # noqa: F821
+    """The first row per ``keys`` under ``order`` (remaining ties: the smallest row).
+
+    One grouped ``min`` over a struct of (sort keys, whole row): it combines
+    partially on the map side, so a key with very many copies is reduced in
+    every input task before the shuffle -- unlike a ``row_number`` window,
+    which sends all copies of a key to one task and sorts them there.
+    """
+    keys = list(keys)
+    row = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
+    m = df.groupBy(*keys).agg(F.min(F.struct(*_sort_fields(df, order), row)).alias("_m"))
+    return m.select("_m._row.*")

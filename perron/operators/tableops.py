@@ -78,18 +78,18 @@ def audit_changes(changes: DataFrame, table_name: str, keys: Sequence[str], trac
 
 # ---- C2 / C3 / C4 / C9 -------------------------------------------------------
 
-def dedup_first(batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+def dedup_first(batch: DataFrame, keys: Sequence[str], order_by) -> DataFrame:
     """In-batch dedup: the first row per key by ``order_by`` (explicit, total order).
 
-    Uses a window partitioned by the key (rows of one key are few: copies
-    of the same record from several snapshots).
+    ``order_by``: names (ascending) or ``(name, "desc")``. Implemented as a
+    grouped struct minimum (``functions.ordered.top1``), which pre-reduces
+    the copies of a hot key in every input task before the shuffle.
     """
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return batch.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    from perron.functions.ordered import top1
+    return top1(batch, keys, order_by)
 
 
-def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-               order_by: Sequence[Column] | None = None) -> DataFrame:
+def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     """C2 insert-only-new: rows of the batch whose key is not stored yet (deduped)."""
     b = dedup_first(batch, keys, order_by) if order_by is not None else batch.dropDuplicates(list(keys))
     return b.join(target.select(*keys), list(keys), "left_anti")

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perron.functions.ordered import top1
 from perron.operators.joins import bounded_broadcast
 from perron.plans.silver_model import Silver
 
@@ -94,9 +95,8 @@ def board(s: Silver, ops_log: DataFrame, dis_log: DataFrame, now: str, station_i
     lg = ops_log.filter((F.col("dsta_id") == station_id)
                         & (F.col("operating_date") >= F.lit(today - dt.timedelta(days=1)))
                         & local.between(now_ts - F.expr("INTERVAL 5 MINUTES"), now_ts + F.expr("INTERVAL 8 HOURS")))
-    w = Window.partitionBy("operating_date", "train_order_id", "dsta_id").orderBy(
-        F.col("snapshot_ts").desc(), F.col("actual_sequence").desc())
-    lg = lg.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    lg = top1(lg, ["operating_date", "train_order_id", "dsta_id"],
+              [("snapshot_ts", "desc"), ("actual_sequence", "desc")])
     sh = s.schedule_header.select("operating_date", "schedule_id", "order_id", "train_order_id", "carrier_code",
                                   "category_code", "name", "national_number")
     sd = s.schedule_details.select("schedule_id", "order_id", "dsta_id", "arrival_time", "arrival_day",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perron.functions.canon import change_hash
+from perron.functions.ordered import top1
 
 RUN_KEY = ["train_order_id", "operating_date"]
 DIS_KEY = ["schedule_id", "order_id", "train_order_id", "operating_date", "dsta_id", "sequence_number"]
@@ -92,8 +93,7 @@ def flatten_disruptions(snapshot_rows: DataFrame, order_cols: Sequence[str],
     positions from ``posexplode``); ``snapshot_cols`` identify the snapshot
     when several are flattened at once.
     """
-    w = Window.partitionBy(*snapshot_cols, *DIS_KEY).orderBy(*[F.col(c).desc() for c in order_cols])
-    x = snapshot_rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    x = top1(snapshot_rows, [*snapshot_cols, *DIS_KEY], [(c, "desc") for c in order_cols])
     return x.withColumn("change_hash", change_hash({"disruptionTypeCode": F.col("disruption_type_code"),
                                                     "message": F.col("message")}))
 
@@ -132,8 +132,7 @@ def append_versions(log: DataFrame, batch: DataFrame) -> DataFrame:
     """
     key = ["operating_date", "train_order_id", "dsta_id", "change_hash"]
     b = batch.filter(F.col("change_hash").isNotNull())
-    w = Window.partitionBy(*key).orderBy(F.col("snapshot_ts").asc(), F.col("schedule_id"), F.col("order_id"))
-    b = b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    b = top1(b, key, ["snapshot_ts", "schedule_id", "order_id"])
     lk = log.select(*key)
     return b.alias("b").join(lk.alias("l"), _null_safe_join(key, "b", "l"), "left_anti")
 
@@ -231,6 +230,5 @@ def latest_versions(log: DataFrame, in_window: Column, tie: str = "id") -> DataF
     The window filter is applied before ranking (as the boards do), so the
     latest version is the latest one inside the time window.
     """
-    w = Window.partitionBy("operating_date", "train_order_id", "dsta_id").orderBy(
-        F.col("snapshot_ts").desc(), F.col(tie).desc())
-    return log.filter(in_window).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return top1(log.filter(in_window), ["operating_date", "train_order_id", "dsta_id"],
+                [("snapshot_ts", "desc"), (tie, "desc")])

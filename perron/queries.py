@@ -281,8 +281,7 @@ def c2(spark, sf_dir):
         F.col("l_linenumber").alias("order_number"), (F.col("l_suppkey") % 10).alias("dsta_id"),
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     new = C.insert_new(stored, raw, ["schedule_id", "order_id", "order_number"],
-                       order_by=[F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"),
-                                 F.col("l_extendedprice")])
+                       order_by=["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
     return new.select("schedule_id", "order_id", "order_number", "dsta_id")
 
 

@@ -35,11 +35,11 @@ def test_audit_only_changed_columns(spark):
 
 
 def test_insert_new_twice_gives_nothing_new(spark):
-    t = spark.createDataFrame([], "k int, v string")
-    b = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string")
-    new = C.insert_new(t, b, ["k"], order_by=[F.col("v").desc()])
-    assert _sorted(new) == [(1, "y"), (2, "z")]
-    assert C.insert_new(t.unionByName(new), b, ["k"], order_by=[F.col("v")]).count() == 0
+    t = spark.createDataFrame([], "k int, v string, w int")
+    b = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", None)], "k int, v string, w int")
+    new = C.insert_new(t, b, ["k"], order_by=[("w", "desc")])
+    assert _sorted(new) == [(1, "y", 2), (2, "z", None)]
+    assert C.insert_new(t.unionByName(new), b, ["k"], order_by=["v"]).count() == 0
 
 
 def test_sync_flag_window_and_empty_batch(spark):
