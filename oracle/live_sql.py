@@ -250,3 +250,25 @@ where sd.arrival_time is not null"""
 
 SQL["h14_departures_board"] = H14_SQL
 SQL["h15_arrivals_board"] = H15_SQL
+
+E1_CANON = canon(_str('actualArrival', f"strftime(actual_arrival, {ISO})"),
+                 _str('actualDeparture', f"strftime(actual_departure, {ISO})"),
+                 _num('actualSequenceNumber', 'actual_sequence'),
+                 _flag('isCancelled', 'is_cancelled'), _flag('isConfirmed', 'is_confirmed'),
+                 _str('trainStatus', 'train_status'))
+
+E1_SQL = _TRACK + f"""
+select strftime(snapshot_ts, {TS}) as snapshot_ts, train_order_id, actual_sequence, {E1_CANON} as canonical,
+       change_hash
+from h"""
+
+E2_SQL = cte("fx_run", "fx_stop") + f"""
+, pick AS (select r.order_id,
+                  coalesce(min(case when s.dsta_id = 3 then s.actual_sequence end), min(s.actual_sequence)) as q
+           from fx_run r left join fx_stop s on s.ophe_id = r.ophe_id group by r.order_id)
+select p.order_id, s.dsta_id as station_id, s.actual_sequence,
+       strftime(make_timestamp(s.arr_sec * 1000000), {ISO}) as actual_arrival
+from pick p left join fx_stop s on s.ophe_id = p.order_id and s.actual_sequence = p.q"""
+
+SQL["e1_change_hash"] = E1_SQL
+SQL["e2_station_projection"] = E2_SQL

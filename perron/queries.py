@@ -832,3 +832,51 @@ def e11(spark, sf_dir):
     rows = OR.heartbeat_rows(cyc, "users")
     empty = spark.createDataFrame([], rows.schema)
     return LV.heartbeat_append(empty, rows)
+
+
+# ---- fact sub-operators and live helpers as own queries (G4, G5-G9, E1, E2) ----------
+
+
+@query("g4_type_version")
+def g4(spark, sf_dir):
+    """Train-type version valid on each run's date, else the open version."""
+    s, w = _facts(spark, sf_dir)
+    r = G.runs_in_window(s, w)
+    return G.with_type_version(r, s).select(
+        F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "order_id", "category_code",
+        "carrier_code", "type_valid_from")
+
+
+@query("g8_run_resolved")
+def g8(spark, sf_dir):
+    """Per run: route pair (G3), terminal delay (G5), planned (G7) and actual
+    travel minutes, after the eligibility joins (G9)."""
+    s, w = _facts(spark, sf_dir)
+    return G.run_resolved(s, w).select(
+        "date_id", "order_id", "from_station_id", "to_station_id", "category_code", "carrier_code",
+        "type_valid_from", "status_code", "terminal_delay", "planned_travel_min", "actual_travel_min")
+
+
+@query("e1_change_hash")
+def e1(spark, sf_dir):
+    """Canonical text and SHA-256 of every tracked stop version."""
+    from perron.functions.canon import canonical_json
+    t = LF.track_versions(_fx(spark, sf_dir))
+    tracked = {"trainStatus": F.col("train_status"),
+               "actualArrival": F.date_format("actual_arrival", LF.TS_FMT),
+               "actualDeparture": F.date_format("actual_departure", LF.TS_FMT),
+               "actualSequenceNumber": F.col("actual_sequence"),
+               "isConfirmed": F.col("is_confirmed"), "isCancelled": F.col("is_cancelled")}
+    return t.select(F.date_format("snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("snapshot_ts"), "train_order_id",
+                    "actual_sequence", canonical_json(tracked, LV.RUN_TRACKED_TYPES).alias("canonical"),
+                    "change_hash")
+
+
+@query("e2_station_projection")
+def e2(spark, sf_dir):
+    """Each run's station entry at the station of interest, else its first station."""
+    parsed = B.parse(P.operations_landing(_fx(spark, sf_dir)), "operations")
+    t = parsed.select(F.explode("p.trains").alias("t"))
+    st = LV.station_of_interest(F.col("t.stations"), STATION_ID)
+    return t.select(F.col("t.orderId").alias("order_id"), st["stationId"].alias("station_id"),
+                    st["actualSequenceNumber"].alias("actual_sequence"), st["actualArrival"].alias("actual_arrival"))
