@@ -272,3 +272,5 @@ from pick p left join fx_stop s on s.ophe_id = p.order_id and s.actual_sequence
 
 SQL["e1_change_hash"] = E1_SQL
 SQL["e2_station_projection"] = E2_SQL
+
+SQL["b7_live_delta_rows"] = E5_SQL

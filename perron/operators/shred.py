@@ -127,3 +127,17 @@ def city_members(parsed: DataFrame) -> DataFrame:
     c = parsed.select("object_name", F.explode("p.cities").alias("c"))
     return c.select("object_name", F.col("c.name").alias("city_name"), F.col("c.stationCount").alias("station_count"),
                     F.explode_outer("c.stationIds").alias("station_id"))
+
+
+def live_disruption_delta_rows(parsed: DataFrame) -> DataFrame:
+    """B7 live delta documents -> rows of ``changed[*]`` and ``ended[*]`` with their kind."""
+    def side(field: str, kind: str) -> DataFrame:
+        x = parsed.select(F.col("p.generatedAt").alias("generated_at"), F.explode(f"p.{field}").alias("r"))
+        return x.select(
+            "generated_at", F.lit(kind).alias("kind"), F.col("r.scheduleId").alias("schedule_id"),
+            F.col("r.orderId").alias("order_id"), F.col("r.trainOrderId").alias("train_order_id"),
+            F.col("r.operatingDate").cast("date").alias("operating_date"), F.col("r.stationId").alias("dsta_id"),
+            F.col("r.sequenceNumber").alias("sequence_number"),
+            F.col("r.disruptionTypeCode").alias("disruption_type_code"), F.col("r.message").alias("message"),
+            F.col("r.changeHash").alias("change_hash"))
+    return side("changed", "changed").unionByName(side("ended", "ended"))

@@ -880,3 +880,27 @@ def e2(spark, sf_dir):
     st = LV.station_of_interest(F.col("t.stations"), STATION_ID)
     return t.select(F.col("t.orderId").alias("order_id"), st["stationId"].alias("station_id"),
                     st["actualSequenceNumber"].alias("actual_sequence"), st["actualArrival"].alias("actual_arrival"))
+
+
+@query("b7_live_delta_rows")
+def b7(spark, sf_dir):
+    """Live disruption deltas written as JSON documents (one per snapshot and page of
+    run ids) and shredded back (changed[*], ended[*])."""
+    ev = _dis_events(spark, sf_dir)
+    row = F.struct(F.col("schedule_id").alias("scheduleId"), F.col("order_id").alias("orderId"),
+                   F.col("train_order_id").alias("trainOrderId"),
+                   F.date_format("operating_date", "yyyy-MM-dd").alias("operatingDate"),
+                   F.col("dsta_id").alias("stationId"), F.col("sequence_number").alias("sequenceNumber"),
+                   F.col("disruption_type_code").alias("disruptionTypeCode"), "message",
+                   F.col("change_hash").alias("changeHash"))
+    docs = ev.groupBy("snapshot_day", (F.col("order_id") / P.PAGE_SIZE).cast("bigint").alias("page_key")).agg(
+        F.collect_list(F.when(F.col("kind") == "changed", row)).alias("changed"),
+        F.collect_list(F.when(F.col("kind") == "ended", row)).alias("ended"))
+    landing = docs.select(F.concat(F.lit("live/disruptions/"), F.col("snapshot_day").cast("string"), F.lit("_p"),
+                                   F.col("page_key").cast("string")).alias("object_name"),
+                          F.to_json(F.struct(F.concat(F.col("snapshot_day").cast("string"), F.lit("T06:00:00Z"))
+                                             .alias("generatedAt"), "changed", "ended")).alias("payload"))
+    x = B.live_disruption_delta_rows(B.parse(landing, "disruptions_delta"))
+    return x.select(F.substring("generated_at", 1, 10).alias("snapshot_day"), "kind", "schedule_id", "order_id",
+                    "train_order_id", F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "dsta_id",
+                    "sequence_number", "disruption_type_code", "message", "change_hash")

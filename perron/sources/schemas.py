@@ -53,10 +53,15 @@ STOP_TYPES = _st(("generatedAt", S), ("stopTypes", T.ArrayType(_st(("id", I), ("
 TRAIN_STATUSES = _st(("trainStatuses", T.MapType(S, S)))
 DISRUPTION_TYPES = _st(("generatedAt", S), ("disruptionTypes", T.MapType(S, S)))
 
+DELTA_ROW = _st(("scheduleId", L), ("orderId", L), ("trainOrderId", L), ("operatingDate", S), ("stationId", L),
+                ("sequenceNumber", I), ("disruptionTypeCode", S), ("message", S), ("changeHash", S))
+DISRUPTIONS_DELTA = _st(("generatedAt", S), ("changed", T.ArrayType(DELTA_ROW)), ("ended", T.ArrayType(DELTA_ROW)))
+
 FEEDS: dict[str, T.StructType] = {
     "operations": OPERATIONS, "schedules": SCHEDULES, "disruptions": DISRUPTIONS, "carriers": CARRIERS,
     "cities": CITIES, "stations": STATIONS, "commercial_categories": CATEGORIES, "stop_types": STOP_TYPES,
     "train_statuses": TRAIN_STATUSES, "disruption_types": DISRUPTION_TYPES,
+    "disruptions_delta": DISRUPTIONS_DELTA,
 }
 
 
