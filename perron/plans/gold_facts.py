@@ -102,6 +102,12 @@ def train_types(s: Silver) -> DataFrame:
     """d_train_type for this silver snapshot, built once and size-checked once."""
     if "d_train_type" not in s.extra:
         tt = d_train_type(s.def_commercial_category, s.def_carrier, s.schedule_header)
+        root = getattr(s, "_root", None)
+        if root is not None:
+            # the gold dimension is a stored table: facts read a small Parquet
+            # table instead of re-deriving it from the timetable in every plan
+            tt.write.mode("overwrite").parquet(f"{root}/d_train_type")
+            tt = s.spark.read.parquet(f"{root}/d_train_type")
         s.extra["d_train_type"] = bounded_broadcast(tt)
     return s.extra["d_train_type"]
 

@@ -45,6 +45,12 @@ class Silver:
         return _LazySilver(spark, Fixture(spark, sf_dir), root)
 
 
+# Clustering key of each stored silver table: files are hash-partitioned by it, so
+# scans run in parallel and rows of one run / plan sit in one file.
+_CLUSTER = {"schedule_header": ["order_id"], "schedule_details": ["schedule_id", "order_id"],
+            "operation_header": ["id"], "operation_details": ["ophe_id"], "disruption_header": ["id"],
+            "disruption_details": ["schedule_id", "order_id"]}
+
 _FIELDS = ["schedule_header", "schedule_details", "operation_header", "operation_details",
            "disruption_header", "disruption_details", "def_station", "def_city", "def_carrier",
            "def_commercial_category", "def_train_status", "def_disruption_cause", "def_stop_type"]
@@ -68,7 +74,10 @@ class _LazySilver(Silver):
                 root = object.__getattribute__(self, "_root")
                 if root is not None:
                     path = f"{root}/{name}"
-                    df.write.mode("overwrite").parquet(path)
+                    n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                    keys = _CLUSTER.get(name)
+                    out = df.repartition(n, *keys) if keys else df.coalesce(1)
+                    out.write.mode("overwrite").parquet(path)
                     df = self.spark.read.parquet(path)
                 built[name] = df
             return built[name]
