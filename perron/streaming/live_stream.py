@@ -27,6 +27,7 @@ from perron.plans import live as LV
 
 
 def _latest_state(spark: SparkSession, state_root: str) -> DataFrame | None:
+    """Newest committed version directory ``v=<batch id>`` under ``state_root`` (or None)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(state_root)
@@ -115,3 +116,81 @@ def start_operations_stream(spark: SparkSession, snapshot_dir: str, out_root: st
     q = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     q = q.trigger(**(trigger or {"processingTime": "200 seconds"}))
     return q.start()
+
+
+def disruption_rows(snapshots: DataFrame) -> DataFrame:
+    """E4 flattened affected-route rows of parsed disruption snapshots (last one wins)."""
+    d = snapshots.select(F.col("p.generatedAt").cast("timestamp").alias("generated_at"),
+                         F.posexplode("p.disruptions").alias("dpos", "d"))
+    a = d.select("generated_at", "dpos", F.col("d.disruptionTypeCode").alias("disruption_type_code"),
+                 F.col("d.message").alias("message"), F.posexplode("d.affectedRoutes").alias("apos", "a"))
+    rows = a.select("generated_at", (F.col("dpos") * 100000 + F.col("apos")).alias("pos"),
+                    F.col("a.scheduleId").alias("schedule_id"), F.col("a.orderId").alias("order_id"),
+                    F.col("a.trainOrderId").alias("train_order_id"),
+                    F.col("a.operatingDate").cast("date").alias("operating_date"), F.col("a.stationId").alias("dsta_id"),
+                    F.col("a.sequenceNumber").alias("sequence_number"), "disruption_type_code", "message")
+    return LV.flatten_disruptions(rows, ["pos"], ["generated_at"])
+
+
+def disruptions_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str, state_root: str,
+                      heartbeat_path: str, ended_window_days: int = 2) -> None:
+    """The ``foreachBatch`` body for the disruptions feed: E5 diff of each snapshot
+    against its predecessor, then the SCD2 log (C5) rewritten as a new version."""
+    parsed = shred.parse(batch.withColumnRenamed("value", "payload").withColumn("object_name", F.lit(None)),
+                         "disruptions").filter(~shred.is_corrupt("p"))
+    state = _latest_state(spark, state_root)
+    rows = disruption_rows(parsed)
+    if state is not None:
+        rows = LV.not_stale(rows, state.agg(F.max("generated_at")).first()[0])
+    snaps = rows.select("generated_at").distinct()
+    ranked = snaps.withColumn("_seq", F.row_number().over(Window.orderBy("generated_at")))  # snapshots of one batch
+    cur = rows.join(ranked, "generated_at")
+    prev = cur.withColumn("_seq", F.col("_seq") + 1)
+    if state is not None:
+        prev = prev.unionByName(state.withColumn("_seq", F.lit(1)), allowMissingColumns=True)
+    cols = LV.DIS_KEY + LV.DIS_TRACKED + ["change_hash"]
+    key = ["_seq"] + LV.DIS_KEY
+    j = cur.select("_seq", "generated_at", *cols).alias("c").join(
+        prev.select("_seq", *cols).alias("p"), LV._null_safe_join(key, "c", "p"), "full_outer")
+    top = ranked.agg(F.max("_seq")).first()[0] or 0
+    seq = F.coalesce(F.col("c._seq"), F.col("p._seq"))
+    stamp = ranked.select(F.col("_seq").alias("_s"), F.col("generated_at").alias("_ts"))
+    j = j.withColumn("_s", seq).filter(F.col("_s") <= top).join(stamp, "_s")
+    in_c, in_p = F.col("c.change_hash").isNotNull(), F.col("p.change_hash").isNotNull()
+    changed = j.filter(in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))).select(
+        *[F.col(f"c.{x}").alias(x) for x in cols], F.col("_ts").alias("snapshot_ts"))
+    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date")
+                                     >= F.date_sub(F.to_date("_ts"), ended_window_days - 1))).select(
+        *[F.col(f"p.{x}").alias(x) for x in LV.DIS_KEY], F.col("_ts").alias("snapshot_ts"))
+    log = _latest_state(spark, log_path)
+    if log is None:  # first batch
+        log = spark.createDataFrame([], "operating_date date, schedule_id bigint, train_order_id bigint, "
+                                        "dsta_id bigint, sequence_number int, order_id bigint, "
+                                        "disruption_type_code string, message string, change_hash string, "
+                                        "is_active boolean, snapshot_ts timestamp")
+    new_log = LV.scd2_apply(log, changed, ended)
+    # the SCD2 log is rewritten as a new version directory; readers take the newest
+    # committed version (_SUCCESS present), so a failed write is never visible
+    new_log.write.mode("overwrite").parquet(f"{log_path}/v={batch_id}")
+    newest = rows.agg(F.max("generated_at")).first()[0]
+    if newest is not None:
+        rows.filter(F.col("generated_at") == F.lit(newest)).write.mode("overwrite").parquet(
+            f"{state_root}/v={batch_id}")
+    n = changed.count() + ended.count()
+    outcome = "OK" if n > 0 else ("EMPTY" if newest is not None else "STALE")
+    spark.createDataFrame([(str(batch_id), "disruptions", outcome, n)],
+                          "run_ts string, feed string, outcome string, delta_count long").write.mode(
+        "append").parquet(heartbeat_path)
+
+
+def start_disruptions_stream(spark: SparkSession, snapshot_dir: str, out_root: str, checkpoint: str,
+                             trigger: dict | None = None):
+    """Start the disruptions live query (a separate query: one feed failing does not stop the other)."""
+    src = spark.readStream.option("wholetext", True).text(snapshot_dir)
+
+    def body(df, bid):
+        disruptions_batch(spark, df, bid, f"{out_root}/disruption_tracking_log", f"{out_root}/state_disruptions",
+                          f"{out_root}/heartbeat")
+
+    q = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return q.trigger(**(trigger or {"processingTime": "200 seconds"})).start()

@@ -36,3 +36,27 @@ def test_operations_stream_end_to_end(spark):
     assert spark.read.parquet(f"{out}/operation_tracking_log").count() == 3
     hb = spark.read.parquet(f"{out}/heartbeat").collect()
     assert {r.outcome for r in hb} >= {"OK"}
+
+
+def _dsnap(path, ts, rows):
+    dis = [{"disruptionId": i, "disruptionTypeCode": tc, "message": m,
+            "affectedRoutes": [{"scheduleId": 1, "orderId": 5, "trainOrderId": 5, "operatingDate": "2026-01-01",
+                                "stationId": st, "sequenceNumber": 1}]} for i, (st, tc, m) in enumerate(rows)]
+    with open(path, "w") as f:
+        json.dump({"generatedAt": ts, "disruptions": dis}, f)
+
+
+def test_disruptions_stream_scd2(spark):
+    from perron.streaming.live_stream import start_disruptions_stream
+    root = tempfile.mkdtemp(prefix="perron-dlive-")
+    src, out, ck = os.path.join(root, "in"), os.path.join(root, "out"), os.path.join(root, "ck")
+    os.makedirs(src)
+    _dsnap(f"{src}/s1.json", "2026-01-01T10:00:00Z", [(7, "T1", "a"), (8, "T1", "b")])
+    _dsnap(f"{src}/s2.json", "2026-01-01T10:03:00Z", [(7, "T1", "a2")])     # 7 changed, 8 ended
+    q = start_disruptions_stream(spark, src, out, ck, {"availableNow": True})
+    q.awaitTermination(300)
+    from perron.streaming.live_stream import _latest_state
+    log = _latest_state(spark, f"{out}/disruption_tracking_log").collect()
+    active = sorted((r.dsta_id, r.message) for r in log if r.is_active)
+    assert active == [(7, "a2")]
+    assert len(log) == 3
