@@ -43,3 +43,18 @@ def test_version_lookup_does_not_fan_out(spark):
     assert tt.groupBy("category_code", "carrier_code").agg(
         F.sum((F.col("valid_to") == F.lit("2999-12-31").cast("date")).cast("int")).alias("n")
     ).filter("n > 1").count() == 0
+
+
+def test_scd2_log_has_at_most_one_active_version_per_key(spark):
+    from perron.queries import REGISTRY
+    log = REGISTRY["d15_disruption_tracking_log"](spark, SMOKE)
+    key = ["operating_date", "schedule_id", "train_order_id", "dsta_id", "sequence_number"]
+    bad = log.groupBy(*key).agg(F.sum(F.col("is_active").cast("int")).alias("n")).filter("n > 1")
+    assert bad.count() == 0
+
+
+def test_recompute_is_idempotent(spark):
+    from perron.queries import REGISTRY
+    a = REGISTRY["c7_recompute_days"](spark, SMOKE)
+    b = REGISTRY["g10_run_daily"](spark, SMOKE)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
