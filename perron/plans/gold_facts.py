@@ -83,6 +83,16 @@ def ends_for(s: Silver, keys: DataFrame) -> DataFrame:
     return plan_ends(sd)
 
 
+def _stops_in_window(s: Silver, w: Window_) -> DataFrame:
+    """Executed stops of the window's runs.
+
+    Stops carry their run's operating date, so the window is a filter on the
+    (partition) column and the scan reads only the window's days instead of
+    the whole history.
+    """
+    return s.operation_details.filter(w.between("operating_date"))
+
+
 def confirmed_span(operation_details: DataFrame) -> DataFrame:  # noqa: D401
     """First and last confirmed stop of each run, one grouped pass."""
     od = operation_details.filter(F.col("is_confirmed"))
@@ -132,7 +142,7 @@ def run_resolved(s: Silver, w: Window_) -> DataFrame:
     """Per run: keys of the fact cell, terminal delay and travel minutes."""
     r = runs_in_window(s, w)
     ep = ends_for(s, r)
-    span = confirmed_span(s.operation_details)
+    span = confirmed_span(_stops_in_window(s, w))
     x = (r.join(span, "ophe_id", "left")
          .join(ep, ["schedule_id", "order_id"], "inner")          # G9: route must exist
          .join(_statuses(s), "train_status", "left_semi"))          # G9: known status
@@ -185,8 +195,9 @@ def _stop_rows(s: Silver, w: Window_, kind: str) -> DataFrame:
     """Executed stops of window runs with their plan row (G11 arrivals / G12 departures)."""
     r = runs_in_window(s, w)
     ep = ends_for(s, r).select("schedule_id", "order_id", "from_station_id", "to_station_id")
-    od = s.operation_details.join(r.select("ophe_id", "operating_date", "schedule_id", "order_id",
-                                           "category_code", "carrier_code"), "ophe_id", "inner")
+    od = _stops_in_window(s, w).drop("operating_date").join(
+        r.select("ophe_id", "operating_date", "schedule_id", "order_id", "category_code", "carrier_code"),
+        "ophe_id", "inner")
     t_col = "arrival_time" if kind == "arr" else "departure_time"
     sd = s.schedule_details.filter(F.col(t_col).isNotNull()).select(
         "schedule_id", "order_id", F.col("order_number").alias("planned_sequence"), t_col)

@@ -200,7 +200,7 @@ def run_route(s: Silver) -> DataFrame:
                                    "train_order_id")
     od = s.operation_details
     ds = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("station_name")))
-    x = oh.join(od, "ophe_id", "inner").join(ds, "dsta_id", "inner")
+    x = oh.join(od, ["ophe_id", "operating_date"], "inner").join(ds, "dsta_id", "inner")
     from perron.functions.ordered import first_row, last_row
     rel = x.groupBy("ophe_id").agg(
         first_row(["planned_sequence", "actual_sequence"], ["station_name"]).alias("f"),

@@ -77,8 +77,12 @@ class _LazySilver(Silver):
                     n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                     keys = _CLUSTER.get(name)
                     out = df.repartition(n, *keys) if keys else df.coalesce(1)
-                    out.write.mode("overwrite").parquet(path)
-                    df = self.spark.read.parquet(path)
+                    w = out.write.mode("overwrite")
+                    if "operating_date" in df.columns:
+                        # day partitions: a date window prunes the scan to its partitions
+                        w = w.partitionBy("operating_date")
+                    w.parquet(path)
+                    df = self.spark.read.parquet(path).select(*df.columns)
                 built[name] = df
             return built[name]
         return object.__getattribute__(self, name)

@@ -55,7 +55,8 @@ def station_calls(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     w = w.withColumn("data_wro", call_day).filter(
         F.col("data_wro").between(F.lit(as_of - dt.timedelta(days=7)), F.lit(hi)))
     # first executed entry at the station's plan position
-    od = s.operation_details.join(w.select("ophe_id").distinct(), "ophe_id", "left_semi")
+    od = (s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi)))
+          .join(w.select("ophe_id").distinct(), "ophe_id", "left_semi"))
     first = od.groupBy("ophe_id", "planned_sequence").agg(first_row(
         ["actual_sequence"], ["actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
                               "is_confirmed", "is_cancelled"]).alias("ow"))
@@ -169,7 +170,8 @@ def route_start_monthly(s: Silver, as_of: dt.date, months: int = 24) -> DataFram
     r = oh.join(sh, HDR, "inner")
     ends = plan_ends(s.schedule_details).select("schedule_id", "order_id", "min_on",
                                                 F.col("to_station_id").alias("to_station_id"))
-    od = s.operation_details.filter(F.col("is_confirmed")).select(
+    od = s.operation_details.filter(F.col("is_confirmed") & F.col("operating_date").between(
+        F.lit(first_month), F.lit(nxt - dt.timedelta(days=1)))).select(
         "ophe_id", "planned_sequence", F.col("dsta_id").alias("from_station_id"), "departure_delay_min")
     x = r.join(ends, ["schedule_id", "order_id"], "inner").join(od, "ophe_id", "inner").filter(
         F.col("planned_sequence") == F.col("min_on"))
@@ -222,7 +224,8 @@ def completed_runs(s: Silver, as_of: dt.date, station_id) -> DataFrame:
              F.col("f.departure_time").alias("start_dep_time"), F.col("f.departure_day").alias("start_dep_day"),
              F.col("l.arrival_time").alias("koniec_arr_time"), F.col("l.arrival_day").alias("koniec_arr_day"),
              "wro_seq", "wro_arr_time", "wro_arr_day", "wro_dep_time", "wro_dep_day")
-    od = s.operation_details.join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id", "inner").join(
+    od = s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).drop(
+        "operating_date").join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id", "inner").join(
         plan.select("schedule_id", "order_id", "koniec_seq", "wro_seq"), ["schedule_id", "order_id"], "inner")
     reached = (F.col("is_confirmed") & ~F.col("is_cancelled")).cast("int")
     e_k = (F.col("planned_sequence") == F.col("koniec_seq")).cast("int")
@@ -560,7 +563,8 @@ def run_stops(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     ends = sd.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("start_seq"),
                                                      F.max("order_number").alias("koniec_seq"))
     sd = sd.join(ends, ["schedule_id", "order_id"])
-    od = (s.operation_details.join(kurs.select("ophe_id"), "ophe_id", "left_semi")
+    od = (s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi)))
+          .join(kurs.select("ophe_id"), "ophe_id", "left_semi")
           .groupBy("ophe_id", "planned_sequence").agg(F.max(F.struct(
               "actual_sequence", "actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
               "is_confirmed", "is_cancelled")).alias("o"))

@@ -63,7 +63,8 @@ def stop_daily_trace(s: Silver, stop_fact: DataFrame) -> DataFrame:
     od = s.operation_details
     sd = s.schedule_details.filter(F.col("arrival_time").isNotNull()).select(
         "schedule_id", "order_id", F.col("order_number").alias("planned_sequence"), "arrival_time")
-    x = (oh.join(od, "ophe_id", "inner").join(sd, ["schedule_id", "order_id", "planned_sequence"], "inner")
+    x = (oh.join(od, ["ophe_id", "operating_date"], "inner")
+         .join(sd, ["schedule_id", "order_id", "planned_sequence"], "inner")
          .join(_sh(s), SH_KEY, "left")
          .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left"))
     x = with_type_version(x, s).withColumn("date_id", date_key("operating_date"))

@@ -168,6 +168,7 @@ class Fixture:
         actual = F.timestamp_seconds(base_sec + F.coalesce(delay, F.lit(0)) * 60)
         return s.select(
             F.col("l_orderkey").alias("ophe_id"),
+            _run_date(F.col("l_orderkey")).alias("operating_date"),   # denormalized for pruning
             F.col("actual_sequence").cast("int").alias("actual_sequence"),
             F.col("l_linenumber").alias("planned_sequence"),
             (F.col("l_suppkey") % N_STATIONS).alias("dsta_id"),
