@@ -93,3 +93,5 @@ SQL = {
     "c12_materialize": H4_SQL,
     "c13_publish": F4_SQL,
 }
+
+SQL["c13_daily_job"] = G10_SQL

@@ -187,6 +187,24 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return df.sparkSession.read.parquet(path)
 
 
+def stage_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
+                  partition_by: dict[str, Sequence[str]] | None = None) -> str:
+    """Write every table under a fresh version directory (not yet visible to readers)."""
+    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+    vdir = f"{root}/v={version}"
+    for name, df in tables.items():
+        w = df.write.mode("errorifexists")
+        if partition_by and name in partition_by:
+            w = w.partitionBy(*partition_by[name])
+        w.parquet(f"{vdir}/{name}")
+    return vdir
+
+
+def switch_pointer(spark: SparkSession, root: str, vdir: str, tables: Sequence[str]) -> None:
+    """Make a staged version current (the pointer file is replaced last)."""
+    _write_pointer(spark, root, {"version": vdir.rsplit("v=", 1)[1], "tables": sorted(tables)})
+
+
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             partition_by: dict[str, Sequence[str]] | None = None) -> str:
     """C13 all-or-nothing layer publish without a transactional format.
@@ -197,14 +215,8 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     pointer, so they see either the old or the new layer, never a mix.
     A failed or re-run job leaves an unreferenced version directory.
     """
-    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    vdir = f"{root}/v={version}"
-    for name, df in tables.items():
-        w = df.write.mode("errorifexists")
-        if partition_by and name in partition_by:
-            w = w.partitionBy(*partition_by[name])
-        w.parquet(f"{vdir}/{name}")
-    _write_pointer(spark, root, {"version": version, "tables": sorted(tables)})
+    vdir = stage_version(spark, root, tables, partition_by)
+    switch_pointer(spark, root, vdir, list(tables))
     return vdir
 
 

@@ -904,3 +904,15 @@ def b7(spark, sf_dir):
     return x.select(F.substring("generated_at", 1, 10).alias("snapshot_day"), "kind", "schedule_id", "order_id",
                     "train_order_id", F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "dsta_id",
                     "sequence_number", "disruption_type_code", "message", "change_hash")
+
+
+@query("c13_daily_job")
+def c13_job(spark, sf_dir):
+    """Two daily gold loads (as of 07-30 over 7 days, then as of 08-02 over 3 days) into
+    month-partitioned fact tables; the published run fact equals a full recompute."""
+    from perron.plans import jobs as J
+    s = _silver(spark, sf_dir)
+    root = C.scratch_root(spark, "gold")
+    J.run_daily(spark, s, root, dt.date(2001, 7, 30), days=7)
+    J.run_daily(spark, s, root, AS_OF, days=3)
+    return C.read_current(spark, root, "f_train_run_daily").drop("month")
