@@ -9,6 +9,7 @@ No task holds more than ``open_bins`` bins at a time and none sees all pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -22,51 +23,70 @@ from perron.llm.base import per_text, shuffle_partitions, stored
 
 LENGTH = 2048
 EOD = 0
-#: Chunks of text whose ids a Python worker remembers; on overflow it starts anew, ids stay the same.
-CACHED_CHUNKS = 400_000
+#: Texts encoded at once, and chunks whose ids a Python worker remembers in each of two generations.
+BATCH, REMEMBERED = 256, 400_000
+_MARKS = ".,;:!?"
 
 
 @cache
-def _tokenizer(path: str):
-    import os
+def _encoder(path: str) -> "Encoder":
+    return Encoder(path)
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+class Encoder:
+    """Little-endian 32-bit ids of texts.
 
-
-def _encode(texts: list[bytes], path: str) -> list[bytes]:
-    """Little-endian 32-bit ids of each text.
-
-    The tokenizer's pattern always starts a new pre-token at a single space between two other characters, so a text
-    is the concatenation of its space-led chunks, and a chunk's ids do not depend on its neighbours. Texts with other
-    white space beside a space are encoded whole.
+    The tokenizer's pattern starts a new token at a space or line feed between two other characters and between a
+    letter or digit and a punctuation mark after it, so a text's ids are those of its chunks one after the other, and
+    most chunks have been seen before. Texts with other white space beside such a place are encoded whole.
     """
-    tok, seen = _tokenizer(path)
-    out: list[bytes | None] = []
-    whole: list[int] = []
-    split: list[list[str] | None] = []
-    todo: dict[str, None] = {}
-    if len(seen) > CACHED_CHUNKS:
-        seen.clear()
-    for i, raw in enumerate(texts):
-        t = raw.decode("utf-8", "replace")
-        parts = t.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in parts) and t:
-            whole.append(i)
-            split.append(None)
-            continue
-        chunks = [parts[0], *[" " + p for p in parts[1:]]] if t else []
-        split.append(chunks)
-        todo.update(dict.fromkeys(c for c in chunks if c not in seen))
-    if todo:
-        for c, e in zip(todo, tok.encode_batch(list(todo), add_special_tokens=False), strict=True):
-            seen[c] = np.array(e.ids, "<u4").tobytes()
-    full = dict(zip(whole, tok.encode_batch([texts[i].decode("utf-8", "replace") for i in whole], add_special_tokens=False), strict=True)) if whole else {}
-    for i, chunks in enumerate(split):
-        out.append(np.array(full[i].ids, "<u4").tobytes() if chunks is None else b"".join(map(seen.__getitem__, chunks)))
-    return out
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # chunks that may not stand alone
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        young, old = self.young, self.old
+        split: dict[str, tuple[str, str]] = {}
+        new: set[str] = set()
+        for c in chunks:
+            if c in old:
+                young[c] = old[c]
+                continue
+            if c != "\n" and (not c or c[-1].isspace() or (c[0] != " " and c[0].isspace())):
+                self.odd.add(c)
+                young[c] = b""
+                continue
+            word = c.rstrip(_MARKS)
+            if len(word) < len(c) and word and word[-1].isalnum():
+                split[c] = (word, c[len(word) :])
+                new.update(x for x in split[c] if x not in young)
+            else:
+                new.add(c)
+        todo = [c for c in new if c not in old]
+        young.update((c, old[c]) for c in new if c in old)
+        young.update(zip(todo, self._plain(todo), strict=True))
+        young.update((c, young[w] + young[m]) for c, (w, m) in split.items())
+
+    def __call__(self, raw: list[bytes]) -> list[bytes]:
+        texts = [t.decode("utf-8", "replace") for t in raw]
+        chunked = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t else [] for t in texts]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        self._learn(set().union(*chunked).difference(self.young))
+        whole = [i for i, (t, c) in enumerate(zip(texts, chunked, strict=True)) if "\0" in t or (self.odd and not self.odd.isdisjoint(c))]
+        out = [b"".join(map(self.young.__getitem__, c)) for c in chunked]
+        for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        return out
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -80,7 +100,8 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_
 
     def run(texts: list[bytes]) -> list[pa.Array]:
         rows, offsets, crc, ids = [], [0], [], []
-        for b in _encode(texts, tokenizer):
+        encode = _encoder(tokenizer)
+        for b in (x for i in range(0, len(texts), BATCH) for x in encode(texts[i : i + BATCH])):
             b += EOD.to_bytes(4, "little")
             for k, (s, m) in enumerate(cut(len(b) // 4, length)):
                 rows.append((k, s, m))
