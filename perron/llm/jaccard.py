@@ -153,17 +153,11 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 def _cross(members: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of members of a group that lie in different components and pass the lower bound.
 
-    ``members``: sig, doc_id, n, sk, comp. Members get numbers within the group by two counts, over hashed slices and
-    over the members of a slice; blocks of BLOCK numbers are then paired, so no task ever holds a group.
+    ``members``: sig, total (members of the group), doc_id, n, sk, comp. A block is a hash bucket of a group's doc_ids,
+    BLOCK members large on average; blocks are then paired, so no task ever holds a group.
     """
-    slices = 64
-    m = members.withColumn("slice", F.pmod(F.hash("doc_id"), F.lit(slices)))
-    size = m.groupBy("sig", "slice").agg(F.count("*").alias("c"))
-    most = size.groupBy("sig").agg(F.sum("c").alias("total"))
-    m = m.join(most, "sig")
-    # a block is a hash bucket of doc_id; as many buckets as the group needs
-    n = F.ceil(F.col("total") / BLOCK).cast("int")
-    m = m.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    m = members.withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
+    m = m.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     with_pair = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = with_pair.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "n", "sk", "comp")
 
@@ -218,8 +212,11 @@ def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, de
     links = stored(links.union(tied).distinct(), "links")
     roots = stored(components(links), "roots")
     at = shared.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("sig", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
-    apart = at.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("sig")
-    members = at.join(apart, "sig", "left_semi").join(facts, "doc_id")
+    # A group of two has been compared as a star, and one of several groups with the same members is enough.
+    apart = (at.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("total"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                   F.bit_xor(F.xxhash64("doc_id")).alias("h"), F.bit_xor(F.hash("doc_id")).alias("h2"))
+             .where("x < y and total > 2").groupBy("total", "lo", "hi", "h", "h2").agg(F.min("sig").alias("sig")).select("sig", "total"))
+    members = at.join(apart, "sig").join(facts, "doc_id")
     more = stored(_verify(_cross(members, num, den), sets, num, den), "more")
     if more.take(1):
         roots = stored(components(links.union(more)), "roots")
