@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.base import per_text, text_or_empty
+from perron.llm.base import per_text
 
 SYMBOLS = b"#*$%&|<>"
 #: Bound of the training sample: documents per class and lines per document used in fitting.
