@@ -31,7 +31,6 @@ from perron.llm.components import components
 #: Similarity as num / den, and words in a shingle.
 NUM, DEN, SHINGLE = 90, 100, 3
 SPARE, PARTS = 1, 2
-SKETCH = 8
 #: Members of a group that one block holds, and bits of the bitmap of wanted documents (1 MB at any input size).
 BLOCK, WANTED_BITS = 512, 1 << 23
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -84,10 +83,17 @@ def signatures(x: np.ndarray, num: int = NUM, den: int = DEN, spare: int = SPARE
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
-    """64 * SKETCH bits; bit i is the parity of the elements that hash to i. Two sets' sketches differ in no more bits
-    than the sets differ in elements."""
-    bits = np.bincount(((x >> np.uint64(7)) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """A bitmap of about two to four bits for each element, a power of two of 64-bit words: bit i is the parity of the
+    elements that hash to i. Two sets' bitmaps of one width differ in no more bits than the sets differ in elements,
+    and a bitmap is folded to half its width by XOR of its halves."""
+    bits = 64 << max(2, (len(x) // 32).bit_length())
+    odd = np.bincount(((x >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows x words) folded to ``width`` words."""
+    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
 
 
 def _prepare(texts: list[bytes], ngram: int, num: int, den: int) -> list[pa.Array]:
@@ -104,8 +110,9 @@ def _prepare(texts: list[bytes], ngram: int, num: int, den: int) -> list[pa.Arra
         offsets.append(offsets[-1] + len(s))
     flat = np.concatenate(sig or [np.zeros(0, np.uint64)]).view(np.int64)
     sks = np.concatenate(sk or [np.zeros(0, np.int64)])
+    sk_at = np.concatenate([[0], np.cumsum([len(x) for x in sk])])
     return [pa.array(size, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-            pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * SKETCH, pa.int32()), pa.array(sks, pa.int64())),
+            pa.ListArray.from_arrays(pa.array(sk_at, pa.int32()), pa.array(sks, pa.int64())),
             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
 
 
@@ -139,8 +146,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
 
 def _distance_ok(a: str, b: str, na: str, nb: str, num: int, den: int):
     """A lower bound of the difference allows the similarity."""
-    diff = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH)), F.lit(0))
-    return ((den + num) * diff <= (den - num) * (F.col(na) + F.col(nb))) & (num * F.greatest(na, nb) <= den * F.least(na, nb))
+    width = F.least(F.size(a), F.size(b))
+    fold = lambda c, i: F.aggregate(F.sequence(i, F.size(c) - 1, width), F.lit(0).cast("long"), lambda v, j: v.bitwiseXOR(F.col(c)[j]))
+    diff = F.aggregate(F.sequence(F.lit(0), width - 1), F.lit(0), lambda v, i: v + F.bit_count(fold(a, i).bitwiseXOR(fold(b, i))))
+    sizes = num * F.greatest(na, nb) <= den * F.least(na, nb)
+    return F.when(sizes, (den + num) * diff <= (den - num) * (F.col(na) + F.col(nb))).otherwise(False)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -166,13 +176,20 @@ def _cross(members: DataFrame, num: int, den: int) -> DataFrame:
         out = []
         if len(left) and len(right):
             rid, rn, rc = (right[c].to_numpy(np.int64) for c in ("doc_id", "n", "comp"))
-            rs = np.stack(right["sk"].to_numpy()).astype(np.int64)
+            wide = right["sk"].map(len).to_numpy()
+            shelf = {}  # right rows and their folded bitmaps by (own width, width)
             for d, n_, c, s in zip(left["doc_id"], left["n"], left["comp"], left["sk"], strict=True):
-                ok = (rc != c) & (num * np.maximum(rn, n_) <= den * np.minimum(rn, n_)) & (rid != d)
-                at = np.flatnonzero(ok)
-                diff = np.bitwise_count(rs[at] ^ np.asarray(s, np.int64)).sum(1, dtype=np.int64)
-                at = at[(den + num) * diff <= (den - num) * (rn[at] + n_)]
-                out += [(min(d, o), max(d, o)) for o in rid[at].tolist()]
+                s = np.asarray(s, np.int64)
+                for w in np.unique(wide).tolist():
+                    m = min(w, len(s))
+                    if (w, m) not in shelf:
+                        rows = np.flatnonzero(wide == w)
+                        shelf[w, m] = rows, _folded(np.stack(right["sk"].iloc[rows].to_numpy()).astype(np.int64), m)
+                    rows, maps = shelf[w, m]
+                    ok = np.flatnonzero((rc[rows] != c) & (num * np.maximum(rn[rows], n_) <= den * np.minimum(rn[rows], n_)))
+                    diff = np.bitwise_count(maps[ok] ^ _folded(s[None], m)).sum(1, dtype=np.int64)
+                    near = rows[ok[(den + num) * diff <= (den - num) * (rn[rows[ok]] + n_)]]
+                    out += [(min(d, o), max(d, o)) for o in rid[near].tolist()]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
     return keyed.groupBy("sig", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
