@@ -32,50 +32,45 @@ BLOCK = 512
 CACHED_WORDS = 300_000
 _LETTERS = bytes(b if b < 33 else ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
-_known: dict[bytes, tuple[bytes, int]] = {}
+_known: list[dict[bytes, int]] = [{}, {}]  # two generations
 
 
-def _word(w: bytes) -> tuple[bytes, int]:
-    """A word's shape (letters as a or A, digits as 0, runs as one) and its place in the term space."""
+def _word(w: bytes) -> int:
+    """A word's shape (letters as a or A, digits as 0, runs as one) and its place among the words, as one number."""
     shape = _RUN.sub(rb"\1", w[:64].translate(_LETTERS))[:8]
-    return shape, SHAPES + zlib.crc32(w.lower()) % WORDS
+    return (1 + zlib.crc32(shape) % (SHAPES - 1)) * WORDS + zlib.crc32(w.lower()) % WORDS
 
 
-def terms(raw: bytes) -> dict[int, float]:
-    """Term numbers and log counts of a text; an empty text has one term of its own."""
+def terms(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct term numbers and log counts of a text; an empty text has one term of its own."""
     words = raw.split()
     if not words:
-        return {0: 1.0}
-    if len(_known) > CACHED_WORDS:
-        _known.clear()
+        return np.zeros(1, np.int64), np.ones(1, np.float32)
+    if len(_known[0]) > CACHED_WORDS:
+        _known[:] = [{}, _known[0]]
+    young, old = _known
     times = Counter(words)
-    shapes: Counter = Counter()
-    out: dict[int, float] = {}
-    known = {}
-    for w, n in times.items():
-        got = _known.get(w)
-        if got is None:
-            got = _known[w] = _word(w)
-        known[w] = got[0]
-        shapes[got[0]] += n
-        out[got[1]] = out.get(got[1], 0) + n
-    seq = list(map(known.__getitem__, words))
-    for pair, n in Counter(zip(seq, seq[1:], strict=False)).items():
-        i = 1 + zlib.crc32(b"\0".join(pair)) % (SHAPES - 1)
-        out[i] = out.get(i, 0) + n
-    for s, n in shapes.items():
-        i = 1 + zlib.crc32(s) % (SHAPES - 1)
-        out[i] = out.get(i, 0) + n
-    n = len(words)
-    # repetition: words that equal the one before, and words beyond the distinct ones of a prose of this length
-    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    grams = n - 2 - len(set(zip(words, words[1:], words[2:], strict=False))) if n > 2 else 0
-    for name, v in ((b"\1again", again), (b"\1grams", max(0, grams))):
-        if v:
-            for level in range(1 + int(8 * v / n)):  # a higher share has more terms
-                out[1 + zlib.crc32(name + bytes([level])) % (SHAPES - 1)] = v
+    for w in times:
+        if w not in young:
+            young[w] = old[w] if w in old else _word(w)
+    n, m = len(words), len(times)
+    code = np.fromiter(map(young.__getitem__, times), np.int64, m)
+    place = dict(zip(times, range(m), strict=True))
+    ids = np.fromiter(map(place.__getitem__, words), np.int64, n)
+    s = (code // WORDS)[ids]
+    pairs = 1 + (s[:-1] * 2654435761 + s[1:] * 40503) % (SHAPES - 1)
+    idx, count = [pairs, s, SHAPES + code % WORDS], [np.ones(len(pairs) + n), np.fromiter(times.values(), float, m)]
+    # repetition: words that equal the one before, and three-word windows beyond the distinct ones
+    again = int((ids[1:] == ids[:-1]).sum())
+    grams = n - 2 - len(np.unique((ids[:-2] * m + ids[1:-1]) * m + ids[2:])) if n > 2 else 0
+    for name, v in ((b"\1again", again), (b"\1grams", grams)):
+        levels = 1 + int(8 * v / n) if v else 0  # a higher share has more terms
+        idx.append(np.array([1 + zlib.crc32(name + bytes([k])) % (SHAPES - 1) for k in range(levels)], np.int64))
+        count.append(np.full(levels, float(v)))
+    at, inv = np.unique(np.concatenate(idx), return_inverse=True)
+    v = 1 + np.log(np.bincount(inv, np.concatenate(count)))
     # shapes tell style, single words hardly do: words weigh less
-    return {i: (1.0 if i < SHAPES else 0.3) * (1 + np.log(v)) for i, v in out.items()}
+    return at, np.where(at < SHAPES, v, 0.3 * v).astype(np.float32)
 
 
 def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -85,7 +80,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
         df = np.zeros(SPACE + 1, np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
-                df[list(terms(t))] += 1
+                df[terms(t)[0]] += 1
             df[SPACE] += b.num_rows
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["term", "n"])
@@ -102,8 +97,8 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
     """Unit vectors of weighted terms, rows x SPACE."""
     out = np.zeros((len(texts), SPACE), np.float32)
     for i, t in enumerate(texts):
-        x = terms(t)
-        out[i, list(x)] = list(x.values())
+        at, v = terms(t)
+        out[i, at] = v
     out *= idf
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
@@ -127,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dims: int = DI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = [terms(t) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([list(v) for v in x], pa.list_(pa.int32())), pa.array([list(v.values()) for v in x], pa.list_(pa.float32()))], names=["doc_id", "y", "i", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i.astype(np.int32) for i, _ in x], pa.list_(pa.int32())), pa.array([v for _, v in x], pa.list_(pa.float32()))], names=["doc_id", "y", "i", "v"])
 
     src = docs.select("doc_id", text_or_empty().cast("binary").alias("t")).join(F.broadcast(pick), "doc_id").select("doc_id", "y", "t")
     rows = src.mapInArrow(run, "doc_id bigint, y int, i array<int>, v array<float>").dropDuplicates(["doc_id"]).toArrow()  # bounded by the sample
