@@ -210,7 +210,8 @@ def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, de
 
     # one row for each class: its representative's signatures
     reps = usable.join(classes.select(F.col("rep").alias("doc_id"), "hi", "lo"), ["doc_id", "hi", "lo"], "left_semi").dropDuplicates(["doc_id", "hi", "lo"])
-    sig = reps.select("doc_id", F.explode("sigs").alias("sig"))
+    # dealt out once: the grouping and the join read the same shuffle
+    sig = reps.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
     groups = sig.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
     shared = stored(sig.join(groups.hint("shuffle_hash"), "sig"), "shared")
     facts = usable.join(classes.select(F.col("rep").alias("doc_id"), "hi", "lo"), ["doc_id", "hi", "lo"], "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "sk").dropDuplicates(["doc_id", "n", "sk"])
