@@ -1,0 +1,200 @@
+"""Each operator against a plain version, on the smallest tables and on rows with nulls, ties and odd texts."""
+
+import hashlib
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from perron.llm import chat, classifier, fingerprint, html_extract, jaccard, line_dedup, pack, quality_rules, secrets, sentencepiece_lattice
+from perron.llm.queries import QUERIES, tokenizer_path
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+LONG = " ".join(f"w{i}" for i in range(30_000))
+PASSAGE = " ".join(f"shared{i}" for i in range(60)) + "."
+ODD = [(1, None), (2, ""), (3, "  \n\t "), (4, "one two"), (5, LONG), (6, "Twice\n" + PASSAGE), (7, "other line\n" + PASSAGE + "\ntail"), (8, LONG), (8, LONG), (None, "no id here"), (9, "a b ▁x  é\x00 <|endoftext|>\n\nz ")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd rows with a further column and one that bears the name of an operator's own."""
+    return spark.createDataFrame([(i, t, 1, "x") for i, t in ODD], "doc_id bigint, text string, score int, sig string")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def test_html(spark):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in rows(QUERIES["op1_html_extraction"](spark, SF)):
+        assert r["text"] == brute.article(pages[r["page_id"]]) and r["n_chars"] == len(r["text"])
+
+
+def test_html_odd(spark):
+    page = '<body><div class="top-nav"><a href="x">Menu</a></div><header><h1>Site</h1></header><div class="post-12"><h2>Title</h2><p>Caf&eacute; &amp; more  text that is long enough to win.<script>var a="<p>no</p>";</script><p>Second <b>bold</b> part.<form>Name <input></form><div class="comments"><p>reader says</p></div></div><aside>side</aside><footer>foot</footer></body>'
+    df = spark.createDataFrame([(1, None, None, 1), (2, "http://h/x", "", 1), (3, "http://h/y", page, 1), (3, "http://h/y", page, 1), (4, "odd", "<p", 1)], "page_id bigint, url string, html string, host int")
+    out = rows(html_extract.extract(df))
+    assert len(out) == 5
+    assert [r["text"] for r in out if r["page_id"] in (1, 2)] == ["", ""]
+    assert [r["text"] for r in out if r["page_id"] == 3] == ["Title Café & more text that is long enough to win. Second bold part."] * 2
+    assert rows(html_extract.extract(df.limit(0))) == []
+
+
+def test_sentencepiece(spark, odd):
+    model = tokenizer_path("piece_bpe_32k.model")
+    out = rows(sentencepiece_lattice.encode(odd, model, head=3))
+    assert len(out) == len(ODD) and all(r["exact"] for r in out)
+    p = sentencepiece_lattice.Pieces(model)
+    for t in ("one two", "a b ▁x  é\n\nz "):
+        assert "".join(sentencepiece_lattice.units(t)).startswith("▁")
+    assert rows(sentencepiece_lattice.encode(odd.limit(0), model)) == []
+    assert sentencepiece_lattice.decode([i for r in out if r["doc_id"] == 4 for i in r["ids"]], p.raw) == "one two"
+
+
+def test_secrets(spark, docs, texts, odd):
+    for r in rows(secrets.digest(secrets.scan(docs))):
+        want = brute.secrets(texts[r["doc_id"]])
+        assert all(r[k] == want[k] for k in ("n_assign", "n_access", "n_hex", "base_sha256"))
+        assert set(want["base"]) <= set(filter(None, r["spans"].split(",")))
+    assert len(rows(secrets.scan(odd))) == len(ODD) and rows(secrets.scan(odd.limit(0))) == []
+
+
+def test_multipart_credentials(spark):
+    key = "aB3" + "xY9z" * 9 + "Q"
+    whole = f"client_id: app-1234 then {key} at https://api.example.org/v1"
+    far = f"client_id: app-1234 {'pad ' * 300}{key} at https://api.example.org/v1"
+    df = spark.createDataFrame([(1, whole), (2, key), (3, far)], "doc_id bigint, text string")
+    kinds = {r["doc_id"]: [x["kind"] for x in r["spans"]] for r in secrets.scan(df).collect()}
+    assert kinds == {1: ["identifier", "key", "endpoint"], 2: [], 3: []}
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert key not in masked[1] and masked[2] == key
+
+
+def test_jaccard(docs, texts, odd):
+    want = brute.jaccard_components(list(texts.items()))
+    assert all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in rows(jaccard.similar_components(docs)))
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(jaccard.similar_components(odd))}
+    assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 29_998, 5), (8, 29_998, 5)} <= got
+    assert rows(jaccard.similar_components(odd.limit(0))) == []
+
+
+def test_line_dedup(docs, texts, odd):
+    want = brute.dedup_lines(list(texts.items()))
+    assert all(r["text"] == want[r["doc_id"]] for r in rows(line_dedup.dedup_lines(docs)))
+    out = rows(line_dedup.dedup_lines(odd))
+    assert len(out) == len(ODD)
+    by = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in out}
+    assert by[6] == ("Twice\n" + PASSAGE, 0) and by[7] == ("other line\ntail", 1) and by[8] == ("", 1) and by[1] == (None, 0)
+    assert rows(line_dedup.dedup_lines(odd.limit(0))) == []
+
+
+def test_quality_rules(spark, docs, texts, odd):
+    model = quality_rules.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for r in rows(quality_rules.rules(docs, model)):
+        want = brute.rules(texts[r["doc_id"]])
+        assert {k: r[k] for k in want} == want and not (r["kept"] and r["base_failed"])
+    out = rows(quality_rules.rules(odd, model))
+    assert len(out) == len(ODD) and all(r["base_failed"] for r in out if r["doc_id"] in (1, 2, 3, 4))
+    assert rows(quality_rules.rules(odd.limit(0), model)) == []
+
+
+def test_chat(spark):
+    got = {r["conv_id"]: r for r in rows(QUERIES["op7_chat_format"](spark, SF))}
+    conv: dict = {-7: [(r, "\\### Assistant: </turn> ok") for r in ("user", "assistant")]}
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        conv.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    assert got.keys() == conv.keys()
+    for k, t in conv.items():
+        want = brute.chat(t)
+        assert {x: got[k][x] for x in want} == want
+
+
+def test_chat_windows(spark):
+    turns = [("system", "be kind")] + [(("user", "assistant")[i % 2], f"turn {i} " + "word " * (37 * i % 200)) for i in range(60)] + [(None, None), ("a: b\n###", "</turn>\n\\h ### \\\\")]
+    df = spark.createDataFrame([(1, i, r, t, 0) for i, (r, t) in enumerate(turns)], "conv_id bigint, turn bigint, role string, text string, slot int")
+    w = chat.format_windows(df, budget=512, history=64)
+    assert all(r["n_tokens"] <= 512 for r in w.collect() if r["n_turns"] - r["n_context"] > 1)
+    assert w.where("text not like '### system: be kind</turn>%'").count() == 0
+    got = rows(chat.read_back(w))[0]
+    want = brute.chat(turns)
+    assert {x: got[x] for x in want} == want
+    assert rows(chat.format_windows(df.limit(0))) == []
+
+
+def test_packing(spark, odd):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    out = rows(pack.pack_documents(odd, tokenizer_path()))
+    for i, t in dict(ODD).items():
+        want = brute.pieces(tok.encode(t or "", add_special_tokens=False).ids)
+        assert sorted({(r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out if r["doc_id"] == i}) == want
+    seq: dict = {}
+    for r in out:
+        seq.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for s in seq.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at
+            at += n
+        assert at <= 2048
+    assert rows(pack.pack_documents(odd.limit(0), tokenizer_path())) == []
+
+
+def test_classifier(spark, odd):
+    labels = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/labels.parquet")
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    held = [r for r in rows(classifier.classify(docs, labels)) if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.95 * len(held) > 0
+    out = rows(classifier.classify(odd, labels))
+    assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 for r in out)
+    assert rows(classifier.classify(odd.limit(0), labels)) == []
+
+
+def test_fingerprints(spark, docs, texts, odd):
+    out = {r["doc_id"]: r for r in rows(fingerprint.fingerprint_edits(docs, rows_per_range=16))}
+    order = sorted(texts)
+    for i, d in enumerate(order):
+        made = fingerprint.edited(texts[d], texts[order[(i + 1) % len(order)]])
+        assert out[d]["edited_sha256"] == hashlib.sha256(made.encode()).hexdigest() and out[d]["n_chars"] == len(texts[d])
+    got = rows(fingerprint.fingerprint_edits(odd))
+    assert len(got) == len(ODD) and len({r["fingerprint"] for r in got if r["doc_id"] in (5, 8)}) == 1
+    assert rows(fingerprint.fingerprint_edits(odd.limit(0))) == []
+
+
+def test_sampling_equals_generalised_jaccard():
+    a = " ".join(f"x{i}" for i in range(400))
+    b = " ".join(f"x{i}" for i in range(300)) + " " + " ".join(f"y{i}" for i in range(100))
+    (ha, wa), (hb, wb) = fingerprint.terms(a.encode()), fingerprint.terms(b.encode())
+    x, y = dict(zip(ha, wa)), dict(zip(hb, wb))
+    true = sum(min(x.get(k, 0), y.get(k, 0)) for k in x | y) / sum(max(x.get(k, 0), y.get(k, 0)) for k in x | y)
+    sa, sb = (fingerprint.signature(t.encode(), 2048) for t in (a, b))
+    assert abs((sa == sb).mean() - true) < 0.05
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(80)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.columns
+        out = f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{name}"
+        stage(spark, docs, SF).write.parquet(out)
+        docs = spark.read.parquet(out)
+        assert docs.columns == before
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count() > 0
+    assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
