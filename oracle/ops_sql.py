@@ -31,6 +31,6 @@ cyc AS (select strftime(evd.day, '%Y%m%d') as run_ts, strftime(last_ts, '%Y-%m-%
         from evd left join n on n.day = evd.day)
 select run_ts, 'users' as feed, case when delta_count = 0 then 'EMPTY' else 'OK' end as outcome, delta_count,
        generated_at, lag_seconds
-from (select cyc.*, row_number() over (order by run_ts desc, 'users') as rn from cyc) where rn <= 10000"""
+from cyc"""
 
 SQL = {"h25_step_report": H25_SQL, "e11_heartbeat_log": E11_SQL}

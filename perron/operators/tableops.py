@@ -210,8 +210,8 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     """C13 all-or-nothing layer publish without a transactional format.
 
     Every table is written under a fresh version directory; only after all
-    writes succeed the pointer file ``_CURRENT`` is replaced (write to a
-    temporary name, then rename). Readers resolve tables through the
+    writes succeed a new numbered pointer file is added (written to a
+    temporary name, then renamed; the highest number holds). Readers resolve tables through the
     pointer, so they see either the old or the new layer, never a mix.
     A failed or re-run job leaves an unreferenced version directory.
     """
@@ -220,33 +220,53 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     return vdir
 
 
-def _write_pointer(spark: SparkSession, root: str, payload: dict) -> None:
+POINTER = "_CURRENT-"
+
+
+def _pointers(spark: SparkSession, root: str) -> tuple:
+    """The root's file system, its path, and its pointer numbers in order; no numbers for a root that is not there."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT.{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return fs, path, []
+    names = [st.getPath().getName() for st in fs.listStatus(path)]
+    return fs, path, sorted(int(n.removeprefix(POINTER)) for n in names if n.startswith(POINTER) and n.removeprefix(POINTER).isdigit())
+
+
+def _write_pointer(spark: SparkSession, root: str, payload: dict) -> None:
+    """Adds the next pointer file. No pointer is ever deleted, so a crash leaves the last one in force."""
+    jvm = spark.sparkContext._jvm
+    fs, _, numbers = _pointers(spark, root)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(json.dumps(payload).encode()))
     out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
+    dst = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}{(numbers[-1] if numbers else 0) + 1:012d}")
+    if fs.exists(dst) or not fs.rename(tmp, dst):
+        raise RuntimeError(f"another publish has taken {dst.toString()}")
 
 
-def current_version(spark: SparkSession, root: str) -> str:
+def published_version(spark: SparkSession, root: str) -> str | None:
+    """The version that the highest pointer names; None if nothing was ever published."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT")
-    fs = p.getFileSystem(conf)
-    stream = fs.open(p)
+    fs, _, numbers = _pointers(spark, root)
+    if not numbers:
+        return None
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}{numbers[-1]:012d}"))
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
     text = reader.readLine()
     reader.close()
     return json.loads(text)["version"]
 
 
+def current_version(spark: SparkSession, root: str) -> str:
+    version = published_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return version
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/v={current_version(spark, root)}/{name}")
 

@@ -34,11 +34,9 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month", (F.col("date_id") / 100).cast("bigint"))
 
 
-def _previous(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    try:
-        return C.read_current(spark, root, name)
-    except Exception:  # noqa: BLE001 - first run: no published version yet
-        return None
+def _previous(spark: SparkSession, root: str, version: str | None, name: str) -> DataFrame | None:
+    """The table in the published version; any failure to read it is an error, only a proven first run has none."""
+    return None if version is None else spark.read.parquet(f"{root}/v={version}/{name}")
 
 
 def run_daily(spark: SparkSession, s: Silver, root: str, as_of: dt.date, days: int = 3) -> str:
@@ -51,10 +49,12 @@ def run_daily(spark: SparkSession, s: Silver, root: str, as_of: dt.date, days: i
         "d_route": D.d_route(s.schedule_details),
         "d_train_type": G.train_types(s),
     }
+    # the version that readers see, read once; staged versions of failed runs play no part
+    published = C.published_version(spark, root)
     daily_new: dict[str, DataFrame] = {}
     for name, fn in DAILY.items():
         new_rows = _with_month(fn(s, w))
-        prev = _previous(spark, root, name)
+        prev = _previous(spark, root, published, name)
         if prev is None:
             merged = new_rows
         else:
@@ -69,25 +69,13 @@ def run_daily(spark: SparkSession, s: Silver, root: str, as_of: dt.date, days: i
     parts = {n: ["month"] for n in list(DAILY) + list(MONTHLY)}
     vdir = C.stage_version(spark, root, out, partition_by=parts)
     # months outside the window are unchanged: carry their partitions into the staged version
-    for name in list(DAILY) + list(MONTHLY):
-        prev = _previous_version_dir(spark, root, vdir, name)
-        if prev:
-            _link_untouched_months(spark, prev, f"{vdir}/{name}", lo_m, hi_m)
+    if published is not None:
+        for name in list(DAILY) + list(MONTHLY):
+            _link_untouched_months(spark, f"{root}/v={published}/{name}", f"{vdir}/{name}", lo_m, hi_m)
     C.switch_pointer(spark, root, vdir, list(out))    # readers switch to the new layer only now
     return vdir
 
 
-def _previous_version_dir(spark: SparkSession, root: str, current: str, name: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    versions = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("v="))
-    cur = jvm.org.apache.hadoop.fs.Path(current).toString()
-    older = [v for v in versions if v < cur and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{v}/{name}/_SUCCESS"))]
-    return f"{older[-1]}/{name}" if older else None
-
-
 def _link_untouched_months(spark: SparkSession, prev_table: str, new_table: str, lo_m: int, hi_m: int) -> None:
     """Copy the month partitions outside the window from the previous version
     (file-level copy of whole partitions; no data is recomputed)."""

@@ -176,11 +176,10 @@ def scd2_apply(log: DataFrame, changed: DataFrame, ended: DataFrame, key: Sequen
     ins = ins.withColumn("_newest", F.row_number().over(wi) == 1)
     new_rows = ins.select(*key, "order_id", *DIS_TRACKED, "change_hash",
                           (F.col("_newest") & (F.col("_last_kind") == "C")).alias("is_active"), "snapshot_ts")
-    last = ev.filter(F.col("_is_last")).select(*key, F.col("_kind").alias("_last_kind"),
-                                               F.col("change_hash").alias("_last_hash"))
-    old = log.alias("l").join(last.alias("x"), _null_safe_join(key, "l", "x"), "left")
-    close = F.col("l.is_active") & F.col("_last_kind").isNotNull() & (
-        (F.col("_last_kind") == "E") | ~F.col("l.change_hash").eqNullSafe(F.col("_last_hash")))
+    # whatever a key's events end with, an inserted version or an end closes the version that was active before
+    shut = ev.filter(F.col("_kind") == "E").select(*key).unionByName(ins.select(*key)).distinct().withColumn("_shut", F.lit(True))
+    old = log.alias("l").join(shut.alias("x"), _null_safe_join(key, "l", "x"), "left")
+    close = F.col("l.is_active") & F.coalesce("_shut", F.lit(False))
     old = old.select(*[F.col(f"l.{c}").alias(c) for c in log.columns if c != "is_active"],
                      F.when(close, F.lit(False)).otherwise(F.col("l.is_active")).alias("is_active"))
     return old.select(*log.columns).unionByName(new_rows.select(*log.columns))
@@ -211,17 +210,10 @@ def state_may_advance(outcome_col: Column, sink_ok: Column) -> Column:
     return (outcome_col == "EMPTY") | ((outcome_col == "OK") & sink_ok)
 
 
-def heartbeat_append(log: DataFrame, rows: DataFrame, keep: int = 10_000) -> DataFrame:
-    """E11 heartbeat log unique on (run_ts, feed), duplicates ignored, newest ``keep`` kept.
-
-    The cap is a top-k by ``run_ts`` (the spool's feature, not a sampling of
-    data); it is taken with a global window over a table bounded by ``keep``
-    plus one batch.
-    """
+def heartbeat_append(log: DataFrame, rows: DataFrame) -> DataFrame:
+    """E11 heartbeat log unique on (run_ts, feed); duplicates are ignored and every row stays."""
     new = rows.dropDuplicates(["run_ts", "feed"]).join(log.select("run_ts", "feed"), ["run_ts", "feed"], "left_anti")
-    allr = log.unionByName(new.select(*log.columns))
-    w = Window.orderBy(F.col("run_ts").desc(), F.col("feed"))
-    return allr.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= keep).drop("_rn")
+    return log.unionByName(new.select(*log.columns))
 
 
 def latest_versions(log: DataFrame, in_window: Column, tie: str = "id") -> DataFrame:
