@@ -124,12 +124,12 @@ def disruption_rows(snapshots: DataFrame) -> DataFrame:
                          F.posexplode("p.disruptions").alias("dpos", "d"))
     a = d.select("generated_at", "dpos", F.col("d.disruptionTypeCode").alias("disruption_type_code"),
                  F.col("d.message").alias("message"), F.posexplode("d.affectedRoutes").alias("apos", "a"))
-    rows = a.select("generated_at", F.struct("dpos", "apos").alias("pos"),
+    rows = a.select("generated_at", "dpos", "apos",
                     F.col("a.scheduleId").alias("schedule_id"), F.col("a.orderId").alias("order_id"),
                     F.col("a.trainOrderId").alias("train_order_id"),
                     F.col("a.operatingDate").cast("date").alias("operating_date"), F.col("a.stationId").alias("dsta_id"),
                     F.col("a.sequenceNumber").alias("sequence_number"), "disruption_type_code", "message")
-    return LV.flatten_disruptions(rows, ["pos"], ["generated_at"])
+    return LV.flatten_disruptions(rows, ["dpos", "apos"], ["generated_at"])
 
 
 def disruptions_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str, state_root: str,
