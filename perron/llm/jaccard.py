@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perron.llm.base import mix64, per_text, stored, text_or_empty
 from perron.llm.components import components
@@ -33,6 +34,8 @@ NUM, DEN, SHINGLE = 90, 100, 3
 SPARE, PARTS = 1, 2
 #: Members of a group that one block holds, and bits of the bitmap of wanted documents (1 MB at any input size).
 BLOCK, WANTED_BITS = 512, 1 << 23
+#: Classes of copies that every task knows, and documents signed at once.
+COPIED, SIGN = 10_000, 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,24 +99,46 @@ def _folded(rows: np.ndarray, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), axis=1)
 
 
-def _prepare(texts: list[bytes], ngram: int, num: int, den: int) -> list[pa.Array]:
-    size, hi, lo, sk, sig, offsets = [], [], [], [], [], [0]
-    for t in texts:
-        x = shingles(t, ngram)
-        d = xxhash.xxh3_128_intdigest(x.tobytes())
-        size.append(len(x))
-        hi.append((d >> 64) - (1 << 63))
-        lo.append((d & (2**64 - 1)) - (1 << 63))
-        sk.append(sketch(x))
-        s = signatures(x, num, den) if len(x) else np.zeros(0, np.uint64)
-        sig.append(s)
-        offsets.append(offsets[-1] + len(s))
-    flat = np.concatenate(sig or [np.zeros(0, np.uint64)]).view(np.int64)
+def _digest(x: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set as two signed longs."""
+    d = xxhash.xxh3_128_intdigest(x.tobytes())
+    return (d >> 64) - (1 << 63), (d & (2**64 - 1)) - (1 << 63)
+
+
+def _prepare(texts: list[bytes], ngram: int) -> list[pa.Array]:
+    sets = [shingles(t, ngram) for t in texts]
+    digests = [_digest(x) for x in sets]
+    sk = [sketch(x) for x in sets]
     sks = np.concatenate(sk or [np.zeros(0, np.int64)])
     sk_at = np.concatenate([[0], np.cumsum([len(x) for x in sk])])
-    return [pa.array(size, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-            pa.ListArray.from_arrays(pa.array(sk_at, pa.int32()), pa.array(sks, pa.int64())),
-            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+    return [pa.array([len(x) for x in sets], pa.int64()), pa.array([h for h, _ in digests], pa.int64()), pa.array([l for _, l in digests], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(sk_at, pa.int32()), pa.array(sks, pa.int64()))]
+
+
+def _signed(docs: DataFrame, classes: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
+    """doc_id, sig of every class, of its representative at least.
+
+    Signatures are many times the size of all else here, so they are made from the texts where they are dealt out and
+    stored nowhere. The COPIED most frequent classes go to every task, which then signs only for their representatives;
+    copies of rarer classes sign too and are left out where signatures have met.
+    """
+    most = classes.where("times > 1").orderBy(F.desc("times"), "hi", "lo").limit(COPIED).select("hi", "lo", "rep").toArrow()  # COPIED rows at most
+    shared = docs.sparkSession.sparkContext.broadcast([most[c].to_numpy() for c in ("hi", "lo", "rep")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hi, lo, reps = (c.tolist() for c in shared.value)
+        rep = dict(zip(zip(hi, lo, strict=True), reps, strict=True))
+        for b in (b.slice(i, SIGN) for b in batches for i in range(0, b.num_rows, SIGN)):
+            ids, sigs = [], []
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x = shingles(t, ngram)
+                if len(x) and rep.get(_digest(x), d) == d:
+                    sigs.append(signatures(x, num, den))
+                    ids.append(np.full(len(sigs[-1]), d, np.int64))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(sigs).view(np.int64))], names=["doc_id", "sig"])
+
+    return docs.where("doc_id is not null").select("doc_id", text_or_empty().cast("binary").alias("t")).mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("sig", T.LongType(), False)]))
 
 
 def _bit(col: str):
@@ -203,17 +228,18 @@ def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, de
     repeat a doc_id give a row each and, being one document, share a component. Other columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prep = stored(per_text(base, lambda t: _prepare(t, ngram, num, den), "n_shingles bigint, hi bigint, lo bigint, sk array<bigint>, sigs array<bigint>", ["doc_id"]), "sets")
+    prep = stored(per_text(base, lambda t: _prepare(t, ngram), "n_shingles bigint, hi bigint, lo bigint, sk array<bigint>", ["doc_id"]), "sets")
     usable = prep.where("doc_id is not null and n_shingles > 0")
-    classes = stored(usable.groupBy("hi", "lo", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stored(usable.groupBy("hi", "lo", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("times")), "classes")
     member = usable.select("doc_id", "hi", "lo", "n_shingles").join(classes, ["hi", "lo", "n_shingles"]).select("doc_id", "rep")
 
-    # one row for each class: its representative's signatures
-    reps = usable.join(classes.select(F.col("rep").alias("doc_id"), "hi", "lo"), ["doc_id", "hi", "lo"], "left_semi").dropDuplicates(["doc_id", "hi", "lo"])
-    # dealt out once: the grouping and the join read the same shuffle
-    sig = reps.select("doc_id", F.explode("sigs").alias("sig")).repartition("sig")
+    # Dealt out once: the grouping and the join read the same shuffle. That needs the same plan on both sides, so no
+    # column here is nullable and the representatives are joined last; a semi join would be pushed below the shuffle.
+    sig = _signed(base, classes, ngram, num, den).repartition("sig")
     groups = sig.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
-    shared = stored(sig.join(groups.hint("shuffle_hash"), "sig"), "shared")
+    # the least of a group is a representative, as a copy's representative signs alike
+    met = sig.join(groups.hint("shuffle_hash"), "sig").select("sig", "doc_id", "least")
+    shared = stored(met.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select("sig", "doc_id", "least"), "shared")
     facts = usable.join(classes.select(F.col("rep").alias("doc_id"), "hi", "lo"), ["doc_id", "hi", "lo"], "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "sk").dropDuplicates(["doc_id", "n", "sk"])
     facts = stored(facts.join(shared.select("doc_id").distinct(), "doc_id", "left_semi"), "facts")
 
