@@ -40,10 +40,14 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                case when not is_first then dday end as arrival_day,
                case when not is_first then platform end as arrival_platform,
                case when not is_first then track end as arrival_track,
+               case when not is_first then category end as arrival_category,
+               case when not is_first then number end as arrival_train_no,
                case when not is_last then clock end as departure_time,
                case when not is_last then dday end as departure_day,
                case when not is_last then platform end as departure_platform,
                case when not is_last then track end as departure_track,
+               case when not is_last then category end as departure_category,
+               case when not is_last then number end as departure_train_no,
                dstty_id
         from (
             select l_orderkey as order_id, l_linenumber as order_number, l_suppkey % 10 as dsta_id,
@@ -54,6 +58,9 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                         else cast(l_suppkey % 8 + 1 as varchar) || case when l_partkey % 5 = 0 then 'a' else '' end
                    end as platform,
                    cast(l_partkey % 12 + 1 as varchar) as track,
+                   case l_partkey % 4 when 0 then 'A' when 1 then 'B' when 2 then 'C' end as category,
+                   case when l_suppkey % 3 <> 0
+                        then cast(l_orderkey as varchar) || '/' || cast(l_suppkey % 5 as varchar) end as number,
                    case when cast(round(l_discount * 100) as integer) = 0 then 2 else 1 end as dstty_id,
                    l_linenumber = min(l_linenumber) over (partition by l_orderkey) as is_first,
                    l_linenumber = max(l_linenumber) over (partition by l_orderkey) as is_last

@@ -67,7 +67,7 @@ ev AS (
   select p_day, 'ended', p_schedule_id, p_order_id, p_train_order_id, p_operating_date, p_dsta_id,
          p_sequence_number, p_type, p_message, null
   from j, hi where p_hash is not null and change_hash is null and p_day <= hi.hi
-                and p_operating_date >= p_day - 1)"""
+                and p_operating_date >= p_day)"""
 
 E5_SQL = _DIS + """
 select strftime(snapshot_day, '%Y-%m-%d') as snapshot_day, kind, schedule_id, order_id, train_order_id,

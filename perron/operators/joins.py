@@ -1,43 +1,32 @@
-"""Join operators: size-checked broadcast, version-at-date lookup, OR-join.
+"""Join operators: version-at-date lookup.
 
-``bounded_broadcast`` is the only place a broadcast hint is set: the side is
-counted up to ``max_rows + 1`` (a bounded job over a small dimension) and
-only hinted when it fits; otherwise the plain DataFrame is returned and
-Spark plans a shuffle join (AQE may still switch it at run time, and its
-skew-join handling splits hot keys).
+No broadcast hint is set anywhere: Spark broadcasts a side whose size in bytes is known to lie under
+``spark.sql.autoBroadcastJoinThreshold``, and AQE does so at run time for a side that turns out that small; beyond it
+a shuffle join is planned, whose hot partitions AQE splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 OPEN_END = "2999-12-31"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def version_at_date(facts: DataFrame, versions: DataFrame, keys: Sequence[str], date_col: str,
-                    out_prefix: str = "tt_", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    open_end: str = OPEN_END, size_checked: bool = False) -> DataFrame:
+                    out_prefix: str = "tt_", open_end: str = OPEN_END) -> DataFrame:
     """Attach the dimension version valid at ``date_col``, else the open one.
 
     Two left joins on the equi key (the range test is a residual filter of
-    a broadcast hash join, never a nested loop): the version whose
+    an equi join, never a nested loop): the version whose
     ``valid_from..valid_to`` holds the date, and the current version
     (``valid_to = open_end``); attributes are coalesced. The dimension
-    must not hold overlapping versions (checked by tests). Pass
-    ``size_checked=True`` when ``versions`` already went through
-    ``bounded_broadcast``.
+    must not hold overlapping versions (checked by tests).
     """
     vcols = [c for c in versions.columns if c not in keys]
-    v = versions if size_checked else bounded_broadcast(versions, max_rows)
+    v = versions
     m = v.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *[F.col(c).alias(f"_m_{c}") for c in vcols])
     c = (v.filter(F.col("valid_to") == F.lit(open_end).cast("date"))
          .select(*[F.col(k).alias(f"_c_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in vcols]))
@@ -50,17 +39,3 @@ def version_at_date(facts: DataFrame, versions: DataFrame, keys: Sequence[str],
     sel = [F.when(found, F.col(f"_m_{x}")).otherwise(F.col(f"_c_{x}")).alias(out_prefix + x) for x in vcols]
     drop = [f"_m_{x}" for x in list(keys) + vcols] + [f"_c_{x}" for x in list(keys) + vcols]
     return out.select("*", *sel).drop(*drop)
-
-
-def or_join(left: DataFrame, right: DataFrame, conds: Sequence[Column], how: str = "inner",
-            dedup_cols: Sequence[str] | None = None) -> DataFrame:
-    """``a JOIN b ON (c1 OR c2 ...)`` as a union of equi joins plus dedup.
-
-    Each branch is a hash join; a pair matched by several branches is kept
-    once. ``dedup_cols`` must identify a (left row, right row) pair.
-    """
-    parts = [left.join(right, c, how) for c in conds]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.dropDuplicates(list(dedup_cols)) if dedup_cols else u.distinct()

@@ -104,8 +104,12 @@ def schedule_stops(parsed: DataFrame) -> DataFrame:
         F.col("s.orderNumber").alias("order_number"), F.col("s.stationId").alias("dsta_id"),
         F.col("s.arrivalTime").alias("arrival_time"), F.col("s.arrivalDay").alias("arrival_day"),
         F.col("s.arrivalPlatform").alias("arrival_platform"), F.col("s.arrivalTrack").alias("arrival_track"),
+        F.col("s.arrivalCommercialCategory").alias("arrival_category"),
+        F.col("s.arrivalTrainNumber").alias("arrival_train_no"),
         F.col("s.departureTime").alias("departure_time"), F.col("s.departureDay").alias("departure_day"),
         F.col("s.departurePlatform").alias("departure_platform"), F.col("s.departureTrack").alias("departure_track"),
+        F.col("s.departureCommercialCategory").alias("departure_category"),
+        F.col("s.departureTrainNumber").alias("departure_train_no"),
         F.col("s.stopTypeId").alias("dstty_id"))
 
 

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions.ordered import top1
-from perron.operators.joins import bounded_broadcast
 from perron.plans.silver_model import Silver
 
 DASH = "—"
@@ -32,7 +31,7 @@ CANCELLED, DEPARTED, ARRIVED, DELAYED, ON_TIME = "ODWOŁANY", "ODJECHAŁ", "PRZY
 
 
 def _ends(s: Silver) -> DataFrame:
-    st = bounded_broadcast(s.def_station.select("id", "name"))
+    st = s.def_station.select("id", "name")
     e = s.schedule_details.groupBy("schedule_id", "order_id").agg(
         F.min(F.struct("order_number", "dsta_id")).alias("f"), F.max(F.struct("order_number", "dsta_id")).alias("l"))
     e = e.select("schedule_id", "order_id", F.col("f.order_number").alias("first_seq"),
@@ -60,7 +59,7 @@ def _vias(s: Silver, ends: DataFrame, station_id, after: bool) -> DataFrame:
     x = sd.join(plans, ["schedule_id", "order_id"], "left_semi").withColumn(
         "_n", F.coalesce(F.sum(here).over(w), F.lit(0)))
     x = x.join(ends.select("schedule_id", "order_id", "first_seq", "last_seq"), ["schedule_id", "order_id"])
-    st = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("_name")))
+    st = s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("_name"))
     x = x.filter(keep & (F.col("_n") > 0)).join(st, "dsta_id", "left").filter(F.col("_name").isNotNull())
     x = x.select("schedule_id", "order_id", "order_number", F.explode(F.array_repeat("_name", F.col("_n").cast("int")))
                  .alias("_name"))
@@ -72,7 +71,7 @@ def _vias(s: Silver, ends: DataFrame, station_id, after: bool) -> DataFrame:
 def _disruption_texts(s: Silver, dis_log: DataFrame, ends: DataFrame, now, zone: str) -> DataFrame:
     d = dis_log.filter(F.col("is_active") & (F.from_utc_timestamp("snapshot_ts", zone)
                                              >= F.lit(now).cast("timestamp") - F.expr("INTERVAL 24 HOURS")))
-    dc = bounded_broadcast(s.def_disruption_cause.select(F.lower("code").alias("_lc"), "description"))
+    dc = s.def_disruption_cause.select(F.lower("code").alias("_lc"), "description")
     d = d.join(dc, F.lower(F.coalesce("message", "disruption_type_code")) == F.col("_lc"), "left")
     d = d.join(ends.select("schedule_id", "order_id", "station_start", "station_end"), ["schedule_id", "order_id"],
                "left")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from perron.functions.clock import clock_minutes, date_key, planned_instant_seconds
 from perron.functions.ordered import first_row, last_row
-from perron.operators.joins import OPEN_END, bounded_broadcast, version_at_date
+from perron.operators.joins import OPEN_END, version_at_date
 from perron.plans.gold_dims import d_train_type, plan_ends
 from perron.plans.silver_model import Silver
 
@@ -109,7 +109,7 @@ def confirmed_span(operation_details: DataFrame) -> DataFrame:  # noqa: D401
 
 
 def train_types(s: Silver) -> DataFrame:
-    """d_train_type for this silver snapshot, built once and size-checked once."""
+    """d_train_type for this silver snapshot, built once."""
     if "d_train_type" not in s.extra:
         tt = d_train_type(s.def_commercial_category, s.def_carrier, s.schedule_header)
         root = getattr(s, "_root", None)
@@ -118,22 +118,21 @@ def train_types(s: Silver) -> DataFrame:
             # table instead of re-deriving it from the timetable in every plan
             tt.write.mode("overwrite").parquet(f"{root}/d_train_type")
             tt = s.spark.read.parquet(f"{root}/d_train_type")
-        s.extra["d_train_type"] = bounded_broadcast(tt)
+        s.extra["d_train_type"] = tt
     return s.extra["d_train_type"]
 
 
 def with_type_version(df: DataFrame, s: Silver, date_col: str = "operating_date") -> DataFrame:
     """Version of (category, carrier) valid at the date, else the open version."""
     tt = train_types(s).select("category_code", "carrier_code", "valid_from", "valid_to")
-    out = version_at_date(df, tt, ["category_code", "carrier_code"], date_col, out_prefix="tt_",
-                          size_checked=True)
+    out = version_at_date(df, tt, ["category_code", "carrier_code"], date_col, out_prefix="tt_")
     return out.withColumn("type_valid_from", F.date_format("tt_valid_from", "yyyy-MM-dd")).drop(
         "tt_valid_from", "tt_valid_to")
 
 
 def _statuses(s: Silver) -> DataFrame:
     if "statuses" not in s.extra:
-        s.extra["statuses"] = bounded_broadcast(s.def_train_status.select(F.col("code").alias("train_status")))
+        s.extra["statuses"] = s.def_train_status.select(F.col("code").alias("train_status"))
     return s.extra["statuses"]
 
 
@@ -264,7 +263,7 @@ def disruption_resolved(s: Silver, w: Window_) -> DataFrame:
     ep = ends_for(s, dd).select("schedule_id", "order_id", "from_station_id", "to_station_id")
     x = x.join(ep, ["schedule_id", "order_id"], "inner")
     x = with_type_version(x, s)
-    causes = bounded_broadcast(s.def_disruption_cause.select(F.col("code").alias("_cc")))
+    causes = s.def_disruption_cause.select(F.col("code").alias("_cc"))
     ct = causes.select(F.col("_cc").alias("_ct"))
     cm = causes.select(F.col("_cc").alias("_cm"))
     x = (x.join(ct, x.disruption_type_code == ct._ct, "left")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions.ratio import avg2, pct
-from perron.operators.joins import bounded_broadcast
 from perron.plans.gold_dims import d_station
 from perron.plans.gold_facts import TYPE_KEY, train_types
 from perron.plans.silver_model import Silver
@@ -21,8 +20,8 @@ def _memo(s: Silver, key: str, build) -> DataFrame:
 
 
 def _station_names(s: Silver) -> DataFrame:
-    return _memo(s, "station_names", lambda: bounded_broadcast(
-        d_station(s.def_station, s.def_city).select("id", "station_name")))
+    return _memo(s, "station_names", lambda:
+                 d_station(s.def_station, s.def_city).select("id", "station_name"))
 
 
 def _type_names(s: Silver) -> DataFrame:
@@ -128,8 +127,8 @@ def status_share_monthly(s: Silver, run_monthly: DataFrame) -> DataFrame:
         F.max("max_terminal_delay_min").alias("max_terminal_delay_min"),
     )
     total = F.sum("runs_count").over(Window.partitionBy("month", *ROUTE, *TYPE_KEY))
-    st = bounded_broadcast(s.def_train_status.select(F.col("code").alias("status_code"),
-                                                     F.col("name").alias("status_name")))
+    st = s.def_train_status.select(F.col("code").alias("status_code"),
+                                    F.col("name").alias("status_name"))
     a = (_with_route_name(a, s).join(_type_names(s), TYPE_KEY, "inner").join(st, "status_code", "inner"))
     return a.select(
         "month", "route_name", "category_name", "carrier_name", "status_name", *ROUTE, *TYPE_KEY,
@@ -170,8 +169,8 @@ def stop_hourly_monthly(s: Silver, stop_monthly: DataFrame) -> DataFrame:
 
 
 def _cause_names(s: Silver) -> DataFrame:
-    return _memo(s, "cause_names", lambda: bounded_broadcast(s.def_disruption_cause.select(
-        F.col("code").alias("cause_code"), F.col("description").alias("cause_name"))))
+    return _memo(s, "cause_names", lambda: s.def_disruption_cause.select(
+        F.col("code").alias("cause_code"), F.col("description").alias("cause_name")))
 
 
 def disruption_causes_monthly(s: Silver, dis_monthly: DataFrame) -> DataFrame:
@@ -199,7 +198,7 @@ def run_route(s: Silver) -> DataFrame:
     oh = s.operation_header.select(F.col("id").alias("ophe_id"), "operating_date", "schedule_id", "order_id",
                                    "train_order_id")
     od = s.operation_details
-    ds = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("station_name")))
+    ds = s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("station_name"))
     x = oh.join(od, ["ophe_id", "operating_date"], "inner").join(ds, "dsta_id", "inner")
     from perron.functions.ordered import first_row, last_row
     rel = x.groupBy("ophe_id").agg(

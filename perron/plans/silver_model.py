@@ -76,7 +76,7 @@ class _LazySilver(Silver):
                     path = f"{root}/{name}"
                     n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                     keys = _CLUSTER.get(name)
-                    out = df.repartition(n, *keys) if keys else df.coalesce(1)
+                    out = df.repartition(n, *keys) if keys else df
                     w = out.write.mode("overwrite")
                     if "operating_date" in df.columns:
                         # day partitions: a date window prunes the scan to its partitions

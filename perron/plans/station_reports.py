@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from perron.functions.clock import clock_seconds, date_epoch_seconds
 from perron.functions.ordered import first_row, keep_last_max
-from perron.operators.joins import bounded_broadcast
 from perron.plans.gold_dims import plan_ends
 from perron.plans.gold_facts import train_types
 from perron.plans.reports import SECTION_TEMPLATE, SECTION_TEXT
@@ -63,18 +62,18 @@ def station_calls(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     first = first.select("ophe_id", F.col("planned_sequence").alias("wro_seq"), "ow.*")
     x = w.join(first, ["ophe_id", "wro_seq"], "left")
     # names (size-checked broadcasts of dictionaries)
-    st = bounded_broadcast(s.def_station.select("id", "name"))
+    st = s.def_station.select("id", "name")
     x = (x.join(st.select(F.col("id").alias("stacja_pocz_id"), F.col("name").alias("stacja_pocz")),
                 "stacja_pocz_id", "left")
          .join(st.select(F.col("id").alias("stacja_konc_id"), F.col("name").alias("stacja_konc")),
                "stacja_konc_id", "left"))
-    car = bounded_broadcast(s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to"))
+    car = s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to")
     cn = (x.select("ophe_id", "operating_date", "przewoznik").distinct()
           .join(car, "przewoznik").filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
           .groupBy("ophe_id").agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
-    cat = bounded_broadcast(s.def_commercial_category.select(
+    cat = s.def_commercial_category.select(
         F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa")))
+        F.col("name").alias("kategoria_nazwa"))
     x = x.join(cn, "ophe_id", "left").join(cat, ["kategoria", "przewoznik"], "left")
     # disruption at the station: (order id OR train id) as two semi joins
     dd = s.disruption_details.filter(F.col("dsta_id") == station_id)
@@ -137,7 +136,7 @@ def station_disruptions(s: Silver, calls: DataFrame, station_id) -> DataFrame:
     # OR join as two equi joins; a (call, affected stop) pair matched by both is kept once
     j = cc.join(d, on1, "inner").select(*sel).unionByName(cc.join(d, on2, "inner").select(*sel)).distinct()
     dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message", "snapshot_ts")
-    causes = bounded_broadcast(s.def_disruption_cause.select("code", "description"))
+    causes = s.def_disruption_cause.select("code", "description")
     ck = causes.select(F.col("code").alias("_ck"), F.col("description").alias("_dk"))
     cm = causes.select(F.col("code").alias("_cm"), F.col("description").alias("_dm"))
     j = (j.join(dh, "dihe_id", "inner").join(ck, F.col("disruption_type_code") == F.col("_ck"), "left")
@@ -175,7 +174,7 @@ def route_start_monthly(s: Silver, as_of: dt.date, months: int = 24) -> DataFram
         "ophe_id", "planned_sequence", F.col("dsta_id").alias("from_station_id"), "departure_delay_min")
     x = r.join(ends, ["schedule_id", "order_id"], "inner").join(od, "ophe_id", "inner").filter(
         F.col("planned_sequence") == F.col("min_on"))
-    routes = bounded_broadcast(plan_ends(s.schedule_details).select("from_station_id", "to_station_id").distinct())
+    routes = plan_ends(s.schedule_details).select("from_station_id", "to_station_id").distinct()
     x = x.join(routes, ["from_station_id", "to_station_id"], "left_semi")
     tt = train_types(s).select("category_code", "carrier_code", "valid_from", "valid_to", "category_name",
                                "carrier_name")
@@ -244,18 +243,18 @@ def completed_runs(s: Silver, as_of: dt.date, station_id) -> DataFrame:
                        F.col("is_cancelled").cast("int").alias("canc"))).alias("ow"),
         F.count_distinct(F.when(F.col("is_cancelled"), F.col("planned_sequence"))).alias("liczba_odwolanych"))
     x = kurs.join(plan, ["schedule_id", "order_id"], "inner").join(op, "ophe_id", "left")
-    st = bounded_broadcast(s.def_station.select("id", "name"))
+    st = s.def_station.select("id", "name")
     x = (x.join(st.select(F.col("id").alias("start_dsta"), F.col("name").alias("relacja_od")), "start_dsta", "left")
          .join(st.select(F.col("id").alias("koniec_dsta"), F.col("name").alias("relacja_do")), "koniec_dsta", "left")
          .join(st.select(F.col("id").alias("_ol_dsta"), F.col("name").alias("_ol_name")),
                F.col("ol.dsta_id") == F.col("_ol_dsta"), "left"))
-    car = bounded_broadcast(s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to"))
+    car = s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to")
     cn = (x.select("ophe_id", "operating_date", "przewoznik").join(car, "przewoznik")
           .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
           .groupBy("ophe_id").agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
-    cat = bounded_broadcast(s.def_commercial_category.select(
+    cat = s.def_commercial_category.select(
         F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa")))
+        F.col("name").alias("kategoria_nazwa"))
     x = x.join(cn, "ophe_id", "left").join(cat, ["kategoria", "przewoznik"], "left")
     base = date_epoch_seconds(F.col("operating_date"))
     start_d = _clock_day_minutes("start_dep_time", "start_dep_day")
@@ -339,8 +338,8 @@ def run_disruptions(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     u = u.select("ophe_id", "dihe_id", "dis_seq_od", "dis_seq_do", F.col("f.dsta_id").alias("dsta_od"),
                  F.col("l.dsta_id").alias("dsta_do"), "liczba_przystankow")
     dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
-    causes = bounded_broadcast(s.def_disruption_cause.select("code", "description"))
-    st = bounded_broadcast(s.def_station.select("id", "name"))
+    causes = s.def_disruption_cause.select("code", "description")
+    st = s.def_station.select("id", "name")
     t = (u.join(dh, "dihe_id", "inner")
          .join(causes.select(F.col("code").alias("_ck"), F.col("description").alias("_dk")),
                F.col("disruption_type_code") == F.col("_ck"), "left")
@@ -392,7 +391,7 @@ def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
     stops = sd.join(best.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"], "left_semi")
     pe = stops.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("_mn"),
                                                       F.max("order_number").alias("_mx"))
-    st = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa")))
+    st = s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa"))
     x = stops.join(pe, ["schedule_id", "order_id"]).join(st, "dsta_id", "inner")
     x = x.select("schedule_id", "order_id", F.col("order_number").alias("stacja_kolejnosc"),
                  F.col("dsta_id").alias("stacja_id"), "stacja_nazwa", "arrival_time",
@@ -407,15 +406,11 @@ def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
 PLATFORM_RE = r"(?i)^\d+[a-z]?$"
 
 
-def _opt(df: DataFrame, name: str) -> F.Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast("string")
-
-
 def _plan_secs(sd: DataFrame) -> DataFrame:
     return sd.select("*", _clock_day_minutes("arrival_time", "arrival_day").alias("arr_sec"),
                      _clock_day_minutes("departure_time", "departure_day").alias("dep_sec"),
-                     _opt(sd, "departure_category").alias("_dep_cat"), _opt(sd, "arrival_category").alias("_arr_cat"),
-                     _opt(sd, "departure_train_no").alias("_dep_no"), _opt(sd, "arrival_train_no").alias("_arr_no"))
+                     F.col("departure_category").alias("_dep_cat"), F.col("arrival_category").alias("_arr_cat"),
+                     F.col("departure_train_no").alias("_dep_no"), F.col("arrival_train_no").alias("_arr_no"))
 
 
 def _departing_calls(s: Silver, today: dt.date, station_id) -> tuple[DataFrame, DataFrame]:
@@ -452,7 +447,7 @@ def timetable_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
                            & (F.col("t.stacja_kolejnosc") > F.col("k.wro_order")), "inner")
     x = x.select("k.*", "t.stacja_kolejnosc", "t.stacja_id", "t.arr_sec", "t.dep_sec", "t.arrival_platform",
                  "t.departure_platform", "t.arrival_track", "t.departure_track", "t.dstty_id")
-    st = bounded_broadcast(s.def_station.select("id", "name"))
+    st = s.def_station.select("id", "name")
     ends = plan_ends(s.schedule_details.join(kw.select("schedule_id", "order_id").distinct(),
                                              ["schedule_id", "order_id"], "left_semi"))
     x = (x.join(st.select(F.col("id").alias("stacja_id"), F.col("name").alias("stacja_nazwa")), "stacja_id", "inner")
@@ -462,13 +457,13 @@ def timetable_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
                "left")
          .join(st.select(F.col("id").alias("to_station_id"), F.col("name").alias("relacja_do")), "to_station_id",
                "left"))
-    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
-                                                   F.col("description").alias("stacja_typ_postoju_opis")))
+    stt = s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("stacja_typ_postoju_opis"))
     x = x.join(stt, "dstty_id", "left").withColumn("kategoria", F.coalesce("wro_kategoria", "category_code"))
-    cat = bounded_broadcast(s.def_commercial_category.select(
+    cat = s.def_commercial_category.select(
         F.col("code").alias("kategoria"), F.col("carrier_code").alias("carrier_code"),
-        F.col("name").alias("kategoria_nazwa")))
-    car = bounded_broadcast(s.def_carrier.select(F.col("code").alias("carrier_code"), "name", "valid_from", "valid_to"))
+        F.col("name").alias("kategoria_nazwa"))
+    car = s.def_carrier.select(F.col("code").alias("carrier_code"), "name", "valid_from", "valid_to")
     cn = (x.select("operating_date", "carrier_code").distinct().join(car, "carrier_code")
           .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
           .groupBy("operating_date", "carrier_code")
@@ -516,13 +511,13 @@ def route_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
         F.col("k.carrier_code").alias("carrier_code"), F.col("k.name").alias("nazwa_pociagu"),
         F.col("k.wro_order").alias("wro_order"), *[F.col(f"t.{c}").alias(c) for c in tgt.columns
                                                    if c not in ("schedule_id", "order_id")])
-    st = bounded_broadcast(s.def_station.select(F.col("id").alias("stacja_id"), F.col("name").alias("stacja_nazwa")))
-    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
-                                                   F.col("description").alias("typ_postoju_opis")))
+    st = s.def_station.select(F.col("id").alias("stacja_id"), F.col("name").alias("stacja_nazwa"))
+    stt = s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("typ_postoju_opis"))
     x = x.join(st, "stacja_id", "inner").join(stt, "dstty_id", "left").withColumn(
         "kategoria", F.coalesce("_dep_cat", "_arr_cat"))
-    cat = bounded_broadcast(s.def_commercial_category.select(
-        F.col("code").alias("kategoria"), "carrier_code", F.col("name").alias("kategoria_nazwa")))
+    cat = s.def_commercial_category.select(
+        F.col("code").alias("kategoria"), "carrier_code", F.col("name").alias("kategoria_nazwa"))
     x = x.join(cat, ["kategoria", "carrier_code"], "left")
     base = date_epoch_seconds(F.col("operating_date"))
     plat = F.coalesce("arrival_platform", "departure_platform")
@@ -597,15 +592,15 @@ def run_stops(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     x = kurs.join(sd.filter(F.col("arrival_time").isNotNull() | (F.col("order_number") == F.col("start_seq"))),
                   ["schedule_id", "order_id"], "inner")
     x = x.join(od, ["ophe_id", "order_number"], "left").withColumn("_meas", F.col("actual_sequence").isNotNull())
-    st = bounded_broadcast(s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa")))
-    stt = bounded_broadcast(s.def_stop_type.select(F.col("id").alias("dstty_id"),
-                                                   F.col("description").alias("typ_postoju_opis")))
+    st = s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa"))
+    stt = s.def_stop_type.select(F.col("id").alias("dstty_id"),
+                                                   F.col("description").alias("typ_postoju_opis"))
     x = (x.join(st, "dsta_id", "left").join(stt, "dstty_id", "left")
          .join(flag, ["ophe_id", "order_number"], "left").join(start, ["ophe_id", "order_number"], "left"))
-    kat = F.coalesce(_opt(x, "departure_category"), _opt(x, "arrival_category"))
-    cat = bounded_broadcast(s.def_commercial_category.select(
+    kat = F.coalesce("departure_category", "arrival_category")
+    cat = s.def_commercial_category.select(
         F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa")))
+        F.col("name").alias("kategoria_nazwa"))
     x = x.withColumn("kategoria", kat).join(cat, ["kategoria", "przewoznik"], "left")
     base = date_epoch_seconds(F.col("operating_date"))
     plat = F.coalesce("arrival_platform", "departure_platform")
@@ -628,7 +623,7 @@ def run_stops(s: Silver, as_of: dt.date, station_id) -> DataFrame:
         F.when(F.col("is_cancelled"), 1).otherwise(0).alias("czy_odwolany"),
         F.when(~F.col("_meas"), 1).otherwise(0).alias("czy_brak_pomiaru"),
         _keep_platform(plat).alias("peron"), _keep_platform(track).alias("tor"), "kategoria", "kategoria_nazwa",
-        F.coalesce(_opt(x, "departure_train_no"), _opt(x, "arrival_train_no")).alias("nr_pociagu"),
+        F.coalesce("departure_train_no", "arrival_train_no").alias("nr_pociagu"),
         F.col("dstty_id").alias("typ_postoju_id"), "typ_postoju_opis",
         F.coalesce("czy_stacja_utrudniona", F.lit(0)).alias("czy_stacja_utrudniona"),
         F.coalesce("czy_odcinek_utrudniony", F.lit(0)).alias("czy_odcinek_utrudniony"),

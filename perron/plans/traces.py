@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perron.functions.clock import date_key
-from perron.operators.joins import bounded_broadcast
 from perron.plans.gold_dims import plan_ends
 from perron.plans.gold_facts import confirmed_span, with_type_version
 from perron.plans.silver_model import Silver
@@ -40,8 +39,8 @@ def run_daily_trace(s: Silver, run_fact: DataFrame) -> DataFrame:
          .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left")
          .join(confirmed_span(s.operation_details).select("ophe_id", "terminal_delay"), "ophe_id", "left"))
     x = with_type_version(x, s)
-    st = bounded_broadcast(s.def_train_status.select(F.col("code").alias("train_status"),
-                                                     F.col("code").alias("status_code")))
+    st = s.def_train_status.select(F.col("code").alias("train_status"),
+                                                     F.col("code").alias("status_code"))
     x = x.join(st, "train_status", "left").withColumn("date_id", date_key("operating_date"))
     x = x.join(_fact_dates(run_fact), "date_id", "left_semi")
     td = F.col("terminal_delay")
@@ -95,7 +94,7 @@ def disruption_daily_trace(s: Silver, dis_fact: DataFrame) -> DataFrame:
          .join(sd, ["schedule_id", "order_id", "sequence_number"], "left")
          .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left"))
     x = with_type_version(x, s)
-    causes = bounded_broadcast(s.def_disruption_cause.select(F.col("code").alias("_cc")))
+    causes = s.def_disruption_cause.select(F.col("code").alias("_cc"))
     ct = causes.select(F.col("_cc").alias("_ct"))
     cm = causes.select(F.col("_cc").alias("_cm"))
     x = (x.join(ct, x.disruption_type_code == ct._ct, "left").join(cm, x.message == cm._cm, "left")

@@ -484,8 +484,9 @@ def d8(spark, sf_dir):
 
 
 SD_DDL = ("schedule_id bigint, order_id bigint, order_number int, dsta_id bigint, arrival_time string, "
-          "arrival_day int, arrival_platform string, arrival_track string, departure_time string, departure_day int, "
-          "departure_platform string, departure_track string, dstty_id int")
+          "arrival_day int, arrival_platform string, arrival_track string, arrival_category string, "
+          "arrival_train_no string, departure_time string, departure_day int, departure_platform string, "
+          "departure_track string, departure_category string, departure_train_no string, dstty_id int")
 
 
 @query("d9_schedule_details")
@@ -526,14 +527,11 @@ def d11(spark, sf_dir):
                       "is_confirmed", "is_cancelled", "arrival_delay_min", "departure_delay_min", "dwell_time_sec")
 
 
-FIXTURE_ID_FACTOR = 10 ** 10   # the fixture's disruption ids exceed 10^6
-
-
 @query("d12_disruption_header")
 def d12(spark, sf_dir):
     out = SL.load_disruption_header(P.disruptions_landing(_fx(spark, sf_dir)),
                                     _empty(spark, "id bigint, disruption_type_code string, message string, "
-                                                  "snapshot_ts timestamp"), FIXTURE_ID_FACTOR)
+                                                  "snapshot_ts timestamp"))
     return out.drop("snapshot_ts")
 
 
@@ -542,7 +540,7 @@ def d13(spark, sf_dir):
     out = SL.load_disruption_details(
         P.disruptions_landing(_fx(spark, sf_dir)),
         _empty(spark, "operating_date date, schedule_id bigint, order_id bigint, dsta_id bigint, dihe_id bigint, "
-                      "train_order_id bigint, sequence_number int"), FIXTURE_ID_FACTOR)
+                      "train_order_id bigint, sequence_number int"))
     return out.withColumn("operating_date", F.date_format("operating_date", "yyyy-MM-dd"))
 
 
@@ -576,8 +574,8 @@ def _dis_events(spark, sf_dir):
     in_c, in_p = F.col("c.change_hash").isNotNull(), F.col("p.change_hash").isNotNull()
     changed = j.filter(in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))).select(
         *[F.col(f"c.{x}").alias(x) for x in cols], F.lit("changed").alias("kind"))
-    # tombstones only for runs on or after the window start of the current snapshot (day - 1)
-    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date") >= F.date_sub(F.col("_day"), 1))).select(
+    # tombstones only for runs of the current snapshot's day on: what merely leaves the window is not ended
+    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date") >= F.col("_day"))).select(
         *[F.col(f"p.{x}").alias(x) for x in key + LV.DIS_TRACKED], F.lit(None).cast("string").alias("change_hash"),
         F.lit("ended").alias("kind"))
     return changed.unionByName(ended)

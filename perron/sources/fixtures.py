@@ -141,6 +141,11 @@ class Fixture:
             F.concat((F.col("l_suppkey") % 8 + 1).cast("string"),
                      F.when(F.col("l_partkey") % 5 == 0, F.lit("a")).otherwise(F.lit(""))))
         track = (F.col("l_partkey") % 12 + 1).cast("string")
+        # category and number of the train at the stop; some stops have none
+        kind = F.col("l_partkey") % 4
+        category = F.when(kind == 0, "A").when(kind == 1, "B").when(kind == 2, "C")
+        number = F.when(F.col("l_suppkey") % 3 != 0,
+                        F.concat(F.col("l_orderkey").cast("string"), F.lit("/"), (F.col("l_suppkey") % 5).cast("string")))
         return first.select(
             F.lit(SCHEDULE_ID).cast("bigint").alias("schedule_id"),
             F.col("l_orderkey").alias("order_id"),
@@ -150,10 +155,14 @@ class Fixture:
             F.when(~is_first, day).alias("arrival_day"),
             F.when(~is_first, platform).alias("arrival_platform"),
             F.when(~is_first, track).alias("arrival_track"),
+            F.when(~is_first, category).alias("arrival_category"),
+            F.when(~is_first, number).alias("arrival_train_no"),
             F.when(~is_last, clock).alias("departure_time"),
             F.when(~is_last, day).alias("departure_day"),
             F.when(~is_last, platform).alias("departure_platform"),
             F.when(~is_last, track).alias("departure_track"),
+            F.when(~is_last, category).alias("departure_category"),
+            F.when(~is_last, number).alias("departure_train_no"),
             F.when(F.round(F.col("l_discount") * 100).cast("int") == 0, 2).otherwise(1).alias("dstty_id"),
         )
 

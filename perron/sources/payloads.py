@@ -81,8 +81,11 @@ def schedules_landing(fx: Fixture) -> DataFrame:
         F.col("order_number").alias("orderNumber"), F.col("dsta_id").alias("stationId"),
         F.col("arrival_time").alias("arrivalTime"), F.col("arrival_day").alias("arrivalDay"),
         F.col("arrival_platform").alias("arrivalPlatform"), F.col("arrival_track").alias("arrivalTrack"),
+        F.col("arrival_category").alias("arrivalCommercialCategory"), F.col("arrival_train_no").alias("arrivalTrainNumber"),
         F.col("departure_time").alias("departureTime"), F.col("departure_day").alias("departureDay"),
         F.col("departure_platform").alias("departurePlatform"), F.col("departure_track").alias("departureTrack"),
+        F.col("departure_category").alias("departureCommercialCategory"),
+        F.col("departure_train_no").alias("departureTrainNumber"),
         F.col("dstty_id").alias("stopTypeId")))).alias("stations"))
     sh = fx.schedule_header()
     routes = sh.join(stops, ["schedule_id", "order_id"], "inner").select(

@@ -26,8 +26,12 @@ from perron.operators import shred
 from perron.plans import live as LV
 
 
-def _latest_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    """Newest committed version directory ``v=<batch id>`` under ``state_root`` (or None)."""
+def _latest_state(spark: SparkSession, state_root: str, before: int | None = None) -> DataFrame | None:
+    """Newest committed version directory ``v=<batch id>`` under ``state_root`` (or None).
+
+    A batch reads versions below its own id only, so that its replay starts from what its first run read and never
+    reads the directory that it overwrites.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(state_root)
@@ -39,11 +43,18 @@ def _latest_state(spark: SparkSession, state_root: str) -> DataFrame | None:
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{state_root}/{name}/_SUCCESS")):
             ids.append(int(name[2:]))
+    ids = [i for i in ids if before is None or i < before]
     if not ids:
         return None
     return spark.read.parquet(f"{state_root}/v={max(ids)}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists; any other failure to look at it is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_rows(snapshots: DataFrame, station_id) -> DataFrame:
     """Trains of parsed operations snapshots with the E2 hash at ``station_id``."""
     t = snapshots.select(F.col("p.generatedAt").alias("generated_at_text"),
@@ -74,7 +85,7 @@ def operations_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_p
     """The ``foreachBatch`` body for the operations feed."""
     parsed = shred.parse(batch.withColumnRenamed("value", "payload").withColumn("object_name", F.lit(None)),
                          "operations").filter(~shred.is_corrupt("p"))
-    state = _latest_state(spark, state_root)
+    state = _latest_state(spark, state_root, batch_id)
     rows = run_rows(parsed, station_id)
     if state is not None:
         last = state.agg(F.max("generated_at")).first()[0]
@@ -85,10 +96,7 @@ def operations_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_p
         "trainStatus", "change_hash", F.col("generated_at").alias("snapshot_ts"),
         F.explode_outer("stations").alias("s"))
     log_rows = log_rows.select("*", F.col("s.stationId").alias("dsta_id")).drop("s")
-    try:
-        log = spark.read.parquet(log_path)
-    except Exception:  # noqa: BLE001 - first batch: no log yet
-        log = log_rows.limit(0)
+    log = spark.read.parquet(log_path) if _exists(spark, log_path) else log_rows.limit(0)
     new = LV.append_versions(log, log_rows)
     n = new.count()
     new.write.mode("append").parquet(log_path)
@@ -133,12 +141,12 @@ def disruption_rows(snapshots: DataFrame) -> DataFrame:
 
 
 def disruptions_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str, state_root: str,
-                      heartbeat_path: str, ended_window_days: int = 2) -> None:
+                      heartbeat_path: str) -> None:
     """The ``foreachBatch`` body for the disruptions feed: E5 diff of each snapshot
     against its predecessor, then the SCD2 log (C5) rewritten as a new version."""
     parsed = shred.parse(batch.withColumnRenamed("value", "payload").withColumn("object_name", F.lit(None)),
                          "disruptions").filter(~shred.is_corrupt("p"))
-    state = _latest_state(spark, state_root)
+    state = _latest_state(spark, state_root, batch_id)
     rows = disruption_rows(parsed)
     if state is not None:
         rows = LV.not_stale(rows, state.agg(F.max("generated_at")).first()[0])
@@ -159,10 +167,10 @@ def disruptions_batch(spark: SparkSession, batch: DataFrame, batch_id: int, log_
     in_c, in_p = F.col("c.change_hash").isNotNull(), F.col("p.change_hash").isNotNull()
     changed = j.filter(in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))).select(
         *[F.col(f"c.{x}").alias(x) for x in cols], F.col("_ts").alias("snapshot_ts"))
-    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date")
-                                     >= F.date_sub(F.to_date("_ts"), ended_window_days - 1))).select(
+    # runs of the snapshot's day on only: what merely leaves the window has not ended
+    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date") >= F.to_date("_ts"))).select(
         *[F.col(f"p.{x}").alias(x) for x in LV.DIS_KEY], F.col("_ts").alias("snapshot_ts"))
-    log = _latest_state(spark, log_path)
+    log = _latest_state(spark, log_path, batch_id)
     if log is None:  # first batch
         log = spark.createDataFrame([], "operating_date date, schedule_id bigint, train_order_id bigint, "
                                         "dsta_id bigint, sequence_number int, order_id bigint, "

@@ -60,3 +60,31 @@ def test_disruptions_stream_scd2(spark):
     active = sorted((r.dsta_id, r.message) for r in log if r.is_active)
     assert active == [(7, "a2")]
     assert len(log) == 3
+
+
+def test_replayed_batch_changes_nothing(spark):
+    """A batch that runs again reads what its first run read: log and state stay as they were."""
+    from perron.streaming.live_stream import _latest_state, disruptions_batch
+    root = tempfile.mkdtemp(prefix="perron-replay-")
+    os.makedirs(f"{root}/in")
+    _dsnap(f"{root}/in/s1.json", "2026-01-01T10:00:00Z", [(7, "T1", "a"), (8, "T1", "b")])
+    _dsnap(f"{root}/in/s2.json", "2026-01-01T10:03:00Z", [(7, "T1", "a2")])
+    paths = f"{root}/log", f"{root}/state", f"{root}/heartbeat"
+    seen = []
+    for batch, name in ((0, "s1"), (1, "s2"), (1, "s2"), (1, "s2")):
+        disruptions_batch(spark, spark.read.option("wholetext", True).text(f"{root}/in/{name}.json"), batch, *paths)
+        seen.append(sorted(map(str, _latest_state(spark, paths[0]).collect())))
+    assert seen[1] == seen[2] == seen[3] and len(seen[1]) == 3
+
+
+def test_runs_that_leave_the_window_are_not_ended(spark):
+    """Yesterday's rows that are gone from today's snapshot merely age out and stay active."""
+    from perron.streaming.live_stream import _latest_state, disruptions_batch
+    root = tempfile.mkdtemp(prefix="perron-window-")
+    os.makedirs(f"{root}/in")
+    _dsnap(f"{root}/in/s1.json", "2026-01-01T23:58:00Z", [(7, "T1", "a")])
+    _dsnap(f"{root}/in/s2.json", "2026-01-02T00:02:00Z", [])
+    paths = f"{root}/log", f"{root}/state", f"{root}/heartbeat"
+    for batch, name in ((0, "s1"), (1, "s2")):
+        disruptions_batch(spark, spark.read.option("wholetext", True).text(f"{root}/in/{name}.json"), batch, *paths)
+    assert [r.is_active for r in _latest_state(spark, paths[0]).collect()] == [True]
