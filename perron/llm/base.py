@@ -32,6 +32,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of texts that go to a Python worker at once.
+BATCH_BYTES = "4m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; texts are long, so Arrow batches are bounded by BATCH_BYTES unless the session says otherwise."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, BATCH_BYTES)
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -55,7 +67,7 @@ def per_text(df: DataFrame, fn: Callable[[list[bytes]], list], schema: str, keep
     ``fn`` returns one Arrow array per column of ``schema``. Texts reach Python in Arrow batches and nothing but
     the results goes back. ``make`` builds ``fn`` once a task instead.
     """
-    src = df.select(*keep, text_or_empty(text).cast("binary").alias("__text"))
+    src = small_batches(df).select(*keep, text_or_empty(text).cast("binary").alias("__text"))
     fields = df.select(*keep).schema
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), schema])
 

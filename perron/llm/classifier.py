@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.base import text_or_empty
+from perron.llm.base import small_batches, text_or_empty
 
 #: Size of the hashed term space: shapes and their pairs below SHAPES, words above.
 SHAPES, WORDS = 4096, 4096
@@ -85,7 +85,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["term", "n"])
 
-    rows = (docs.select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "term int, n bigint")
+    rows = (small_batches(docs).select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "term int, n bigint")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())  # at most SPACE + 1 rows
     df = np.zeros(SPACE + 1)
     for r in rows:

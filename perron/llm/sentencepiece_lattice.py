@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.base import per_text, stored, text_or_empty
+from perron.llm.base import per_text, small_batches, stored, text_or_empty
 
 MARK = "▁"
 #: Units sent to every task, and the longest such unit in code points.
@@ -81,7 +81,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
                 c.update(units(t.decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["unit", "n"])
 
-    return docs.select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+    return small_batches(docs).select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def encode_units(vocab: DataFrame, pieces: Pieces) -> DataFrame:
