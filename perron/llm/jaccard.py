@@ -19,8 +19,8 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ NUM, DEN, SHINGLE = 90, 100, 3
 SPARE, PARTS = 1, 2
 #: Members of a group that one block holds, and bits of the bitmap of wanted documents (1 MB at any input size).
 BLOCK, WANTED_BITS = 512, 1 << 23
+#: Pairs looked at and 64-bit words of bitmaps compared at once.
+PAIRS, WORDS = 1 << 18, 1 << 20
 #: Classes of copies that every task knows, and documents signed at once.
 COPIED, SIGN = 10_000, 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -86,10 +88,10 @@ def signatures(x: np.ndarray, num: int = NUM, den: int = DEN, spare: int = SPARE
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
-    """A bitmap of about two to four bits for each element, a power of two of 64-bit words: bit i is the parity of the
+    """A bitmap of about one to two bits for each element, a power of two of 64-bit words: bit i is the parity of the
     elements that hash to i. Two sets' bitmaps of one width differ in no more bits than the sets differ in elements,
     and a bitmap is folded to half its width by XOR of its halves."""
-    bits = 64 << max(2, (len(x) // 32).bit_length())
+    bits = 64 << max(2, (len(x) // 64).bit_length())
     odd = np.bincount(((x >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -178,8 +180,13 @@ def _distance_ok(a: str, b: str, na: str, nb: str, num: int, den: int):
     return F.when(sizes, (den + num) * diff <= (den - num) * (F.col(na) + F.col(nb))).otherwise(False)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The (a, b) whose sets have den * intersection >= num * union."""
+def _verify(docs: DataFrame, pairs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
+    """Those of the stored, distinct ``pairs`` (a, b) whose sets have den * intersection >= num * union.
+
+    Only the documents of these pairs are shingled again, and only their sets are moved.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(_sets_of(docs, ends, ngram).dropDuplicates(["doc_id", "set"]), "shingles")
     x = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
     both = x.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("i"))
     return both.where(den * F.col("i") >= num * (F.col("n") - F.col("i"))).select("a", "b")
@@ -196,28 +203,63 @@ def _cross(members: DataFrame, num: int, den: int) -> DataFrame:
     with_pair = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = with_pair.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "n", "sk", "comp")
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        left, right = (g, g) if g["i"].iat[0] == g["j"].iat[0] else (g[g["block"] == g["i"]], g[g["block"] == g["j"]])
-        out = []
-        if len(left) and len(right):
-            rid, rn, rc = (right[c].to_numpy(np.int64) for c in ("doc_id", "n", "comp"))
-            wide = right["sk"].map(len).to_numpy()
-            shelf = {}  # right rows and their folded bitmaps by (own width, width)
-            for d, n_, c, s in zip(left["doc_id"], left["n"], left["comp"], left["sk"], strict=True):
-                s = np.asarray(s, np.int64)
-                for w in np.unique(wide).tolist():
-                    m = min(w, len(s))
-                    if (w, m) not in shelf:
-                        rows = np.flatnonzero(wide == w)
-                        shelf[w, m] = rows, _folded(np.stack(right["sk"].iloc[rows].to_numpy()).astype(np.int64), m)
-                    rows, maps = shelf[w, m]
-                    ok = np.flatnonzero((rc[rows] != c) & (num * np.maximum(rn[rows], n_) <= den * np.minimum(rn[rows], n_)))
-                    diff = np.bitwise_count(maps[ok] ^ _folded(s[None], m)).sum(1, dtype=np.int64)
-                    near = rows[ok[(den + num) * diff <= (den - num) * (rn[rows[ok]] + n_)]]
-                    out += [(min(d, o), max(d, o)) for o in rid[near].tolist()]
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
-
-    return keyed.groupBy("sig", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+    dealt = keyed.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return dealt.mapInArrow(lambda batches: _compare(batches, num, den), "a bigint, b bigint").distinct()
+
+
+def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of one (sig, i, j); rows come in that order, and a batch's last group waits for the next batch."""
+    rest: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([*rest, b]).combine_chunks()
+        key = np.stack([t.column(c).to_numpy() for c in ("sig", "i", "j")])
+        edges = 1 + np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0))
+        last = int(edges[-1]) if len(edges) else 0
+        rest = t.slice(last).to_batches()
+        if last:
+            yield _near(t.slice(0, last), edges, num, den)
+    if rest:
+        yield _near(t := pa.Table.from_batches(rest), np.array([t.num_rows]), num, den)
+
+
+def _near(t: pa.Table, ends: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    """Distinct pairs (a, b) within the groups of ``t`` that end at ``ends`` and pass the lower bound."""
+    ids, n, comp, block, i, j = (t.column(c).to_numpy() for c in ("doc_id", "n", "comp", "block", "i", "j"))
+    bits = t.column("sk").combine_chunks()
+    words, width = bits.flatten().to_numpy(), pc.list_value_length(bits).to_numpy()
+    first = np.cumsum(width) - width
+    row = np.arange(len(ids))
+    partners = np.repeat(ends, np.diff(ends, prepend=0)) - row - 1  # of a row: those after it in its group
+    upto = np.cumsum(partners)
+    found = [np.zeros((0, 2), np.int64)]
+
+    def maps(at: np.ndarray, wide: int, narrow: int) -> np.ndarray:
+        return _folded(words[first[at][:, None] + np.arange(wide)], narrow)
+
+    at = 0
+    while at < len(row):
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        some = row[at:stop]
+        left = np.repeat(some, partners[some])
+        right = 1 + left + np.arange(len(left)) - np.repeat(upto[some] - partners[some] - (upto[at - 1] if at else 0), partners[some])
+        at = stop
+        ok = (comp[left] != comp[right]) & (num * np.maximum(n[left], n[right]) <= den * np.minimum(n[left], n[right]))
+        ok &= (i[left] == j[left]) | (block[left] != block[right])
+        left, right = left[ok], right[ok]
+        # pairs of the same two widths together; a wider bitmap is folded to the other's width
+        kinds, kind = np.unique(np.stack([width[left], width[right]]), axis=1, return_inverse=True)
+        for k, (x, y) in enumerate(kinds.T.tolist()):
+            mine = np.flatnonzero(kind.ravel() == k)
+            w = min(x, y)
+            for part in np.array_split(mine, 1 + len(mine) * max(x, y) // WORDS):
+                u, v = left[part], right[part]
+                diff = np.bitwise_count(maps(u, x, w) ^ maps(v, y, w)).sum(1, dtype=np.int64)
+                near = (den + num) * diff <= (den - num) * (n[u] + n[v])
+                found.append(np.sort(np.stack([ids[u[near]], ids[v[near]]], 1), 1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -247,8 +289,8 @@ def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, de
     stars = shared.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     fa, fb = (facts.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("sk").alias(f"s{k}")) for k in "ab")
     stars = stored(stars.join(fa, "a").join(fb, "b").where(_distance_ok("sa", "sb", "na", "nb", num, den)).select("a", "b"), "stars")
-    sets = stored(_sets_of(base.where("doc_id is not null"), shared.select("doc_id").distinct(), ngram).dropDuplicates(["doc_id", "set"]), "shingles")
-    links = _verify(stars, sets, num, den)
+    known = base.where("doc_id is not null")
+    links = _verify(known, stars, ngram, num, den)
 
     # then what the stars leave apart. Rows that repeat a doc_id with other texts tie their classes together.
     tied = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
@@ -261,9 +303,9 @@ def similar_components(docs: DataFrame, ngram: int = SHINGLE, num: int = NUM, de
                                    F.bit_xor(F.xxhash64("doc_id")).alias("h"), F.bit_xor(F.hash("doc_id")).alias("h2"))
              .where("x < y and total > 2").groupBy("total", "lo", "hi", "h", "h2").agg(F.min("sig").alias("sig")).select("sig", "total"))
     members = at.join(apart, "sig").join(facts, "doc_id")
-    more = stored(_verify(_cross(members, num, den), sets, num, den), "more")
-    if more.take(1):
-        roots = stored(components(links.union(more)), "roots")
+    left = stored(_cross(members, num, den).join(stars, ["a", "b"], "left_anti"), "left")
+    if left.take(1):
+        roots = stored(components(links.union(_verify(known, left, ngram, num, den)).distinct()), "roots")
     of = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("c"))
     of = of.groupBy("doc_id").agg(F.min("c").alias("component_id"))
     return (prep.select("doc_id", "n_shingles").join(of, "doc_id", "left")
