@@ -1,9 +1,9 @@
 """Silver report views around one station and the route plans.
 
 The station is a parameter (the reference hard-codes one station id).
-Correlated scalar subqueries of the reference (plan ends, carrier/category
-names, first executed entry) become grouped aggregates joined back once;
-OR-conditions in joins become a union of two equi joins plus a dedup.
+Plan ends, names and executed entries are grouped aggregates joined once;
+a match by either of two ids is one equi join on exploded ids or a union of
+two equi joins plus a dedup.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perron.functions.clock import clock_seconds, date_epoch_seconds
-from perron.functions.ordered import first_row, keep_last_max
+from perron.functions.ordered import keep_last_max
 from perron.plans.gold_dims import plan_ends
 from perron.plans.gold_facts import train_types
 from perron.plans.reports import SECTION_TEMPLATE, SECTION_TEXT
@@ -30,82 +30,117 @@ def _instant(day_col: str, t_col: str) -> F.Column:
                   + clock_seconds(F.col(t_col)))
 
 
-def station_calls(s: Silver, as_of: dt.date, station_id) -> DataFrame:
-    """H23 calls of runs at the station, D-7..D-1 by call day (runs from D-8)."""
-    lo, hi = as_of - dt.timedelta(days=8), as_of - dt.timedelta(days=1)
-    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        F.col("id").alias("ophe_id"), *HDR, "train_status")
-    sh = s.schedule_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
+PLAN = ["schedule_id", "order_id"]
+
+
+def _days(lo: dt.date, hi: dt.date) -> F.Column:
+    return F.col("operating_date").between(F.lit(lo), F.lit(hi))
+
+
+def _runs_calling(s: Silver, lo: dt.date, hi: dt.date, station_id) -> DataFrame:
+    """Executed runs of the days whose plan calls at the station."""
+    calling = s.schedule_details.where(F.col("dsta_id") == station_id).select(*PLAN)
+    runs = s.operation_header.where(_days(lo, hi)).select(F.col("id").alias("ophe_id"), *HDR, "train_status")
+    return runs.join(calling, PLAN, "left_semi")
+
+
+def _labelled(s: Silver, runs: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """The runs that have a timetable entry, with its labels."""
+    labels = s.schedule_header.where(_days(lo, hi)).select(
         *HDR, F.col("carrier_code").alias("przewoznik"), F.col("category_code").alias("kategoria"),
         F.col("national_number").alias("nr_pociagu"), F.col("name").alias("nazwa_pociagu"))
-    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id)
-    kurs = oh.join(sh, HDR, "inner").join(at_st.select("schedule_id", "order_id").distinct(),
-                                          ["schedule_id", "order_id"], "left_semi")
-    ends = plan_ends(s.schedule_details.join(kurs.select("schedule_id", "order_id").distinct(),
-                                             ["schedule_id", "order_id"], "left_semi"))
-    w = kurs.join(at_st.select("schedule_id", "order_id", F.col("order_number").alias("wro_seq"), "arrival_time",
-                               "arrival_day", "departure_time", "departure_day"), ["schedule_id", "order_id"], "inner")
-    w = w.join(ends.select("schedule_id", "order_id", F.col("min_on").alias("start_seq"),
-                           F.col("max_on").alias("koniec_seq"), F.col("from_station_id").alias("stacja_pocz_id"),
-                           F.col("to_station_id").alias("stacja_konc_id")), ["schedule_id", "order_id"], "left")
-    w = w.withColumn("pp", _instant("arrival_day", "arrival_time")).withColumn(
-        "po", _instant("departure_day", "departure_time"))
-    call_day = F.to_date(F.timestamp_seconds(F.coalesce("pp", "po")))
-    w = w.withColumn("data_wro", call_day).filter(
+    return runs.join(labels, HDR)
+
+
+def _station_name(s: Silver, df: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    names = s.def_station.select(F.col("id").alias(id_col), F.col("name").alias(name_col))
+    return df.join(names, id_col, "left")
+
+
+def _carrier_and_category(s: Silver, df: DataFrame) -> DataFrame:
+    """The carrier's name on the operating date (one row per date and carrier) and the category's name."""
+    valid = s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to")
+    named = (df.select("operating_date", "przewoznik").distinct().join(valid, "przewoznik")
+             .where(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
+             .groupBy("operating_date", "przewoznik")
+             .agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
+    return _category(s, df.join(named, ["operating_date", "przewoznik"], "left"))
+
+
+def _category(s: Silver, df: DataFrame) -> DataFrame:
+    names = s.def_commercial_category.select(F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
+                                             F.col("name").alias("kategoria_nazwa"))
+    return df.join(names, ["kategoria", "przewoznik"], "left")
+
+
+def _stops_of(s: Silver, runs: DataFrame) -> DataFrame:
+    return s.schedule_details.join(runs.select(*PLAN).distinct(), PLAN, "left_semi")
+
+
+def _role(at: str, first: str, last: str) -> dict[str, F.Column]:
+    start, end = F.col(at) == F.col(first), F.col(at) == F.col(last)
+    return {"czy_start": start, "czy_koniec": end, "czy_przelot": ~start & ~end}
+
+
+def _flag(c: F.Column, name: str) -> F.Column:
+    return F.when(c, 1).otherwise(0).alias(name)
+
+
+def _clock(c: F.Column, name: str) -> F.Column:
+    return F.date_format(c, TS).alias(name)
+
+
+def station_calls(s: Silver, as_of: dt.date, station_id) -> DataFrame:
+    """H23 calls of runs at the station, D-7..D-1 by call day (runs from D-8).
+
+    The call's plan position is matched with the earliest executed entry of that position.
+    """
+    lo, hi = as_of - dt.timedelta(days=8), as_of - dt.timedelta(days=1)
+    runs = _labelled(s, _runs_calling(s, lo, hi, station_id), lo, hi)
+    at = s.schedule_details.where(F.col("dsta_id") == station_id).select(
+        *PLAN, "order_number", "arrival_time", "arrival_day", "departure_time", "departure_day")
+    calls = runs.join(at, PLAN).select(
+        *runs.columns, "order_number", _instant("arrival_day", "arrival_time").alias("due_in"),
+        _instant("departure_day", "departure_time").alias("due_out"))
+    calls = calls.withColumn("data_wro", F.to_date(F.timestamp_seconds(F.coalesce("due_in", "due_out")))).where(
         F.col("data_wro").between(F.lit(as_of - dt.timedelta(days=7)), F.lit(hi)))
-    # first executed entry at the station's plan position
-    od = (s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi)))
-          .join(w.select("ophe_id").distinct(), "ophe_id", "left_semi"))
-    first = od.groupBy("ophe_id", "planned_sequence").agg(first_row(
-        ["actual_sequence"], ["actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
-                              "is_confirmed", "is_cancelled"]).alias("ow"))
-    first = first.select("ophe_id", F.col("planned_sequence").alias("wro_seq"), "ow.*")
-    x = w.join(first, ["ophe_id", "wro_seq"], "left")
-    # names (size-checked broadcasts of dictionaries)
-    st = s.def_station.select("id", "name")
-    x = (x.join(st.select(F.col("id").alias("stacja_pocz_id"), F.col("name").alias("stacja_pocz")),
-                "stacja_pocz_id", "left")
-         .join(st.select(F.col("id").alias("stacja_konc_id"), F.col("name").alias("stacja_konc")),
-               "stacja_konc_id", "left"))
-    car = s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to")
-    cn = (x.select("ophe_id", "operating_date", "przewoznik").distinct()
-          .join(car, "przewoznik").filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
-          .groupBy("ophe_id").agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
-    cat = s.def_commercial_category.select(
-        F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa"))
-    x = x.join(cn, "ophe_id", "left").join(cat, ["kategoria", "przewoznik"], "left")
-    # disruption at the station: (order id OR train id) as two semi joins
-    dd = s.disruption_details.filter(F.col("dsta_id") == station_id)
-    k1 = dd.select("operating_date", "schedule_id", "order_id").distinct().withColumn("_d1", F.lit(1))
-    k2 = dd.select("operating_date", "schedule_id", "train_order_id").distinct().withColumn("_d2", F.lit(1))
-    x = x.join(k1, ["operating_date", "schedule_id", "order_id"], "left").join(
-        k2, ["operating_date", "schedule_id", "train_order_id"], "left")
-    arr_delay = F.when(F.col("actual_arrival").isNotNull(), F.coalesce(
-        F.col("arrival_delay_min").cast("bigint"),
-        F.round((F.unix_timestamp("actual_arrival") - F.col("pp")) / 60.0).cast("bigint")))
-    dep_delay = F.when(F.col("actual_departure").isNotNull(), F.coalesce(
-        F.col("departure_delay_min").cast("bigint"),
-        F.round((F.unix_timestamp("actual_departure") - F.col("po")) / 60.0).cast("bigint")))
-    canc = (F.col("train_status") == "X") | F.col("is_cancelled")
+    ends = plan_ends(_stops_of(s, runs)).select(
+        *PLAN, "min_on", "max_on", F.col("from_station_id").alias("stacja_pocz_id"),
+        F.col("to_station_id").alias("stacja_konc_id"))
+    entry = F.struct("actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min", "is_confirmed",
+                     "is_cancelled")
+    wanted = calls.select("ophe_id", "order_number").distinct()
+    done = (s.operation_details.where(_days(lo, hi)).withColumnRenamed("planned_sequence", "order_number")
+            .join(wanted, ["ophe_id", "order_number"], "left_semi")
+            .groupBy("ophe_id", "order_number").agg(F.min_by(entry, "actual_sequence").alias("e"))
+            .select("ophe_id", "order_number", "e.*"))
+    x = calls.join(ends, PLAN, "left").join(done, ["ophe_id", "order_number"], "left")
+    x = _station_name(s, _station_name(s, x, "stacja_pocz_id", "stacja_pocz"), "stacja_konc_id", "stacja_konc")
+    x = _carrier_and_category(s, x)
+    # disrupted here: the run's order id or its train id is among the station's affected ones
+    hit = s.disruption_details.where(_days(lo, hi) & (F.col("dsta_id") == station_id)).select(
+        "operating_date", "schedule_id", "order_id", "train_order_id")
+    for mark, of in (("by_order", "order_id"), ("by_train", "train_order_id")):
+        key = ["operating_date", "schedule_id", of]
+        x = x.join(hit.select(*key).distinct().withColumn(mark, F.lit(True)), key, "left")
+
+    def late(delay: str, actual: str, due: str) -> F.Column:
+        own = F.round((F.unix_timestamp(actual) - F.col(due)) / 60.0).cast("bigint")
+        return F.when(F.col(actual).isNotNull(), F.coalesce(F.col(delay).cast("bigint"), own))
+
     return x.select(
         F.date_format("operating_date", "yyyy-MM-dd").alias("data_kursu"),
         F.date_format("data_wro", "yyyy-MM-dd").alias("data_wro"),
         "ophe_id", "schedule_id", "order_id", "train_order_id", "przewoznik", "przewoznik_nazwa", "kategoria",
         "kategoria_nazwa", "nr_pociagu", "nazwa_pociagu", "stacja_pocz_id", "stacja_pocz", "stacja_konc_id",
-        "stacja_konc",
-        F.when(F.col("wro_seq") == F.col("start_seq"), 1).otherwise(0).alias("czy_start"),
-        F.when(F.col("wro_seq") == F.col("koniec_seq"), 1).otherwise(0).alias("czy_koniec"),
-        F.when((F.col("wro_seq") != F.col("start_seq")) & (F.col("wro_seq") != F.col("koniec_seq")), 1)
-        .otherwise(0).alias("czy_przelot"),
-        F.date_format(F.timestamp_seconds("pp"), TS).alias("plan_przyjazd"),
-        F.date_format("actual_arrival", TS).alias("rz_przyjazd"), arr_delay.alias("op_przyjazd_min"),
-        F.date_format(F.timestamp_seconds("po"), TS).alias("plan_odjazd"),
-        F.date_format("actual_departure", TS).alias("rz_odjazd"), dep_delay.alias("op_odjazd_min"),
-        "train_status", F.when(canc, 1).otherwise(0).alias("czy_odwolany"),
-        F.when(F.col("is_confirmed"), 1).otherwise(0).alias("czy_potwierdzony"),
-        F.when(F.col("_d1").isNotNull() | F.col("_d2").isNotNull(), 1).otherwise(0).alias("czy_utrudnienie"),
-    )
+        "stacja_konc", *(_flag(c, name) for name, c in _role("order_number", "min_on", "max_on").items()),
+        _clock(F.timestamp_seconds("due_in"), "plan_przyjazd"), _clock(F.col("actual_arrival"), "rz_przyjazd"),
+        late("arrival_delay_min", "actual_arrival", "due_in").alias("op_przyjazd_min"),
+        _clock(F.timestamp_seconds("due_out"), "plan_odjazd"), _clock(F.col("actual_departure"), "rz_odjazd"),
+        late("departure_delay_min", "actual_departure", "due_out").alias("op_odjazd_min"),
+        "train_status", _flag((F.col("train_status") == "X") | F.col("is_cancelled"), "czy_odwolany"),
+        _flag(F.col("is_confirmed"), "czy_potwierdzony"),
+        _flag(F.coalesce("by_order", "by_train"), "czy_utrudnienie"))
 
 
 H24_GROUP = ["data_kursu", "data_wro", "ophe_id", "przewoznik", "kategoria", "nr_pociagu", "nazwa_pociagu",
@@ -193,168 +228,110 @@ def _clock_day_minutes(t: str, d: str) -> F.Column:
 def completed_runs(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     """H18 completed runs D-7..D-1 whose plan calls at the station.
 
-    Plan side: one grouped pass per plan (ends by order number, the station
-    columns folded by max when the plan calls twice). Executed side: one
-    grouped pass per run with ordered struct maxima: the last reached stop
-    (confirmed and not cancelled, then actual sequence), the entry at the
-    planned end and the entry at the station (latest actual sequence).
+    A plan folds to its two end stops and its call here (the largest values, should it call twice), a run to four
+    executed entries: the first, the furthest reached (confirmed and not cancelled), and the latest at the plan's end
+    and at the call. An entry that there is not stays null, and so does what is shown of it.
     """
     lo, hi = as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1)
-    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        F.col("id").alias("ophe_id"), *HDR, "train_status")
-    sh = s.schedule_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        *HDR, F.col("carrier_code").alias("przewoznik"), F.col("category_code").alias("kategoria"),
-        F.col("national_number").alias("nr_pociagu"), F.col("name").alias("nazwa_pociagu"))
-    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
-    kurs = oh.join(sh, HDR, "inner").join(at_st, ["schedule_id", "order_id"], "left_semi")
-    sd = s.schedule_details.join(kurs.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"],
-                                 "left_semi")
-    here = F.col("dsta_id") == station_id
-    plan = sd.groupBy("schedule_id", "order_id").agg(
-        first_row(["order_number"], ["dsta_id", "departure_time", "departure_day"]).alias("f"),
-        F.max(F.struct("order_number", "dsta_id", "arrival_time", "arrival_day")).alias("l"),
-        F.max(F.when(here, F.col("order_number"))).alias("wro_seq"),
-        F.max(F.when(here, F.col("arrival_time"))).alias("wro_arr_time"),
-        F.max(F.when(here, F.col("arrival_day"))).alias("wro_arr_day"),
-        F.max(F.when(here, F.col("departure_time"))).alias("wro_dep_time"),
-        F.max(F.when(here, F.col("departure_day"))).alias("wro_dep_day"),
-    ).select("schedule_id", "order_id", F.col("f._o0").alias("start_seq"), F.col("l.order_number").alias("koniec_seq"),
-             F.col("f.dsta_id").alias("start_dsta"), F.col("l.dsta_id").alias("koniec_dsta"),
-             F.col("f.departure_time").alias("start_dep_time"), F.col("f.departure_day").alias("start_dep_day"),
-             F.col("l.arrival_time").alias("koniec_arr_time"), F.col("l.arrival_day").alias("koniec_arr_day"),
-             "wro_seq", "wro_arr_time", "wro_arr_day", "wro_dep_time", "wro_dep_day")
-    od = s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).drop(
-        "operating_date").join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id", "inner").join(
-        plan.select("schedule_id", "order_id", "koniec_seq", "wro_seq"), ["schedule_id", "order_id"], "inner")
-    reached = (F.col("is_confirmed") & ~F.col("is_cancelled")).cast("int")
-    e_k = (F.col("planned_sequence") == F.col("koniec_seq")).cast("int")
-    e_w = F.coalesce((F.col("planned_sequence") == F.col("wro_seq")).cast("int"), F.lit(0))
-    op = od.groupBy("ophe_id").agg(
-        first_row(["actual_sequence"], ["actual_departure", "departure_delay_min"]).alias("st"),
-        F.max(reached).alias("ol_jest"),
-        F.max(F.struct(reached.alias("k"), F.col("actual_sequence").alias("q"), "dsta_id", "actual_arrival",
-                       "arrival_delay_min")).alias("ol"),
-        F.max(e_k).alias("ok_jest"),
-        F.max(F.struct(e_k.alias("k"), F.col("actual_sequence").alias("q"), reached.alias("reached"),
-                       "actual_arrival", "arrival_delay_min")).alias("okk"),
-        F.max(e_w).alias("ow_jest"),
-        F.max(F.struct(e_w.alias("k"), F.col("actual_sequence").alias("q"), "actual_arrival", "actual_departure",
-                       "arrival_delay_min", "departure_delay_min",
-                       F.col("is_cancelled").cast("int").alias("canc"))).alias("ow"),
-        F.count_distinct(F.when(F.col("is_cancelled"), F.col("planned_sequence"))).alias("liczba_odwolanych"))
-    x = kurs.join(plan, ["schedule_id", "order_id"], "inner").join(op, "ophe_id", "left")
-    st = s.def_station.select("id", "name")
-    x = (x.join(st.select(F.col("id").alias("start_dsta"), F.col("name").alias("relacja_od")), "start_dsta", "left")
-         .join(st.select(F.col("id").alias("koniec_dsta"), F.col("name").alias("relacja_do")), "koniec_dsta", "left")
-         .join(st.select(F.col("id").alias("_ol_dsta"), F.col("name").alias("_ol_name")),
-               F.col("ol.dsta_id") == F.col("_ol_dsta"), "left"))
-    car = s.def_carrier.select(F.col("code").alias("przewoznik"), "name", "valid_from", "valid_to")
-    cn = (x.select("ophe_id", "operating_date", "przewoznik").join(car, "przewoznik")
-          .filter(F.col("operating_date").between(F.col("valid_from"), F.col("valid_to")))
-          .groupBy("ophe_id").agg(keep_last_max([F.col("valid_from")], "name").alias("przewoznik_nazwa")))
-    cat = s.def_commercial_category.select(
-        F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa"))
-    x = x.join(cn, "ophe_id", "left").join(cat, ["kategoria", "przewoznik"], "left")
-    base = date_epoch_seconds(F.col("operating_date"))
-    start_d = _clock_day_minutes("start_dep_time", "start_dep_day")
-    end_d = _clock_day_minutes("koniec_arr_time", "koniec_arr_day")
-    wa = _clock_day_minutes("wro_arr_time", "wro_arr_day")
-    wd = _clock_day_minutes("wro_dep_time", "wro_dep_day")
-
-    def ts(sec):
-        return F.date_format(F.timestamp_seconds(sec), TS)
-
-    c = F.col
-    ok_end = (c("ok_jest") == 1) & (c("okk.reached") == 1)
-    c_last = (c("train_status") == "C") & (c("ol_jest") == 1)
-    ol = c("ol_jest") == 1
-    ow = c("ow_jest") == 1
+    runs = _labelled(s, _runs_calling(s, lo, hi, station_id), lo, hi)
+    times = ["arrival_time", "arrival_day", "departure_time", "departure_day"]
+    stop = F.struct("order_number", "dsta_id", *times)
+    call = F.when(F.col("dsta_id") == station_id, F.struct("order_number", *times))
+    plans = _stops_of(s, runs).groupBy(*PLAN).agg(
+        F.min_by(stop, "order_number").alias("origin"), F.max_by(stop, "order_number").alias("target"),
+        F.struct(*(F.max(call[c]).alias(c) for c in ("order_number", *times))).alias("call"))
+    runs = runs.join(plans, PLAN)
+    spots = runs.select("ophe_id", F.col("target.order_number").alias("end_at"), F.col("call.order_number").alias("call_at"))
+    entries = s.operation_details.where(_days(lo, hi)).drop("operating_date").join(spots, "ophe_id")
+    reached = F.col("is_confirmed") & ~F.col("is_cancelled")
+    entry = F.struct("dsta_id", "actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
+                     F.coalesce(F.col("is_cancelled"), F.lit(False)).alias("cancelled"),
+                     F.coalesce(reached, F.lit(False)).alias("reached"))
+
+    def latest(cond: F.Column) -> F.Column:
+        return F.max_by(entry, F.when(cond, F.col("actual_sequence")))
+
+    executed = entries.groupBy("ophe_id").agg(
+        F.min_by(entry, "actual_sequence").alias("out"), latest(reached).alias("furthest"),
+        latest(F.col("planned_sequence") == F.col("end_at")).alias("at_end"),
+        latest(F.col("planned_sequence") == F.col("call_at")).alias("here"),
+        F.size(F.collect_set(F.when(F.col("is_cancelled"), F.col("planned_sequence")))).alias("n_cancelled"))
+    x = runs.join(executed, "ophe_id", "left").select(
+        "*", F.col("origin.dsta_id").alias("relacja_od_id"), F.col("target.dsta_id").alias("relacja_do_id"),
+        F.col("furthest.dsta_id").alias("ostatnia_stacja_id"))
+    for id_col, name_col in (("relacja_od_id", "relacja_od"), ("relacja_do_id", "relacja_do"),
+                             ("ostatnia_stacja_id", "ostatnia_stacja_nazwa")):
+        x = _station_name(s, x, id_col, name_col)
+    x = _carrier_and_category(s, x)
+    ended, arrived = F.col("train_status") == "C", F.coalesce(F.col("at_end.reached"), F.lit(False))
+    final = F.when(arrived, F.col("at_end")).when(ended, F.col("furthest"))
+    at = F.col("call.order_number")
+    due_start, due_end = (_instant("origin.departure_day", "origin.departure_time"),
+                          _instant("target.arrival_day", "target.arrival_time"))
+
+    def due(seconds: F.Column, name: str) -> F.Column:
+        return _clock(F.timestamp_seconds(seconds), name)
+
     return x.select(
         F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "ophe_id", "schedule_id", "order_id",
-        "train_order_id", "train_status",
-        F.when(c("train_status") == "X", 1).otherwise(0).alias("czy_odwolany"),
-        F.when((c("train_status") == "C") | ok_end, 1).otherwise(0).alias("czy_dojechal"),
-        F.when((c("train_status") == "C") & (F.coalesce(c("ok_jest"), F.lit(0)) == 0), 1).otherwise(0)
-        .alias("czy_koniec_poza_pomiarem"),
-        F.coalesce(c("liczba_odwolanych"), F.lit(0)).cast("bigint").alias("liczba_stacji_odwolanych"),
+        "train_order_id", "train_status", _flag(F.col("train_status") == "X", "czy_odwolany"),
+        _flag(ended | arrived, "czy_dojechal"), _flag(ended & F.col("at_end").isNull(), "czy_koniec_poza_pomiarem"),
+        F.coalesce("n_cancelled", F.lit(0)).cast("bigint").alias("liczba_stacji_odwolanych"),
         "przewoznik", "przewoznik_nazwa", "kategoria", "kategoria_nazwa", "nr_pociagu", "nazwa_pociagu",
-        c("start_dsta").alias("relacja_od_id"), "relacja_od", c("koniec_dsta").alias("relacja_do_id"), "relacja_do",
-        F.when(c("wro_seq") == c("start_seq"), "START").when(c("wro_seq") == c("koniec_seq"), "KONIEC")
+        "relacja_od_id", "relacja_od", "relacja_do_id", "relacja_do",
+        F.when(at == F.col("origin.order_number"), "START").when(at == F.col("target.order_number"), "KONIEC")
         .otherwise("PRZEJAZD").alias("rola_wroclawia"),
-        ts(base + start_d).alias("plan_odjazd_start"),
-        F.date_format("st.actual_departure", TS).alias("rz_odjazd_start"),
-        c("st.departure_delay_min").alias("opoznienie_start_min"),
-        ts(base + end_d).alias("plan_przyjazd_koniec"),
-        F.when(ok_end, F.date_format("okk.actual_arrival", TS)).when(c_last, F.date_format("ol.actual_arrival", TS))
-        .alias("rz_przyjazd_koniec"),
-        F.when(ok_end, c("okk.arrival_delay_min")).when(c_last, c("ol.arrival_delay_min"))
-        .alias("opoznienie_koniec_min"),
-        F.when(ol, c("ol.dsta_id")).alias("ostatnia_stacja_id"), F.when(ol, c("_ol_name")).alias("ostatnia_stacja_nazwa"),
-        F.when(ol, F.date_format("ol.actual_arrival", TS)).alias("rz_przyjazd_ostatnia"),
-        F.when(ol, c("ol.arrival_delay_min")).alias("opoznienie_ostatnia_min"),
-        ts(base + wa).alias("plan_wro_przyjazd"), ts(base + wd).alias("plan_wro_odjazd"),
-        F.when(ow, F.date_format("ow.actual_arrival", TS)).alias("rz_wro_przyjazd"),
-        F.when(ow, F.date_format("ow.actual_departure", TS)).alias("rz_wro_odjazd"),
-        F.when(ow, c("ow.arrival_delay_min")).alias("opoznienie_wro_przyjazd_min"),
-        F.when(ow, c("ow.departure_delay_min")).alias("opoznienie_wro_odjazd_min"),
-        F.when(ow, c("ow.canc")).otherwise(0).alias("czy_wro_odwolany"),
-        F.round((end_d - start_d) / 60.0).cast("bigint").alias("plan_czas_przejazdu_min"),
-    )
-
-
-def _runs_via_station(s: Silver, lo: dt.date, hi: dt.date, station_id) -> DataFrame:
-    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        F.col("id").alias("ophe_id"), *HDR)
-    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
-    return oh.join(at_st, ["schedule_id", "order_id"], "left_semi")
+        due(due_start, "plan_odjazd_start"), _clock(F.col("out.actual_departure"), "rz_odjazd_start"),
+        F.col("out.departure_delay_min").alias("opoznienie_start_min"),
+        due(due_end, "plan_przyjazd_koniec"), _clock(final["actual_arrival"], "rz_przyjazd_koniec"),
+        final["arrival_delay_min"].alias("opoznienie_koniec_min"),
+        "ostatnia_stacja_id", "ostatnia_stacja_nazwa", _clock(F.col("furthest.actual_arrival"), "rz_przyjazd_ostatnia"),
+        F.col("furthest.arrival_delay_min").alias("opoznienie_ostatnia_min"),
+        due(_instant("call.arrival_day", "call.arrival_time"), "plan_wro_przyjazd"),
+        due(_instant("call.departure_day", "call.departure_time"), "plan_wro_odjazd"),
+        _clock(F.col("here.actual_arrival"), "rz_wro_przyjazd"), _clock(F.col("here.actual_departure"), "rz_wro_odjazd"),
+        F.col("here.arrival_delay_min").alias("opoznienie_wro_przyjazd_min"),
+        F.col("here.departure_delay_min").alias("opoznienie_wro_odjazd_min"),
+        _flag(F.col("here.cancelled"), "czy_wro_odwolany"),
+        F.round((due_end - due_start) / 60.0).cast("bigint").alias("plan_czas_przejazdu_min"))
 
 
 def run_disruptions(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     """H19 disruption sections of the completed runs (D-7..D-1 via the station).
 
-    Affected stops are matched on (day, schedule, order id OR train id) -- two
-    equi joins and a dedup instead of an OR nested loop; per run and
-    disruption the section runs from the lowest to the highest affected
-    sequence. Text precedence: description by type code, by trimmed message,
-    the message, the code; station placeholders are filled in. Same text on
-    the same section = one row (newest header id).
+    A run and an affected stop are each known by two ids, of the order and of the train; either one matches, so both
+    sides are exploded to (kind, id) and joined once. Per run and disruption the section runs from the lowest to the
+    highest affected sequence. Text: description by type code, by trimmed message, the message, the code; station
+    placeholders are filled in. Same text on the same section = one row (newest header id).
     """
-    k = _runs_via_station(s, as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1), station_id)
-    dd = s.disruption_details.select("operating_date", "schedule_id", F.col("order_id").alias("d_order_id"),
-                                     F.col("train_order_id").alias("d_train_order_id"), "dsta_id", "dihe_id",
-                                     "sequence_number")
-    kk, d = k.alias("k"), dd.alias("d")
-    base = (F.col("k.operating_date") == F.col("d.operating_date")) & (F.col("k.schedule_id") == F.col("d.schedule_id"))
-    sel = [F.col("k.ophe_id").alias("ophe_id")] + [F.col(f"d.{c}").alias(c) for c in dd.columns]
-    j = (kk.join(d, base & (F.col("k.order_id") == F.col("d.d_order_id"))).select(*sel)
-         .unionByName(kk.join(d, base & (F.col("k.train_order_id") == F.col("d.d_train_order_id"))).select(*sel))
-         .distinct())
-    u = j.groupBy("ophe_id", "dihe_id").agg(
-        F.min("sequence_number").alias("dis_seq_od"), F.max("sequence_number").alias("dis_seq_do"),
-        F.min(F.struct("sequence_number", "dsta_id")).alias("f"),
-        F.max(F.struct("sequence_number", "dsta_id")).alias("l"),
-        F.count(F.lit(1)).cast("bigint").alias("liczba_przystankow"))
-    u = u.select("ophe_id", "dihe_id", "dis_seq_od", "dis_seq_do", F.col("f.dsta_id").alias("dsta_od"),
-                 F.col("l.dsta_id").alias("dsta_do"), "liczba_przystankow")
-    dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
-    causes = s.def_disruption_cause.select("code", "description")
-    st = s.def_station.select("id", "name")
-    t = (u.join(dh, "dihe_id", "inner")
-         .join(causes.select(F.col("code").alias("_ck"), F.col("description").alias("_dk")),
-               F.col("disruption_type_code") == F.col("_ck"), "left")
-         .join(causes.select(F.col("code").alias("_cm"), F.col("description").alias("_dm")),
-               F.trim(F.col("message")) == F.col("_cm"), "left")
-         .join(st.select(F.col("id").alias("dsta_od"), F.col("name").alias("stacja_od")), "dsta_od", "left")
-         .join(st.select(F.col("id").alias("dsta_do"), F.col("name").alias("stacja_do")), "dsta_do", "left"))
-    txt = F.coalesce("_dk", "_dm", "message", "disruption_type_code")
-    opis = F.replace(F.replace(txt, F.lit("{stacja_poczatkowa}"), F.coalesce("stacja_od", F.lit(""))),
-                     F.lit("{stacja_koncowa}"), F.coalesce("stacja_do", F.lit("")))
-    t = t.withColumn("opis", opis)
-    best = t.groupBy("ophe_id", "dsta_od", "dsta_do", "opis").agg(F.max("dihe_id").alias("dihe_id"))
-    t = t.join(best, ["ophe_id", "dsta_od", "dsta_do", "opis", "dihe_id"], "left_semi")
-    return t.select("ophe_id", "dihe_id", "dsta_od", "stacja_od", "dsta_do", "stacja_do", "dis_seq_od", "dis_seq_do",
-                    "liczba_przystankow", "opis")
+    lo, hi = as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1)
+    by_id = F.inline(F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("known_as"))
+                               for c in ("order_id", "train_order_id"))))
+    runs = _runs_calling(s, lo, hi, station_id).select("ophe_id", "operating_date", "schedule_id", by_id)
+    stops = s.disruption_details.where(_days(lo, hi)).select(
+        "operating_date", "schedule_id", "order_id", "train_order_id", "dihe_id", "sequence_number", "dsta_id")
+    key = ["operating_date", "schedule_id", "kind", "known_as"]
+    met = runs.join(stops.select("*", by_id), key).drop("kind", "known_as").distinct()
+    place = F.struct("sequence_number", "dsta_id")
+    x = met.groupBy("ophe_id", "dihe_id").agg(
+        F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).cast("bigint").alias("liczba_przystankow"))
+    x = x.select("ophe_id", "dihe_id", "liczba_przystankow", F.col("low.sequence_number").alias("dis_seq_od"),
+                 F.col("low.dsta_id").alias("dsta_od"), F.col("high.sequence_number").alias("dis_seq_do"),
+                 F.col("high.dsta_id").alias("dsta_do"))
+    x = _station_name(s, _station_name(s, x, "dsta_od", "stacja_od"), "dsta_do", "stacja_do")
+    heads = s.disruption_header.select(F.col("id").alias("dihe_id"), F.col("disruption_type_code").alias("code"), "message",
+                                       F.trim("message").alias("said"))
+    texts = s.def_disruption_cause.select("code", "description")
+    x = (x.join(heads, "dihe_id").join(texts, "code", "left")
+         .join(texts.select(F.col("code").alias("said"), F.col("description").alias("said_text")), "said", "left"))
+    text = F.coalesce("description", "said_text", "message", "code")
+    for mark, name in (("{stacja_poczatkowa}", "stacja_od"), ("{stacja_koncowa}", "stacja_do")):
+        text = F.replace(text, F.lit(mark), F.coalesce(F.col(name), F.lit("")))
+    cols = ["dsta_od", "stacja_od", "dsta_do", "stacja_do", "dis_seq_od", "dis_seq_do", "liczba_przystankow"]
+    newest = x.withColumn("opis", text).groupBy("ophe_id", "dsta_od", "dsta_do", "opis").agg(
+        F.max_by(F.struct("dihe_id", *cols[1::2], *cols[4::2]), "dihe_id").alias("r"))
+    return newest.select("ophe_id", "r.dihe_id", "dsta_od", "r.stacja_od", "dsta_do", "r.stacja_do", "r.dis_seq_od",
+                         "r.dis_seq_do", "r.liczba_przystankow", "opis")
 
 
 def model_plan_stops(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:
@@ -538,94 +515,57 @@ def route_from_station(s: Silver, today: dt.date, station_id) -> DataFrame:
 def run_stops(s: Silver, as_of: dt.date, station_id) -> DataFrame:
     """H20 completed run x plan stop with plan, execution and disrupted-section flags.
 
-    * one executed entry per planned position (the latest actual sequence);
-    * disruption sections (H19) mapped onto plan positions with a two-value
-      IN join written as an equi join on the exploded pair of stations;
-    * the section is expanded onto the stops between its ends (equi join on
-      the plan key plus a range residual, bounded by one plan's stops);
-    * the start text joins ``opis [od → do]`` lines ordered by section end
-      and text (a sorted collected list per run position).
+    Executed: the latest entry of the planned position. A section (H19) begins at the first plan position of one of
+    its stations and ends at the last position of the other, two equi joins with the positions of each station in
+    the plan; it is then spread over its positions (``sequence``, bounded by one plan) and one grouping makes flags
+    and the ordered text of the sections that begin at a stop.
     """
     lo, hi = as_of - dt.timedelta(days=7), as_of - dt.timedelta(days=1)
-    oh = s.operation_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        F.col("id").alias("ophe_id"), *HDR, "train_status")
-    sh = s.schedule_header.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi))).select(
-        *HDR, F.col("carrier_code").alias("przewoznik"), F.col("name").alias("nazwa_pociagu"))
-    at_st = s.schedule_details.filter(F.col("dsta_id") == station_id).select("schedule_id", "order_id").distinct()
-    kurs = oh.join(sh, HDR, "inner").join(at_st, ["schedule_id", "order_id"], "left_semi")
-    sd = s.schedule_details.join(kurs.select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"],
-                                 "left_semi")
-    ends = sd.groupBy("schedule_id", "order_id").agg(F.min("order_number").alias("start_seq"),
-                                                     F.max("order_number").alias("koniec_seq"))
-    sd = sd.join(ends, ["schedule_id", "order_id"])
-    od = (s.operation_details.filter(F.col("operating_date").between(F.lit(lo), F.lit(hi)))
-          .join(kurs.select("ophe_id"), "ophe_id", "left_semi")
-          .groupBy("ophe_id", "planned_sequence").agg(F.max(F.struct(
-              "actual_sequence", "actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min",
-              "is_confirmed", "is_cancelled")).alias("o"))
-          .select("ophe_id", F.col("planned_sequence").alias("order_number"), "o.*"))
-    # disruption sections -> plan positions
-    u = run_disruptions(s, as_of, station_id).join(kurs.select("ophe_id", "schedule_id", "order_id"), "ophe_id")
-    pair = u.select("ophe_id", "dihe_id", "schedule_id", "order_id", "dsta_od", "dsta_do", "stacja_od", "stacja_do",
-                    "opis", F.explode(F.array_distinct(F.array("dsta_od", "dsta_do"))).alias("dsta_id"))
-    p = sd.select("schedule_id", "order_id", "dsta_id", "order_number")
-    pos = pair.join(p, ["schedule_id", "order_id", "dsta_id"], "inner").groupBy(
-        "ophe_id", "dihe_id", "schedule_id", "order_id", "stacja_od", "stacja_do", "opis").agg(
-        F.min(F.when(F.col("dsta_id") == F.col("dsta_od"), F.col("order_number"))).alias("pos_od"),
-        F.max(F.when(F.col("dsta_id") == F.col("dsta_do"), F.col("order_number"))).alias("pos_do"))
-    ut = pos.filter(F.col("pos_od").isNotNull() & F.col("pos_do").isNotNull()).select(
-        "ophe_id", "schedule_id", "order_id", "stacja_od", "stacja_do", "opis",
-        F.least("pos_od", "pos_do").alias("seq_od"), F.greatest("pos_od", "pos_do").alias("seq_do"))
-    uu, pp = ut.alias("u"), p.alias("p")
-    flag = (uu.join(pp, (F.col("u.schedule_id") == F.col("p.schedule_id")) & (F.col("u.order_id") == F.col("p.order_id"))
-                    & F.col("p.order_number").between(F.col("u.seq_od"), F.col("u.seq_do")), "inner")
-            .groupBy(F.col("u.ophe_id").alias("ophe_id"), F.col("p.order_number").alias("order_number"))
-            .agg(F.lit(1).alias("czy_stacja_utrudniona"),
-                 F.max(F.when(F.col("p.order_number") < F.col("u.seq_do"), 1).otherwise(0))
-                 .alias("czy_odcinek_utrudniony")))
-    line = F.concat_ws("", F.col("opis"), F.lit(" ["), F.col("stacja_od"), F.lit(" → "), F.col("stacja_do"),
-                       F.lit("]"))
-    start = ut.groupBy("ophe_id", F.col("seq_od").alias("order_number")).agg(
-        F.count(F.lit(1)).alias("liczba_utrudnien_start"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq_do", "opis", line.alias("t")))),
-                                 lambda e: e["t"]), "\n").alias("utrudnienia_start_txt"))
-    x = kurs.join(sd.filter(F.col("arrival_time").isNotNull() | (F.col("order_number") == F.col("start_seq"))),
-                  ["schedule_id", "order_id"], "inner")
-    x = x.join(od, ["ophe_id", "order_number"], "left").withColumn("_meas", F.col("actual_sequence").isNotNull())
-    st = s.def_station.select(F.col("id").alias("dsta_id"), F.col("name").alias("stacja_nazwa"))
-    stt = s.def_stop_type.select(F.col("id").alias("dstty_id"),
-                                                   F.col("description").alias("typ_postoju_opis"))
-    x = (x.join(st, "dsta_id", "left").join(stt, "dstty_id", "left")
-         .join(flag, ["ophe_id", "order_number"], "left").join(start, ["ophe_id", "order_number"], "left"))
-    kat = F.coalesce("departure_category", "arrival_category")
-    cat = s.def_commercial_category.select(
-        F.col("code").alias("kategoria"), F.col("carrier_code").alias("przewoznik"),
-        F.col("name").alias("kategoria_nazwa"))
-    x = x.withColumn("kategoria", kat).join(cat, ["kategoria", "przewoznik"], "left")
-    base = date_epoch_seconds(F.col("operating_date"))
-    plat = F.coalesce("arrival_platform", "departure_platform")
-    track = F.coalesce("arrival_track", "departure_track")
+    runs = _labelled(s, _runs_calling(s, lo, hi, station_id), lo, hi).drop("kategoria", "nr_pociagu")
+    stops = _stops_of(s, runs)
+    places = stops.groupBy(*PLAN, "dsta_id").agg(F.min("order_number").alias("first_at"), F.max("order_number").alias("last_at"))
+    extent = places.groupBy(*PLAN).agg(F.min("first_at").alias("min_on"), F.max("last_at").alias("max_on"))
+    begin = places.select(*PLAN, F.col("dsta_id").alias("dsta_od"), "first_at")
+    finish = places.select(*PLAN, F.col("dsta_id").alias("dsta_do"), "last_at")
+    sections = (run_disruptions(s, as_of, station_id).join(runs.select("ophe_id", *PLAN), "ophe_id")
+                .join(begin, [*PLAN, "dsta_od"]).join(finish, [*PLAN, "dsta_do"])
+                .select("ophe_id", "opis", F.least("first_at", "last_at").alias("low"), F.greatest("first_at", "last_at").alias("high"),
+                        F.concat_ws("", "opis", F.lit(" ["), "stacja_od", F.lit(" → "), "stacja_do", F.lit("]")).alias("line")))
+    begins = F.col("order_number") == F.col("low")
+    lines = F.array_sort(F.collect_list(F.when(begins, F.struct("high", "opis", "line"))))
+    marks = (sections.withColumn("order_number", F.explode(F.sequence("low", "high"))).groupBy("ophe_id", "order_number")
+             .agg(F.max((F.col("order_number") < F.col("high")).cast("int")).alias("odcinek"), lines.alias("lines")))
+    entry = F.struct("actual_arrival", "actual_departure", "arrival_delay_min", "departure_delay_min", "is_confirmed",
+                     "is_cancelled")
+    executed = (s.operation_details.where(_days(lo, hi)).join(runs.select("ophe_id"), "ophe_id", "left_semi")
+                .groupBy("ophe_id", F.col("planned_sequence").alias("order_number"))
+                .agg(F.max_by(entry, "actual_sequence").alias("e")))
+    x = (runs.join(stops, PLAN).join(extent, PLAN)
+         .where(F.col("arrival_time").isNotNull() | (F.col("order_number") == F.col("min_on")))
+         .join(executed, ["ophe_id", "order_number"], "left").join(marks, ["ophe_id", "order_number"], "left")
+         .withColumn("kategoria", F.coalesce("departure_category", "arrival_category"))
+         .join(s.def_stop_type.select(F.col("id").alias("dstty_id"), F.col("description").alias("typ_postoju_opis")),
+               "dstty_id", "left"))
+    x = _category(s, _station_name(s, x, "dsta_id", "stacja_nazwa"))
+    role = _role("order_number", "min_on", "max_on")
+    n = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
     return x.select(
         F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "ophe_id", "schedule_id", "order_id",
         "train_order_id", "train_status", "przewoznik", "nazwa_pociagu",
         F.col("order_number").alias("stacja_kolejnosc"), F.col("dsta_id").alias("stacja_id"), "stacja_nazwa",
-        F.when(F.col("dsta_id") == station_id, 1).otherwise(0).alias("czy_wroclaw"),
-        F.when(F.col("order_number") == F.col("start_seq"), 1).otherwise(0).alias("czy_start"),
-        F.when(F.col("order_number") == F.col("koniec_seq"), 1).otherwise(0).alias("czy_koniec"),
-        F.date_format(F.timestamp_seconds(base + _clock_day_minutes("arrival_time", "arrival_day")), TS)
-        .alias("plan_przyjazd"),
-        F.date_format(F.timestamp_seconds(base + _clock_day_minutes("departure_time", "departure_day")), TS)
-        .alias("plan_odjazd"),
-        F.date_format("actual_arrival", TS).alias("rz_przyjazd"), F.date_format("actual_departure", TS).alias("rz_odjazd"),
-        F.col("arrival_delay_min").alias("opoznienie_przyjazd_min"),
-        F.col("departure_delay_min").alias("opoznienie_odjazd_min"),
-        F.when(F.col("is_confirmed"), 1).otherwise(0).alias("czy_potwierdzony"),
-        F.when(F.col("is_cancelled"), 1).otherwise(0).alias("czy_odwolany"),
-        F.when(~F.col("_meas"), 1).otherwise(0).alias("czy_brak_pomiaru"),
-        _keep_platform(plat).alias("peron"), _keep_platform(track).alias("tor"), "kategoria", "kategoria_nazwa",
+        _flag(F.col("dsta_id") == station_id, "czy_wroclaw"), _flag(role["czy_start"], "czy_start"),
+        _flag(role["czy_koniec"], "czy_koniec"),
+        _clock(F.timestamp_seconds(_instant("arrival_day", "arrival_time")), "plan_przyjazd"),
+        _clock(F.timestamp_seconds(_instant("departure_day", "departure_time")), "plan_odjazd"),
+        _clock(F.col("e.actual_arrival"), "rz_przyjazd"), _clock(F.col("e.actual_departure"), "rz_odjazd"),
+        F.col("e.arrival_delay_min").alias("opoznienie_przyjazd_min"),
+        F.col("e.departure_delay_min").alias("opoznienie_odjazd_min"),
+        _flag(F.col("e.is_confirmed"), "czy_potwierdzony"), _flag(F.col("e.is_cancelled"), "czy_odwolany"),
+        _flag(F.col("e").isNull(), "czy_brak_pomiaru"),
+        _keep_platform(F.coalesce("arrival_platform", "departure_platform")).alias("peron"),
+        _keep_platform(F.coalesce("arrival_track", "departure_track")).alias("tor"), "kategoria", "kategoria_nazwa",
         F.coalesce("departure_train_no", "arrival_train_no").alias("nr_pociagu"),
         F.col("dstty_id").alias("typ_postoju_id"), "typ_postoju_opis",
-        F.coalesce("czy_stacja_utrudniona", F.lit(0)).alias("czy_stacja_utrudniona"),
-        F.coalesce("czy_odcinek_utrudniony", F.lit(0)).alias("czy_odcinek_utrudniony"),
-        F.coalesce("liczba_utrudnien_start", F.lit(0)).cast("bigint").alias("liczba_utrudnien_start"),
-        "utrudnienia_start_txt")
+        _flag(F.col("lines").isNotNull(), "czy_stacja_utrudniona"),
+        F.coalesce("odcinek", F.lit(0)).alias("czy_odcinek_utrudniony"), n.cast("bigint").alias("liczba_utrudnien_start"),
+        F.when(n > 0, F.array_join(F.transform("lines", lambda e: e["line"]), "\n")).alias("utrudnienia_start_txt"))
