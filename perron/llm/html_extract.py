@@ -60,25 +60,31 @@ def _general(tag: str, attrs: str) -> tuple[str, bool]:
     return tag + kind, skip
 
 
-def parse(page: str) -> tuple[list[tuple[str, Node, float]], list[Node]]:
-    """The text blocks of a page as (text, node, share of linked text) in page order, and its container nodes.
+def parse(page: str) -> tuple[list[tuple[str, Node, float, bool]], list[Node]]:
+    """The text blocks of a page as (text, node, share of linked text, glued) in page order, and its container nodes.
 
     A node's blocks are those numbered first to last - 1. Character references are decoded and white space made one
-    space; blocks without text are left out.
+    space; blocks without text are left out. A glued block follows the one before without white space: a span that is
+    ruled out cuts a line in blocks.
     """
     root = Node("", "", None, False, 0)
     cur, blocks, nodes = root, [], []
     buf: list[str] = []
     links = [0]
     in_link, at = 0, 0
-
-    def end_block() -> None:
-        if buf:
-            text = " ".join(_html.unescape("".join(buf)).split())
-            if text:
-                blocks.append((text, cur, min(1.0, links[0] / len(text))))
-            buf.clear()
-            links[0] = 0
+    # open spans: the node that each stands in, or its own if it is ruled out, and whether that is so
+    spans: list[tuple[Node, bool]] = []
+    apart = [True]
+
+    def end_block(inline: bool = False) -> None:
+        raw = _html.unescape("".join(buf))
+        text = " ".join(raw.split())
+        if text:
+            blocks.append((text, cur, min(1.0, links[0] / len(text)), not apart[0] and not raw[0].isspace()))
+            apart[0] = raw[-1].isspace()
+        apart[0] = apart[0] or not inline or (raw != "" and not text)
+        buf.clear()
+        links[0] = 0
 
     def close(node: Node) -> Node:
         node.last = len(blocks)
@@ -103,8 +109,23 @@ def parse(page: str) -> tuple[list[tuple[str, Node, float]], list[Node]]:
         if tag in INLINE:
             if tag == "a":
                 in_link = max(0, in_link + (-1 if m["end"] else 1))
-            if tag != "span" or m["end"] or not _general(tag, m["attrs"])[1]:
+            if tag != "span":
+                continue
+            if m["end"]:
+                while spans and spans[-1][0].last is not None:
+                    spans.pop()  # closed by an outer block
+                # the end of a span that was opened outside of the block counts for nothing, as in browsers
+                if spans and spans[-1][0] is cur and spans.pop()[1]:
+                    end_block(inline=True)
+                    cur = close(cur)
                 continue
+            step, out = _general(tag, m["attrs"])
+            if out:
+                end_block(inline=True)
+                cur = Node(tag, f"{cur.path}/{step}", cur, True, len(blocks))
+                nodes.append(cur)
+            spans.append((cur, out))
+            continue
         if tag == "br":
             buf.append(" ")
             continue
@@ -151,7 +172,7 @@ def _inside(node: Node, tags: tuple[str, ...]) -> bool:
 def scored(blocks: list, nodes: list[Node]) -> list[tuple[str, float]]:
     """Container paths and scores, best first. Text that is not linked scores for its nearest container, half for the
     next one out and a quarter beyond; semantic tags weigh more, and a path that occurs often is summed."""
-    for text, node, linked in blocks:
+    for text, node, linked, _ in blocks:
         if node.skip:
             continue
         n, share = node, (len(text) * (1 - linked)) ** 0.5 * (1.0 if node.tag in PARAGRAPH else 0.6)
@@ -171,6 +192,17 @@ def scored(blocks: list, nodes: list[Node]) -> list[tuple[str, float]]:
     return sorted(total.items(), key=lambda x: (-x[1], x[0]))
 
 
+def _joined(blocks: list) -> str:
+    """The texts of blocks that are not ruled out, with a space wherever white space or a block's end lay between."""
+    out, apart = [], True
+    for text, node, _, glued in blocks:
+        apart = apart or not glued
+        if not node.skip:
+            out += [" ", text] if apart and out else [text]
+            apart = False
+    return "".join(out)
+
+
 def text_of(blocks: list, nodes: list[Node], paths: list[str]) -> str:
     """The text of the first of ``paths`` that the page has: of all its outermost nodes with text, in page order."""
     for path in paths:
@@ -180,8 +212,8 @@ def text_of(blocks: list, nodes: list[Node], paths: list[str]) -> str:
                 spans.append((n.first, n.last))
                 reach = n.last
         if spans:
-            return " ".join(b[0] for s, e in spans for b in blocks[s:e] if not b[1].skip)
-    return " ".join(b[0] for b in blocks if not b[1].skip)
+            return " ".join(filter(None, (_joined(blocks[s:e]) for s, e in spans)))
+    return _joined(blocks)
 
 
 def host(url: str = "url"):

@@ -52,6 +52,19 @@ def test_html_odd(spark):
     assert rows(html_extract.extract(df.limit(0))) == []
 
 
+def whole(page):
+    return html_extract.text_of(*html_extract.parse(page), [])
+
+
+def test_html_spans():
+    assert whole('<article><span class="social">Share <span>this</span></span><p>One.</p><p>Two.</p></article>') == "One. Two."
+    assert whole('<p>text <span aria-hidden="true">*</span> more</p>') == "text more"
+    assert whole('<p>wo<span style="display:none">x</span>rd<span hidden="hidden"> </span>s <span>and <span class="ad">buy</span>then</span>, on</p>') == "word s and then, on"
+    assert whole('<p><a href="x">a<span class="skip">b</span>c</a> d</p>') == "ac d"
+    # never closed, closed by its block, closed once too often
+    assert whole('<div><p>a <span class="share">b</p><p>c</span> d <span>e</p></div>f</span> g') == "a c d e f g"
+
+
 def test_sentencepiece(spark, odd):
     model = tokenizer_path("piece_bpe_32k.model")
     out = rows(sentencepiece_lattice.encode(odd, model, head=3))
