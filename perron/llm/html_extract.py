@@ -28,6 +28,16 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 SKIP = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "input", "head"}
 SKIP_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "comentarios", "disqus", "complementary", "consent", "contentinfo", "cookie", "cookies", "dialog", "disclaimer", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pager", "pagination", "popup", "promo", "promoted", "recommended", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "topbar", "widget"}
 _WORDS = re.compile(r"[a-z]+")
+#: A class with one of these speaks of what its element has beside it; these make a header an article's own; and these at
+#: the end of a class say where or how, not what.
+MODIFIERS = {"has", "have", "with", "without", "no", "non", "not", "hide", "hides", "show", "shows", "is"}
+OWN_HEADER = {"article", "chapter", "content", "entry", "page", "post", "review", "section", "story"}
+PLACES = {"area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "center", "col", "column", "container", "content", "count", "desktop", "fixed", "form", "group", "holder", "icon", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "module", "outer", "panel", "placeholder", "post", "posts", "primary", "right", "row", "secondary", "section", "slot", "sticky", "stories", "text", "thread", "title", "toggle", "top", "unit", "wrap", "wrapper", "zone"}
+#: What may be longer than the article beside it, and so needs nearly all of the page's text to be its main text.
+LONG_WORDS = {"comment", "comments", "comentarios", "disqus", "replies", "respond", "consent", "cookie", "cookies", "gdpr", "dialog", "modal", "popup", "disclaimer", "related", "recommended", "teaser"}
+#: Shares of the page's unlinked text over which an element is not ruled out by its class, id or role; in an element of
+#: fewer than LEAST characters it has to be nearly all of it.
+MOST, NEARLY_ALL, LEAST = 0.5, 0.9, 200
 #: Paragraph-like tags whose text scores for the containers around it, and tags that may be containers.
 PARAGRAPH = {"p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "li", "dd", "dt", "figcaption"}
 CONTAINER = {"article", "main", "section", "div", "td", "body", "center", "table", "tbody", "tr", "span"}
@@ -36,27 +46,44 @@ _ENDS_P = {"address", "article", "aside", "blockquote", "center", "div", "dl", "
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "score", "link")
+    __slots__ = ("tag", "path", "parent", "skip", "first", "last", "score", "link", "out")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, skip: bool, first: int):
-        self.tag, self.path, self.parent, self.skip, self.first = tag, path, parent, skip, first
+    def __init__(self, tag: str, path: str, parent: Node | None, out: float, first: int):
+        """``out``: the share of the page's unlinked text up to which the element itself is ruled out."""
+        self.tag, self.path, self.parent, self.out, self.first = tag, path, parent, out, first
+        self.skip = out > 0 or (parent is not None and parent.skip)
         self.last, self.score, self.link = None, 0.0, 0.0
 
 
-def _general(tag: str, attrs: str) -> tuple[str, bool]:
-    """A step of a path, digits generalised, and whether class, id or role rule the element out."""
+def _ruled_out(token: str, inside: bool) -> float:
+    """The share of the page's text up to which a class, id or role rules an element out: 0 if it does not.
+
+    A class is what its last word says, places aside: "ad-slot" is an ad, "social-impact" is nothing social. An article's
+    own header stays: "post-header", and any that stands in an article (``inside``).
+    """
+    words = _WORDS.findall(token)
+    while len(words) > 1 and words[-1] in PLACES:
+        words.pop()
+    if not words or words[-1] not in SKIP_WORDS or not MODIFIERS.isdisjoint(words[:-1]):
+        return 0.0
+    if words[-1] == "header" and (inside or not OWN_HEADER.isdisjoint(words[:-1])):
+        return 0.0
+    return NEARLY_ALL if words[-1] in LONG_WORDS else MOST
+
+
+def _general(tag: str, attrs: str, inside: bool = False) -> tuple[str, float]:
+    """A step of a path, digits generalised, and up to which share of the page's text its attributes rule it out."""
     if not attrs.strip():
-        return tag, False
-    kind, skip = "", False
+        return tag, 0.0
+    kind, skip = "", 0.0
     for k, a, b, c in _ATTR.findall(attrs):
         k, v = k.lower(), (a or b or c).lower()
         if k in ("class", "id", "role"):
             if k == "class":
                 kind = "." + ".".join(sorted({re.sub(r"\d+", "#", x) for x in v.split()}))
-            # an article's own header keeps its class words; "post-header" is one, as is "ad-slot"
-            skip = skip or not SKIP_WORDS.isdisjoint(_WORDS.findall(v))
+            skip = max([skip, *(_ruled_out(x, inside) for x in v.split())])
         elif k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and re.search(r"display\s*:\s*none", v)):
-            skip = True
+            skip = 1.0
     return tag + kind, skip
 
 
@@ -122,9 +149,9 @@ def parse(page: str) -> tuple[list[tuple[str, Node, float, bool]], list[Node]]:
             step, out = _general(tag, m["attrs"])
             if out:
                 end_block(inline=True)
-                cur = Node(tag, f"{cur.path}/{step}", cur, True, len(blocks))
+                cur = Node(tag, f"{cur.path}/{step}", cur, out, len(blocks))
                 nodes.append(cur)
-            spans.append((cur, out))
+            spans.append((cur, out > 0))
             continue
         if tag == "br":
             buf.append(" ")
@@ -146,10 +173,14 @@ def parse(page: str) -> tuple[list[tuple[str, Node, float, bool]], list[Node]]:
             cur = n = close(n)
         if tag in VOID or tag == "html":
             continue
-        step, out = _general(tag, m["attrs"])
+        inside = _inside(cur, ("article", "main"))
+        step, out = _general(tag, m["attrs"], inside)
         # header is ruled out, too, unless it stands in an article
-        head = tag == "header" and not _inside(cur, ("article", "main"))
-        cur = Node(tag, f"{cur.path}/{step}", cur, cur.skip or (out and tag not in ("body", "article", "main")) or tag in SKIP or head, len(blocks))
+        if tag in SKIP or (tag == "header" and not inside):
+            out = 1.0
+        elif tag in ("body", "article", "main"):
+            out = 0.0
+        cur = Node(tag, f"{cur.path}/{step}", cur, out, len(blocks))
         nodes.append(cur)
         if m["attrs"].endswith("/") and tag in ("svg", "path"):
             cur = close(cur)
@@ -158,9 +189,26 @@ def parse(page: str) -> tuple[list[tuple[str, Node, float, bool]], list[Node]]:
     end_block()
     while cur is not root:
         cur = close(cur)
+    _restore(blocks, nodes)
     return blocks, nodes
 
 
+def _restore(blocks: list, nodes: list[Node]) -> None:
+    """Takes back what class, id or role ruled out, where an element holds more of the page's unlinked text than that."""
+    if not any(0 < n.out < 1 for n in nodes):
+        return
+    never = {None: False}
+    for n in nodes:
+        never[n] = n.out >= 1 or never.get(n.parent, False)
+    upto = [0.0]
+    for text, node, linked, _ in blocks:
+        upto.append(upto[-1] + (0.0 if never.get(node, False) else len(text) * (1 - linked)))
+    for n in nodes:
+        own = upto[n.last] - upto[n.first]
+        share = n.out if own >= LEAST else max(n.out, NEARLY_ALL)
+        n.skip = n.parent.skip or (n.out > 0 and (n.out >= 1 or own <= share * upto[-1]))
+
+
 def _inside(node: Node, tags: tuple[str, ...]) -> bool:
     while node is not None:
         if node.tag in tags:

@@ -65,6 +65,18 @@ def test_html_spans():
     assert whole('<div><p>a <span class="share">b</p><p>c</span> d <span>e</p></div>f</span> g') == "a c d e f g"
 
 
+def test_html_class_words():
+    text = "<p>" + "The article goes on and on. " * 9 + "</p>"
+    body = " ".join(["The article goes on and on."] * 9)
+    for wrapper in ('class="content with-sidebar"', 'id="page" class="no-footer"', 'class="post has-comments"', 'class="layout sidebar-left"', 'id="comments"'):
+        page = f'<body><div class="top-nav">Home</div><div {wrapper}><div class="post-header"><h1>Title</h1></div>{text}<div class="social-impact">Impact.</div>%s</div><div class="footer">Foot</div></body>'
+        assert whole(page % "") == f"Title {body} Impact."
+        assert whole(page % '<div class="ad-slot">Buy</div><ul class="share-buttons"><li>Tweet</li></ul><div class="header">Site</div>') == f"Title {body} Impact."
+    # comments longer than the article, and text that nobody sees, stay out
+    assert whole(f'<body><div class="post"><p>Short article.</p></div><div class="comments">{text[:60]}</div></body>') == "Short article."
+    assert whole(f'<body><p>Short.</p><div style="display: none">{text}</div><article><div class="header">Own</div></article></body>') == "Short. Own"
+
+
 def test_sentencepiece(spark, odd):
     model = tokenizer_path("piece_bpe_32k.model")
     out = rows(sentencepiece_lattice.encode(odd, model, head=3))
