@@ -1,10 +1,11 @@
 """Line dedup by winnowing over line hashes.
 
 A text is a sequence of lines that have words. For each line the shortest run of lines from it that holds
-``min_words`` words is a window, and the smallest line hash in it is its fingerprint, so any passage of that many words
-that two texts share, from line start to line end, gives both the same fingerprint. Fingerprints are joined by position
-with their first occurrence in the corpus; windows whose contents agree there are matches, which are extended line by
-line both ways; every line of a later match is deleted. Only DataFrame functions are used.
+``min_words`` words is a window, and so is the shortest run that ends with it; the smallest line hash in a window is its
+fingerprint. A passage of that many words that occurs again, from line start to line end, is covered by such windows:
+each of its lines begins or ends one that lies in the passage. Fingerprints are joined with their first occurrence in the
+corpus for each content of the window, so it does not matter what stood beside it there, and every line of a later match
+is deleted. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -32,27 +33,24 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # a row that occurs again gives its lines again: once is enough
     lines = _lines(docs).withColumn("again", F.lag("pos").over(order) == F.col("pos")).where("again is null or not again").drop("again")
     lines = (lines.withColumn("seq", F.row_number().over(order)).withColumn("at", F.coalesce(F.sum("words").over(before), F.lit(0)))
-             .withColumn("total", F.sum("words").over(whole)).withColumn("n", F.count("*").over(whole)))
+             .withColumn("total", F.sum("words").over(whole)))
     lines = stored(lines, "lines")
-    # the lines that start within min_words words from here are the shortest run with so many
-    reach = Window.partitionBy("key").orderBy("at").rangeBetween(0, min_words - 1)
-    windows = (lines.withColumn("least", F.min(F.struct("h", "h2", "seq")).over(reach)).withColumn("last", F.max("seq").over(reach))
-               .withColumn("run", F.collect_list(F.struct("h", "h2")).over(reach)).where(F.col("total") - F.col("at") >= min_words))
-    marks = windows.select("doc", "key", F.col("seq").alias("start"), "last", "n", F.col("least.h").alias("h"), F.col("least.h2").alias("h2"),
-                           (F.col("least.seq") - F.col("seq")).alias("shift"), F.xxhash64("run").alias("content"), F.hash("run").alias("content2"))
+    # the lines that start within min_words words from here are the shortest run with so many; so are those that end so
+    # near before this one's end
+    placed = lines.withColumn("end", F.col("at") + F.col("words"))
+    for name, reach in (("ahead", whole.orderBy("at").rangeBetween(0, min_words - 1)), ("behind", whole.orderBy("end").rangeBetween(1 - min_words, 0))):
+        run = F.collect_list(F.struct("h", "h2")).over(reach)
+        placed = placed.withColumn(name, F.struct(F.min("seq").over(reach).alias("start"), F.max("seq").over(reach).alias("last"), F.min("at").over(reach).alias("at"),
+                                                  F.min("h").over(reach).alias("h"), F.xxhash64(run).alias("content"), F.hash(run).alias("content2")))
+    # a run with min_words words before its last line is not the one ahead of its first line; others are listed there
+    listed = F.array(F.when(F.col("total") - F.col("at") >= min_words, F.col("ahead")), F.when(F.col("at") - F.col("behind.at") >= min_words, F.col("behind")))
+    same = ["h", "content", "content2"]
+    marks = placed.select("doc", "key", F.inline(F.filter(listed, lambda x: x.isNotNull()))).select("doc", "key", "start", "last", *same)
     marks = stored(marks, "marks")
     # a fingerprint's first occurrence, for each content of the window that it stands for
-    same = ["h", "h2", "shift", "content", "content2"]
     first = marks.groupBy(*same).agg(F.min(F.struct("doc", "key", "start")).alias("src"), F.count("*").alias("times")).where("times > 1").drop("times")
     match = marks.join(first, same).where((F.col("src.key") != F.col("key")) | (F.col("src.start") < F.col("start")))
-    match = stored(match.select("key", "start", "last", "n", F.col("src.key").alias("skey"), (F.col("src.start") - F.col("start")).alias("by")), "matches")
-    # matches that run on in one alignment are one run; its two ends are extended
-    along = Window.partitionBy("key", "skey", "by").orderBy("start")
-    islands = (match.withColumn("new", (F.coalesce(F.lag("last").over(along), F.lit(-1)) < F.col("start") - 1).cast("int"))
-               .withColumn("island", F.sum("new").over(along)).groupBy("key", "skey", "by", "island")
-               .agg(F.min("start").alias("start"), F.max("last").alias("last"), F.first("n").alias("n")))
-    extended = _extend(islands, lines, min_words)
-    hit = islands.select("key", "start", "last").union(extended)
+    hit = match.select("key", "start", "last")
     # overlapping runs are merged before their lines are listed, so the rows stay within the text's lines
     o = Window.partitionBy("key").orderBy("start", "last")
     reached = F.max("last").over(o.rowsBetween(Window.unboundedPreceding, -1))
@@ -61,25 +59,6 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return dead.join(lines.select("key", "seq", "pos"), ["key", "seq"]).select("key", "pos")
 
 
-def _extend(islands: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
-    """key, start, last of the lines beside a run that are equal in its source too.
-
-    A line beyond a run belongs to no match only if what is left of the passage there has under min_words words, so
-    min_words lines at either end are enough.
-    """
-    side = lambda way, end, most: F.struct(F.lit(way).alias("way"), F.col(end).alias("end"), F.least(F.lit(min_words).cast("long"), most).alias("most"))
-    ends = islands.select("key", "skey", "by", F.inline(F.array(side(1, "last", F.col("n") - F.col("last")), side(-1, "start", (F.col("start") - 1).cast("long")))))
-    steps = (ends.where("most > 0").withColumn("step", F.explode(F.sequence(F.lit(1).cast("long"), F.col("most"))))
-             .withColumn("seq", (F.col("end") + F.col("way") * F.col("step")).cast("int")))
-    mine = lines.select("key", "seq", "h", "h2")
-    theirs = lines.select(F.col("key").alias("skey"), F.col("seq").alias("sseq"), F.col("h").alias("sh"), F.col("h2").alias("sh2"))
-    both = steps.join(mine, ["key", "seq"]).withColumn("sseq", F.col("seq") + F.col("by")).join(theirs, ["skey", "sseq"])
-    equal = both.where("h = sh and h2 = sh2")
-    w = Window.partitionBy("key", "skey", "by", "way", "end").orderBy("step")
-    run = equal.withColumn("n", F.row_number().over(w)).where("n = step")
-    return run.select("key", F.col("seq").alias("start"), F.col("seq").alias("last"))
-
-
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with later repeats of runs of ``min_words`` words or more deleted.
 

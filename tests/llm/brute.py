@@ -99,6 +99,24 @@ def dedup_lines(rows: list[tuple[int, str]], min_words: int = 50) -> dict[int, s
     return {i: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in dead[i]) for i, t in rows}
 
 
+def dedup_lines_all(rows: list[tuple[int, str]], min_words: int = 50) -> dict[int, str]:
+    """The same, each line compared with all of its earlier occurrences, however their runs begin and end."""
+    docs = {i: [(p, x, len(words(x))) for p, x in enumerate(t.split("\n")) if words(x)] for i, t in sorted(rows)}
+    seen: dict = {}
+    dead: dict = {i: set() for i in docs}
+    for i, lines in docs.items():
+        for s in range(len(lines)):
+            for j, q in seen.setdefault(lines[s][1], []):
+                n, e = 0, s
+                while e < len(lines) and q + e - s < len(docs[j]) and lines[e][1] == docs[j][q + e - s][1]:
+                    n += lines[e][2]
+                    e += 1
+                if n >= min_words:
+                    dead[i] |= {lines[k][0] for k in range(s, e)}
+            seen[lines[s][1]].append((i, s))
+    return {i: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in dead[i]) for i, t in rows}
+
+
 # --- op6
 def rules(text: str | None) -> dict:
     text = text or ""

@@ -125,6 +125,21 @@ def test_line_dedup(docs, texts, odd):
     assert rows(line_dedup.dedup_lines(odd.limit(0))) == []
 
 
+def test_line_dedup_all_sources(spark):
+    import random
+
+    line = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    x, y, z = line("x", 60), line("y", 20), line("z", 30)
+    texts = [(1, x), (2, f"{x}\n{y}"), (3, f"{x}\n{y}\nown"), (4, f"{z}\n{y}\na"), (5, f"{z}\n{y}\nb"), (6, f"{z}\n\n{y}\n{z}\n{y}\n{x}")]
+    rnd = random.Random(5)
+    pool = [line(f"p{i}_", rnd.choice([3, 9, 17, 24, 31, 55])) for i in range(12)]
+    passage = lambda a: pool[a : a + rnd.randint(1, 6)]
+    texts += [(i, "\n".join(p for _ in range(rnd.randint(1, 5)) for p in passage(rnd.randrange(12)))) for i in range(10, 90)]
+    got = {r["doc_id"]: r["text"] for r in rows(line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id bigint, text string")))}
+    assert got[2] == y and got[3] == "own" and got[5] == "b"
+    assert got == brute.dedup_lines_all(texts) != brute.dedup_lines(texts)
+
+
 def test_quality_rules(spark, docs, texts, odd):
     model = quality_rules.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     for r in rows(quality_rules.rules(docs, model)):
