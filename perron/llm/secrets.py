@@ -2,8 +2,8 @@
 
 Three kinds of part are found alone: assignments, access identifiers and long hexadecimal strings. Weak candidates
 (a bare key-like string, a service endpoint, a short access identifier) mean nothing alone. They are reported only
-when complementary parts occur in one scope: an identifier, a secret and an endpoint within ``scope`` code points of
-each other. The interval join runs in Spark: parts are dealt to bins as wide as a scope, each bin keeps the
+when complementary parts occur in one scope, within ``scope`` code points of them: a secret with an identifier or an
+identifier with a secret on the pair alone, an endpoint with both. The interval join runs in Spark: parts are dealt to bins as wide as a scope, each bin keeps the
 extreme positions per role, and a candidate is joined with its own and the two neighbouring bins. Nearest partners
 are thus found without pairing the members of a group, and a bin holds at most ``scope`` parts, however long the
 text.
@@ -25,7 +25,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_RUN = re.compile(r"[0-9a-f]{32,}")
 #: Weak parts. A key has 40 characters of base 64 of all three kinds; an endpoint names a service host.
-KEY = re.compile(r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[a-z])(?=[A-Za-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[a-z])(?=[A-Za-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,}|\b(?:s3|sts|api|auth|iam)[.-][a-z0-9-]+\.[a-z0-9.-]*[a-z]", re.ASCII)
 IDENTIFIER = re.compile(r"\b(?:client|user|account|access|key)_?id[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]{4,})", re.IGNORECASE | re.ASCII)
 #: kind, pattern, role in a credential, found alone
@@ -65,10 +65,10 @@ def parts(docs: DataFrame) -> DataFrame:
 
 
 def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """row, kind, start, end of weak parts that have partners of both other roles within ``scope``.
+    """row, kind, start, end of weak parts that have their partners within ``scope``.
 
-    Distance is from start to start. A weak identifier, secret or endpoint needs one part of each complementary role;
-    parts that are found alone count as partners too.
+    Distance is from start to start. A weak secret needs an identifier, a weak identifier a secret, an endpoint one of
+    each; parts that are found alone count as partners too.
     """
     role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
     p = found.select("row", F.inline("parts")).withColumn("role", role[F.col("kind")]).withColumn("bin", F.floor(F.col("start") / scope).cast("long"))
@@ -77,12 +77,13 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     look = weak.withColumn("at", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
     n = near.select("row", F.col("bin").alias("at"), F.col("role").alias("other"), "lo", "hi")
     # in a bin below the candidate's the last part is nearest, in one above the first; in its own all are near
-    ok = ((F.col("other") != F.col("role"))
+    # an endpoint completes no pair, so it is nobody's partner
+    ok = ((F.col("other") != F.col("role")) & (F.col("other") != "endpoint")
           & F.when(F.col("at") < F.col("bin"), F.col("start") - F.col("hi") <= scope)
              .when(F.col("at") > F.col("bin"), F.col("lo") - F.col("start") <= scope).otherwise(True))
     hit = look.join(n, ["row", "at"]).where(ok)
     return (hit.groupBy("row", "kind", "start", "end").agg(F.count_distinct("other").alias("roles"))
-            .where("roles = 2").drop("roles"))
+            .where(F.col("roles") == F.when(F.col("kind") == "endpoint", 2).otherwise(1)).drop("roles"))
 
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
