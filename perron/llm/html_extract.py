@@ -1,18 +1,20 @@
 """Main text of web pages by consensus host paths.
 
 A page's containers are scored by their paragraphs. Its best containers vote, under a path of tags and classes in which
-digits and places are generalised, and Spark adds the votes of a host. Every page is then extracted again with the
-winning paths of its host: the first that the page has. A page whose host has no usable path falls back to its own best
-container, and to the whole body if it has none.
+digits and places are generalised, and Spark adds the votes of a host. Every page is then extracted again with the path
+that has most of its host's votes among all that the page itself has, or with one inside of it that does better where it
+occurs. A page falls back to its own best container if that path holds little of, or far more than, what this one holds,
+or if no path has votes, and to the whole body if it has no container.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perron.llm.base import per_text, stored, text_or_empty
@@ -251,14 +253,20 @@ def _joined(blocks: list) -> str:
     return "".join(out)
 
 
+def _held(blocks: list, nodes: list[Node], path: str) -> list[tuple[int, int]]:
+    """First and last block + 1 of the outermost nodes with text that have this path, in page order."""
+    spans, reach = [], 0
+    for n in nodes:
+        if n.path == path and not n.skip and n.first >= reach and any(not b[1].skip for b in blocks[n.first : n.last]):
+            spans.append((n.first, n.last))
+            reach = n.last
+    return spans
+
+
 def text_of(blocks: list, nodes: list[Node], paths: list[str]) -> str:
     """The text of the first of ``paths`` that the page has: of all its outermost nodes with text, in page order."""
     for path in paths:
-        spans, reach = [], 0
-        for n in nodes:
-            if n.path == path and not n.skip and n.first >= reach and any(not b[1].skip for b in blocks[n.first : n.last]):
-                spans.append((n.first, n.last))
-                reach = n.last
+        spans = _held(blocks, nodes, path)
         if spans:
             return " ".join(filter(None, (_joined(blocks[s:e]) for s, e in spans)))
     return _joined(blocks)
@@ -268,33 +276,65 @@ def host(url: str = "url"):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def votes(pages: DataFrame, candidates: int = 3) -> DataFrame:
-    """host, path, vote: each page gives its best ``candidates`` containers votes in proportion to their scores."""
+def _id(path: str) -> int:
+    return int.from_bytes(hashlib.blake2b(path.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def candidates(pages: DataFrame, best: int = 3) -> DataFrame:
+    """key, host, v array of (path, vote) for each row of ``pages`` (key, host, html): all its containers' paths, as numbers.
+
+    Each page gives its ``best`` containers votes in proportion to their scores, the others none.
+    """
 
     def run(texts: list[bytes]) -> list[pa.Array]:
         paths, shares, offsets = [], [], [0]
         for t in texts:
-            best = scored(*parse(t.decode("utf-8", "replace")))[:candidates]
-            top = sum(s for _, s in best)
-            paths += [p for p, _ in best]
+            found = scored(*parse(t.decode("utf-8", "replace")))
+            top = sum(s for _, s in found[:best])
+            paths += [_id(p) for p, _ in found]
             # rounded, so that sums are the same in any order
-            shares += [int(1000 * (s / top) ** 2) for _, s in best]
+            shares += [int(1000 * (s / top) ** 2) if i < best else 0 for i, (_, s) in enumerate(found)]
             offsets.append(len(paths))
-        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(shares, pa.int64())], ["path", "vote"]))]
+        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(paths, pa.int64()), pa.array(shares, pa.int64())], ["path", "vote"]))]
 
-    got = per_text(pages.select(host().alias("host"), "html"), run, "v array<struct<path:string,vote:bigint>>", ["host"], text="html")
-    return got.select("host", F.inline("v")).groupBy("host", "path").agg(F.sum("vote").alias("vote"))
+    return per_text(pages, run, "v array<struct<path:bigint,vote:bigint>>", ["key", "host"], text="html")
 
 
-def winners(voted: DataFrame, keep: int = 8, least: float = 0.05) -> DataFrame:
-    """host, paths: a host's paths with at least ``least`` of its best vote, best first, ``keep`` at most.
+#: Votes for nothing that are added to a path's for its mean, so that one page alone weighs less.
+PRIOR = 60
 
-    The limit is one of paths tried for a page, never of pages: a page that has none of them uses its own best.
-    """
-    w = Window.partitionBy("host")
-    ranked = (voted.withColumn("top", F.max("vote").over(w)).where(F.col("vote") >= least * F.col("top"))
-              .withColumn("rank", F.row_number().over(w.orderBy(F.desc("vote"), "path"))).where(F.col("rank") <= keep))
-    return ranked.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
+
+def chosen(pages: DataFrame) -> DataFrame:
+    """key, most, mean: of the voted paths that a page has, the one with most of its host's votes and the one with the
+    highest mean vote, each vote weighed by itself, so that a teaser on other pages does no harm. ``pages``: key, host,
+    html."""
+    each = stored(candidates(pages), "paths").select("key", "host", F.inline("v"))
+    voted = (each.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.sum(F.col("vote") * F.col("vote")).alias("squares")).where("votes > 0")
+             .select("host", "path", "votes", (F.col("squares") / (F.col("votes") + PRIOR)).alias("mean")))
+    best = (each.join(stored(voted, "votes"), ["host", "path"]).groupBy("key")
+            .agg(F.max(F.struct("votes", "path")).alias("most"), F.max(F.struct("mean", "path")).alias("mean")))
+    return stored(best.select("key", F.col("most.path").alias("most"), F.col("mean.path").alias("mean")), "chosen")
+
+
+#: A path is not taken if it holds less than LITTLE or more than FAR_MORE times the unlinked text of the page's own best.
+LITTLE, FAR_MORE = 0.2, 2.0
+
+
+def _paths(blocks: list, nodes: list[Node], most: int | None, mean: int | None) -> list[str]:
+    """The path to extract a page with: the host's or the page's own best; none if the page has no container."""
+    own = scored(blocks, nodes)
+    if not own:
+        return []
+    best, have = own[0][0], {_id(p): p for p, _ in own}
+    path, near = have.get(most, best), have.get(mean, best)
+    # a wrapper that all templates of a host share has more votes than the container of each, but fewer a page
+    if near.startswith(path + "/"):
+        path = near
+    if path != best:
+        mine, held = (sum(len(b[0]) * (1 - b[2]) for s, e in _held(blocks, nodes, x) for b in blocks[s:e] if not b[1].skip) for x in (best, path))
+        if not LITTLE * mine <= held <= FAR_MORE * mine:
+            path = best
+    return [path]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -303,30 +343,23 @@ def extract(pages: DataFrame) -> DataFrame:
     Null html counts as empty and gives an empty text; pages with a null or odd url share the empty host; repeated rows give a
     row each; other columns are ignored. An empty table gives an empty result.
     """
-    p = pages.select("page_id", "url", "html").withColumn("host", host())
-    best = stored(winners(votes(pages)), "paths")
-    joined = p.join(best, "host", "left").select("page_id", "url", F.to_json(F.coalesce("paths", F.expr("cast(array() as array<string>)"))).alias("paths"), "html")
+    # equal pages of a host have one key: what is chosen for one is right for all
+    p = pages.select("page_id", "url", "html").withColumn("host", host()).withColumn("key", F.xxhash64("host", "html"))
+    joined = p.join(chosen(p.select("key", "host", "html")), "key", "left").select("page_id", "url", "most", "mean", "html")
 
     return _again(joined)
 
 
 def _again(joined: DataFrame) -> DataFrame:
-    import json
-
-    src = joined.select("page_id", "url", "paths", text_or_empty("html").cast("binary").alias("html"))
+    src = joined.select("page_id", "url", "most", "mean", text_or_empty("html").cast("binary").alias("html"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:2])
 
     def run(batches):
         for b in batches:
-            texts, known = [], {}
-            for paths, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                tried = known.get(paths)
-                if tried is None:
-                    tried = known[paths] = json.loads(paths)
+            texts = []
+            for most, mean, t in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 blocks, nodes = parse(t.decode("utf-8", "replace"))
-                have = {n.path for n in nodes}
-                own = [] if any(x in have for x in tried) else [x for x, _ in scored(blocks, nodes)[:1]]
-                texts.append(text_of(blocks, nodes, tried + own))
+                texts.append(text_of(blocks, nodes, _paths(blocks, nodes, most, mean)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return src.mapInArrow(run, f"{kinds}, text string, n_chars bigint")

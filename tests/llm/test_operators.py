@@ -77,6 +77,21 @@ def test_html_class_words():
     assert whole(f'<body><p>Short.</p><div style="display: none">{text}</div><article><div class="header">Own</div></article></body>') == "Short. Own"
 
 
+def test_html_rare_templates(spark):
+    # one host, twelve templates, the last on a single page; all have a wrapper and a box that is the article of one
+    names, pages, want = "abcdefghijkl", [], {}
+    for i, n in enumerate(names):
+        for k in range(40 if i == 0 else 1 if i == 11 else 6):
+            body = f"Article {n} {k} tells a long story, much longer than what is around it. " * 8
+            box = "div.box" if i == 0 else f"div.art-{n}"
+            article = f'<div class="{box[4:]}"><p>{body}</p><p>{body}</p></div>'
+            teaser = "" if i == 0 else '<div class="box"><p>Read on.</p></div>'
+            want[len(pages)] = " ".join((body + body).split())
+            pages.append((len(pages), "http://blog/x", f'<body><div class="wrap"><p>Welcome to this place, where we write about all things.</p>{article}{teaser}<p>All rights are ours, and none of them are yours.</p></div></body>'))
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in rows(html_extract.extract(df))} == want
+
+
 def test_sentencepiece(spark, odd):
     model = tokenizer_path("piece_bpe_32k.model")
     out = rows(sentencepiece_lattice.encode(odd, model, head=3))
