@@ -57,7 +57,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("quality_classifier", quality_classifier), ("line_dedup", dedup_lines), ("near_duplicates", near_duplicates),
           ("secret_scan", mask_secrets), ("best_fit_packing", pack_sequences)]
 
-#: The classifier, the tokenizer and the packing are beyond SQL; tests hold run() against a plain version.
+#: The classifier, the tokenizer and the packing are beyond SQL; tests hold run() against a plain version, scores given.
 ORACLE_SQL = None
 
 

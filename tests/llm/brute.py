@@ -152,6 +152,37 @@ def pieces(ids: list[int], length: int = 2048) -> list[tuple[int, int, int, int]
     return [(k, a, b - a, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[a:b]))) for k, (a, b) in enumerate(zip(cuts, ends, strict=True))]
 
 
+# --- pipeline, after the classifier
+def pipeline(rows: list[tuple[int, str | None]], encode, scope: int = 400) -> set[tuple]:
+    """(doc_id, piece, start, length, ids_crc32) of what is left of documents with different ids."""
+    from perron.llm.secrets import KINDS, find
+
+    before = {i: t or "" for i, t in rows}
+    after = dedup_lines_all(list(before.items()))
+    left = {i: t for i, t in after.items() if t == before[i] or words(t)}
+    sets = {i: shingle_set(t, 5) for i, t in left.items()}
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * (n := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - n) and n:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    role, alone, out = {k: r for k, r, _ in KINDS}, {k for k, _, a in KINDS if a}, set()
+    for i, t in left.items():
+        if root[i] != i:
+            continue
+        found, made, at = find(t), "", 0
+        for k, s, e in found:
+            near = {role[x] for x, y, _ in found if abs(y - s) <= scope}
+            if k not in alone and not {"identifier", "secret"} <= near:
+                continue
+            if s >= at:
+                made += t[at:s] + "[SECRET]"
+            at = max(at, e)
+        out |= {(i, *p) for p in pieces(encode(made + t[at:]))}
+    return out
+
+
 # --- op1, for pages whose article is one <article> element without boilerplate inside
 def article(page: str) -> str:
     m = re.search(r"<article>(.*?)</article>", page, re.DOTALL)
