@@ -1,3 +1,89 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+#: One step of CRC-32 (reflected polynomial 0xEDB88320) over eight bits, unrolled by a list of eight.
+_BIT = "lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+
+
+def crc32(expr: str) -> str:
+    """Unsigned CRC-32 of the digits (and sign) of an integer, as a BIGINT; null for null."""
+    byte = f"list_reduce(range(1, 9), {_BIT}, xor(c, b))"
+    return (f"xor(list_reduce(list_transform(string_split(CAST({expr} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+            f"lambda c, b: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree(name: str, first: str) -> str:
+    """Levels of the trees over ``first`` (grp, i, node): grp, level, i, n (nodes of the level), node."""
+    return f"""
+{name} AS (
+  SELECT grp, 0 AS level, i, n, node FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM {first})
+  UNION ALL
+  SELECT grp, level, i, (n + 15) // 16, node FROM (
+    SELECT grp, level + 1 AS level, i // 16 AS i, max(n) AS n, sha256(string_agg(node, '' ORDER BY i)) AS node
+    FROM {name} WHERE n > 1 GROUP BY grp, level, i // 16)
+)"""
+
+
+#: Leaves, trees by level, and for each leaf a walk up its tree that gathers siblings and folds.
+OP12 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {crc32("doc_id")} % 5 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf("text")} END AS altered
+  FROM documents
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM leaves
+), firsts AS (SELECT grp, i, leaf AS node FROM placed),
+{_tree("low", "firsts")},
+subroots AS (SELECT 0 AS grp, grp AS i, node FROM low WHERE n = 1),
+{_tree("high", "subroots")},
+levels AS (
+  SELECT grp, level, i, n, node, max(level) OVER (PARTITION BY grp) AS height FROM low
+), walk AS (
+  SELECT grp AS g, i AS spot, 0 AS step, i AS place, '' AS gathered, altered AS folded FROM placed
+  UNION ALL
+  SELECT g, spot, step + 1, place // 16, gathered || others, sha256(before || folded || behind) FROM (
+    SELECT w.g, w.spot, w.step, w.place, w.gathered, w.folded,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i <> w.place), '') AS others,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i < w.place), '') AS before,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i > w.place), '') AS behind
+    FROM walk w JOIN levels l ON l.grp = w.g AND l.level = w.step AND l.i // 16 = w.place // 16
+    WHERE w.step < l.height
+    GROUP BY ALL)
+), top AS (
+  SELECT w.g, w.spot, w.gathered, w.folded FROM walk w JOIN (SELECT DISTINCT grp, height FROM levels) h ON h.grp = w.g AND h.height = w.step
+), crowns AS (
+  SELECT level, i, node, max(level) OVER () AS height FROM high
+), upper AS (
+  SELECT g, spot, 0 AS step, g AS place, gathered, folded FROM top
+  UNION ALL
+  SELECT g, spot, step + 1, place // 16, gathered || others, sha256(before || folded || behind) FROM (
+    SELECT w.g, w.spot, w.step, w.place, w.gathered, w.folded,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i <> w.place), '') AS others,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i < w.place), '') AS before,
+           coalesce(string_agg(l.node, '' ORDER BY l.i) FILTER (WHERE l.i > w.place), '') AS behind
+    FROM upper w JOIN crowns l ON l.level = w.step AND l.i // 16 = w.place // 16
+    WHERE w.step < l.height
+    GROUP BY ALL)
+)
+SELECT p.doc_id, p.leaf, s.node AS subroot, r.node AS root, sha256(u.gathered) AS proof_sha256, u.folded AS folded_root, u.folded = r.node AS verified
+FROM placed p
+JOIN upper u ON u.g = p.grp AND u.spot = p.i
+JOIN subroots s ON s.i = p.grp
+JOIN (SELECT node FROM high WHERE n = 1) r ON true
+WHERE u.step = (SELECT max(level) FROM high)
+"""
+
+SQL: dict[str, str] = {"op12_merkle_manifest": OP12}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.llm import chat, classifier, fingerprint, html_extract, jaccard, line_dedup, pack, quality_rules, secrets, sentencepiece_lattice
+from perron.llm import chat, classifier, fingerprint, html_extract, jaccard, line_dedup, merkle, pack, quality_rules, secrets, sentencepiece_lattice
 from perron.llm.base import table
 
 
@@ -60,4 +60,8 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_sentencepiece, op3_secret_scan, op4_jaccard_join, op5_line_dedup, op6_quality_rules, op7_chat_format, op8_best_fit_packing, op9_quality_classifier, op10_fingerprint)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_sentencepiece, op3_secret_scan, op4_jaccard_join, op5_line_dedup, op6_quality_rules, op7_chat_format, op8_best_fit_packing, op9_quality_classifier, op10_fingerprint, op12_merkle_manifest)}
