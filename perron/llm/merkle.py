@@ -50,12 +50,10 @@ def _above(level: str) -> Column:
     return F.array_join(F.transform(cuts, lambda at: F.sha2(F.substring(F.col(level), at, F.lit(FAN * HEX)), 256)), "").cast("binary")
 
 
-def _flanks(level: Column, place: Column) -> Column:
-    """What stands left and right of a node in its run of FAN, by its place in the level."""
-    at = (place % FAN).cast("int")
-    run = (place - at).cast("int") * HEX + 1
-    return F.struct(F.substring(level, run, at * HEX).alias("left"),
-                    F.substring(level, run + (at + 1) * HEX, (FAN - 1 - at) * HEX).alias("right"))
+def _flanks(run: Column, at: Column) -> Column:
+    """What stands left and right of a node in its run, by its place there."""
+    return F.struct(F.substring(run, F.lit(1), at * HEX).alias("left"),
+                    F.substring(run, (at + 1) * HEX + 1, F.lit(FAN * HEX)).alias("right"))
 
 
 def _rounds(nodes: DataFrame, group: str) -> tuple[list[DataFrame], DataFrame]:
@@ -90,11 +88,18 @@ def _paths(rounds: list[DataFrame], group: str, upper: DataFrame) -> DataFrame:
     above = upper.select(F.col(group).alias("g"), F.lit(0).cast("long").alias("b"), "up", *more)
     for k, blocks in reversed(list(enumerate(rounds))):
         x = blocks.join(above, F.col(group).eqNullSafe(F.col("g")) & (F.col("block") == F.col("b")))
-        x = x.select("*", F.posexplode("carried").alias("i", "was")).drop("carried")
-        own = [F.when(F.col(f"level{j + 1}").isNotNull(), _flanks(F.col(f"level{j}"), F.floor(F.col("i") / FAN**j))) for j in range(DEPTH)]
-        path = F.concat(F.filter(F.array(*own), lambda s: s.isNotNull()).cast(PATH), "up")
-        place = F.col("block") * FAN**DEPTH + F.col("i")
-        x = x.select(F.col(group), place.alias("place"), F.substring("level0", F.col("i") * HEX + 1, F.lit(HEX)).alias("node"), F.col("was").alias("carried"), path.alias("path"), *more)
+        x = x.withColumn("at", F.lit(0).cast("long")).withColumnRenamed("up", "path")
+        # down from level to level: a row has its node's stretch of every level below, so no row carries a block's levels
+        # to each of its leaves
+        for j in range(DEPTH, 0, -1):
+            below, has = F.col(f"level{j - 1}"), F.col(f"level{j}").isNotNull()
+            nodes = F.when(has, (F.length(below) / HEX).cast("int")).otherwise(1)
+            x = x.withColumn("c", F.explode(F.sequence(F.lit(0), nodes - 1)))
+            cut = {i: F.substring(f"level{i}", F.col("c") * (FAN ** (j - 1 - i) * HEX) + 1, F.lit(FAN ** (j - 1 - i) * HEX)) for i in range(j)}
+            path = F.when(has, F.concat(F.array(_flanks(below, F.col("c"))).cast(PATH), "path")).otherwise(F.col("path"))
+            x = x.select(group, "block", (F.col("at") * FAN + F.col("c")).alias("at"), path.alias("path"), *[cut[i].alias(f"level{i}") for i in range(j)],
+                         F.slice("carried", F.col("c") * FAN ** (j - 1) + 1, F.lit(FAN ** (j - 1))).alias("carried"), *more)
+        x = x.select(group, (F.col("block") * FAN**DEPTH + F.col("at")).alias("place"), F.col("level0").alias("node"), F.col("carried")[0].alias("carried"), "path", *more)
         if k:
             above = x.select(F.col(group).alias("g"), F.col("place").alias("b"), F.col("path").alias("up"), *more)
     return x
