@@ -86,4 +86,40 @@ JOIN (SELECT node FROM high WHERE n = 1) r ON true
 WHERE u.step = (SELECT max(level) FROM high)
 """
 
-SQL: dict[str, str] = {"op12_merkle_manifest": OP12}
+#: Rebuilt conversations as strings of turn hashes; every prefix of each is grouped, and each node counts for all above it.
+OP13 = f"""
+WITH said AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
+  FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+  SELECT conv_id, bytes, mark, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) - 1 AS pos FROM said
+), c AS (
+  SELECT conv_id, count(*) AS n, {crc32("conv_id")} % 9 AS h, conv_id - conv_id % 5 AS base FROM t GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS side, t.pos, bytes, mark FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, bytes, mark FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h
+), whole AS (
+  SELECT c.conv_id, count(r.mark) AS len, coalesce(string_agg(r.mark, '' ORDER BY side, pos), '') AS marks, list(r.bytes ORDER BY side, pos) AS bytes
+  FROM c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+), starts AS (
+  SELECT conv_id, len, bytes, unnest(range(0, len + 1)) AS depth, marks FROM whole
+), nodes AS (
+  SELECT substr(marks, 1, 64 * depth) AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(CASE WHEN depth = 0 THEN 0 ELSE bytes[depth] END) AS bytes,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len = depth), '') AS ends,
+         bool_and(len = depth) AS childless
+  FROM starts GROUP BY ALL
+), ups AS (
+  SELECT substr(path, 1, 64 * k) AS path, k AS depth, sum(CAST(childless AS BIGINT)) AS n_leaves, sum((n_convs - 1) * bytes) AS saved,
+         count(*) FILTER (WHERE d = k + 1) AS n_children
+  FROM (SELECT path, depth AS d, n_convs, bytes, childless, unnest(range(0, depth + 1)) AS k FROM nodes) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(u.n_children AS BIGINT) AS n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN ups u ON u.depth = n.depth AND u.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = substr(n.path, 1, 64 * (n.depth - 1))
+"""
+
+SQL: dict[str, str] = {"op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}
