@@ -122,4 +122,26 @@ FROM nodes n JOIN ups u ON u.depth = n.depth AND u.path = n.path
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = substr(n.path, 1, 64 * (n.depth - 1))
 """
 
-SQL: dict[str, str] = {"op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}
+#: All pairs of usable vectors, and for each the least vec_id within reach.
+OP11 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), u AS (
+  SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE list_inner_product(e, e) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings WHERE vec_id IS NOT NULL
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT e.vec_id, count(l.b) AS n_links, (SELECT min(other) FROM reach r WHERE r.vec_id = e.vec_id) AS component_id,
+       e.vec_id = (SELECT min(other) FROM reach r WHERE r.vec_id = e.vec_id) AS kept
+FROM embeddings e LEFT JOIN links l ON l.a = e.vec_id
+GROUP BY e.vec_id
+"""
+
+SQL: dict[str, str] = {"op11_embedding_dedup": OP11, "op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}

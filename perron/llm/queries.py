@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.llm import chat, classifier, fingerprint, html_extract, jaccard, line_dedup, merkle, pack, quality_rules, secrets, sentencepiece_lattice, trie
+from perron.llm import chat, classifier, embedding_forest, fingerprint, html_extract, jaccard, line_dedup, merkle, pack, quality_rules, secrets, sentencepiece_lattice, trie
 from perron.llm.base import table
 
 
@@ -60,6 +60,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -68,4 +72,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_sentencepiece, op3_secret_scan, op4_jaccard_join, op5_line_dedup, op6_quality_rules, op7_chat_format, op8_best_fit_packing, op9_quality_classifier, op10_fingerprint, op12_merkle_manifest, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_sentencepiece, op3_secret_scan, op4_jaccard_join, op5_line_dedup, op6_quality_rules, op7_chat_format, op8_best_fit_packing, op9_quality_classifier, op10_fingerprint, op11_embedding_dedup, op12_merkle_manifest, op13_prefix_trie)}
