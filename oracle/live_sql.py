@@ -274,3 +274,25 @@ SQL["e1_change_hash"] = E1_SQL
 SQL["e2_station_projection"] = E2_SQL
 
 SQL["b7_live_delta_rows"] = E5_SQL
+
+# The streamed feed by its rule: two fetches a date, faults by the day number modulo 5 (see payloads.live_pages).
+_FETCHED = cte("fx_run", "fx_stop") + """
+, days AS (select operating_date, count(*) as n, date_diff('day', date '1970-01-01', operating_date) % 5 as k,
+                  max(order_id // 200) + 1 as pages from fx_run group by operating_date)
+, fetched AS (
+  select operating_date + 1 as day, '05' as hour, n, case when k < 2 then 'ERR' else 'OK' end as outcome,
+         case k when 0 then 'page ' || pages || ': not a JSON object' when 1 then 'pages missing' end as error, '05' as stamp, k from days
+  union all
+  select operating_date + 1, '06', n, case when k < 2 then 'OK' when k = 2 then 'STALE' else 'EMPTY' end, null,
+         case when k = 2 then '04' else '06' end, k from days)"""
+
+SQL["e9_operations_stream"] = _FETCHED + """
+select strftime(day, '%Y%m%d') || hour || '0000' as run_ts, 'operations' as feed, outcome,
+       case when outcome = 'OK' then n else 0 end as delta_count, strftime(day, '%Y-%m-%d') || 'T' || stamp || ':00:00Z' as generated_at,
+       cast(epoch(timestamp '2001-08-02 12:00:00') - epoch(day) - cast(stamp as integer) * 3600 as bigint) as lag_seconds, error
+from fetched"""
+
+SQL["e9_tracking_log"] = _FETCHED + """
+select distinct strftime(r.operating_date, '%Y-%m-%d') as operating_date, r.train_order_id, s.dsta_id, r.train_status,
+       strftime(f.day, '%Y-%m-%d') || ' ' || f.hour || ':00:00' as snapshot_ts
+from fx_run r join fx_stop s on s.ophe_id = r.ophe_id join fetched f on f.day = r.operating_date + 1 and f.outcome = 'OK'"""

@@ -914,3 +914,36 @@ def c13_job(spark, sf_dir):
     J.run_daily(spark, s, root, dt.date(2001, 7, 30), days=7)
     J.run_daily(spark, s, root, AS_OF, days=3)
     return C.read_current(spark, root, "f_train_run_daily").drop("month")
+
+
+# ---- live operations stream (E6-E11, A7, A9 across batches, C6, D14) -------------------
+from perron.session import scratch  # noqa: E402
+from perron.streaming import live_stream as LS  # noqa: E402
+
+
+def _streamed(spark, sf_dir) -> str:
+    """The live operations feed run over micro-batches of pages; the folder of its tables."""
+    out = scratch(spark, "live")
+    pages = P.live_pages(_fx(spark, sf_dir))
+    pages.write.partitionBy("batch").parquet(f"{out}/arriving")
+    pages = spark.read.parquet(f"{out}/arriving")
+    for r in pages.select("batch").distinct().orderBy("batch").collect():  # the micro-batches
+        LS.operations_batch(spark, pages.where(F.col("batch") == r["batch"]).select("object_name", "payload"), r["batch"], out, STATION_ID,
+                            now="2001-08-02 12:00:00", max_pages=1_000_000)
+    return out
+
+
+@query("e9_operations_stream")
+def e9(spark, sf_dir):
+    """Heartbeat of the streamed feed: pages of a fetch arrive in two batches; a bad or a missing page drops the whole
+    snapshot (ERR), an older stamp is STALE, no change is EMPTY, changes are OK."""
+    beats = spark.read.parquet(f"{_streamed(spark, sf_dir)}/heartbeat")
+    return beats.select(F.col("run_ts").cast("string").alias("run_ts"), "feed", "outcome", "delta_count", "generated_at", "lag_seconds", "error")
+
+
+@query("e9_tracking_log")
+def e9_log(spark, sf_dir):
+    """The tracking log that the streamed feed wrote."""
+    log = LS.read_log(spark, _streamed(spark, sf_dir))
+    return log.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "train_order_id", "dsta_id", "train_status",
+                      F.date_format("snapshot_ts", "yyyy-MM-dd HH:mm:ss").alias("snapshot_ts"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,12 +45,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the submitter sets it to shared storage. Only when it is
-    unset (tests, local runs) a fresh scratch folder is created and set.
+    On a cluster the submitter sets it to shared storage; without it this fails.
+    Local runs that leave it unset get one fresh scratch folder a session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="perron-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        d = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="perron-ckpt-")
+        _LOCAL[spark.sparkContext.applicationId] = d
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+#: Folders made for local sessions without spark.checkpoint.dir, by application.
+_LOCAL: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder (not created yet), so that a repeated run meets no other's files."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -187,3 +187,25 @@ def train_statuses_landing(fx: Fixture) -> DataFrame:
 def disruption_types_landing(fx: Fixture) -> DataFrame:
     return _map_doc(fx.def_disruption_cause().select(F.col("code").alias("k"), F.col("description").alias("v")),
                     "disruption_types", "disruptionTypes")
+
+
+def live_pages(fx: Fixture) -> DataFrame:
+    """Pages of live fetches at 05:00 and 06:00 of the day after each business date, with the micro-batch that brings them.
+
+    (object_name, payload, batch). Two dates make a batch; of the second, pages with odd numbers come a batch later. By
+    the day number modulo 5: 0 = the 05:00 fetch's last page is cut off, 1 = it is missing, 2 = the 06:00 fetch still
+    bears the stamp of 04:00; else both fetches are sound and alike.
+    """
+    pages = operations_landing(fx, "050000").unionByName(operations_landing(fx, "060000"))
+    biz = F.to_date(F.regexp_extract("object_name", r"operations_(\d{8})_", 1), "yyyyMMdd")
+    x = pages.select("object_name", "payload", F.unix_date(biz).alias("day"), F.regexp_extract("object_name", r"_p(\d+)\.json$", 1).cast("int").alias("page"),
+                     F.col("object_name").contains("050000").alias("early"))
+    last = x.groupBy("day").agg(F.max("page").alias("last"))
+    first = x.select(F.min("day")).scalar()
+    x = x.join(last, "day").withColumn("at_end", F.col("page") == F.col("last"))
+    k = F.col("day") % 5
+    text = F.replace("payload", F.lit('"pagination":{'), F.concat(F.lit('"pagination":{"hasNextPage":'), (~F.col("at_end")).cast("string"), F.lit(",")))
+    text = F.when((k == 0) & F.col("early") & F.col("at_end"), F.substring(text, 1, 100)).when((k == 2) & ~F.col("early"), F.replace(text, F.lit("T06:00:00Z\",\"pagination"), F.lit("T04:00:00Z\",\"pagination"))).otherwise(text)
+    x = x.where(~((k == 1) & F.col("early") & F.col("at_end")))
+    nth = F.col("day") - first
+    return x.select("object_name", text.alias("payload"), (F.floor(nth / 2) + F.when((nth % 2 == 1) & (F.col("page") % 2 == 1), 1).otherwise(0)).cast("int").alias("batch"))

@@ -88,3 +88,94 @@ def test_runs_that_leave_the_window_are_not_ended(spark):
     for batch, name in ((0, "s1"), (1, "s2")):
         disruptions_batch(spark, spark.read.option("wholetext", True).text(f"{root}/in/{name}.json"), batch, *paths)
     assert [r.is_active for r in _latest_state(spark, paths[0]).collect()] == [True]
+
+
+def _page(run_ts, page, gen, trains, more, cut=None):
+    import json as j
+    text = j.dumps({"generatedAt": gen, "pagination": {"page": page, "hasNextPage": more}, "trains": trains})
+    return (f"live/operations/date={run_ts[:8]}/operations_{run_ts[:8]}_{run_ts}_p{page:03d}.json", text[:cut])
+
+
+def _run(spark, root, batches, **kw):
+    from perron.streaming.live_stream import operations_batch
+    for bid, pages in batches:
+        operations_batch(spark, spark.createDataFrame(pages, "object_name string, payload string"), bid, root, 7, now="2026-01-01 12:00:00", **kw)
+
+
+def _beats(spark, root):
+    return sorted((str(r.run_ts), r.outcome, r.delta_count) for r in spark.read.parquet(f"{root}/heartbeat").collect())
+
+
+def _logged(spark, root):
+    from perron.streaming.live_stream import read_log
+    return sorted((r.train_order_id, r.snapshot_ts.strftime("%H:%M")) for r in read_log(spark, root).collect())
+
+
+A, B, C, D = "20260101100000", "20260101100300", "20260101100600", "20260101130000"
+
+
+def test_pages_of_a_fetch_arrive_in_two_batches(spark):
+    root = tempfile.mkdtemp(prefix="perron-pages-")
+    first = [_page(A, 1, "2026-01-01T10:00:00Z", [_train(1, None)], True)]
+    second = [_page(A, 2, "2026-01-01T10:00:09Z", [_train(2, None)], False)]
+    _run(spark, root, [(0, first)])
+    assert _beats(spark, root) == [] and _logged(spark, root) == []
+    _run(spark, root, [(1, second), (1, second), (2, [_page(B, 1, "2026-01-01T10:03:00Z", [_train(1, None), _train(2, None)], False)])])
+    # one snapshot with the first page's stamp; the batch that ran again added no row
+    assert _beats(spark, root) == [(A, "OK", 2), (B, "EMPTY", 0)]
+    assert _logged(spark, root) == [(1, "10:00"), (2, "10:00")]
+
+
+def test_bad_or_missing_page_drops_the_snapshot(spark):
+    root = tempfile.mkdtemp(prefix="perron-bad-")
+    _run(spark, root, [(0, [_page(A, 1, "2026-01-01T10:00:00Z", [_train(1, None)], True), _page(B, 1, "2026-01-01T10:03:00Z", [_train(1, None)], True)]),
+                       (1, [_page(A, 2, "2026-01-01T10:00:09Z", [_train(2, None)], False, 40)]),
+                       (2, [_page(A, 3, "2026-01-01T10:00:19Z", [_train(3, None)], False), _page(C, 1, "2026-01-01T09:59:00Z", [_train(4, None)], False)]),
+                       (3, [_page(D, 1, "2026-01-01T09:00:00Z", [_train(5, None)], False)])])
+    # A: a page is cut off, B: never whole and expired by D, C: sound, D: an older stamp than C's
+    assert _beats(spark, root) == [(A, "ERR", 0), (B, "ERR", 0), (C, "OK", 1), (D, "STALE", 0)]
+    assert _logged(spark, root) == [(4, "09:59")]
+    errors = {str(r.run_ts): r.error for r in spark.read.parquet(f"{root}/heartbeat").collect()}
+    assert errors == {A: "page 2: not a JSON object", B: "pages missing", C: None, D: None}
+
+
+def test_failing_sink_keeps_the_state(spark):
+    from perron.streaming.live_stream import append_log
+    root = tempfile.mkdtemp(prefix="perron-sink-")
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    one, two = _train(1, None), _train(2, None)
+    _run(spark, root, [(0, [_page(A, 1, "2026-01-01T10:00:00Z", [one], False)])])
+    _run(spark, root, [(1, [_page(B, 1, "2026-01-01T10:03:00Z", [one], False), _page(C, 1, "2026-01-01T10:06:00Z", [one, two], False)])], sink=broken)
+    assert _beats(spark, root) == [(A, "OK", 1), (B, "EMPTY", 0), (C, "ERR", 0 + 1)] and _logged(spark, root) == [(1, "10:00")]
+    # the state stands at B: the next fetch brings train 2 again
+    _run(spark, root, [(2, [_page(D, 1, "2026-01-01T13:00:00Z", [one, two], False)])], sink=append_log)
+    assert _beats(spark, root)[-1] == (D, "OK", 1) and _logged(spark, root) == [(1, "10:00"), (2, "13:00")]
+
+
+def test_disruption_file_that_is_no_json_is_an_error(spark):
+    from perron.streaming.live_stream import disruptions_batch
+    root = tempfile.mkdtemp(prefix="perron-derr-")
+    batch = spark.createDataFrame([("live/disruptions/d1.json", '{"generatedAt": "2026-01-01T10:00:00Z", "disru')], "object_name string, payload string")
+    disruptions_batch(spark, batch, 0, f"{root}/log", f"{root}/state", f"{root}/heartbeat")
+    assert [(r.run_ts, r.outcome) for r in spark.read.parquet(f"{root}/heartbeat").collect()] == [("d1.json", "ERR")]
+
+
+def test_board_from_the_streamed_log(spark):
+    """H14 reads what the stream wrote: every column of the board comes from the log's own columns."""
+    from perron import queries as Q
+    from perron.plans import boards as BD
+    from perron.streaming.live_stream import read_log
+    from tests.conftest import SMOKE
+    root = tempfile.mkdtemp(prefix="perron-board-")
+    silver = Q._silver(spark, SMOKE)
+    header = silver.schedule_header.where("operating_date = date'2001-07-27'").select("schedule_id", "order_id", "train_order_id").join(
+        silver.schedule_details.where("dsta_id = 3 and departure_time is not null").select("schedule_id", "order_id").distinct(), ["schedule_id", "order_id"]).limit(5).collect()
+    trains = [{"scheduleId": r.schedule_id, "orderId": r.order_id, "trainOrderId": r.train_order_id, "operatingDate": "2001-07-27", "trainStatus": "P",
+               "stations": [{"stationId": 3, "plannedSequenceNumber": 1, "actualSequenceNumber": 1, "actualDeparture": "2001-07-27T11:30:00Z", "departureDelayMinutes": 9}]} for r in header]
+    run = "20010727100000"
+    _run(spark, root, [(0, [_page(run, 1, "2001-07-27T10:00:00Z", trains, False)])])
+    rows = BD.board(silver, read_log(spark, root), Q._dis_log(spark, SMOKE), "2001-07-27 12:00:00", 3, "dep").collect()
+    assert len({r.nr_pociagu for r in rows}) >= 1 and {r.faktyczny_odjazd for r in rows} == {"2001-07-27 13:30:00"} and {r.opoznienie_min for r in rows} == {9}
