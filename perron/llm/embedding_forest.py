@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
 Equal vectors are one class. A tree splits its vectors by random projections again and again; what lies near a split's
-threshold goes to both sides (spill), so that similar vectors part seldom in one tree and hardly ever in all of TREES.
+threshold goes to both sides (spill), so that similar vectors part seldom in one tree and hardly ever in all.
 Thresholds are set where fewest vectors spill. Splits are fitted on bounded samples, but every vector is dealt out, and
 leaves that come out too large are split again on samples of their own. Within leaves all vectors are compared in double
 precision. Each pair is counted in the first leaf that both share, so no pairs leave a leaf: only numbers of links and a
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -28,18 +29,35 @@ from pyspark.sql import functions as F
 from perron.llm.base import small_batches, stored
 from perron.llm.components import components
 
-SIMILAR = 0.9
-#: Trees, vectors that a leaf should hold, half width of the spill as a share of the expected difference at SIMILAR.
-TREES, LEAF, SPILL = 6, 512, 0.5
-#: Vectors that splits and leaders are fitted on (per round and node to be split), the least of them in a split, and levels
-#: that one round adds below the first.
-SAMPLE, LEAST, LEVELS = 8192, 32, 6
-#: Vectors in a block of a comparison, and vectors of the sample that make a leader's core a dense group.
-BLOCK, DENSE = 1024, 8
 #: Node ids: the tree above TREE_BIT, FINAL for a leaf that no split makes smaller, the place in the tree below it.
 TREE_BIT, FINAL = 56, 1 << 55
 
 
+class Forest(NamedTuple):
+    """Least cosine of a link; trees, vectors that a leaf should hold, half width of the spill as a share of the expected
+    difference of linked vectors; vectors that splits and leaders are fitted on (per round and node to be split), the least
+    of them in a split, and levels that one round adds below the first; vectors in a block of a comparison, and vectors of
+    the sample that make a leader's core a dense group."""
+
+    similar: float = 0.9
+    trees: int = 6
+    leaf: int = 512
+    spill: float = 0.5
+    sample: int = 8192
+    least: int = 32
+    levels: int = 6
+    block: int = 1024
+    dense: int = 8
+
+    def width(self, dim: int) -> float:
+        return self.spill * math.sqrt((2 - 2 * self.similar) / dim)
+
+    @property
+    def core(self) -> float:
+        """Cosine to a leader from which on two vectors are linked in any case."""
+        return math.sqrt((1 + self.similar) / 2)
+
+
 def units(x: np.ndarray) -> np.ndarray:
     """Rows of length 1, in double precision."""
     x = x.astype(np.float64)
@@ -52,17 +70,13 @@ def _direction(node: int, dim: int) -> np.ndarray:
     return v / np.sqrt(v @ v)
 
 
-def _width(dim: int) -> float:
-    return SPILL * math.sqrt((2 - 2 * SIMILAR) / dim)
-
-
-def fit(x: np.ndarray, root: int, size: int, levels: int) -> dict[int, float]:
+def fit(x: np.ndarray, root: int, size: int, levels: int, o: Forest) -> dict[int, float]:
     """Thresholds of the splits below ``root`` by node, from a sample ``x`` of its ``size`` vectors; NaN where none helps."""
     out, todo = {}, [(root, np.arange(len(x)), 0)]
-    w = _width(x.shape[1]) if len(x) else 0.0
+    w = o.width(x.shape[1])
     while todo:
         node, rows, depth = todo.pop()
-        if len(rows) * size <= LEAF * len(x) or len(rows) < 2 * LEAST or depth == levels:
+        if len(rows) * size <= o.leaf * len(x) or len(rows) < 2 * o.least or depth == levels:
             continue
         p = x[rows] @ _direction(node, x.shape[1])
         s = np.sort(p)
@@ -81,9 +95,9 @@ def fit(x: np.ndarray, root: int, size: int, levels: int) -> dict[int, float]:
     return out
 
 
-def route(x: np.ndarray, root: int, splits: dict[int, float]) -> Iterator[tuple[int, np.ndarray]]:
+def route(x: np.ndarray, root: int, splits: dict[int, float], o: Forest) -> Iterator[tuple[int, np.ndarray]]:
     """Leaves below ``root`` and the rows of ``x`` that lie in each."""
-    w = _width(x.shape[1])
+    w = o.width(x.shape[1])
     todo = [(root, np.arange(len(x)))]
     while todo:
         node, rows = todo.pop()
@@ -128,21 +142,20 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(dim, pa.int32())], names=["row", "vec_id", "v", "hi", "lo", "dim"])
 
 
-def _sample(rows: DataFrame, n: int, salt: int = 0) -> DataFrame:
-    """SAMPLE rows or so of ``n``, by a hash of their class."""
-    share = min(1.0, SAMPLE / max(n, 1))
-    return rows if share >= 1 else rows.where(F.pmod(F.xxhash64("cid", F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
+def _sample(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """``most`` rows or so of ``n``, by a hash of their class."""
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64("cid", F.lit(0)), F.lit(1 << 30)) < int(most / n * (1 << 30)))
 
 
-def _leaders(x: np.ndarray) -> np.ndarray:
-    """Vectors of the sample that are no closer to each other than a core's radius and have DENSE others so near."""
-    near, kept = math.sqrt((1 + SIMILAR) / 2), []
+def _leaders(x: np.ndarray, o: Forest) -> np.ndarray:
+    """Vectors of the sample that are no closer to each other than a core's radius and have ``dense`` so near."""
+    kept = []
     left = np.ones(len(x), bool)
     for i in range(len(x)):
         if not left[i]:
             continue
-        ball = left & (x @ x[i] >= near)
-        if ball.sum() >= DENSE:
+        ball = left & (x @ x[i] >= o.core)
+        if ball.sum() >= o.dense:
             kept.append(x[i])
             left &= ~ball
     return np.array(kept).reshape(-1, x.shape[1])
@@ -150,13 +163,13 @@ def _leaders(x: np.ndarray) -> np.ndarray:
 
 # --- comparison in leaves and blocks
 
-def _pairs(x: np.ndarray, side: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (a, b) with a cosine of SIMILAR or more: all pairs, or those of different sides."""
+def _pairs(x: np.ndarray, side: np.ndarray, both: bool, similar: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (a, b) with a cosine of ``similar`` or more: all pairs, or those of different sides."""
     left, right = (np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min())) if both else (np.arange(len(x)),) * 2
     found = [(np.zeros(0, np.int64),) * 2]
     for at in range(0, len(left), 512):
         a = left[at : at + 512]
-        i, j = np.nonzero(x[a] @ x[right].T >= SIMILAR)
+        i, j = np.nonzero(x[a] @ x[right].T >= similar)
         i, j = a[i], right[j]
         ok = slice(None) if both else i < j
         found.append((i[ok], j[ok]))
@@ -195,7 +208,7 @@ def _trees_of(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
     """cid, links (weight of the partners) and root (another class that it is linked with) of each block's classes."""
     rest: list[pa.RecordBatch] = []
 
@@ -206,7 +219,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = col["i"][0].as_py() != col["j"][0].as_py()
         if len(cid) < 2 or (both and side.min() == side.max()):
             return None
-        i, j = _pairs(units(_matrix(col["v"])), side, both)
+        i, j = _pairs(units(_matrix(col["v"])), side, both, similar)
         if not len(i):
             return None
         at = np.concatenate([[0], np.cumsum(pc.list_value_length(col["leaves"]).to_numpy())])
@@ -233,37 +246,37 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, o: Forest) -> DataFrame:
     """cid, links, root by comparing what shares (dim, leaf, i, j)."""
     cols = ["dim", "leaf", "i", "j", "side", "cid", "w", "v", "leaves"]
-    return rows.select(*cols).repartition("dim", "leaf", "i", "j").sortWithinPartitions("dim", "leaf", "i", "j").mapInArrow(_compare, "cid bigint, links bigint, root bigint")
+    return rows.select(*cols).repartition("dim", "leaf", "i", "j").sortWithinPartitions("dim", "leaf", "i", "j").mapInArrow(lambda b: _compare(b, o.similar), "cid bigint, links bigint, root bigint")
 
 
-def _blocks(rows: DataFrame, size: str) -> DataFrame:
+def _blocks(rows: DataFrame, size: str, block: int) -> DataFrame:
     """``rows`` of a leaf of ``size`` vectors in blocks, each given to every pair of blocks that it is in."""
-    n = F.ceil(F.col(size) / BLOCK).cast("int")
+    n = F.ceil(F.col(size) / block).cast("int")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("cid"), n).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), n - 1)))
     return rows.withColumn("i", F.least("side", "o")).withColumn("j", F.greatest("side", "o"))
 
 
 # --- the operator
 
-def _again(rows: DataFrame) -> DataFrame:
+def _again(rows: DataFrame, o: Forest) -> DataFrame:
     """``rows`` (cid, w, v, dim, leaves) with oversized leaves split further, a round at a time."""
-    spark, turn = rows.sparkSession, 0
+    turn = 0
     while True:
         turn += 1
         each = rows.select("cid", "v", "dim", F.explode("leaves").alias("leaf"))
-        large = each.where(F.col("leaf").bitwiseAND(F.lit(FINAL)) == 0).groupBy("dim", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > 4 * LEAF)
+        large = each.where(F.col("leaf").bitwiseAND(F.lit(FINAL)) == 0).groupBy("dim", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > 4 * o.leaf)
         large = stored(large, "large")
         if not large.take(1):
             return rows
         of = each.join(large, ["dim", "leaf"])
-        some = of.where(F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(SAMPLE).cast("double") * (1 << 30))
+        some = of.where(F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(o.sample).cast("double") * (1 << 30))
 
         def splits(df: pd.DataFrame) -> pd.DataFrame:
             leaf, dim, size = int(df["leaf"].iloc[0]), int(df["dim"].iloc[0]), int(df["size"].iloc[0])
-            got = fit(units(np.stack(df["v"].to_list())), leaf, size, LEVELS) or {leaf: math.nan}
+            got = fit(units(np.stack(df["v"].to_list())), leaf, size, o.levels, o) or {leaf: math.nan}
             return pd.DataFrame({"dim": [dim], "leaf": [leaf], "nodes": [list(got)], "at": [list(got.values())]})
 
         models = some.groupBy("dim", "leaf").applyInPandas(splits, "dim int, leaf bigint, nodes array<bigint>, at array<double>")
@@ -275,8 +288,9 @@ def _again(rows: DataFrame) -> DataFrame:
                 rows, ids = [], []
                 for d, l in np.unique(np.stack([dim.astype(np.int64), leaf]), axis=1).T:
                     mine = np.flatnonzero((dim == d) & (leaf == l))
-                    t = dict(zip(b.column(4)[mine[0]].as_py(), b.column(5)[mine[0]].as_py(), strict=True))
-                    for node, got in route(units(_matrix(b.column(3).take(pa.array(mine)))), int(l), t):
+                    # pandas turns NaN into null on its way to Arrow
+                    t = {n: math.nan if at is None else at for n, at in zip(b.column(4)[mine[0]].as_py(), b.column(5)[mine[0]].as_py(), strict=True)}
+                    for node, got in route(units(_matrix(b.column(3).take(pa.array(mine)))), int(l), t, o):
                         rows.append(mine[got]), ids.append(node)
                 yield pa.RecordBatch.from_arrays([b.column(0), _lists(rows, ids, b.num_rows)], names=["cid", "leaves"])
 
@@ -288,10 +302,10 @@ def _again(rows: DataFrame) -> DataFrame:
         rows = stored(rows.drop("leaves").join(leaves, "cid"), "forest")
 
 
-def near_duplicates(vectors: DataFrame) -> DataFrame:
+def near_duplicates(vectors: DataFrame, o: Forest = Forest()) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding; other columns are ignored).
 
-    Two vectors are linked if their cosine, in double precision, is SIMILAR or more. Vectors that are null, empty, zero or
+    Two vectors are linked if their cosine, in double precision, is ``similar`` or more. Vectors that are null, empty, zero or
     hold null or non-finite components link with nothing, as do vectors of different lengths. n_links is the number of
     other vectors linked directly; rows that repeat a vec_id and its vector are one vector, those that repeat a vec_id with
     another vector are vectors of their own in one component. component_id is the least vec_id reachable, kept says whether
@@ -307,18 +321,18 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     reps = stored(prep.join(classes.select(F.col("cid").alias("row"), "cid", "w"), "row").select("cid", "w", "v", "dim"), "representatives")
     sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row for each vector length
 
-    sample = _sample(reps, sum(sizes.values())).orderBy("cid").toPandas()  # SAMPLE rows or so
+    sample = _sample(reps, sum(sizes.values()), o.sample).orderBy("cid").toPandas()  # ``sample`` rows or so
     models = {}
     for dim, part in sample.groupby("dim"):
         x = units(np.stack(part["v"].to_list()))
-        lead = _leaders(x)
-        light = x[(x @ lead.T < math.sqrt((1 + SIMILAR) / 2)).all(1)] if len(lead) else x
+        lead = _leaders(x, o)
+        light = x[(x @ lead.T < o.core).all(1)] if len(lead) else x
         splits = {}
-        for tree in range(TREES):
-            splits |= fit(light, tree << TREE_BIT | 1, max(1, round(sizes[dim] * len(light) / len(x))), 40)
+        for tree in range(o.trees):
+            splits |= fit(light, tree << TREE_BIT | 1, max(1, round(sizes[dim] * len(light) / len(x))), 40, o)
         models[int(dim)] = (lead, splits)
     shared = spark.sparkContext.broadcast(models)
-    half, wide = math.sqrt((1 + SIMILAR) / 2) + 1e-6, math.cos(1.5 * math.acos(SIMILAR)) - 1e-6
+    half, wide = o.core + 1e-6, math.cos(1.5 * math.acos(o.similar)) - 1e-6
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -336,8 +350,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
                         # of two cores the one with the lower number asks the other
                         near.append(mine[(c[:, k] >= wide) & (core[mine] < k)]), of.append(k)
                 light = np.flatnonzero(core[mine] < 0)
-                for tree in range(TREES):
-                    for leaf, got in route(x[light], tree << TREE_BIT | 1, splits):
+                for tree in range(o.trees):
+                    for leaf, got in route(x[light], tree << TREE_BIT | 1, splits, o):
                         rows.append(mine[light[got]]), ids.append(leaf)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(core), _lists(near, of, len(dims)), _lists(rows, ids, len(dims))], names=["cid", "w", "v", "dim", "core", "near", "leaves"])
 
@@ -349,7 +363,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     inside = placed.where("core >= 0").select("dim", "core", "cid", "w").join(cores, ["dim", "core"]).select("cid", (F.col("weight") - F.col("w")).alias("links"), "root")
     asks = placed.select("dim", F.explode("near").alias("core"), "cid", "w", "v").withColumn("core", F.col("core").cast("int"))
     asked = stored(asks.groupBy("dim", "core").agg(F.count("*").alias("asks")).join(cores.select("dim", "core", "size"), ["dim", "core"]), "asked")
-    nb, nq = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("asks") / BLOCK).cast("int")
+    nb, nq = F.ceil(F.col("size") / o.block).cast("int"), F.ceil(F.col("asks") / o.block).cast("int")
     none = F.array().cast("array<bigint>")
     # i counts blocks of members, j - BIG blocks of those who ask: i and j never agree
     big = 1 << 20
@@ -358,14 +372,14 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     own = own.select("dim", F.col("core").cast("long").alias("leaf"), "cid", "w", "v", F.pmod(F.xxhash64("cid"), nb).cast("int").alias("i"), each(nq).alias("j"), F.lit(0).alias("side"))
     who = asks.join(asked, ["dim", "core"]).select("dim", F.col("core").cast("long").alias("leaf"), "cid", "w", "v", F.pmod(F.xxhash64("cid"), nq).cast("int").alias("j"), each(nb).alias("i"), F.lit(1).alias("side"))
     grid = own.unionByName(who).withColumn("j", F.col("j") + big).withColumn("leaves", none)
-    across = _dealt(grid)
+    across = _dealt(grid, o)
 
     # the forest
-    forest = _again(placed.where("core < 0").select("cid", "w", "v", "dim", "leaves"))
+    forest = _again(placed.where("core < 0").select("cid", "w", "v", "dim", "leaves"), o)
     rows = forest.select("*", F.explode("leaves").alias("leaf"))
-    wide_leaves = forest.select("dim", F.explode("leaves").alias("leaf")).groupBy("dim", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    wide_leaves = forest.select("dim", F.explode("leaves").alias("leaf")).groupBy("dim", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > o.block)
     rows = rows.join(stored(wide_leaves, "wide"), ["dim", "leaf"], "left").withColumn("size", F.coalesce("size", F.lit(1)))
-    within = _dealt(_blocks(rows, "size"))
+    within = _dealt(_blocks(rows, "size", o.block), o)
 
     found = stored(inside.unionByName(across).unionByName(within), "links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
