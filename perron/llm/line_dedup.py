@@ -1,11 +1,13 @@
 """Line dedup by winnowing over line hashes.
 
-A text is a sequence of lines that have words. For each line the shortest run of lines from it that holds
-``min_words`` words is a window, and so is the shortest run that ends with it; the smallest line hash in a window is its
-fingerprint. A passage of that many words that occurs again, from line start to line end, is covered by such windows:
-each of its lines begins or ends one that lies in the passage. Fingerprints are joined with their first occurrence in the
-corpus for each content of the window, so it does not matter what stood beside it there, and every line of a later match
-is deleted. Only DataFrame functions are used.
+A text is a sequence of lines that have words. For each line the shortest run of lines from it that holds ``min_words``
+words is a window, and the smallest line hash in a window is its fingerprint; neighbouring windows mostly choose the same
+line, so fingerprints are few. A passage of that many words that occurs again, from line start to line end, holds whole
+windows, and both occurrences choose the same lines of it: only fingerprints that several places have chosen can lie in a
+repeated passage, and their positions are joined on the hash. From a shared fingerprint the match is extended both ways
+over the line hashes: back to the starts of the windows that chose it, and forward line by line to where the next window
+ends. Extents are joined with their first occurrence in the corpus by content, so it does not matter what stands beside
+it there, and every line of a later match is deleted. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -25,6 +27,30 @@ def _lines(docs: DataFrame) -> DataFrame:
                          F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0"))
 
 
+def shared_fingerprints(lines: DataFrame) -> DataFrame:
+    """Line hashes that are the minimum of windows at several places. ``anew``: a line whose window has another minimum
+    than the window before, so a place counts once."""
+    return lines.where("anew").groupBy("fp").agg(F.count("*").alias("places")).where("places > 1").select("fp")
+
+
+def extended(lines: DataFrame) -> DataFrame:
+    """doc, key, start, last, fp and two hashes of the content of each extent around a shared fingerprint.
+
+    A text's hashes are one array here, which is smaller than the text, so an extent's content is a slice of it.
+    """
+    near = lines.where("fp is not null").join(shared_fingerprints(lines), "fp", "left_semi")
+    marks = near.groupBy("key").agg(F.min("doc").alias("doc"), F.collect_list(F.struct("seq", "last", "upto", "fp")).alias("marks"))
+    hashes = lines.select("key", "seq", "h", "h2").join(marks.select("key"), "key", "left_semi")
+    hashes = hashes.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "h", "h2"))), lambda x: F.struct(x["h"], x["h2"])).alias("hashes"))
+
+    def ends(m):
+        return F.transform(F.sequence(m["last"], F.greatest(m["last"], m["upto"])), lambda e: F.struct(m["seq"].alias("start"), e.alias("last"), m["fp"].alias("fp")))
+
+    run = lambda x: F.slice("hashes", x["start"], x["last"] - x["start"] + 1)
+    each = F.transform("extents", lambda x: F.struct(x["start"].alias("start"), x["last"].alias("last"), x["fp"].alias("fp"), F.xxhash64(run(x)).alias("content"), F.hash(run(x)).alias("content2")))
+    return marks.join(hashes, "key").withColumn("extents", F.flatten(F.transform("marks", ends))).select("doc", "key", F.inline(each))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """key, pos of the lines to delete. ``docs``: doc (long), key (long), text, different rows only."""
     order = Window.partitionBy("key").orderBy("pos")
@@ -34,22 +60,21 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = _lines(docs).withColumn("again", F.lag("pos").over(order) == F.col("pos")).where("again is null or not again").drop("again")
     lines = (lines.withColumn("seq", F.row_number().over(order)).withColumn("at", F.coalesce(F.sum("words").over(before), F.lit(0)))
              .withColumn("total", F.sum("words").over(whole)))
+    # the lines that start within min_words words from here are the shortest run with so many
+    ahead = whole.orderBy("at").rangeBetween(0, min_words - 1)
+    lines = lines.withColumn("last", F.max("seq").over(ahead)).withColumn("low", F.min(F.struct("h", "seq")).over(ahead))
+    lines = lines.withColumn("last", F.when(F.col("total") - F.col("at") >= min_words, F.col("last")))
+    # an extent from here may end with any line before the end of the next window, or of the text
+    lines = lines.withColumn("upto", F.coalesce(F.lead("last").over(order) - 1, F.max("seq").over(whole)))
+    chosen = F.when(F.col("last").isNotNull(), F.col("low.seq"))
+    lines = lines.select("doc", "key", "pos", "seq", "h", "h2", "last", "upto", F.when(F.col("last").isNotNull(), F.col("low.h")).alias("fp"),
+                         (~chosen.eqNullSafe(F.lag(chosen).over(order)) & chosen.isNotNull()).alias("anew"))
     lines = stored(lines, "lines")
-    # the lines that start within min_words words from here are the shortest run with so many; so are those that end so
-    # near before this one's end
-    placed = lines.withColumn("end", F.col("at") + F.col("words"))
-    for name, reach in (("ahead", whole.orderBy("at").rangeBetween(0, min_words - 1)), ("behind", whole.orderBy("end").rangeBetween(1 - min_words, 0))):
-        run = F.collect_list(F.struct("h", "h2")).over(reach)
-        placed = placed.withColumn(name, F.struct(F.min("seq").over(reach).alias("start"), F.max("seq").over(reach).alias("last"), F.min("at").over(reach).alias("at"),
-                                                  F.min("h").over(reach).alias("h"), F.xxhash64(run).alias("content"), F.hash(run).alias("content2")))
-    # a run with min_words words before its last line is not the one ahead of its first line; others are listed there
-    listed = F.array(F.when(F.col("total") - F.col("at") >= min_words, F.col("ahead")), F.when(F.col("at") - F.col("behind.at") >= min_words, F.col("behind")))
-    same = ["h", "content", "content2"]
-    marks = placed.select("doc", "key", F.inline(F.filter(listed, lambda x: x.isNotNull()))).select("doc", "key", "start", "last", *same)
-    marks = stored(marks, "marks")
-    # a fingerprint's first occurrence, for each content of the window that it stands for
-    first = marks.groupBy(*same).agg(F.min(F.struct("doc", "key", "start")).alias("src"), F.count("*").alias("times")).where("times > 1").drop("times")
-    match = marks.join(first, same).where((F.col("src.key") != F.col("key")) | (F.col("src.start") < F.col("start")))
+    extents = stored(extended(lines), "extents")
+    same = ["fp", "content", "content2"]
+    # an extent's first occurrence
+    first = extents.groupBy(*same).agg(F.min(F.struct("doc", "key", "start")).alias("src"), F.count("*").alias("times")).where("times > 1").drop("times")
+    match = extents.join(first, same).where((F.col("src.key") != F.col("key")) | (F.col("src.start") < F.col("start")))
     hit = match.select("key", "start", "last")
     # overlapping runs are merged before their lines are listed, so the rows stay within the text's lines
     o = Window.partitionBy("key").orderBy("start", "last")
