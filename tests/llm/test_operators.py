@@ -77,6 +77,38 @@ def test_html_class_words():
     assert whole(f'<body><p>Short.</p><div style="display: none">{text}</div><article><div class="header">Own</div></article></body>') == "Short. Own"
 
 
+@pytest.mark.parametrize("article", ["<article><p>Short article.</p></article>", '<div class="post"><p>Short article.</p></div>'])
+@pytest.mark.parametrize("beside", ["sidebar", "cookie-notice", "comments", "werbung", "kommentare", "publicidad", "commentaires", "widget"])
+def test_html_long_boilerplate(article, beside):
+    long = f'<div class="{beside}"><div class="inner"><p>{"Words of no article at all. " * 40}</p></div></div>'
+    assert whole(f"<body>{article}{long}</body>") == whole(f"<body>{long}{article}</body>") == "Short article."
+    inside = article.replace("</p>", "</p>" + long)
+    assert whole(f"<body><h1>Name</h1>{inside}</body>") == "Name Short article."
+
+
+def test_html_long_boilerplate_by_hosts(spark):
+    long = "Words of no article at all. " * 40
+    shapes = [f'<article><p>Short {{}}.</p></article><div class="sidebar"><p>{long}</p></div>', f'<div class="post"><p>Short {{}}.</p></div><div class="sidebar"><p>{long}</p></div>',
+              f'<div class="cookie-notice"><p>{long}</p></div><article><p>Short {{}}.</p></article>', f'<article><p>Short {{}}.</p><div class="comments"><p>{long}</p></div></article>']
+    data = [(10 * k + i, f"http://h{k}/p{i}", f"<body><nav>Home</nav>{s.format(i)}<footer>Foot</footer></body>") for k, s in enumerate(shapes) for i in range(6)]
+    out = {r["page_id"]: r["text"] for r in rows(html_extract.extract(spark.createDataFrame(data, "page_id bigint, url string, html string")))}
+    assert out == {i: f"Short {i % 10}." for i, _, _ in data}
+
+
+def test_html_long_and_deep():
+    import time
+    texts = ["<div>" * 50_000 + "deep" + "</div>" * 50_000, "<blockquote>" * 30_000 + "<p>x</p>" * 30_000, "".join(f"<p class='a{i}' title=\"x>t{i} " for i in range(30_000)) + "'\"",
+             "<section>" * 20_000 + "</nothing>" * 20_000, '<a "' * 20_000, "<p title='" * 20_001 + ">", '<div class="sidebar">' * 20_000 + "<p>all ruled out"]
+    for t in texts:
+        start = time.time()
+        blocks, nodes = html_extract.parse(t)
+        html_extract.text_of(blocks, nodes, html_extract._paths(blocks, nodes, None, None))
+        assert time.time() - start < 6
+    assert whole(texts[0]) == "deep"
+    assert whole('<article><p title="abc>Text <b>x</b> and more') == "Text x and more"
+    assert whole("<p>Let <math><mi>x</mi></math> be") == "Let x be"
+
+
 def test_html_rare_templates(spark):
     # one host, twelve templates, the last on a single page; all have a wrapper and a box that is the article of one
     names, pages, want = "abcdefghijkl", [], {}
