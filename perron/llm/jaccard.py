@@ -2,9 +2,9 @@
 
 Sets are put into size bands so that two sets that are similar enough lie in one band or in neighbours; each set signs
 for its own band and the next. In a band all sets differ from a similar one in at most k elements. The feature domain is
-hashed into first-level partitions, one of which holds at most ``spare`` of these differences, and each of them into
-``parts`` second-level partitions; leaving out every choice of ``spare`` of those, the rest of some first-level partition
-is equal in both sets, so similar sets share at least one signature. No link is lost.
+hashed into k // 2 + 1 first-level partitions, one of which holds at most one of these differences, and each of them into
+two second-level cells; leaving out either, the other cell of some partition is equal in both sets, so similar sets share
+at least one signature. No link is lost. A cell that holds nothing gets a second key, so unrelated sets do not meet there.
 
 Equal sets are one class with one representative. Signatures that several classes share give candidates: first each
 class with the smallest of the group (a star, never all pairs of a group). These are verified and joined into
@@ -14,9 +14,9 @@ size, where a bitmap of element parities gives a lower bound of the difference a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,12 @@ from perron.llm.components import components
 
 #: Similarity as num / den, and words in a shingle.
 NUM, DEN, SHINGLE = 90, 100, 3
-SPARE, PARTS = 1, 2
-#: Members of a group that one block holds, and bits of the bitmap of wanted documents (1 MB at any input size).
-BLOCK, WANTED_BITS = 512, 1 << 23
+#: Share of the sets of a band that may meet without having an element in common, deals at most, and thin cells of a set
+#: (on average) up to which there are more deals than one.
+CHANCE, DEALS, THIN = 1e-6, 12, 0.6
+#: Members of a group that one block holds; bits in the bitmap of wanted documents for each of them, and wanted documents
+#: beyond which (a bitmap of 64 MB) texts are joined with them instead.
+BLOCK, WANTED_BITS, WANTED = 512, 8, 1 << 26
 #: Pairs looked at and 64-bit words of bitmaps compared at once.
 PAIRS, WORDS = 1 << 18, 1 << 20
 #: Classes of copies that every task knows, and documents signed at once.
@@ -63,27 +66,69 @@ def bands(num: int, den: int, upto: int = 1 << 40) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def signatures(x: np.ndarray, num: int = NUM, den: int = DEN, spare: int = SPARE, parts: int = PARTS) -> np.ndarray:
-    """PartEnum signatures of a set of hashes, for its own band and the next."""
+def signatures(x: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """PartEnum signatures of a set of hashes, for its own band and the next.
+
+    A band in which similar sets have to be equal needs none: equal sets are one class.
+    """
     low = bands(num, den)
     own = int(np.searchsorted(low, len(x), "right")) - 1
-    mixed = mix64(x + _GOLD)
-    out = []
+    out = [np.zeros(0, np.uint64)]
     for band in (own, own + 1):
         # sizes here are below low[band + 1]; hamming distance <= (den - num) / (den + num) * (sum of sizes)
         k = (den - num) * 2 * (int(low[band + 1]) - 1) // (den + num)
-        first = k // (spare + 1) + 1
-        at = ((x >> np.uint64(20)) % np.uint64(first * parts)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[order], np.arange(first * parts + 1))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order], dtype=np.uint64)])
-        cell = (total[edges[1:]] - total[edges[:-1]]).reshape(first, parts)  # sums of hashes, modulo 2**64
-        tag = np.arange(first, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40)
-        for j, keep in enumerate(combinations(range(parts), parts - spare)):
-            acc = mix64(tag * _GOLD + np.uint64(j))
-            for c in keep:
-                acc = mix64(acc * _GOLD + cell[:, c])
-            out.append(acc)
+        if k:
+            out.append(_enumerated(x, band, k, 0, int(low[max(band - 1, 0)])))
+    return np.concatenate(out)
+
+
+@lru_cache(maxsize=None)
+def _deals(least: int, first: int) -> int:
+    """Deals for a band whose sets have ``least`` elements or more: until hardly a set is thin in all of them.
+
+    One only where a set is thin in so many partitions that the deals would multiply its signatures (large sets at low
+    similarities); there sets that are thin in the same cell meet, some 1 % of a band, and are told apart by comparing.
+    """
+    q = 1 / (2 * first)
+    thin = (1 - q) ** least * ((1 - q) ** least + least * q * (1 - q) ** (least - 1))
+    if 2 * first * thin > THIN:
+        return 1
+    return min(DEALS, math.ceil(math.log(CHANCE) / math.log(min(thin, 0.5))))
+
+
+def _enumerated(x: np.ndarray, band: int, k: int, deal: int, least: int) -> np.ndarray:
+    """Signatures of one band, whose sets have ``least`` elements or more, by deal ``deal`` of the features.
+
+    Of each first-level partition one of two cells is kept, as similar sets differ in one element there at most. A
+    cell that holds nothing says nothing of its set, and unrelated sets would meet in it. But then the whole difference
+    lies in the other cell, so this one's content is a key, whole and with each element left out. Where it holds no
+    more than one element, the second key is each signature of the next deal, an independent one: similar sets share one
+    of those whatever they share in the first. So no link is lost. The band alone decides how many deals there are.
+    """
+    first = k // 2 + 1
+    mixed = mix64(x + np.uint64(int(_GOLD) * (2 * deal + 1) % 2**64))
+    at = (((x if not deal else mixed) >> np.uint64(20)) % np.uint64(first * 2)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    mixed = mixed[order]
+    edges = np.searchsorted(at[order], np.arange(first * 2 + 1))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+    cell = total[edges[1:]] - total[edges[:-1]]  # sums of hashes, modulo 2**64
+    held = np.diff(edges)
+    tag = mix64((np.arange(first * 2, dtype=np.uint64) + np.uint64(band << 40) + np.uint64((deal << 60) % 2**64)) * _GOLD)
+    out, thin = [mix64(tag * _GOLD + cell)[held > 0]], []
+    for c in np.flatnonzero(held == 0):
+        o = c ^ 1
+        sums = cell[o : o + 1] if held[o] == 1 else np.concatenate([cell[o : o + 1], cell[o] - mixed[edges[o] : edges[o + 1]]])
+        if held[o]:
+            out.append(mix64(mix64(tag[c : c + 1] + np.uint64(1)) * _GOLD + sums))
+        if held[o] <= 1:
+            thin.append(c)
+    if thin:
+        keys = mix64(tag[thin] + np.uint64(2))
+        if deal + 1 < _deals(least, first):
+            second = _enumerated(x, band, k, deal + 1, least)
+            keys = mix64(keys[:, None] * _GOLD + second[None, :]).ravel()
+        out.append(keys)
     return np.concatenate(out)
 
 
@@ -143,31 +188,36 @@ def _signed(docs: DataFrame, classes: DataFrame, ngram: int, num: int, den: int)
     return docs.where("doc_id is not null").select("doc_id", text_or_empty().cast("binary").alias("t")).mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("sig", T.LongType(), False)]))
 
 
-def _bit(col: str):
-    return F.pmod(F.xxhash64(col), F.lit(WANTED_BITS))
-
-
 def _sets_of(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     """doc_id, set of the documents in ``wanted`` (doc_id, distinct), and of a few others by chance.
 
-    A bitmap of fixed size, filled in Spark, lets tasks skip the other texts before they are shingled or shuffled.
+    A bitmap, filled in Spark, lets tasks skip the other texts before they are shingled or shuffled. It has WANTED_BITS
+    bits or more for each wanted document; above WANTED documents a join takes its place.
     """
-    words = wanted.select(_bit("doc_id").alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("w")).agg(
-        F.expr("bitmap_construct_agg(bit % 32768)").alias("m")).collect()  # at most WANTED_BITS / 32768 rows
-    bitmap = bytearray(WANTED_BITS // 8)
-    for r in words:
-        bitmap[r["w"] * 4096 : (r["w"] + 1) * 4096] = bytes(r["m"])
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    n = wanted.count()
+    shared, bits = None, 1 << 16
+    if n <= WANTED:
+        while bits < WANTED_BITS * n:
+            bits *= 2
+        bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+        words = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("w")).agg(
+            F.expr("bitmap_construct_agg(bit % 32768)").alias("m")).collect()  # 64 MB at most
+        bitmap = bytearray(bits // 8)
+        for r in words:
+            bitmap[r["w"] * 4096 : (r["w"] + 1) * 4096] = bytes(r["m"])
+        shared = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
+    else:
+        docs = docs.join(wanted, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
+        have = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little") if shared else None
         for b in batches:
-            take = np.flatnonzero(have[b.column(1).to_numpy()])
-            b = b.take(pa.array(take))
-            sets = [shingles(t, ngram).view(np.int64) for t in b.column(2).to_pylist()]
+            if have is not None:
+                b = b.take(pa.array(np.flatnonzero(have[b.column(1).to_numpy()])))
+            sets = [np.sort(shingles(t, ngram).view(np.int64)) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "set"])
 
-    src = docs.select("doc_id", _bit("doc_id").alias("bit"), text_or_empty().cast("binary").alias("t"))
+    src = docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("bit"), text_or_empty().cast("binary").alias("t"))
     return src.mapInArrow(run, "doc_id bigint, set array<bigint>")
 
 
@@ -183,13 +233,40 @@ def _distance_ok(a: str, b: str, na: str, nb: str, num: int, den: int):
 def _verify(docs: DataFrame, pairs: DataFrame, ngram: int, num: int, den: int) -> DataFrame:
     """Those of the stored, distinct ``pairs`` (a, b) whose sets have den * intersection >= num * union.
 
-    Only the documents of these pairs are shingled again, and only their sets are moved.
+    Only the documents of these pairs are shingled again, and only their sets are moved. The partners of an ``a`` are dealt
+    out in blocks, and its set goes to each block once, not to each pair.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
     sets = stored(_sets_of(docs, ends, ngram).dropDuplicates(["doc_id", "set"]), "shingles")
-    x = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
-    both = x.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("i"))
-    return both.where(den * F.col("i") >= num * (F.col("n") - F.col("i"))).select("a", "b")
+    blocks = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    centre = blocks.join(sets.withColumnRenamed("doc_id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), "set")
+    partner = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    partner = partner.join(sets.withColumnRenamed("doc_id", "b"), "b").select("a", "block", "b", "set")
+    dealt = centre.unionByName(partner).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    return dealt.mapInArrow(lambda batches: _check(batches, num, den), "a bigint, b bigint").distinct()
+
+
+def _check(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that hold; the rows of a block come with its centre's sets (more if a doc_id repeats) before its partners'."""
+    key, centres = None, []
+    for batch in batches:
+        a, block, b = (batch.column(c).to_pylist() for c in range(3))
+        flat, at = batch.column(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(3)).to_numpy())])
+        out = []
+        for i in range(len(a)):
+            x = flat[at[i] : at[i + 1]]
+            if (a[i], block[i]) != key:
+                key, centres = (a[i], block[i]), []
+            if b[i] is None:
+                centres.append(x.copy())
+                continue
+            for c in centres:
+                if len(c) and len(x):
+                    n = int((c[np.minimum(np.searchsorted(c, x), len(c) - 1)] == x).sum())
+                    if den * n >= num * (len(c) + len(x) - n):
+                        out.append((a[i], b[i]))
+                        break
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int64()), pa.array([q for _, q in out], pa.int64())], names=["a", "b"])
 
 
 def _cross(members: DataFrame, num: int, den: int) -> DataFrame:
