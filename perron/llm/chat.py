@@ -1,9 +1,9 @@
 """Chat formatting with budgeted windows.
 
 A conversation's turns are written with a template and dealt into windows of at most ``budget`` tokens (a single
-longer turn keeps a window of its own). Windows are cut at turns by prefix sums of turn tokens. Each window
-repeats the system turn and up to ``history`` tokens of the turns before it; what is repeated is context and is masked
-from the loss, so each assistant text is a target once. Only DataFrame functions are used.
+longer turn keeps a window of its own, without context). A token is estimated as four UTF-8 bytes. Windows are cut at
+turns by prefix sums of turn tokens. Each window repeats the system turn and up to ``history`` tokens of the turns before
+it, where they fit; what is repeated is context and is masked from the loss, so each assistant text is a target once. Only DataFrame functions are used.
 
 Template: ``### role: text</turn>``, one turn a line. Control strings in roles and texts are escaped reversibly with a
 backslash, so none of them ever occurs unescaped in a text: backslash as ``\\b``, ``###`` as ``\\h``, ``</turn>`` as
@@ -49,7 +49,9 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     (leading turns that repeat others), n_turns (all turns of the window), n_tokens.
 
     ``turns``: conv_id, turn, role, text; further columns are ignored. Turns are ordered by turn (null first), role and
-    text; rows that repeat are turns too. Null roles and texts count as empty. The system turn is a conversation's first
+    text; rows that repeat are turns too. Rows with a null conv_id are one conversation. A conversation's null turns lie in
+    one block of the prefix sum. The system turn is not repeated where it would leave ``history`` tokens or less beside the
+    history, nor beside a single turn that leaves no room for it. Null roles and texts count as empty. The system turn is a conversation's first
     turn if its role is system. An empty table has no windows.
     """
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -66,11 +68,14 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     t = t.join(sums.select(F.col("conv_id").alias("cid"), F.col("block").alias("blk"), "s0", "c0"), F.col("conv_id").eqNullSafe(F.col("cid")) & (F.col("block") == F.col("blk")))
     t = t.select("conv_id", (F.col("c0") + F.col("k") - 1).alias("i"), "role", "head", "body", "tokens", (F.col("s0") + F.col("lead")).alias("at"))
 
-    system = t.where("i = 0 and role = 'system'").select(F.col("conv_id").alias("sid"), F.lit(True).alias("has"), F.col("tokens").alias("stokens"), F.struct("head", "body").alias("sys"))
+    system = t.where("i = 0 and role = 'system'").select(F.col("conv_id").alias("sid"), F.lit(True).alias("has"), F.col("tokens").alias("stokens"), F.struct("head", "body", "tokens").alias("sys"))
     t = t.join(system, F.col("conv_id").eqNullSafe(F.col("sid")), "left").drop("sid")
     # a window holds the turns that start in its stretch of the prefix sum; one that would run over the end, or over the
     # room beside a long system turn, stands alone
-    room = F.greatest(F.lit(budget - history) - F.least(F.coalesce("stokens", F.lit(0)), F.lit(budget // 2)), F.lit(history))
+    # a system turn that leaves no more than that much room is not repeated
+    beside = F.when(F.col("stokens") <= budget - 2 * history, F.col("stokens"))
+    room = F.greatest(F.lit(budget - history) - F.coalesce(beside, F.lit(0)), F.lit(history))
+    t = t.withColumn("sys", F.when(beside.isNotNull(), F.col("sys")))
     t = t.withColumn("room", room).withColumn("slot", F.floor(F.col("at") / F.col("room")))
     t = t.withColumn("over", (F.floor((F.col("at") + F.col("tokens") - 1) / F.col("room")) > F.col("slot")).cast("int"))
     # history: a turn may be context of the windows after its own that begin within ``history`` tokens from its start;
@@ -88,8 +93,13 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
 
     turn = F.struct("i", "context", "role", "head", "body", "tokens")
     w = dealt.groupBy("conv_id", "slot", "over").agg(F.array_sort(F.collect_list(turn)).alias("turns"), F.min("begin").alias("begin"), F.first("sys", True).alias("sys"))
-    has_system = F.col("sys").isNotNull() & (F.col("begin") > 0)
-    sys_turn = F.struct(F.lit(-1).cast("long").alias("i"), F.lit(1).alias("context"), F.lit("system").alias("role"), F.col("sys.head").alias("head"), F.col("sys.body").alias("body"), F.lit(0).cast("long").alias("tokens"))
+    # what is repeated has to fit beside the window's own turns: first the system turn, then the history
+    count = lambda context: F.aggregate(F.filter("turns", lambda x: x["context"] == context), F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
+    w = w.withColumn("own", count(0)).withColumn("past", count(1))
+    has_system = F.col("sys").isNotNull() & (F.col("begin") > 0) & (F.col("own") + F.col("sys.tokens") <= budget)
+    has_past = F.col("own") + F.col("past") + F.when(has_system, F.col("sys.tokens")).otherwise(0) <= budget
+    w = w.withColumn("turns", F.when(has_past, F.col("turns")).otherwise(F.filter("turns", lambda x: x["context"] == 0)))
+    sys_turn = F.struct(F.lit(-1).cast("long").alias("i"), F.lit(1).alias("context"), F.lit("system").alias("role"), F.col("sys.head").alias("head"), F.col("sys.body").alias("body"), F.col("sys.tokens").alias("tokens"))
     w = w.withColumn("turns", F.when(has_system, F.concat(F.array(sys_turn), F.col("turns"))).otherwise(F.col("turns")))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("loss"))
 
