@@ -8,18 +8,20 @@ likelihood on a bounded sample of labelled documents, whose lines carry their do
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.base import per_text
+from perron.llm.base import per_text, text_or_empty
 
 SYMBOLS = b"#*$%&|<>"
-#: Bound of the training sample: documents per class and lines per document used in fitting.
-SAMPLE_DOCS, SAMPLE_LINES = 600, 64
+#: Bound of the training sample: documents per class, lines per document used in fitting, and the runs that these come in.
+SAMPLE_DOCS, SAMPLE_LINES, RUNS = 600, 64, 4
 FEATURES = ["bias", "symbols", "caps", "digits", "repeated", "same_as_before", "no_stop", "short", "long_word", "punct_run"]
 
 
@@ -43,6 +45,21 @@ def counts(raw: bytes) -> tuple[int, int, int, int, int]:
     return n, word_chars, symbols, dup, repeated
 
 
+def _cased(line: bytes) -> tuple[int, int]:
+    """Upper-case letters and letters that have a case, of any script."""
+    if line.isascii():
+        m = len(line)
+        upper = m - len(line.translate(None, _UPPER))
+        return upper, upper + m - len(line.translate(None, _LOWER))
+    text = line.decode("utf-8", "replace")
+    low, up = text.lower(), text.upper()
+    if len(low) != len(text) or len(up) != len(text):  # letters that become two
+        upper = sum(map(str.isupper, text))
+        return upper, upper + sum(map(str.islower, text))
+    upper = sum(map(ne, text, low))
+    return upper, upper + sum(map(ne, text, up))
+
+
 def line_features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(lines x FEATURES, words per line) of the lines that have words."""
     rows, sizes, before = [], [], set()
@@ -52,11 +69,9 @@ def line_features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         if not n:
             continue
         m = len(line)
-        letters = line.upper()
-        lower = sum(map(line.count, (b"a", b"e", b"i", b"n", b"t")))
-        upper = sum(map(letters.count, (b"A", b"E", b"I", b"N", b"T"))) - lower
+        upper, letters = _cased(line)
         sym = m - len(line.translate(None, SYMBOLS + b"!"))
-        rows.append((1.0, min(1.0, 2.0 * sym / n), upper / max(1, upper + lower),
+        rows.append((1.0, min(1.0, 2.0 * sym / n), upper / max(1, letters),
                      min(1.0, 4.0 * (m - len(line.translate(None, b"0123456789"))) / m), 1 - len(set(words)) / n,
                      float(line in before), float(line.rstrip()[-1:] not in b".!?:;\"'"), float(n < 3),
                      float(m / n > 14), float(b"!!" in line or b"###" in line or b" | " in line)))
@@ -65,6 +80,9 @@ def line_features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, float).reshape(-1, len(FEATURES)), np.array(sizes, np.int64)
 
 
+_UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
+
+
 def viterbi(unary: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """The best label sequence for ``unary`` (lines x 2) and ``trans`` (from x to); ties go to label 1, content."""
     n = len(unary)
@@ -125,19 +143,33 @@ def fit_crf(docs: list[tuple[np.ndarray, int]], steps: int = 150, rate: float =
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
-    """Fits the field on at most ``sample_docs`` documents of each class, chosen by a hash of doc_id."""
+    """Fits the field on at most ``sample_docs`` documents of each class, chosen by a hash of doc_id.
+
+    Of rows that repeat a labelled doc_id the text with the least hash is taken.
+    """
     lab = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y"))
     pick = None
     for y in (0, 1):
         part = lab.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
         pick = part if pick is None else pick.union(part)
-    rows = per_text(docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id"), _sample_features, "x array<double>", ["doc_id", "y"])
-    got = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["x"]))  # bounded: sample_docs, SAMPLE_LINES lines each
+    rows = docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id").withColumn("th", F.xxhash64(text_or_empty()))
+    rows = per_text(rows, _sample_features, "x array<double>", ["doc_id", "y", "th"]).groupBy("doc_id", "y").agg(F.min(F.struct("th", "x")).alias("least"))
+    got = sorted(rows.select("doc_id", "y", "least.x").collect(), key=lambda r: r["doc_id"])  # bounded: sample_docs, SAMPLE_LINES lines each
     return fit_crf([(np.array(r["x"]).reshape(-1, len(FEATURES)), r["y"]) for r in got])
 
 
 def _sample_features(texts: list[bytes]) -> list[pa.Array]:
-    return [pa.array([line_features(t)[0][:SAMPLE_LINES].ravel() for t in texts], pa.list_(pa.float64()))]
+    return [pa.array([_some(line_features(t)[0], t).ravel() for t in texts], pa.list_(pa.float64()))]
+
+
+def _some(x: np.ndarray, raw: bytes) -> np.ndarray:
+    """SAMPLE_LINES lines at most: RUNS contiguous runs, one of each equal stretch of the text, placed by its hash."""
+    if len(x) <= SAMPLE_LINES:
+        return x
+    n, edges = SAMPLE_LINES // RUNS, np.linspace(0, len(x), RUNS + 1).astype(int)
+    rng = np.random.Generator(np.random.PCG64(zlib.crc32(raw)))
+    starts = [int(rng.integers(a, max(a, b - n) + 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return np.concatenate([x[s : s + n] for s in starts])
 
 
 def rules(docs: DataFrame, model: dict, min_words: int = 50, max_repeat: float = 0.5, min_share: float = 0.5) -> DataFrame:
