@@ -107,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dims: int = DI
     """The model: idf, projection, and the unit vectors and labels of the sample.
 
     Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1. The sample has at most ``sample``
-    documents of each class, chosen by a hash of doc_id; document frequencies cover all rows of ``docs``. Without labels
+    documents of each class, chosen by a hash of doc_id (of rows that repeat one, the text with the least hash); document frequencies cover all rows of ``docs``. Without labels
     of both classes the model is None and every document scores 0.5.
     """
     lab = (labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
@@ -122,10 +122,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, dims: int = DI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = [terms(t) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i.astype(np.int32) for i, _ in x], pa.list_(pa.int32())), pa.array([v for _, v in x], pa.list_(pa.float32()))], names=["doc_id", "y", "i", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array([i.astype(np.int32) for i, _ in x], pa.list_(pa.int32())), pa.array([v for _, v in x], pa.list_(pa.float32()))], names=["doc_id", "y", "th", "i", "v"])
 
-    src = docs.select("doc_id", text_or_empty().cast("binary").alias("t")).join(F.broadcast(pick), "doc_id").select("doc_id", "y", "t")
-    rows = src.mapInArrow(run, "doc_id bigint, y int, i array<int>, v array<float>").dropDuplicates(["doc_id"]).toArrow()  # bounded by the sample
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("t")).join(F.broadcast(pick), "doc_id").select("doc_id", "y", "t", F.xxhash64("t").alias("th"))
+    rows = src.mapInArrow(run, "doc_id bigint, y int, th bigint, i array<int>, v array<float>")
+    rows = rows.groupBy("doc_id", "y").agg(F.min(F.struct("th", "i", "v")).alias("least")).select("doc_id", "y", "least.i", "least.v").toArrow()  # bounded by the sample
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     y = rows["y"].to_numpy().astype(np.float32)[order]
     if len(set(y.tolist())) < 2:
@@ -156,7 +157,7 @@ def score_texts(texts: list[bytes], model: dict, neighbours: int = NEIGHBOURS) -
         z = vectors(texts[a : a + BLOCK], model["idf"]) @ model["proj"]
         z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
         sim = np.round(z @ model["z"].T, 5)
-        near = np.argsort(-sim, axis=1, kind="stable")[:, :k] if len(model["y"]) <= 64 else _top(sim, k)
+        near = _top(sim, k)
         s = np.maximum(np.take_along_axis(sim, near, 1), 0).astype(np.float64) ** 8
         total = s.sum(1)
         out[a : a + len(z)] = np.where(total > 0, (s * model["y"][near]).sum(1) / np.maximum(total, 1e-300), 0.5)
@@ -164,7 +165,11 @@ def score_texts(texts: list[bytes], model: dict, neighbours: int = NEIGHBOURS) -
 
 
 def _top(sim: np.ndarray, k: int) -> np.ndarray:
-    return np.argpartition(-sim, k - 1, axis=1)[:, :k]
+    """The ``k`` most similar of each row, ties by place, listed by place."""
+    last = np.partition(sim, sim.shape[1] - k, axis=1)[:, sim.shape[1] - k, None]
+    above, at = sim > last, sim == last
+    take = above | (at & (np.cumsum(at, axis=1, dtype=np.int32) <= k - above.sum(1, dtype=np.int32)[:, None]))
+    return np.nonzero(take)[1].reshape(len(sim), k)
 
 
 def score_column(model: dict, col: Column) -> Column:
