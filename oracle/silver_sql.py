@@ -108,3 +108,21 @@ SQL = {
     "d10_operation_header": D10_SQL, "d11_operation_details": D11_SQL, "d12_disruption_header": D12_SQL,
     "d13_disruption_details": D13_SQL,
 }
+
+
+def _summed(name: str, sql: str, columns: list[str]) -> str:
+    text = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '')" for c in columns) + ")"
+    return f"select '{name}' as table_name, count(*) as n_rows, cast(sum(cast('0x' || substr(md5({text}), 1, 8) as bigint)) as bigint) as checksum from ({sql})"
+
+
+# the loaded tables are those of D2-D13, whatever order their documents came in
+SQL["d_load_all"] = " union all ".join(_summed(n, q, c) for n, q, c in [
+    ("def_city", D2_SQL, ["id", "name", "station_count", "is_active"]), ("def_station", D3_SQL, ["id", "name", "dcit_id"]),
+    ("def_train_status", D6_SQL, ["code", "name"]), ("def_disruption_cause", D7_SQL, ["code", "description"]),
+    ("schedule_header", D8_SQL, ["operating_date", "schedule_id", "order_id", "train_order_id", "name", "carrier_code", "category_code", "national_number", "is_active"]),
+    ("schedule_details", D9_SQL, ["schedule_id", "order_id", "order_number", "dsta_id", "arrival_time", "arrival_day", "departure_time", "departure_day", "departure_platform", "dstty_id"]),
+    ("operation_header", D10_SQL, ["operating_date", "schedule_id", "order_id", "train_order_id", "train_status", "snapshot_ts"]),
+    ("operation_details", D11_SQL, ["operating_date", "order_id", "planned_sequence", "actual_sequence", "dsta_id", "actual_arrival", "actual_departure", "is_confirmed", "is_cancelled",
+                                    "arrival_delay_min", "departure_delay_min", "dwell_time_sec"]),
+    ("disruption_header", D12_SQL, ["id", "disruption_type_code", "message"]),
+    ("disruption_details", D13_SQL, ["operating_date", "schedule_id", "order_id", "dsta_id", "dihe_id", "train_order_id", "sequence_number"])])
