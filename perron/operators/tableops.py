@@ -268,6 +268,11 @@ def current_version(spark: SparkSession, root: str) -> str:
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table: where its manifest says (``operators.layer``), else in the published version's folder."""
+    from perron.operators import layer
+    tables = layer.manifest(spark, root)
+    if name in tables:
+        return layer.read_table(spark, root, tables[name])
     return spark.read.parquet(f"{root}/v={current_version(spark, root)}/{name}")
 
 

@@ -1,13 +1,10 @@
-"""Daily gold job: dimensions, daily facts for the recompute
-window, monthly roll-ups of the touched months, published together.
+"""Daily gold job: the seven dimensions, daily facts for the recompute window, monthly roll-ups of the touched
+months, published together.
 
-Storage layout: every fact is Parquet partitioned by ``month`` (YYYYMM).
-The daily facts overwrite only the partitions of the window's months with
-the window's days recomputed (C7: the days outside the window inside those
-months are carried over from the previous version), the monthly facts are
-rebuilt for the touched months from the daily facts (C8). Outputs go to a
-new version directory and the pointer file is switched last (C13), so a
-failed run leaves the previous version current and a rerun is idempotent.
+Facts are kept by ``month`` (YYYYMM) under one manifest (``operators.layer``): the daily facts rewrite the parts of the
+window's months (C7: those months' days outside the window are carried over), the monthly facts those of the touched
+months (C8). Parts of other months keep their directories and are neither read nor copied. The pointer is added last
+(C13), so a failed run leaves the previous layer current and a rerun is idempotent.
 """
 
 from __future__ import annotations
@@ -18,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.operators import tableops as C
+from perron.operators.layer import Load
 from perron.plans import gold_dims as D
 from perron.plans import gold_facts as G
 from perron.plans.silver_model import Silver
@@ -34,60 +32,26 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month", (F.col("date_id") / 100).cast("bigint"))
 
 
-def _previous(spark: SparkSession, root: str, version: str | None, name: str) -> DataFrame | None:
-    """The table in the published version; any failure to read it is an error, only a proven first run has none."""
-    return None if version is None else spark.read.parquet(f"{root}/v={version}/{name}")
-
-
 def run_daily(spark: SparkSession, s: Silver, root: str, as_of: dt.date, days: int = 3) -> str:
-    """Run the gold load for ``as_of`` and publish it under ``root``; returns the version dir."""
+    """Run the gold load for ``as_of`` and publish it under ``root``; returns the load's folder."""
     w = G.Window_.days_back(as_of, days)
     lo_d, hi_d = int(w.date_from.strftime("%Y%m%d")), int(w.date_to.strftime("%Y%m%d"))
     lo_m, hi_m = C.month_bounds(w.date_from, w.date_to)
-    out: dict[str, DataFrame] = {
-        "d_station": D.d_station(s.def_station, s.def_city),
-        "d_route": D.d_route(s.schedule_details),
-        "d_train_type": G.train_types(s),
-    }
-    # the version that readers see, read once; staged versions of failed runs play no part
-    published = C.published_version(spark, root)
-    daily_new: dict[str, DataFrame] = {}
+    load = Load(spark, root)  # the published layer, read once; folders of failed runs play no part
+    dimensions = {
+        "d_date": D.d_date_covering(s.operation_header, "operating_date"), "d_hour": D.d_hour(spark),
+        "d_station": D.d_station(s.def_station, s.def_city), "d_route": D.d_route(s.schedule_details), "d_train_type": G.train_types(s),
+        "d_train_status": D.d_train_status(s.def_train_status), "d_disruption_cause": D.d_disruption_cause(s.def_disruption_cause)}
+    for name, df in dimensions.items():
+        load.replace(name, df, [])
     for name, fn in DAILY.items():
-        new_rows = _with_month(fn(s, w))
-        prev = _previous(spark, root, published, name)
-        if prev is None:
-            merged = new_rows
-        else:
-            # only the touched months are rewritten; their days outside the window are carried over
-            prev = prev.filter(F.col("month").between(lo_m, hi_m))
-            merged = C.recompute_days(prev, new_rows.select(*prev.columns), "date_id", lo_d, hi_d)
-        daily_new[name] = merged
-        out[name] = merged
+        new = _with_month(fn(s, w))
+        prev = load.table(name, new.schema, (lo_m, hi_m))
+        merged = C.recompute_days(prev.select(*new.columns), new, "date_id", lo_d, hi_d)
+        load.rewrite_days(name, merged, ["date_id", "month"], "month", (lo_m, hi_m))
     for name, (src, fn) in MONTHLY.items():
-        monthly = fn(daily_new[src].drop("month"))
-        out[name] = monthly.filter(F.col("month").between(lo_m, hi_m))
-    parts = {n: ["month"] for n in list(DAILY) + list(MONTHLY)}
-    vdir = C.stage_version(spark, root, out, partition_by=parts)
-    # months outside the window are unchanged: carry their partitions into the staged version
-    if published is not None:
-        for name in list(DAILY) + list(MONTHLY):
-            _link_untouched_months(spark, f"{root}/v={published}/{name}", f"{vdir}/{name}", lo_m, hi_m)
-    C.switch_pointer(spark, root, vdir, list(out))    # readers switch to the new layer only now
-    return vdir
-
-
-def _link_untouched_months(spark: SparkSession, prev_table: str, new_table: str, lo_m: int, hi_m: int) -> None:
-    """Copy the month partitions outside the window from the previous version
-    (file-level copy of whole partitions; no data is recomputed)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(prev_table)
-    fs = src.getFileSystem(conf)
-    for st in fs.listStatus(src):
-        name = st.getPath().getName()
-        if name.startswith("month="):
-            m = int(name.split("=", 1)[1])
-            if not (lo_m <= m <= hi_m):
-                dst = jvm.org.apache.hadoop.fs.Path(f"{new_table}/{name}")
-                if not fs.exists(dst):
-                    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, st.getPath(), fs, dst, False, conf)
+        daily = load.table(src, "", (lo_m, hi_m))  # as just written
+        monthly = fn(daily.drop("month"))
+        load.rewrite_days(name, monthly.filter(F.col("month").between(lo_m, hi_m)), ["month"], "month", (lo_m, hi_m))
+    load.publish()    # readers see the new layer only now
+    return f"{root}/v={load.version}"

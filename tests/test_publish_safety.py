@@ -35,6 +35,21 @@ def test_second_load_keeps_untouched_months(spark, silver, tmp_path, scheme):
     assert {m: second.get(m) for m in first if m < 200108} == {m: n for m, n in first.items() if m < 200108}
 
 
+def test_a_load_writes_touched_months_only(spark, silver, tmp_path):
+    from perron.operators.layer import manifest
+    root = f"{tmp_path}/gold"
+    jobs.run_daily(spark, silver, root, dt.date(2001, 7, 31), 20)
+    before = manifest(spark, root)
+    jobs.run_daily(spark, silver, root, dt.date(2001, 8, 2), 1)
+    after = manifest(spark, root)
+    dims = {"d_date", "d_hour", "d_station", "d_route", "d_train_type", "d_train_status", "d_disruption_cause"}
+    assert set(after) == dims | set(jobs.DAILY) | set(jobs.MONTHLY)
+    for name in [*jobs.DAILY, *jobs.MONTHLY]:
+        old, new = (dict(map(tuple, m[name]["parts"])) for m in (before, after))
+        assert "200107" in old and old["200107"] == new["200107"], name  # the same directory
+        assert set(new) - set(old) <= {"200108"}
+
+
 def test_missing_table_of_the_published_version_is_an_error(spark, silver, tmp_path):
     root = f"{tmp_path}/gold"
     vdir = jobs.run_daily(spark, silver, root, dt.date(2001, 7, 31), 5)
