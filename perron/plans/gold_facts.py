@@ -20,10 +20,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perron.functions.clock import clock_minutes, date_key, planned_instant_seconds
+from perron.functions.clock import clock_minutes, date_key
 from perron.functions.ordered import first_row, last_row
 from perron.operators.joins import OPEN_END, version_at_date
 from perron.plans.gold_dims import d_train_type, plan_ends
@@ -93,19 +93,20 @@ def _stops_in_window(s: Silver, w: Window_) -> DataFrame:
     return s.operation_details.filter(w.between("operating_date"))
 
 
-def confirmed_span(operation_details: DataFrame) -> DataFrame:  # noqa: D401
-    """First and last confirmed stop of each run, one grouped pass."""
-    od = operation_details.filter(F.col("is_confirmed"))
-    agg = od.groupBy("ophe_id").agg(
-        first_row(["actual_sequence"], ["actual_departure", "planned_sequence"]).alias("f"),
-        last_row(["actual_sequence"], ["actual_arrival", "planned_sequence", "arrival_delay_min"]).alias("l"),
-    )
-    return agg.select(
-        "ophe_id",
-        F.col("f.actual_departure").alias("origin_dep_at"), F.col("f.planned_sequence").alias("origin_ps"),
-        F.col("l.actual_arrival").alias("term_arr_at"), F.col("l.planned_sequence").alias("term_ps"),
-        F.coalesce(F.col("l.arrival_delay_min"), F.lit(0)).alias("terminal_delay"),
-    )
+def journeys(operation_details: DataFrame) -> DataFrame:
+    """A run's first and last confirmed stop as ``left`` (place, at) and ``came`` (place, at, late), one grouped pass."""
+    stops = operation_details.filter(F.col("is_confirmed")).groupBy("ophe_id").agg(
+        first_row(["actual_sequence"], ["planned_sequence", "actual_departure"]).alias("f"),
+        last_row(["actual_sequence"], ["planned_sequence", "actual_arrival", "arrival_delay_min"]).alias("l"))
+    return stops.select(
+        "ophe_id", F.struct(F.col("f.planned_sequence").alias("place"), F.unix_timestamp("f.actual_departure").alias("at")).alias("left"),
+        F.struct(F.col("l.planned_sequence").alias("place"), F.unix_timestamp("l.actual_arrival").alias("at"),
+                 F.coalesce("l.arrival_delay_min", F.lit(0)).alias("late")).alias("came"))
+
+
+def lateness(operation_details: DataFrame) -> DataFrame:
+    """Minutes that each run with a confirmed stop was late at the last one."""
+    return journeys(operation_details).select("ophe_id", F.col("came.late").alias("terminal_delay"))
 
 
 def train_types(s: Silver) -> DataFrame:
@@ -136,34 +137,33 @@ def _statuses(s: Silver) -> DataFrame:
     return s.extra["statuses"]
 
 
+def _planned_minute(time: str, day: str) -> Column:
+    """Minutes from the run day's midnight to a planned clock; null without one."""
+    return F.coalesce(day, F.lit(0)) * 1440 + clock_minutes(time)
+
+
+def _moment(stop: str, edge: str, minute: Column) -> Column:
+    """Seconds of an end of the journey: measured if its stop is the plan's own end, else as planned (``minute``)."""
+    measured = F.when(F.col(f"{stop}.place") == F.col(edge), F.col(f"{stop}.at"))
+    return F.coalesce(measured, F.unix_date("operating_date").cast("bigint") * 86400 + minute * 60)
+
+
 @_memo
 def run_resolved(s: Silver, w: Window_) -> DataFrame:
-    """Per run: keys of the fact cell, terminal delay and travel minutes."""
-    r = runs_in_window(s, w)
-    ep = ends_for(s, r)
-    span = confirmed_span(_stops_in_window(s, w))
-    x = (r.join(span, "ophe_id", "left")
-         .join(ep, ["schedule_id", "order_id"], "inner")          # G9: route must exist
-         .join(_statuses(s), "train_status", "left_semi"))          # G9: known status
-    x = with_type_version(x, s)
-    both = F.col("dep_time").isNotNull() & F.col("arr_time").isNotNull()
-    planned = F.when(both, (F.coalesce("arr_day", F.lit(0)) * 1440 + clock_minutes("arr_time"))
-                     - (F.coalesce("dep_day", F.lit(0)) * 1440 + clock_minutes("dep_time")))
-    end_sec = F.when((F.col("term_ps") == F.col("max_on")) & F.col("term_arr_at").isNotNull(),
-                     F.unix_timestamp("term_arr_at")).otherwise(
-        planned_instant_seconds(F.col("operating_date"), F.col("arr_time"), F.col("arr_day"))
-        + F.coalesce("terminal_delay", F.lit(0)) * 60)
-    start_sec = F.when((F.col("origin_ps") == F.col("min_on")) & F.col("origin_dep_at").isNotNull(),
-                       F.unix_timestamp("origin_dep_at")).otherwise(
-        planned_instant_seconds(F.col("operating_date"), F.col("dep_time"), F.col("dep_day")))
-    actual = F.when((F.col("train_status") == "C") & F.col("origin_ps").isNotNull() & both,
-                    F.round((end_sec - start_sec) / 60.0).cast("bigint"))
-    return x.filter(F.col("type_valid_from").isNotNull()).select(
-        "ophe_id", "operating_date", "schedule_id", "order_id", date_key("operating_date").alias("date_id"),
-        "from_station_id", "to_station_id", "category_code", "carrier_code", "type_valid_from",
-        F.col("train_status").alias("status_code"), "terminal_delay",
-        planned.cast("bigint").alias("planned_travel_min"), actual.alias("actual_travel_min"),
-    )
+    """Per run: keys of the fact cell, terminal delay and travel minutes.
+
+    A run without a route, a type version or a known status makes no row (G9); one without confirmed stops has no delay.
+    """
+    runs = with_type_version(runs_in_window(s, w).join(_statuses(s), "train_status", "left_semi"), s).filter(F.col("type_valid_from").isNotNull())
+    leaves, comes = _planned_minute("dep_time", "dep_day"), _planned_minute("arr_time", "arr_day")
+    x = (runs.join(ends_for(s, runs), ["schedule_id", "order_id"]).join(journeys(_stops_in_window(s, w)), "ophe_id", "left")
+         .withColumn("planned_travel_min", (comes - leaves).cast("bigint")))
+    went = _moment("came", "max_on", comes + F.col("came.late")) - _moment("left", "min_on", leaves)
+    complete = (F.col("train_status") == "C") & F.col("came").isNotNull() & F.col("planned_travel_min").isNotNull()
+    return x.select(
+        "ophe_id", "operating_date", "schedule_id", "order_id", date_key("operating_date").alias("date_id"), "from_station_id", "to_station_id", *TYPE_KEY,
+        F.col("train_status").alias("status_code"), F.col("came.late").alias("terminal_delay"), "planned_travel_min",
+        F.when(complete, F.round(went / 60.0).cast("bigint")).alias("actual_travel_min"))
 
 
 RUN_CELL = ["date_id", "from_station_id", "to_station_id", *TYPE_KEY, "status_code"]
@@ -248,34 +248,28 @@ def dep_daily(s: Silver, w: Window_) -> DataFrame:
     return _stop_rows(s, w, "dep").groupBy(*STOP_CELL).agg(*_stop_measures("departures", "departure"))
 
 
+def header_causes(s: Silver) -> DataFrame:
+    """The cause of each disruption header that has one, and where it was found: its type (TYPE), else its message (MESSAGE)."""
+    named = s.disruption_header.select(F.col("id").alias("dihe_id"), F.explode(F.array(
+        F.struct(F.lit(1).alias("rank"), F.col("disruption_type_code").alias("code")), F.struct(F.lit(2).alias("rank"), F.col("message").alias("code")))).alias("c"))
+    known = named.select("dihe_id", "c.rank", "c.code").join(s.def_disruption_cause.select("code"), "code")
+    best = known.groupBy("dihe_id").agg(F.min(F.struct("rank", "code")).alias("best"))
+    return best.select("dihe_id", F.col("best.code").alias("cause_code"), F.when(F.col("best.rank") == 1, "TYPE").otherwise("MESSAGE").alias("cause_source"))
+
+
 @_memo
 def disruption_resolved(s: Silver, w: Window_) -> DataFrame:
-    """Affected stops of the window with route, type, hour and cause (G13 rows)."""
-    dd = s.disruption_details.filter(w.between("operating_date"))
-    sh = s.schedule_header.filter(w.between("operating_date")).select(
-        "operating_date", "schedule_id", "order_id", "train_order_id", "category_code", "carrier_code")
-    x = dd.join(sh, ["operating_date", "schedule_id", "order_id", "train_order_id"], "inner")
-    dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
-    x = x.join(dh, "dihe_id", "inner")
-    sd = s.schedule_details.select("schedule_id", "order_id", F.col("order_number").alias("sequence_number"),
-                                   "arrival_time", "departure_time")
-    x = x.join(sd, ["schedule_id", "order_id", "sequence_number"], "inner")
-    ep = ends_for(s, dd).select("schedule_id", "order_id", "from_station_id", "to_station_id")
-    x = x.join(ep, ["schedule_id", "order_id"], "inner")
-    x = with_type_version(x, s)
-    causes = s.def_disruption_cause.select(F.col("code").alias("_cc"))
-    ct = causes.select(F.col("_cc").alias("_ct"))
-    cm = causes.select(F.col("_cc").alias("_cm"))
-    x = (x.join(ct, x.disruption_type_code == ct._ct, "left")
-         .join(cm, x.message == cm._cm, "left"))
-    return x.select(
-        date_key("operating_date").alias("date_id"), "operating_date", "schedule_id", "order_id",
-        "from_station_id", "to_station_id", F.col("dsta_id").alias("station_id"), *TYPE_KEY,
-        F.substring(F.coalesce("arrival_time", "departure_time"), 1, 2).cast("int").alias("hour_id"),
-        F.coalesce("_ct", "_cm").alias("cause_code"),
-        F.concat_ws("|", F.col("schedule_id").cast("string"), F.col("order_id").cast("string")).alias("kurs"),
-        "dihe_id", "disruption_type_code", "message", "sequence_number",
-    )
+    """Affected stops of the window that have all that a cell needs: route, type version, planned hour and cause (G13 rows)."""
+    stops = s.disruption_details.filter(w.between("operating_date"))
+    plan = s.schedule_details.select("schedule_id", "order_id", F.col("order_number").alias("sequence_number"),
+                                     F.substring(F.coalesce("arrival_time", "departure_time"), 1, 2).cast("int").alias("hour_id")).filter(F.col("hour_id").isNotNull())
+    dated = s.schedule_header.filter(w.between("operating_date")).select("operating_date", "schedule_id", "order_id", "train_order_id", "category_code", "carrier_code")
+    runs = with_type_version(dated, s).filter(F.col("type_valid_from").isNotNull())
+    x = (stops.join(header_causes(s), "dihe_id").join(plan, ["schedule_id", "order_id", "sequence_number"])
+         .join(runs, ["operating_date", "schedule_id", "order_id", "train_order_id"])
+         .join(ends_for(s, stops).select("schedule_id", "order_id", "from_station_id", "to_station_id"), ["schedule_id", "order_id"]))
+    return x.select(date_key("operating_date").alias("date_id"), "schedule_id", "order_id", "from_station_id", "to_station_id",
+                    F.col("dsta_id").alias("station_id"), *TYPE_KEY, "hour_id", "cause_code")
 
 
 DIS_CELL = ["date_id", "from_station_id", "to_station_id", "station_id", *TYPE_KEY, "hour_id", "cause_code"]
@@ -285,21 +279,15 @@ DIS_CELL = ["date_id", "from_station_id", "to_station_id", "station_id", *TYPE_K
 def disruption_daily(s: Silver, w: Window_) -> DataFrame:
     """G13 f_train_disruption_daily.
 
-    ``runs_total_count`` attributes each run to the lowest cause it has at
-    that station and day. The lowest cause is found by a grouped min on
-    (date, station, run) joined back -- the same shuffle key as the distinct
-    count, no window over a possibly hot station.
+    ``runs_total_count`` attributes each run to the lowest cause it has at that station and day. A run's stops of a cell
+    are added up first; the lowest cause is a window over a run's few cells of a station and day, and the cells then only
+    add up numbers: one pass, no distinct count, no join with itself.
     """
-    x = disruption_resolved(s, w).filter(
-        F.col("type_valid_from").isNotNull() & F.col("cause_code").isNotNull() & F.col("hour_id").isNotNull())
-    mins = x.groupBy("date_id", "station_id", "kurs").agg(F.min("cause_code").alias("cause_min"))
-    x = x.join(mins, ["date_id", "station_id", "kurs"], "inner")
-    return x.groupBy(*DIS_CELL).agg(
-        F.count(F.lit(1)).cast("bigint").alias("occurrences_count"),
-        F.count_distinct("kurs").cast("bigint").alias("runs_count"),
-        F.count_distinct(F.when(F.col("cause_code") == F.col("cause_min"), F.col("kurs")))
-        .cast("bigint").alias("runs_total_count"),
-    )
+    run = ["schedule_id", "order_id"]
+    visits = disruption_resolved(s, w).groupBy(*DIS_CELL, *run).agg(F.count(F.lit(1)).alias("times"))
+    least = F.min("cause_code").over(Window.partitionBy("date_id", "station_id", *run))
+    visits = visits.withColumn("is_least", (F.col("cause_code") == least).cast("bigint"))
+    return visits.groupBy(*DIS_CELL).agg(F.sum("times").alias("occurrences_count"), F.count(F.lit(1)).alias("runs_count"), F.sum("is_least").alias("runs_total_count"))
 
 
 # ---- monthly roll-ups (G14-G17) -------------------------------------------
@@ -358,7 +346,7 @@ def disruption_monthly(daily: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "Window_", "runs_in_window", "ends_for", "confirmed_span", "with_type_version", "run_resolved",
+    "Window_", "runs_in_window", "ends_for", "journeys", "lateness", "header_causes", "with_type_version", "run_resolved",
     "run_daily", "stop_daily", "dep_daily", "disruption_resolved", "disruption_daily", "month_window",
     "run_monthly", "stop_monthly", "dep_monthly", "disruption_monthly", "OPEN_END",
 ]

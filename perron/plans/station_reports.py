@@ -157,33 +157,25 @@ def station_disruptions(s: Silver, calls: DataFrame, station_id) -> DataFrame:
     is shown only when it is not itself a code; per run and cause the
     newest message and the first report time are kept.
     """
-    dd = s.disruption_details.filter(F.col("dsta_id") == station_id).select(
-        F.date_format("operating_date", "yyyy-MM-dd").alias("data_kursu"), "schedule_id",
-        F.col("order_id").alias("d_order_id"), F.col("train_order_id").alias("d_train_order_id"), "dihe_id",
-        F.col("dsta_id").alias("d_dsta_id"))
-    c = calls.select(*H24_GROUP[:-2], "schedule_id", "order_id", "train_order_id")
-    cc, d = c.alias("c"), dd.alias("d")
-    base = (F.col("c.data_kursu") == F.col("d.data_kursu")) & (F.col("c.schedule_id") == F.col("d.schedule_id"))
-    on1 = base & (F.col("c.order_id") == F.col("d.d_order_id"))
-    on2 = base & (F.col("c.train_order_id") == F.col("d.d_train_order_id"))
-    sel = [F.col(f"c.{x}").alias(x) for x in c.columns] + [F.col("d.dihe_id").alias("dihe_id"),
-                                                          F.col("d.d_order_id").alias("d_order_id")]
-    # OR join as two equi joins; a (call, affected stop) pair matched by both is kept once
-    j = cc.join(d, on1, "inner").select(*sel).unionByName(cc.join(d, on2, "inner").select(*sel)).distinct()
-    dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message", "snapshot_ts")
-    causes = s.def_disruption_cause.select("code", "description")
-    ck = causes.select(F.col("code").alias("_ck"), F.col("description").alias("_dk"))
-    cm = causes.select(F.col("code").alias("_cm"), F.col("description").alias("_dm"))
-    j = (j.join(dh, "dihe_id", "inner").join(ck, F.col("disruption_type_code") == F.col("_ck"), "left")
-         .join(cm, F.trim(F.col("message")) == F.col("_cm"), "left"))
-    code = F.coalesce("_ck", "_cm")
-    text = (F.when(code.isNotNull(), F.regexp_replace(F.coalesce("_dk", "_dm"), SECTION_TEMPLATE, SECTION_TEXT))
-            .when(F.col("message").isNotNull(), F.col("message")).otherwise(F.lit("Nieokreślona")))
-    j = j.select("*", code.alias("przyczyna_kod"), text.alias("przyczyna"),
-                 F.when(F.col("_cm").isNull(), F.col("message")).alias("komunikat"))
-    return j.groupBy(*H24_GROUP).agg(
-        keep_last_max([F.col("snapshot_ts")], "komunikat").alias("komunikat"),
-        F.date_format(F.min("snapshot_ts"), TS).alias("pierwsze_zgl"))
+    # a call's reports bear its order or its train order: one equi join on a call's two numbers
+    day = F.col("data_kursu").cast("date")
+    numbers = lambda: F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("number")) for k, c in ((1, "order_id"), (2, "train_order_id"))])).alias("n")
+    first, last = calls.select(F.min(day)).scalar(), calls.select(F.max(day)).scalar()
+    told = (s.disruption_details.filter((F.col("dsta_id") == station_id) & F.col("operating_date").between(first, last))
+            .select(F.date_format("operating_date", "yyyy-MM-dd").alias("data_kursu"), "schedule_id", numbers(), "dihe_id")
+            .select("data_kursu", "schedule_id", "n.*", "dihe_id").distinct())
+    mine = calls.select(*H24_GROUP[:-2], "schedule_id", numbers()).select(*H24_GROUP[:-2], "schedule_id", "n.*")
+    pairs = mine.join(told, ["data_kursu", "schedule_id", "kind", "number"]).drop("kind", "number").distinct()
+    # what each header says, by its rule
+    known = s.def_disruption_cause.select(F.col("code").alias("przyczyna_kod"), F.regexp_replace("description", SECTION_TEMPLATE, SECTION_TEXT).alias("told"))
+    said = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message", F.trim("message").alias("words"), "snapshot_ts")
+    said = (said.join(known.toDF("by_type", "type_text"), F.col("disruption_type_code") == F.col("by_type"), "left")
+            .join(known.toDF("by_words", "words_text"), F.col("words") == F.col("by_words"), "left"))
+    said = said.select("dihe_id", "snapshot_ts", F.coalesce("by_type", "by_words").alias("przyczyna_kod"),
+                       F.coalesce(F.when(F.col("by_type").isNotNull(), F.col("type_text")).when(F.col("by_words").isNotNull(), F.col("words_text")).otherwise(F.col("message")),
+                                  F.lit("Nieokreślona")).alias("przyczyna"), F.when(F.col("by_words").isNull(), F.col("message")).alias("komunikat"))
+    return pairs.join(said, "dihe_id").groupBy(*H24_GROUP).agg(
+        keep_last_max([F.col("snapshot_ts")], "komunikat").alias("komunikat"), F.date_format(F.min("snapshot_ts"), TS).alias("pierwsze_zgl"))
 
 
 def route_start_monthly(s: Silver, as_of: dt.date, months: int = 24) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from perron.functions.clock import date_key
 from perron.plans.gold_dims import plan_ends
-from perron.plans.gold_facts import confirmed_span, with_type_version
+from perron.plans.gold_facts import header_causes, lateness, with_type_version
 from perron.plans.silver_model import Silver
 
 SH_KEY = ["operating_date", "schedule_id", "order_id", "train_order_id"]
@@ -37,7 +37,7 @@ def run_daily_trace(s: Silver, run_fact: DataFrame) -> DataFrame:
     oh = s.operation_header.select(F.col("id").alias("ophe_id"), *SH_KEY, "train_status")
     x = (oh.join(_sh(s), SH_KEY, "left")
          .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left")
-         .join(confirmed_span(s.operation_details).select("ophe_id", "terminal_delay"), "ophe_id", "left"))
+         .join(lateness(s.operation_details), "ophe_id", "left"))
     x = with_type_version(x, s)
     st = s.def_train_status.select(F.col("code").alias("train_status"),
                                                      F.col("code").alias("status_code"))
@@ -86,30 +86,20 @@ def stop_daily_trace(s: Silver, stop_fact: DataFrame) -> DataFrame:
 
 def disruption_daily_trace(s: Silver, dis_fact: DataFrame) -> DataFrame:
     """H3 v_disruption_daily_trace, with the source of the cause (TYPE / MESSAGE)."""
-    dd = s.disruption_details
-    dh = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
-    sd = s.schedule_details.select("schedule_id", "order_id", F.col("order_number").alias("sequence_number"),
-                                   "arrival_time", "departure_time")
-    x = (dd.join(_sh(s), SH_KEY, "left").join(dh, "dihe_id", "left")
-         .join(sd, ["schedule_id", "order_id", "sequence_number"], "left")
-         .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left"))
+    dd = s.disruption_details.withColumn("date_id", date_key("operating_date")).join(_fact_dates(dis_fact), "date_id", "left_semi")
+    plan = s.schedule_details.select("schedule_id", "order_id", F.col("order_number").alias("sequence_number"),
+                                     F.substring(F.coalesce("arrival_time", "departure_time"), 1, 2).cast("int").alias("hour_id"))
+    texts = s.disruption_header.select(F.col("id").alias("dihe_id"), "disruption_type_code", "message")
+    x = (dd.join(texts, "dihe_id", "left").join(header_causes(s), "dihe_id", "left").join(plan, ["schedule_id", "order_id", "sequence_number"], "left")
+         .join(_routes(s).drop("min_on", "max_on"), ["schedule_id", "order_id"], "left").join(_sh(s), SH_KEY, "left"))
     x = with_type_version(x, s)
-    causes = s.def_disruption_cause.select(F.col("code").alias("_cc"))
-    ct = causes.select(F.col("_cc").alias("_ct"))
-    cm = causes.select(F.col("_cc").alias("_cm"))
-    x = (x.join(ct, x.disruption_type_code == ct._ct, "left").join(cm, x.message == cm._cm, "left")
-         .withColumn("date_id", date_key("operating_date")))
-    x = x.join(_fact_dates(dis_fact), "date_id", "left_semi")
-    cause = F.coalesce("_ct", "_cm")
-    in_fact = (F.col("from_station_id").isNotNull() & F.col("type_valid_from").isNotNull() & cause.isNotNull()
-               & (F.col("arrival_time").isNotNull() | F.col("departure_time").isNotNull()))
+    # the fact took a stop that has all that a cell needs
+    taken = F.col("from_station_id").isNotNull() & F.col("type_valid_from").isNotNull() & F.col("cause_code").isNotNull() & F.col("hour_id").isNotNull()
     return x.select(
         F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "date_id",
         "from_station_id", "to_station_id", F.col("dsta_id").alias("station_id"), "type_valid_from",
-        F.substring(F.coalesce("arrival_time", "departure_time"), 1, 2).cast("int").alias("hour_id"),
-        cause.alias("cause_code"),
-        F.when(F.col("_ct").isNotNull(), "TYPE").when(F.col("_cm").isNotNull(), "MESSAGE").alias("cause_source"),
+        "hour_id", "cause_code", "cause_source",
         "dihe_id", "schedule_id", "order_id", "train_order_id", "sequence_number", "category_code",
         "carrier_code", "disruption_type_code", "message",
-        F.when(in_fact, "Y").otherwise("N").alias("in_fact"),
+        F.when(taken, "Y").otherwise("N").alias("in_fact"),
     )
