@@ -4,7 +4,8 @@ A text is cut into units before each space and around each line feed, a unit's l
 text) becoming the mark of a word's start. The distinct units of the corpus are exploded into substrings of bounded
 length, equi-joined with the piece table, grouped by unit again, and the best path is folded by the higher-order
 function ``aggregate``: for each place the best score of a path to it and the piece that ends it. Characters without a
-piece fall back to the pieces of their bytes. Units are hash-partitioned once; explode, join and grouping keep that.
+piece fall back to the pieces of their bytes. Units are numbered and hash-partitioned once; explode, join and grouping
+keep that, and an edge is one number.
 
 Documents then get their ids: the ``head`` most frequent units (a bounded number of bounded length) go to every task;
 the ids of the others are joined to the documents that hold them. No table that grows with the data is broadcast.
@@ -72,7 +73,7 @@ def decode(ids: list[int], raw: list[bytes]) -> str:
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
-    """unit, n: the distinct units of all texts and how often they occur, counted in each batch first."""
+    """uid, unit, n: the distinct units of all texts, numbered, and how often they occur, counted in each batch first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -81,41 +82,88 @@ def vocabulary(docs: DataFrame) -> DataFrame:
                 c.update(units(t.decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["unit", "n"])
 
-    return small_batches(docs).select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+    found = small_batches(docs).select(text_or_empty().cast("binary").alias("t")).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+    return stored(found.select(F.monotonically_increasing_id().alias("uid"), "unit", "n"), "vocabulary")
+
+
+#: An edge as one number: its end, what its length lacks of LONGEST (so longer ones come first), and its piece; or, from
+#: BYTES on, a character without a piece by its number of bytes.
+_END, _LACK, LONGEST, BYTES = 1 << 40, 1 << 32, 255, 1 << 31
 
 
 def encode_units(vocab: DataFrame, pieces: Pieces) -> DataFrame:
-    """unit, n, ids: the best segmentation of each unit. Ties go to the longer last piece."""
+    """unit, n, ids: the best segmentation of each unit of ``vocab`` (uid, unit, n). Ties go to the longer last piece.
+
+    A start is exploded into the lengths that pieces with its first three characters have, no longer ones; rows carry a
+    unit's number and an edge's, never the unit. A unit has fewer than 2 ** 23 characters.
+    """
     spark = vocab.sparkSession
-    table = spark.createDataFrame(pieces.rows, "piece string, id int, score double")  # bounded by the model
-    starts = vocab.select("unit", "n", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
-    subs = starts.select("unit", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("unit") - F.col("s")))).alias("l"))
-    subs = subs.withColumn("sub", F.expr("substring(unit, s + 1, l)"))
+    table = spark.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id long")  # bounded by the model
+    lengths: dict[str, set[int]] = {}
+    for p, _, _ in pieces.rows:
+        if 3 <= len(p) <= LONGEST:
+            lengths.setdefault(p[:3], set()).add(len(p))
+    begun = spark.createDataFrame([(p, sorted(x)) for p, x in lengths.items()], "begins string, lengths array<int>")  # as well
+    scores = np.zeros(len(pieces.raw))
+    for _, i, w in pieces.rows:
+        scores[i] = w
+    score_of = F.lit(scores.tolist())
+
+    base = vocab.repartition("uid")
+    longest = min(pieces.longest, LONGEST)
+    starts = base.select("uid", F.inline(F.transform(F.sequence(F.lit(0), F.length("unit") - 1), lambda s: F.struct(s.alias("s"), F.substring("unit", s + 1, F.lit(longest)).alias("rest")))))
+    subs = starts.join(F.broadcast(begun), F.substring("rest", 1, 3) == F.col("begins"), "left")
+    subs = subs.select("uid", "s", "rest", F.explode(F.concat(F.array(F.lit(1), F.lit(2)), F.coalesce("lengths", F.array().cast("array<int>")))).alias("l"))
+    subs = subs.where(F.col("l") <= F.length("rest")).select("uid", "s", "l", F.expr("substring(rest, 1, l)").alias("sub"))
     edges = subs.join(F.broadcast(table), subs["sub"] == table["piece"], "left").where("id is not null or l = 1")
-    # a character without a piece costs the fallback score for each of its bytes
-    score = F.coalesce("score", F.octet_length("sub") * F.lit(pieces.fallback))
-    edges = edges.select("unit", "n", F.struct((F.col("s") + F.col("l")).alias("e"), F.col("s").alias("s"), F.coalesce("id", F.lit(-1)).alias("id"), score.alias("w")).alias("edge"))
-    lattice = edges.groupBy("unit", "n").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    kind = "array<struct<w:double,s:int,id:int>>"
-    first = F.expr(f"cast(array(named_struct('w', 0D, 's', -1, 'id', -1)) as {kind})")
+    piece = F.coalesce("id", F.lit(BYTES) + F.octet_length("sub"))
+    edges = edges.select("uid", ((F.col("s") + F.col("l")).cast("long") * _END + (LONGEST - F.col("l")).cast("long") * _LACK + piece).alias("edge"))
+    lattice = edges.groupBy("uid").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    first = F.expr("array(named_struct('w', 0D, 'x', 0L))")
+
+    def end(x: Column) -> Column:
+        return F.shiftright(x, 40).cast("int")
+
+    def long(x: Column) -> Column:
+        return (LONGEST - F.shiftright(x, 32).bitwiseAND(255)).cast("int")
+
+    def what(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(_LACK - 1))
 
     def relax(best: Column, x: Column) -> Column:
-        cell = F.struct((F.element_at(best, x["s"] + 1)["w"] + x["w"]).alias("w"), x["s"].alias("s"), x["id"].alias("id"))
+        # a character without a piece costs the fallback score for each of its bytes
+        w = F.when(what(x) < BYTES, F.element_at(score_of, what(x).cast("int") + 1)).otherwise((what(x) - BYTES) * F.lit(pieces.fallback))
+        cell = F.struct((F.element_at(best, end(x) - long(x) + 1)["w"] + w).alias("w"), x.alias("x"))
         # edges come by their end, so only the last place is open
-        return (F.when(F.size(best) == x["e"], F.concat(best, F.array(cell)))
-                .when(cell["w"] > F.element_at(best, -1)["w"], F.concat(F.slice(best, 1, x["e"]), F.array(cell))).otherwise(best))
+        return (F.when(F.size(best) == end(x), F.concat(best, F.array(cell)))
+                .when(cell["w"] > F.element_at(best, -1)["w"], F.concat(F.slice(best, 1, end(x)), F.array(cell))).otherwise(best))
 
-    best = F.aggregate("edges", first, relax)
+    best = F.transform(F.aggregate("edges", first, relax), lambda c: c["x"])
     back = F.aggregate(
-        F.sequence(F.lit(1), F.length("unit")), F.struct(F.length("unit").alias("at"), F.expr("cast(array() as array<struct<s:int,e:int,id:int>>)").alias("path")),
-        lambda a, _: F.when(a["at"] == 0, a).otherwise(F.struct(
-            F.element_at(F.col("best"), a["at"] + 1)["s"].alias("at"),
-            F.concat(F.array(F.struct(F.element_at(F.col("best"), a["at"] + 1)["s"].alias("s"), a["at"].alias("e"), F.element_at(F.col("best"), a["at"] + 1)["id"].alias("id"))), a["path"]).alias("path"))))
+        F.sequence(F.lit(2), F.size("best")), F.struct(F.size("best").alias("at"), F.expr("cast(array() as array<bigint>)").alias("path")),
+        lambda a, _: F.when(a["at"] == 1, a).otherwise(F.struct(
+            (a["at"] - long(F.element_at(F.col("best"), a["at"]))).alias("at"), F.concat(F.array(F.element_at(F.col("best"), a["at"])), a["path"]).alias("path"))))
+    paths = lattice.select("uid", best.alias("best")).select("uid", back["path"].alias("path"))
     byte_ids = F.array(*[F.lit(i) for i in pieces.bytes])
-    of_bytes = lambda s, e: F.transform(F.sequence(F.lit(0), F.octet_length(F.substring(F.col("unit"), s + 1, e - s)) - 1), lambda k: F.element_at(
-        byte_ids, F.conv(F.substring(F.hex(F.encode(F.substring(F.col("unit"), s + 1, e - s), "UTF-8")), 2 * k + 1, F.lit(2)), 16, 10).cast("int") + 1))
-    ids = F.flatten(F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(of_bytes(p["s"], p["e"]))))
-    return lattice.select("unit", "n", best.alias("best")).select("unit", "n", back["path"].alias("path")).select("unit", "n", ids.alias("ids"))
+
+    def of_bytes(x: Column) -> Column:
+        char = F.hex(F.encode(F.substring(F.col("unit"), end(x), F.lit(1)), "UTF-8"))
+        return F.transform(F.sequence(F.lit(0), (what(x) - BYTES).cast("int") - 1), lambda k: F.element_at(byte_ids, F.conv(F.substring(char, 2 * k + 1, F.lit(2)), 16, 10).cast("int") + 1))
+
+    ids = F.flatten(F.transform("path", lambda x: F.when(what(x) < BYTES, F.array(what(x).cast("int"))).otherwise(of_bytes(x))))
+    return base.join(paths, "uid").select("unit", "n", ids.alias("ids"))
+
+
+def most_frequent(known: DataFrame, head: int) -> DataFrame:
+    """The units of HEAD_CHARS characters at most that occur 2 ** k times or more, with the least k that gives ``head`` or fewer."""
+    short = known.where(F.length("unit") <= HEAD_CHARS)
+    k = F.floor(F.log2("n")).cast("int")
+    sizes = {r["k"]: r["m"] for r in short.groupBy(k.alias("k")).agg(F.count("*").alias("m")).collect()}  # 63 rows at most
+    least, total = 63, 0
+    while least and total + sizes.get(least - 1, 0) <= head:
+        least -= 1
+        total += sizes.get(least, 0)
+    return short.where(k >= least)
 
 
 def encode(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
@@ -126,8 +174,7 @@ def encode(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
     """
     pieces = Pieces(model)
     known = stored(encode_units(vocabulary(docs), pieces), "units")
-    top = known.where(F.length("unit") <= HEAD_CHARS).orderBy(F.desc("n"), "unit").limit(head)
-    got = top.select("unit", "ids").toArrow()  # at most ``head`` units of HEAD_CHARS characters
+    got = most_frequent(known, head).select("unit", "ids").toArrow()  # at most ``head`` units of HEAD_CHARS characters
     flat = got["ids"].combine_chunks()
     shared = docs.sparkSession.sparkContext.broadcast((got["unit"].to_pylist(), np.asarray(flat.flatten()).astype("<u2").tobytes(), flat.offsets.to_numpy() if len(got) else np.zeros(1, np.int32)))
     cache: dict = {}
