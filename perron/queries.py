@@ -1005,3 +1005,24 @@ def d_load_all(spark, sf_dir):
         one = t.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")).alias("checksum"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ---- the landing step (A1, A3-A6) -------------------------------------------------------
+from perron.plans import landing_job as LJ  # noqa: E402
+
+
+@query("a6_landing_step")
+def a6(spark, sf_dir):
+    """Files of the operations tree by day and outcome after three steps, and by day in the landing that they leave.
+
+    The tree has a file for each page, every seventh page cut off. The steps of 07-25, 07-26 and 07-28 list two days each.
+    """
+    root = scratch(spark, "bucket")
+    docs = A.with_file_attributes(P.operations_landing(_fx(spark, sf_dir)))
+    text = F.when((F.col("page") - 1) % 7 == 6, F.substring("payload", 1, 100)).otherwise(F.col("payload"))
+    docs.select(text.alias("value"), F.col("part_date").alias("date")).write.partitionBy("date").option("maxRecordsPerFile", 1).text(f"{root}/daily/data/operations")
+    for day in (25, 26, 28):
+        LJ.land(spark, root, "data", "operations", f"{root}/store", dt.date(2001, 7, day), f"2001-07-{day} 06:00:00")
+    seen = LJ.outcomes(spark, f"{root}/store").select(F.date_format("part_day", "yyyyMMdd").alias("part_date"), "status")
+    left = LJ.landing(spark, f"{root}/store", "operations").select(F.regexp_extract("object_name", A.PART_DATE_RE, 1).alias("part_date"), F.lit("IN LANDING").alias("status"))
+    return seen.unionByName(left).groupBy("part_date", "status").agg(F.count("*").alias("n_files"))
