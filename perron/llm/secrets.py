@@ -12,6 +12,7 @@ text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,12 +43,26 @@ def find(text: str) -> list[tuple[str, int, int]]:
     out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     # a run of 32 or more is found whole by a greedy pattern, so shorter runs need not be listed
     out += [("hex", m.start(), m.end()) for m in HEX_RUN.finditer(text)]
-    taken = [(s, e) for _, s, e in out]
+    starts, ends = _merged([(s, e) for _, s, e in out])
     for kind, pat in (("key", KEY), ("endpoint", ENDPOINT), ("identifier", IDENTIFIER)):
-        out += [(kind, m.start(), m.end()) for m in pat.finditer(text) if not any(s < m.end() and m.start() < e for s, e in taken)]
+        for m in pat.finditer(text):
+            i = bisect_right(ends, m.start())  # the first that ends behind the start
+            if i == len(starts) or starts[i] >= m.end():
+                out.append((kind, m.start(), m.end()))
     return sorted(out, key=lambda x: (x[1], ORDER[x[0]]))
 
 
+def _merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover, rising."""
+    starts, ends = [], []
+    for s, e in sorted(spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s), ends.append(e)
+    return starts, ends
+
+
 def parts(docs: DataFrame) -> DataFrame:
     """doc_id, row (one number per input row), parts array of (kind, start, end) in text order."""
 
@@ -89,7 +104,8 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, spans array<struct<start, ord, kind, end>> by start, then kind: one row for each row of ``docs``.
 
-    Null and empty texts have no spans, a null doc_id stays null, repeated rows give a row each, other columns are
+    A weak part that overlaps a base span is none; reported parts of different kinds may overlap, and of equal starts the
+    kind that is listed first comes first. Null and empty texts have no spans, a null doc_id stays null, repeated rows give a row each, other columns are
     ignored.
     """
     found = stored(parts(docs), "secrets")
@@ -123,15 +139,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
     marked = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     right = dirty.select(F.col("h").alias(key), F.col("spans").alias(spans)).dropDuplicates([key])
     out = marked.join(right, key, "left")
-    start = F.struct(F.lit("").alias("t"), F.lit(0).cast("bigint").alias("at"))
-    folded = F.aggregate(
-        F.col(spans), start,
-        lambda a, x: F.struct(
-            F.when(x["end"] <= a["at"], a["t"])
-             .when(x["start"] < a["at"], a["t"])
-             .otherwise(F.concat(a["t"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int")), F.lit(mark))).alias("t"),
-            F.greatest(a["at"], x["end"]).alias("at")))
-    text = F.concat(folded["t"], F.substring(F.col("text"), (folded["at"] + 1).cast("int"), F.length("text")))
+    # four bytes a code point, so that a cut takes no walk over the text
+    raw = fresh(docs, "raw__")
+    out = out.withColumn(raw, F.when(F.col(spans).isNotNull(), F.encode("text", "UTF-32")))
+    between = lambda a, b: F.decode(F.substring(F.col(raw), (a * 4 + 1).cast("int"), (b - a).cast("int") * 4), "UTF-32")
+    start = F.struct(F.expr("cast(array() as array<string>)").alias("t"), F.lit(0).cast("bigint").alias("at"))
+    folded = F.aggregate(F.col(spans), start, lambda a, x: F.struct(
+        F.when(x["start"] < a["at"], a["t"]).otherwise(F.concat(a["t"], F.array(between(a["at"], x["start"]), F.lit(mark)))).alias("t"),
+        F.greatest(a["at"], x["end"]).alias("at")))
+    text = F.concat(F.array_join(folded["t"], ""), between(folded["at"], F.length(raw) / 4))
     cols = [F.when(F.col(spans).isNull(), F.col("text")).otherwise(text).alias("text") if c == "text"
             else F.col(c) for c in docs.columns]
     out = out.select(*cols)
