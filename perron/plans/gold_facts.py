@@ -4,7 +4,7 @@ Shape of every daily loader:
   runs in window (G1: header join timetable header, both sides pruned on the
   date) -> plan ends per plan (G2/G3/G7: one grouped pass) -> executed-stop
   spans per run (G5/G6: one grouped pass over confirmed stops) -> version of
-  the train type at the run date (G4: broadcast, size-checked) -> grouped
+  the train type at the run date (G4: Spark broadcasts the version table while it is small) -> grouped
   measures. Monthly facts (G14-G17) roll the daily rows up by month and day
   type; the calendar attributes are computed from the date key, so no row is
   lost to a calendar that does not cover the data (finding 11).
@@ -192,17 +192,16 @@ def run_daily(s: Silver, w: Window_) -> DataFrame:
 
 def _stop_rows(s: Silver, w: Window_, kind: str) -> DataFrame:
     """Executed stops of window runs with their plan row (G11 arrivals / G12 departures)."""
+    # what belongs to a run is looked up once a run, then joined to its stops
     r = runs_in_window(s, w)
     ep = ends_for(s, r).select("schedule_id", "order_id", "from_station_id", "to_station_id")
+    runs = with_type_version(r.join(ep, ["schedule_id", "order_id"]), s).filter(F.col("type_valid_from").isNotNull())
     od = _stops_in_window(s, w).drop("operating_date").join(
-        r.select("ophe_id", "operating_date", "schedule_id", "order_id", "category_code", "carrier_code"),
-        "ophe_id", "inner")
+        runs.select("ophe_id", "operating_date", "schedule_id", "order_id", "from_station_id", "to_station_id", *TYPE_KEY), "ophe_id")
     t_col = "arrival_time" if kind == "arr" else "departure_time"
     sd = s.schedule_details.filter(F.col(t_col).isNotNull()).select(
         "schedule_id", "order_id", F.col("order_number").alias("planned_sequence"), t_col)
     x = od.join(sd, ["schedule_id", "order_id", "planned_sequence"], "inner")
-    x = x.join(ep, ["schedule_id", "order_id"], "inner")
-    x = with_type_version(x, s).filter(F.col("type_valid_from").isNotNull())
     ok = F.col("is_confirmed") & ~F.col("is_cancelled")
     if kind == "arr":
         ok = ok & F.col("actual_arrival").isNotNull()

@@ -149,13 +149,22 @@ def scd2_apply(log: DataFrame, changed: DataFrame, ended: DataFrame, key: Sequen
     previously active version. Inserting a hash equal to the active one is
     a no-op. Returns the whole new log.
     """
-    key = list(key)
+    return scd2_events(log, scd2_kinds(changed, ended, key), key)
+
+
+def scd2_kinds(changed: DataFrame, ended: DataFrame, key: Sequence[str] = DIS_LOG_KEY) -> DataFrame:
+    """The events of :func:`scd2_events` from separate sets."""
     ev_c = changed.select(*key, "order_id", *DIS_TRACKED, "change_hash", "snapshot_ts",
                           F.lit("C").alias("_kind"))
     ev_e = ended.select(*key, F.lit(None).cast("bigint").alias("order_id"),
                         *[F.lit(None).cast("string").alias(c) for c in DIS_TRACKED],
                         F.lit(None).cast("string").alias("change_hash"), "snapshot_ts", F.lit("E").alias("_kind"))
-    ev = ev_c.unionByName(ev_e)
+    return ev_c.unionByName(ev_e)
+
+
+def scd2_events(log: DataFrame, ev: DataFrame, key: Sequence[str] = DIS_LOG_KEY) -> DataFrame:
+    """C5 for events with ``_kind`` C (changed) or E (ended; no order, texts or hash); see :func:`scd2_apply`."""
+    key = list(key)
     # key columns may be null (train id): window on a null-safe surrogate of the key
     kcols = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in key]
     ev = ev.withColumn("_k", F.concat_ws("\u0001", *kcols))

@@ -571,14 +571,14 @@ def _dis_events(spark, sf_dir):
     day = F.coalesce(F.col("c.snapshot_day"), F.col("p.snapshot_day"))
     bounds = flat.agg(F.max("snapshot_day").alias("hi"))
     j = j.withColumn("_day", day).filter(day <= bounds.select("hi").scalar())
+    # one pass: a row is changed, or ended (only for runs of the current snapshot's day on: what merely leaves the window is not)
     in_c, in_p = F.col("c.change_hash").isNotNull(), F.col("p.change_hash").isNotNull()
-    changed = j.filter(in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))).select(
-        *[F.col(f"c.{x}").alias(x) for x in cols], F.lit("changed").alias("kind"))
-    # tombstones only for runs of the current snapshot's day on: what merely leaves the window is not ended
-    ended = j.filter(in_p & ~in_c & (F.col("p.operating_date") >= F.col("_day"))).select(
-        *[F.col(f"p.{x}").alias(x) for x in key + LV.DIS_TRACKED], F.lit(None).cast("string").alias("change_hash"),
-        F.lit("ended").alias("kind"))
-    return changed.unionByName(ended)
+    changed = in_c & (~in_p | (F.col("c.change_hash") != F.col("p.change_hash")))
+    ended = in_p & ~in_c & (F.col("p.operating_date") >= F.col("_day"))
+    kind = F.when(changed, "changed").when(ended, "ended")
+    return j.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select(
+        *[F.when(in_c, F.col(f"c.{x}")).otherwise(F.col(f"p.{x}")).alias(x) for x in key + LV.DIS_TRACKED],
+        F.when(in_c, F.col("c.change_hash")).alias("change_hash"), "kind")
 
 
 @query("e5_disruption_diff")
@@ -600,9 +600,7 @@ def d15(spark, sf_dir):
     """SCD2 disruption log after applying every snapshot's changed/ended sets in order."""
     ev = _dis_events(spark, sf_dir).withColumn(
         "snapshot_ts", F.timestamp_seconds(F.unix_date("snapshot_day").cast("bigint") * 86400 + 6 * 3600))
-    changed = ev.filter(F.col("kind") == "changed")
-    ended = ev.filter(F.col("kind") == "ended")
-    log = LV.scd2_apply(_empty(spark, DLOG_DDL), changed, ended)
+    log = LV.scd2_events(_empty(spark, DLOG_DDL), ev.withColumn("_kind", F.when(F.col("kind") == "changed", "C").otherwise("E")))
     return log.select(F.date_format("operating_date", "yyyy-MM-dd").alias("operating_date"), "schedule_id",
                       "train_order_id", "dsta_id", "sequence_number", "order_id", "disruption_type_code", "message",
                       "change_hash", "is_active",
@@ -815,7 +813,7 @@ def h25(spark, sf_dir):
 @query("e11_heartbeat_log")
 def e11(spark, sf_dir):
     """Heartbeat of the daily user-snapshot cycles: delta size (E3), outcome (E7),
-    lag of the snapshot stamp behind the cycle time (E10), newest 10,000 kept (E11)."""
+    lag of the snapshot stamp behind the cycle time (E10), all rows kept (E11)."""
     s = LF.user_snapshots(_fx(spark, sf_dir))
     diff = LV.diff_runs(s.withColumn("day", F.date_add("day", 1)), s, key=["user_id", "day"])
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(F.to_date("ts").alias("day")).agg(
