@@ -166,10 +166,13 @@ def score_texts(texts: list[bytes], model: dict, neighbours: int = NEIGHBOURS) -
 
 def _top(sim: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` most similar of each row, ties by place, listed by place."""
-    last = np.partition(sim, sim.shape[1] - k, axis=1)[:, sim.shape[1] - k, None]
-    above, at = sim > last, sim == last
-    take = above | (at & (np.cumsum(at, axis=1, dtype=np.int32) <= k - above.sum(1, dtype=np.int32)[:, None]))
-    return np.nonzero(take)[1].reshape(len(sim), k)
+    near = np.sort(np.argpartition(-sim, k - 1, axis=1)[:, :k], axis=1)
+    chosen = np.take_along_axis(sim, near, 1)
+    last = chosen.min(1, keepdims=True)
+    # rows in which the last similarity occurs more often than it was taken
+    for i in np.flatnonzero((sim == last).sum(1) > (chosen == last).sum(1)):
+        near[i] = np.sort(np.argsort(-sim[i], kind="stable")[:k])
+    return near
 
 
 def score_column(model: dict, col: Column) -> Column:
