@@ -38,19 +38,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of similar ones; rows that repeat a kept doc_id stay."""
+    """Keeps one document of each group of similar ones; rows that repeat a kept doc_id stay.
+
+    Null and empty texts are similar to nothing and stay, as do rows with a null doc_id.
+    """
     found = jaccard.similar_components(docs, SHINGLE, NUM, DEN)
     drop = found.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces reported secrets in the texts."""
+    """Replaces reported secrets in the texts. Null and empty texts and rows without a doc_id are handled as any; rows that
+    repeat a doc_id and a text are masked alike."""
     return secrets.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
+
+    Null and empty texts are one piece of one id; rows that repeat a doc_id have pieces each; a null doc_id stays null.
+    """
     return pack.pack_documents(docs, tokenizer_path())
 
 
