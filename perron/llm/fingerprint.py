@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perron.llm.base import mix64, shuffle_partitions, text_or_empty
+from perron.llm.base import mix64, shuffle_partitions, stored, text_or_empty
 
 SAMPLES, SHINGLE = 64, 5
 TABLE_BITS = 12
@@ -98,13 +98,17 @@ def edited(text: str, nxt: str) -> str:
     return text[: len(text) - half] + nxt[:half]
 
 
+EDITS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
 def fingerprint_edits(docs: DataFrame, rows_per_range: int = 1000) -> DataFrame:
     """Fingerprints of all texts and of their edits, with likeness to the edit and to the next document.
 
     The next document is that of the next doc_id (after the last: the first). Rows are dealt out by ranges of doc_id,
     and a range's first row also goes to the range before, where it only serves as next; so each task reads its rows in
-    order and needs no other. Null text counts as empty. Rows with equal doc_id follow each other by text, and each
-    one's next is the row after it; rows with a null doc_id come first. Other columns are ignored. A single row is its
+    order and needs no other. Null text counts as empty. Rows with equal doc_id follow each other by a hash of the text, and
+    each one's next is the row after it; rows with a null doc_id come first. A doc_id that many rows have (or none) is
+    dealt out in buckets of that hash. Other columns are ignored. A single row is its
     own next.
     """
     spark = docs.sparkSession
@@ -115,19 +119,31 @@ def fingerprint_edits(docs: DataFrame, rows_per_range: int = 1000) -> DataFrame:
     ranges = max(1, min(int(total // rows_per_range), 8 * shuffle_partitions(spark)))
     # doc_ids that start a range: bounded by the number of ranges
     cuts = d.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)] or [0.5], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted({c for c in cuts if c > first}) if ranges > 1 and total else []
+    # a doc_id with many rows begins a range, too; it is cut further, by its texts' hashes, into buckets that keep their order
+    most, per = 8 * shuffle_partitions(spark), max(rows_per_range, -(-int(total) // ranges))
+    hot = d.groupBy(key.alias("key")).agg(F.count("*").alias("rows")).where(F.col("rows") > 4 * per)
+    hot = [(r["key"], min(most, -(-r["rows"] // per))) for r in hot.collect()]  # a quarter of the ranges at most
+    cuts = sorted({c for c in [*cuts, *(k for k, _ in hot)] if c > first}) if total and (ranges > 1 or hot) else []
     place = F.lit(0)
     if cuts:
         arr = F.array(*[F.lit(c).cast("long") for c in cuts])
         place = F.size(F.filter(arr, lambda c: c <= key)) if len(cuts) <= 64 else _place(arr, key, len(cuts))
-    rows = d.withColumn("key", key).withColumn("range", place.cast("int"))
-    n = len(cuts) + 1
-    starts = [c for c in cuts] + ([first] if first is not None else [])
-    copy = F.when(F.col("key").isin(starts), F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("extra")), F.struct(F.when(F.col("range") == 0, F.lit(n - 1)).otherwise(F.col("range") - 1).alias("range"), F.lit(1).alias("extra")))).otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("extra"))))
-    dealt = (rows.drop("range").withColumn("range", place.cast("int")).select("doc_id", "key", "text", F.inline(copy))
-             .repartition(min(n, 2 * shuffle_partitions(spark)), "range").sortWithinPartitions("range", "extra", "key", "text"))
-    src = dealt.select("range", "extra", "doc_id", F.col("text").cast("binary").alias("text"))
-    return src.mapInArrow(_edits, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    rows = d.withColumn("key", key).withColumn("h", F.xxhash64("text")).withColumn("range", place.cast("int"))
+    hot = F.broadcast(spark.createDataFrame(hot, "key bigint, buckets int"))
+    rows = rows.join(hot, "key", "left").withColumn("sub", F.coalesce(F.least(F.floor((F.col("h") / 2.0**64 + 0.5) * F.col("buckets")), F.col("buckets") - 1), F.lit(2**31 - 1)).cast("int"))
+    # the first row of each part also goes to the part before: a row for each part, numbered in order
+    firsts = rows.groupBy("range", "sub").agg(F.min(F.struct("key", "h")).alias("least")).orderBy("range", "sub").collect()
+    if not firsts:
+        return spark.createDataFrame([], EDITS)
+    parts = [(r["range"], r["sub"], i, (i - 1) % len(firsts), r["least"]["key"], r["least"]["h"]) for i, r in enumerate(firsts)]
+    parts = F.broadcast(spark.createDataFrame(parts, "range int, sub int, part int, before int, k0 bigint, h0 bigint"))
+    rows = rows.join(parts, ["range", "sub"])
+    own = F.struct(F.col("part").alias("part"), F.lit(0).alias("extra"))
+    copy = F.when((F.col("key") == F.col("k0")) & (F.col("h") == F.col("h0")), F.array(own, F.struct(F.col("before").alias("part"), F.lit(1).alias("extra")))).otherwise(F.array(own))
+    dealt = (rows.select("doc_id", "key", "h", "text", F.inline(copy))
+             .repartition(min(len(firsts), 2 * shuffle_partitions(spark)), "part").sortWithinPartitions("part", "extra", "key", "h", "text"))
+    src = dealt.select("part", "extra", "doc_id", F.col("text").cast("binary").alias("text"))
+    return src.mapInArrow(_edits, EDITS)
 
 
 def _place(arr, key, n: int):
