@@ -1024,3 +1024,20 @@ def a6(spark, sf_dir):
     seen = LJ.outcomes(spark, f"{root}/store").select(F.date_format("part_day", "yyyyMMdd").alias("part_date"), "status")
     left = LJ.landing(spark, f"{root}/store", "operations").select(F.regexp_extract("object_name", A.PART_DATE_RE, 1).alias("part_date"), F.lit("IN LANDING").alias("status"))
     return seen.unionByName(left).groupBy("part_date", "status").agg(F.count("*").alias("n_files"))
+
+
+# ---- loud narrowing (B8) ----------------------------------------------------------------
+from perron.operators import narrow as N  # noqa: E402
+
+
+@query("b8_narrowing")
+def b8(spark, sf_dir):
+    """Events as text, some with values that do not fit: each fault with its column and reason, and the typed rows without any."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.col("event_id")
+    text = ev.select("event_id", F.when(k % 13 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts"),
+                     F.concat(F.col("user_id").cast("string"), F.when(k % 17 == 0, "x").otherwise("")).alias("user_id"), "event_type")
+    good, bad = N.write_narrowed(text, {"ts": "timestamp", "user_id": "bigint", "event_type": 6}, scratch(spark, "narrow"), ["event_id"], quarantine=True)
+    good = good.select("event_id", F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("reason"),
+                       F.concat_ws("|", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id") + 0, "event_type").alias("value"))
+    return bad.unionByName(good)
