@@ -87,8 +87,8 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with later repeats of runs of ``min_words`` words or more deleted.
 
-    First is first by doc_id, then place. Lines are compared whole; lines without words count for nothing, but go when
-    they lie in a deleted run. Null and empty texts pass unchanged. Rows that agree in doc_id and text are one document
+    First is first by doc_id, then place. Lines are compared whole; lines without words count for nothing and
+    stay, in a deleted run as well. Null and empty texts pass unchanged. Rows that agree in doc_id and text are one document
     and all keep the same lines; rows with a null doc_id come last. If a text repeats itself with overlap, the lines
     before the first repeat stay. n_chars, if there, follows the text. Adds n_deleted (under a free name if taken).
     """

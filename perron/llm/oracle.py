@@ -144,4 +144,55 @@ FROM embeddings e LEFT JOIN links l ON l.a = e.vec_id
 GROUP BY e.vec_id
 """
 
-SQL: dict[str, str] = {"op11_embedding_dedup": OP11, "op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+#: Shingles of every text, counted together by pairs of documents, and for each document the least one within reach.
+OP4 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), together AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM together JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+#: Equal lines in pairs with an earlier one; pairs that follow each other in both texts are a run.
+OP5 = f"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
+), lines AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq
+  FROM (SELECT *, len({_WORDS.format("line")}) AS words FROM split) WHERE words > 0
+), pairs AS (
+  SELECT a.doc_id, a.seq, a.words, b.doc_id AS other, a.seq - b.seq AS shift
+  FROM lines a JOIN lines b ON a.line = b.line AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.seq < a.seq))
+), runs AS (
+  SELECT *, seq - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY seq) AS run FROM pairs
+), dead AS (
+  SELECT DISTINCT doc_id, seq FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, other, shift, run) AS held FROM runs) WHERE held >= 50
+), marked AS (
+  SELECT s.doc_id, s.pos, s.line, d.seq IS NOT NULL AS gone
+  FROM split s LEFT JOIN lines l ON l.doc_id = s.doc_id AND l.pos = s.pos LEFT JOIN dead d ON d.doc_id = l.doc_id AND d.seq = l.seq
+), left_over AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_deleted, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(o.n_deleted, 0) AS n_deleted, length(CASE WHEN o.n_deleted > 0 THEN o.text ELSE d.text END) AS n_chars,
+       CASE WHEN o.n_deleted > 0 THEN o.text ELSE d.text END AS text
+FROM documents d LEFT JOIN left_over o ON o.doc_id = d.doc_id
+"""
+
+SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op5_line_dedup": OP5, "op11_embedding_dedup": OP11, "op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}

@@ -24,7 +24,7 @@ def by_sql(name, *tables):
     return [d[0] for d in cur.description], cur.fetchall()
 
 
-@pytest.mark.parametrize("name,table", [("op11_embedding_dedup", "embeddings"), ("op12_merkle_manifest", "documents"), ("op13_prefix_trie", "conversations")])
+@pytest.mark.parametrize("name,table", [("op4_jaccard_join", "documents"), ("op5_line_dedup", "documents"), ("op11_embedding_dedup", "embeddings"), ("op12_merkle_manifest", "documents"), ("op13_prefix_trie", "conversations")])
 def test_sql(spark, name, table):
     df = QUERIES[name](spark, SF)
     cols, want = by_sql(name, table)
