@@ -35,8 +35,8 @@ def _object_name(category: str, feed: str, biz: Column, run_ts: Column, page: Co
     return F.concat(F.lit(f"daily/{category}/{feed}/date="), part, F.lit("/"), fname)
 
 
-def operations_landing(fx: Fixture, hhmmss: str = "060000") -> DataFrame:
-    """Executed runs: one document per (business date, page of run ids)."""
+def _operations_docs(fx: Fixture) -> DataFrame:
+    """Executed runs: (operating_date, page_key, trains), a row per business date and page of run ids."""
     od = fx.operation_details()
     stations = od.groupBy("ophe_id").agg(F.sort_array(F.collect_list(F.struct(
         F.col("actual_sequence").alias("actualSequenceNumber"),
@@ -59,13 +59,21 @@ def operations_landing(fx: Fixture, hhmmss: str = "060000") -> DataFrame:
                             "stationId:bigint,plannedSequenceNumber:int,actualArrival:string,"
                             "actualDeparture:string,arrivalDelayMinutes:int,departureDelayMinutes:int,"
                             "isConfirmed:boolean,isCancelled:boolean>>")).alias("stations")).alias("train"))
-    docs = runs.groupBy("operating_date", "page_key").agg(F.collect_list("train").alias("trains"))
+    return runs.groupBy("operating_date", "page_key").agg(F.collect_list("train").alias("trains"))
+
+
+def operations_landing(fx: Fixture, *hhmmss: str) -> DataFrame:
+    """One document per (business date, page of run ids) and time of the fetch (06:00 if none is given)."""
+    docs, hhmmss = _operations_docs(fx), hhmmss or ("060000",)
+    at = F.lit(hhmmss[0])
+    if len(hhmmss) > 1:  # the pages are made once for all fetches
+        docs, at = docs.withColumn("at", F.explode(F.array(*map(F.lit, hhmmss)))), F.col("at")
     biz = F.date_format("operating_date", "yyyyMMdd")
-    run_ts = _run_ts(F.col("operating_date"), hhmmss)
+    run_ts = F.concat(_run_ts(F.col("operating_date"), ""), at)
     page = F.col("page_key") + 1
     payload = F.to_json(F.struct(
         F.concat(F.date_format(F.date_add("operating_date", 1), "yyyy-MM-dd"),
-                 F.lit(f"T{hhmmss[:2]}:{hhmmss[2:4]}:{hhmmss[4:]}Z")).alias("generatedAt"),
+                 F.lit("T"), F.substring(at, 1, 2), F.lit(":"), F.substring(at, 3, 2), F.lit(":"), F.substring(at, 5, 2), F.lit("Z")).alias("generatedAt"),
         F.struct(page.cast("int").alias("page"), F.lit(PAGE_SIZE).alias("pageSize"),
                  F.lit(None).cast("bigint").alias("totalCount"), F.lit(None).cast("int").alias("totalPages"),
                  F.lit(None).cast("boolean").alias("hasNextPage")).alias("pagination"),
@@ -196,7 +204,7 @@ def live_pages(fx: Fixture) -> DataFrame:
     the day number modulo 5: 0 = the 05:00 fetch's last page is cut off, 1 = it is missing, 2 = the 06:00 fetch still
     bears the stamp of 04:00; else both fetches are sound and alike.
     """
-    pages = operations_landing(fx, "050000").unionByName(operations_landing(fx, "060000"))
+    pages = operations_landing(fx, "050000", "060000")
     biz = F.to_date(F.regexp_extract("object_name", r"operations_(\d{8})_", 1), "yyyyMMdd")
     x = pages.select("object_name", "payload", F.unix_date(biz).alias("day"), F.regexp_extract("object_name", r"_p(\d+)\.json$", 1).cast("int").alias("page"),
                      F.col("object_name").contains("050000").alias("early"))
