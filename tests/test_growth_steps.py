@@ -8,7 +8,9 @@ from perron import session
 from perron.functions.ordered import top1
 from perron.operators import shred
 from perron.operators.layer import Load
+from perron.plans import reports as H
 from perron.plans import silver_job as SJ
+from perron.plans.silver_model import Silver
 from perron.sources import files as A
 from perron.sources import payloads as P
 from perron.sources.fixtures import Fixture
@@ -109,3 +111,57 @@ def test_pages_of_two_fetches_are_made_once(spark, tmp_path):
     assert _plan(both).count("lineitem.parquet") + _plan(both).count("l_orderkey#") < 2 * (_plan(P.operations_landing(fx)).count("lineitem.parquet") + _plan(P.operations_landing(fx)).count("l_orderkey#"))
     alone = P.operations_landing(fx, "050000").unionByName(P.operations_landing(fx))
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, alone.collect())) and both.count() == 6
+
+
+def test_scan_tasks_are_bounded_unless_the_submitter_says_otherwise(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        session.size_shuffles(spark, [])
+        assert spark.conf.get(key) == str(session.SCAN_BYTES)
+        spark.conf.set(key, "64m")
+        session.size_shuffles(spark, [])
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def test_names_of_files_are_read_after_the_pages_are_grouped(spark):
+    # names made from groups of rows, as the pages of a feed are
+    days = spark.createDataFrame([("20260102", h, k) for h in ("050000", "060000") for k in range(6)] + [("20260103", "050000", 1), (None, None, 1)], "d string, h string, k int")
+    pages = days.groupBy("d", "h", (F.col("k") % 2).alias("page")).agg(F.collect_list("k").alias("ks"))
+    stem = F.concat(F.lit("daily/data/operations/date="), "d", F.lit("/operations_20260101_"), "d", "h", F.format_string("_p%03d.json", F.col("page") + 1))
+    found = A.latest_run(pages.select(stem.alias("object_name"), F.size("ks").alias("n")))
+    got = sorted((r.object_name[-24:], r.n) for r in found.collect())
+    assert got == [("_20260102060000_p001.json"[-24:], 3), ("_20260102060000_p002.json"[-24:], 3), ("_20260103050000_p002.json"[-24:], 1)] and found.columns == ["object_name", "n"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract" in line]
+
+
+def _parts(spark, tmp_path):
+    fx = _lines(spark, tmp_path)
+    spark.createDataFrame([(k, f"TYPE {k % 2}") for k in range(20)], "p_partkey bigint, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(k, f"S{k}", 1) for k in range(20)], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    return fx
+
+
+def test_disruption_rows_are_made_once_for_header_and_details(spark, tmp_path):
+    fx = _parts(spark, tmp_path)
+    s = Silver.from_fixture(spark, str(tmp_path))
+    for name in ("disruption_header", "disruption_details"):
+        assert sorted(map(str, getattr(s, name).collect())) == sorted(map(str, getattr(fx, name)().collect()))
+    inputs = s.extra["fixture"].disruption_details().inputFiles()
+    assert inputs and not [f for f in inputs if "lineitem" in f] and s.disruption_details.count() == 4
+
+
+def test_the_run_is_looked_up_before_its_stops_in_the_route_report(spark, tmp_path):
+    _parts(spark, tmp_path)
+    s = Silver.from_fixture(spark, str(tmp_path))
+    out = H.run_route(s)
+    got = sorted((r.ophe_id, r.actual_sequence, r.relation, r.train_name) for r in out.collect())
+    assert got == [(1, 1, "S3 -> S4", "Pociag 1"), (1, 2, "S3 -> S4", "Pociag 1"), (1, 3, "S3 -> S4", "Pociag 1"),
+                   (2, 1, "S3 -> S3", "Pociag 2"), (7, 1, "S2 -> S3", "Pociag 7"), (7, 2, "S2 -> S3", "Pociag 7")]
+    # from the top: plan stops, stations and stops are joined to runs that have their labels (a left join) already
+    joins = [line.split("Join ")[1].split(",")[0].split()[0] for line in out._jdf.queryExecution().analyzed().toString().splitlines() if "Join " in line]
+    assert joins[:4] == ["LeftOuter", "Inner", "Inner", "LeftOuter"]
