@@ -25,6 +25,8 @@ LENGTH = 2048
 EOD = 0
 #: Texts encoded at once, and chunks whose ids a Python worker remembers in each of two generations.
 BATCH, REMEMBERED = 256, 400_000
+#: New chunks encoded as one text.
+JOINED = 200
 _MARKS = ".,;:!?"
 
 
@@ -43,9 +45,13 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
+        # the same model for words written byte by byte as its tokens are: a space as Ġ, a line feed, which parts them, as Ċ
+        self.words = Tokenizer(self.tok.model)
+        self.words.pre_tokenizer = pre_tokenizers.Split("Ċ", "isolated")
+        self.feed = self.tok.encode("\n", add_special_tokens=False).ids[0]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.odd: set[str] = set()  # chunks that may not stand alone
@@ -53,6 +59,23 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _apart(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks without a line feed or white space at either end but a leading space: JOINED at a time as one
+        text with line feeds between, each of which is a token of its own there. What is ASCII letters is one word of the
+        pattern and its bytes are written as themselves, so neither the pattern nor the bytes need work."""
+        of: dict[str, bytes] = {}
+        words, others = [], []
+        for c in chunks:
+            (words if c.isascii() and c[c[0] == " " :].isalpha() else others).append(c)
+        for kind, tok, feed, space in ((words, self.words, "Ċ", "Ġ"), (others, self.tok, "\n", " ")):
+            for i in range(0, len(kind), JOINED):
+                some = kind[i : i + JOINED]
+                ids = np.array(tok.encode_batch_fast([feed.join(some).replace(" ", space)], add_special_tokens=False)[0].ids, "<u4")
+                ends, raw = np.flatnonzero(ids == self.feed).tolist(), ids.tobytes()
+                cuts = zip([0, *(z + 1 for z in ends)], [*ends, len(ids)], strict=True)
+                of.update(zip(some, [raw[4 * a : 4 * z] for a, z in cuts] if len(ends) == len(some) - 1 else self._plain(some), strict=True))
+        return of
+
     def _learn(self, chunks: set[str]) -> None:
         young, old = self.young, self.old
         split: dict[str, tuple[str, str]] = {}
@@ -73,7 +96,10 @@ class Encoder:
                 new.add(c)
         todo = [c for c in new if c not in old]
         young.update((c, old[c]) for c in new if c in old)
-        young.update(zip(todo, self._plain(todo), strict=True))
+        if "\n" in todo:
+            todo.remove("\n")
+            young["\n"] = self.feed.to_bytes(4, "little")
+        young.update(self._apart(todo))
         young.update((c, young[w] + young[m]) for c, (w, m) in split.items())
 
     def __call__(self, raw: list[bytes]) -> list[bytes]:
