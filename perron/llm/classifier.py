@@ -27,14 +27,21 @@ SHAPES, WORDS = 4096, 4096
 SPACE = SHAPES + WORDS
 #: Bounds of the fitted model: labelled documents per class, and latent dimensions.
 SAMPLE, DIMS, NEIGHBOURS = 1000, 48, 15
-BLOCK = 512
-#: A worker forgets its table of known words when it has this many; values do not change.
-CACHED_WORDS = 300_000
+#: Documents whose vectors of SPACE numbers are held at once.
+BLOCK = 128
+#: A worker forgets its table of known words when it has this many, and at the end of a task: it outlives the stage, and
+#: the next stages' memory is beside it. Values do not change.
+CACHED_WORDS = 200_000
 _LETTERS = bytes(b if b < 33 else ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 _known: list[dict[bytes, int]] = [{}, {}]  # two generations
 
 
+def forget() -> None:
+    """Empties this worker's table of known words."""
+    _known[:] = [{}, {}]
+
+
 def _word(w: bytes) -> int:
     """A word's shape (letters as a or A, digits as 0, runs as one) and its place among the words, as one number."""
     shape = _RUN.sub(rb"\1", w[:64].translate(_LETTERS))[:8]
@@ -82,6 +89,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
             for t in b.column(0).to_pylist():
                 df[terms(t)[0]] += 1
             df[SPACE] += b.num_rows
+        forget()
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["term", "n"])
 
@@ -175,14 +183,20 @@ def _top(sim: np.ndarray, k: int) -> np.ndarray:
     return near
 
 
+def score_batches(batches: Iterator[pd.Series], model: dict) -> Iterator[pd.Series]:
+    """The scores of a task's texts."""
+    for s in batches:
+        yield pd.Series(score_texts([x or b"" for x in s.tolist()], model))
+    forget()
+
+
 def score_column(model: dict, col: Column) -> Column:
     """The score of a text column, null as empty."""
     shared = model
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(score_texts([x or b"" for x in s.tolist()], shared))
+        yield from score_batches(batches, shared)
 
     return score(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
