@@ -54,3 +54,25 @@ def test_most_frequent_units(spark):
         got = sl.most_frequent(known, head)
         n = got.count()
         assert n <= head and n == min(70, head // 10 * 10) and (not n or got.agg(F.min("n")).first()[0] == 1 << (7 - n // 10))
+
+
+def test_trailing_punctuation_is_a_part(spark):
+    """Units that differ in their trailing punctuation share a part, and documents get the ids of whole units, whatever the head holds."""
+    pieces = sl.Pieces(tokenizer_path("piece_bpe_32k.model"))
+    scores = {p: (i, w) for p, i, w in pieces.rows}
+    texts = ["qzorble, qzorble. qzorble!! qzorble", "qzorble%%%\nqzorble\n\n, ... ?!", "  qzorble,  ▁qzorble.\x00a. b\x00 \ue000. 😀, é!", "a. " * 40 + "zwyx###", "", None, ".", " "]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id bigint, text string")
+    want = {i: [x for u in sl.units(t or "") for x in best(u, scores, pieces)] for i, t in enumerate(texts)}
+    for head in (0, 3, 1000):
+        out = sl.encode(docs, tokenizer_path("piece_bpe_32k.model"), head=head).collect()
+        assert len(out) == len(texts) * 2 and all(r["exact"] and r["ids"] == want[r["doc_id"]] and r["n_tokens"] == len(r["ids"]) for r in out)
+        assert all(r["n_units"] == len(sl.units(texts[r["doc_id"]] or "")) for r in out)
+    vocab = [r["unit"] for r in sl.vocabulary(docs, pieces.cut).collect()]
+    assert len(vocab) == len(set(vocab)) and sorted(u for u in vocab if "qzorble" in u and "\x00" not in u) == ["qzorble", "▁qzorble"]
+
+
+def test_units_keep_characters_and_order():
+    for t in ("a  b\n\nc \n d", "\x00 a\x00b\n\x00", " ", "\n", "▁ \ue000x ▁", "x"):
+        assert "".join(sl.units(t)).startswith("▁")
+        assert sl.decode([0], ["".join(sl.units(t)).encode()]) == t
+        assert all(u == "\n" or ("\n" not in u and "▁" not in u[1:] and " " not in u) for u in sl.units(t))
