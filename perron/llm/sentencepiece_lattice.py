@@ -307,8 +307,8 @@ def encode(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
     # dealt out whole by key: the step below and the last join read the same shuffle
     parts = per_text(keyed, run, "packed binary, tail array<string>, n_units bigint, h bigint", ["doc_id", "key"]).repartition("key")
     wanted = parts.mapInArrow(tail, "key int, unit string")
-    rest = wanted.join(known.where(~often).select("unit", "code"), "unit").repartition("key")
-    found = rest.groupBy("key").agg(F.collect_set(F.struct("unit", "code")).alias("found"))
+    rest = wanted.join(known.where(~often).select("unit", "code"), "unit").select("key", "code").repartition("key")
+    found = rest.groupBy("key").agg(F.collect_set("code").alias("found"))  # a part's ids spell it
     whole = parts.join(found, "key", "left").select("doc_id", "n_units", "h", "packed", "tail", "found")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -319,12 +319,19 @@ def encode(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
         def lists(codes: bytes, sizes: np.ndarray) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array((np.append(0, np.cumsum(sizes)) // 2).astype(np.int32)), pa.array(np.frombuffer(codes, "<u2").astype(np.int32)))
 
+        def spelled(ids: pa.ListArray) -> list[bytes]:
+            """The pieces of each list of ids one after the other, marks as spaces."""
+            got = raw.take(ids.values)
+            text, ends = memoryview(got.buffers()[2] or b""), np.frombuffer(got.buffers()[1], np.int64, len(got) + 1)[ids.offsets.to_numpy()].tolist()
+            return [bytes(text[a:z]).replace(mark, b" ") for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
         head_ids = lists(blob, np.append([0, 0], np.frombuffer(sizes, "<u4").astype(np.int64)))  # by number; the first two have none
         for b in (b.slice(i, BATCH) for b in batches for i in range(0, max(1, b.num_rows), BATCH)):
             h, packed, tails = (b.column(i).to_pylist() for i in (2, 3, 4))
             found = b.column(5)
-            names, codes = (found.flatten().field(x).to_pylist() for x in ("unit", "code"))
+            codes = found.flatten().to_pylist()
             others = lists(b"".join(codes), np.array([*map(len, codes)], np.int64))
+            names = spelled(others)
             many = pa.compute.fill_null(pa.compute.list_value_length(found), 0).to_pylist()
             number, rest, at = [np.zeros(0, np.uint32)], [], 0
             for z, tail, m in zip(packed, tails, many, strict=True):
@@ -332,18 +339,16 @@ def encode(docs: DataFrame, model: str, head: int = HEAD) -> DataFrame:
                 number.append((planes[:, 0] | planes[:, 1] << 8 | planes[:, 2] << 16).T.ravel())
                 if tail:
                     of = dict(zip(names[at : at + m], range(at, at + m), strict=True))
-                    rest.extend(map(of.__getitem__, tail))
+                    rest.extend([of[u.encode()] for u in tail])
                 at += m
             parts = np.concatenate(number)
             parts[parts == 0] = len(head_ids) + np.array(rest, np.uint32)
             of_parts = pa.concat_arrays([head_ids, others]).take(pa.array(parts))
             ids = of_parts.flatten()
             cuts = (of_parts.offsets.to_numpy() - of_parts.offsets[0].as_py())[np.cumsum([len(x) for x in number])]
-            bytes_ = raw.take(ids)
-            text, ends = memoryview(bytes_.buffers()[2] or b""), np.frombuffer(bytes_.buffers()[1], np.int64, len(ids) + 1)[cuts].tolist()
             exact = []
-            for a, z, x in zip(ends[:-1], ends[1:], h, strict=True):
-                t = bytes(text[a:z]).replace(mark, b" ")[1:]
+            for t, x in zip(spelled(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), ids)), h, strict=True):
+                t = t[1:]
                 exact.append(xxhash.xxh3_64_intdigest(unescape(t.decode("utf-8", "replace")).encode() if esc in t else t) - (1 << 63) == x)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), ids), pa.array(np.diff(cuts).astype(np.int64)), b.column(1), pa.array(exact, pa.bool_())], names=["doc_id", "ids", "n_tokens", "n_units", "exact"])
 
