@@ -26,7 +26,7 @@ EOD = 0
 #: Texts encoded at once, and chunks whose ids a Python worker remembers in each of two generations.
 BATCH, REMEMBERED = 256, 400_000
 #: New chunks encoded as one text.
-JOINED = 200
+JOINED = 1000
 _MARKS = ".,;:!?"
 
 
@@ -80,9 +80,11 @@ class Encoder:
         young, old = self.young, self.old
         split: dict[str, tuple[str, str]] = {}
         new: set[str] = set()
-        for c in chunks:
-            if c in old:
-                young[c] = old[c]
+        seen = set(filter(old.__contains__, chunks))
+        young.update(zip(seen, map(old.__getitem__, seen), strict=True))
+        for c in chunks.difference(seen):
+            if c[-1:].isalpha() and (c[0] == " " or c[0].isalpha()):  # most of them: neither odd nor with a mark at the end
+                new.add(c)
                 continue
             if c != "\n" and (not c or c[-1].isspace() or (c[0] != " " and c[0].isspace())):
                 self.odd.add(c)
@@ -94,8 +96,9 @@ class Encoder:
                 new.update(x for x in split[c] if x not in young)
             else:
                 new.add(c)
-        todo = [c for c in new if c not in old]
-        young.update((c, old[c]) for c in new if c in old)
+        seen = set(filter(old.__contains__, new))
+        young.update(zip(seen, map(old.__getitem__, seen), strict=True))
+        todo = list(new.difference(seen))
         if "\n" in todo:
             todo.remove("\n")
             young["\n"] = self.feed.to_bytes(4, "little")

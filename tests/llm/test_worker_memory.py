@@ -65,3 +65,14 @@ def test_classifier_forgets_its_words_after_a_task():
     assert np.allclose(np.concatenate(got), [classifier.score_texts([t], model)[0] for t in texts], atol=1e-3)
     # the vectors of a block are three arrays at once
     assert 3 * classifier.BLOCK * classifier.SPACE * 4 < 16 << 20
+
+
+def test_few_calls_for_many_chunks_and_the_same_ids():
+    """Some thousand new chunks take a handful of calls, and a forgotten, an odd and a split chunk give the tokenizer's ids."""
+    texts = [" ".join(f"{a}{b}{c}x" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcdefghi") + " ab, ab. ,a \tc,", " a b,\n\nb, é? 1!  x", ""]
+    e = pack.Encoder(tokenizer_path())
+    plain = e._plain(texts)
+    e.words = Counting(e.words)
+    assert e([t.encode() for t in texts]) == plain and e.words.texts <= 3
+    e.old, e.young = e.young, {}
+    assert e([t.encode() for t in texts]) == plain and e.words.texts <= 3
