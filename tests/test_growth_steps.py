@@ -165,3 +165,21 @@ def test_the_run_is_looked_up_before_its_stops_in_the_route_report(spark, tmp_pa
     # from the top: plan stops, stations and stops are joined to runs that have their labels (a left join) already
     joins = [line.split("Join ")[1].split(",")[0].split()[0] for line in out._jdf.queryExecution().analyzed().toString().splitlines() if "Join " in line]
     assert joins[:4] == ["LeftOuter", "Inner", "Inner", "LeftOuter"]
+
+
+def test_pages_of_runs_take_one_shuffle(spark, tmp_path):
+    fx = _lines(spark, tmp_path)
+    for landing in (P.schedules_landing, P.operations_landing):
+        assert _physical(landing(fx)).count("Exchange hashpartitioning") == 1
+    trains = shred.operations_rows(shred.parse(P.operations_landing(fx), "operations"))
+    assert sorted((r.order_id, r.actual_sequence, r.planned_sequence, r.dsta_id) for r in trains.collect()) == [(1, 1, 1, 3), (1, 2, 2, 5), (1, 3, 2, 4), (2, 1, 3, 3), (7, 1, 1, 2), (7, 2, 5, 3)]
+    stops = shred.schedule_stops(shred.parse(P.schedules_landing(fx), "schedules"))
+    got = {(r.order_id, r.order_number): (r.dsta_id, r.arrival_time is None, r.departure_time is None) for r in stops.collect()}
+    assert got == {(1, 1): (3, True, False), (1, 2): (5, False, True), (2, 3): (3, True, True), (7, 1): (2, True, False), (7, 5): (3, False, True)}
+
+
+def test_top1_carries_the_columns_it_orders_by_once(spark):
+    df = spark.createDataFrame([(1, 2, "b", "long"), (1, 2, "a", "long"), (None, 5, "x", None)], "k int, at int, v string, w string")
+    out = top1(df, ["k"], [("at", "desc"), "v"])
+    assert _plan(out).split("min(struct(")[1].split("))")[0].count("v#") == 1
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, "a", "long"), (None, 5, "x", None)]
