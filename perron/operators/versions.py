@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from perron.session import SCRATCH_CODEC
+
 
 def version_ids(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
     """Ids of the complete versions under ``root``, below ``before`` if given, rising."""
@@ -22,7 +24,7 @@ def version_ids(spark: SparkSession, root: str, before: int | None = None) -> li
 
 def write_version(df: DataFrame, root: str, version: int, by: list[str] | None = None) -> DataFrame:
     """``df`` written as a version and read again; empty tables keep their columns."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", SCRATCH_CODEC)
     (w.partitionBy(*by) if by else w).parquet(f"{root}/v={version}")
     return df.sparkSession.read.schema(df.schema).parquet(f"{root}/v={version}")
 

@@ -132,9 +132,9 @@ def append_versions(log: DataFrame, batch: DataFrame) -> DataFrame:
     """
     key = ["operating_date", "train_order_id", "dsta_id", "change_hash"]
     b = batch.filter(F.col("change_hash").isNotNull())
-    b = top1(b, key, ["snapshot_ts", "schedule_id", "order_id"])
-    lk = log.select(*key)
-    return b.alias("b").join(lk.alias("l"), _null_safe_join(key, "b", "l"), "left_anti")
+    # one shuffle for both: the keys of the log come first in their group, which takes nulls as equal
+    both = b.withColumn("_new", F.lit(True)).unionByName(log.select(*key).withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    return top1(both, key, ["_new", "snapshot_ts", "schedule_id", "order_id"]).filter("_new").select(*batch.columns)
 
 
 # ---- C5 / D15 SCD2 log -------------------------------------------------------------
@@ -181,7 +181,7 @@ def scd2_events(log: DataFrame, ev: DataFrame, key: Sequence[str] = DIS_LOG_KEY)
     ev = ev.withColumn("_last_kind", F.last("_kind").over(w.rowsBetween(Window.unboundedPreceding,
                                                                          Window.unboundedFollowing)))
     ins = ev.filter((F.col("_kind") == "C") & ~F.col("change_hash").eqNullSafe(prior))
-    wi = Window.partitionBy("_k").orderBy(F.col("snapshot_ts").desc())
+    wi = Window.partitionBy(*key).orderBy(F.col("snapshot_ts").desc())
     ins = ins.withColumn("_newest", F.row_number().over(wi) == 1)
     new_rows = ins.select(*key, "order_id", *DIS_TRACKED, "change_hash",
                           (F.col("_newest") & (F.col("_last_kind") == "C")).alias("is_active"), "snapshot_ts")

@@ -51,12 +51,22 @@ def page_rows(batch: DataFrame) -> DataFrame:
 
 
 def gather(new: DataFrame, carried: DataFrame | None, runs: DataFrame | None) -> DataFrame:
-    """Pages of runs that are not closed yet; of files that bring the same page, the one that is first by name."""
+    """Pages of runs that are not closed yet; more than one file may bring the same page (see ``first_files``)."""
+    new = new.where("run_key is not null and page is not null and object_name is not null")
     if runs is not None:
         new = new.join(runs.where("verdict <> 'PENDING'").select("run_key"), "run_key", "left_anti").select(*PAGES.names)
-    pages = new if carried is None else new.unionByName(carried)
-    first = pages.groupBy("run_key", "page").agg(F.min("object_name").alias("object_name"))
-    return pages.join(first, ["run_key", "page", "object_name"], "left_semi").select(*PAGES.names)
+    return new if carried is None else new.unionByName(carried)
+
+
+def first_files(pages: DataFrame) -> DataFrame:
+    """Of files that bring the same page, the one that is first by name.
+
+    ``pages`` are stored: their names are read alone, and the pages with their trains are shuffled only if a page came twice.
+    """
+    first = pages.groupBy("run_key", "page").agg(F.min("object_name").alias("object_name"), F.max("object_name").alias("last"))
+    if first.where("object_name <> last").isEmpty():
+        return pages
+    return pages.join(first.drop("last"), ["run_key", "page", "object_name"], "left_semi").select(*PAGES.names)
 
 
 def verdicts(pages: DataFrame, expiry: dt.timedelta = EXPIRY, max_pages: int = MAX_PAGES) -> DataFrame:

@@ -116,7 +116,7 @@ def operations_batch(spark: SparkSession, batch: DataFrame, batch_id: int, out_r
     if last.get("state_version") is not None:
         state = spark.read.parquet(f"{at['state']}/v={last['state_version']}")
     # assemble; a replay overwrites, and reads nothing that it writes
-    pages = write_version(assembly.gather(assembly.page_rows(batch), carried, runs), at["pages"], batch_id)
+    pages = assembly.first_files(write_version(assembly.gather(assembly.page_rows(batch), carried, runs), at["pages"], batch_id))
     found = assembly.verdicts(pages, expiry, max_pages)
     cycles = [r.asDict() for r in found.orderBy("run_at", "run_key").collect()]  # a row for each fetch of this batch
     write_version(assembly.remembered(runs, found), at["runs"], batch_id)

@@ -179,3 +179,20 @@ def test_board_from_the_streamed_log(spark):
     _run(spark, root, [(0, [_page(run, 1, "2001-07-27T10:00:00Z", trains, False)])])
     rows = BD.board(silver, read_log(spark, root), Q._dis_log(spark, SMOKE), "2001-07-27 12:00:00", 3, "dep").collect()
     assert len({r.nr_pociagu for r in rows}) >= 1 and {r.faktyczny_odjazd for r in rows} == {"2001-07-27 13:30:00"} and {r.opoznienie_min for r in rows} == {9}
+
+
+def test_pages_are_not_shuffled_unless_one_comes_twice(spark, tmp_path):
+    from perron.operators.versions import write_version
+    from pyspark.sql import functions as F
+    from perron.streaming import assembly
+    rows = [("20010724050000", 1, "b"), ("20010724050000", 2, "c"), ("20010724060000", 1, "d")]
+    ddl = "run_key string, page int, object_name string"
+
+    def stored(more, version):
+        df = spark.createDataFrame(rows + more, ddl).select(*[(F.col(f.name) if f.name in ddl else F.lit(None)).cast(f.dataType).alias(f.name) for f in assembly.PAGES.fields])
+        return write_version(assembly.gather(df, None, None), f"{tmp_path}/pages", version)
+
+    once = assembly.first_files(stored([("20010724060000", 2, None)], 0))
+    assert sorted(r.object_name for r in once.collect()) == ["b", "c", "d"]
+    assert "Join" not in once._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.object_name for r in assembly.first_files(stored([("20010724050000", 1, "a")], 1)).collect()) == ["a", "c", "d"]
