@@ -100,6 +100,8 @@ def board(s: Silver, ops_log: DataFrame, dis_log: DataFrame, now: str, station_i
                                   "category_code", "name", "national_number")
     sd = s.schedule_details.select("schedule_id", "order_id", "dsta_id", "arrival_time", "arrival_day",
                                    "departure_time", "departure_day", "departure_platform", "departure_track")
+    # the log's rows that the board's can meet: a filter on the key of the log, so it comes before the log's grouping
+    dis_log = dis_log.filter((F.col("dsta_id") == station_id) & (F.col("operating_date") >= F.lit(today - dt.timedelta(days=1))))
     ends = _ends(s)
     x = (lg.join(sh, ["operating_date", "schedule_id", "order_id", "train_order_id"], "inner")
          .join(sd, ["schedule_id", "order_id", "dsta_id"], "inner"))

@@ -165,10 +165,8 @@ def scd2_kinds(changed: DataFrame, ended: DataFrame, key: Sequence[str] = DIS_LO
 def scd2_events(log: DataFrame, ev: DataFrame, key: Sequence[str] = DIS_LOG_KEY) -> DataFrame:
     """C5 for events with ``_kind`` C (changed) or E (ended; no order, texts or hash); see :func:`scd2_apply`."""
     key = list(key)
-    # key columns may be null (train id): window on a null-safe surrogate of the key
-    kcols = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in key]
-    ev = ev.withColumn("_k", F.concat_ws("\u0001", *kcols))
-    w = Window.partitionBy("_k").orderBy("snapshot_ts", "_kind")
+    # key columns may be null (train id): a window takes nulls as equal; on the columns themselves, a filter on them comes before it
+    w = Window.partitionBy(*key).orderBy("snapshot_ts", "_kind")
     ev = (ev.withColumn("_prev_hash", F.lag("change_hash").over(w))
           .withColumn("_prev_kind", F.lag("_kind").over(w))
           .withColumn("_is_last", F.lead("_kind").over(w).isNull()))

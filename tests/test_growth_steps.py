@@ -4,10 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from perron import queries as Q
 from perron import session
 from perron.functions.ordered import top1
 from perron.operators import shred
 from perron.operators.layer import Load
+from perron.plans import live as LV
 from perron.plans import reports as H
 from perron.plans import silver_job as SJ
 from perron.plans.silver_model import Silver
@@ -183,3 +185,28 @@ def test_top1_carries_the_columns_it_orders_by_once(spark):
     out = top1(df, ["k"], [("at", "desc"), "v"])
     assert _plan(out).split("min(struct(")[1].split("))")[0].count("v#") == 1
     assert sorted(map(tuple, out.collect()), key=str) == [(1, 2, "a", "long"), (None, 5, "x", None)]
+
+
+def test_a_filter_on_the_key_comes_before_the_log_is_made(spark):
+    ev = spark.createDataFrame([(dt.date(2001, 7, 24), 1, None, s, 1, 9, "T", "m", h, dt.datetime(2001, 7, 24, hour), k) for s, h, hour, k in
+                                [(3, "a", 6, "C"), (3, "b", 7, "C"), (4, "a", 6, "C"), (4, None, 7, "E")]],
+                               "operating_date date, schedule_id bigint, train_order_id bigint, dsta_id bigint, sequence_number int, order_id bigint, "
+                               "disruption_type_code string, message string, change_hash string, snapshot_ts timestamp, _kind string")
+    log = LV.scd2_events(spark.createDataFrame([], Q.DLOG_DDL), ev)
+    assert sorted((r.dsta_id, r.change_hash, r.is_active) for r in log.collect()) == [(3, "a", False), (3, "b", True), (4, "a", False)]
+    plan = log.where("dsta_id = 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert "= 3" in plan[plan.rindex("Window ["):]
+
+
+def test_disruption_events_take_no_join(spark, monkeypatch):
+    def rows(fx):
+        r = [(dt.date(2001, 7, d), 1, 5, 5, dt.date(2001, 7, 24), 3, 1, "T", m, 1) for d, m in [(24, "m"), (25, "m"), (26, "n"), (28, "n")]]
+        r += [(dt.date(2001, 7, 24), 1, 6, None, dt.date(2001, 7, 26), 3, 1, None, "z", 2)]
+        return spark.createDataFrame(r, "snapshot_day date, schedule_id bigint, order_id bigint, train_order_id bigint, operating_date date, dsta_id bigint, "
+                                        "sequence_number int, disruption_type_code string, message string, disruption_id bigint")
+    monkeypatch.setattr(Q, "_fx", lambda *a: None)
+    monkeypatch.setattr(Q.LF, "disruption_snapshot_rows", rows)
+    ev = Q._dis_events(spark, "")
+    got = sorted((r.snapshot_day.day, r.order_id, r.kind, r.change_hash is None) for r in ev.collect())
+    assert got == [(24, 5, "changed", False), (24, 6, "changed", False), (25, 6, "ended", True), (26, 5, "changed", False), (28, 5, "changed", False)]
+    assert "Join" not in _plan(ev)
