@@ -84,3 +84,24 @@ def test_gold_runs_on_the_load(spark):
     # the same facts as from the settled runs of the silver tables that the load stands for
     kept = s.operation_header.select("schedule_id", "order_id", "operating_date").collect()
     assert len(kept) == len(set(kept))
+
+
+def test_facts_share_what_the_daily_job_stores(spark, tmp_path):
+    from perron.plans import gold_facts as G
+    from perron.plans.silver_model import Silver
+    from perron.sources.fixtures import AS_OF
+    s = Silver.from_fixture(spark, "/root/testdata/sf0.001")
+    w, names = G.Window_.days_back(AS_OF, 2), []
+
+    def store(name, df):
+        names.append(name)
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    plain = [sorted(map(str, f(s, w).collect())) for f in (G.stop_daily, G.dep_daily, G.run_daily)]
+    before = dict(s.extra)
+    with G.stored(s, w, store):
+        facts = [f(s, w) for f in (G.stop_daily, G.dep_daily, G.run_daily)]
+        assert all("stop_lines" in f.inputFiles()[0] and len({p.rsplit("/", 2)[1] for p in f.inputFiles()}) == 1 for f in facts[:2])
+    assert names == ["plan_ends", "typed_runs", "stop_lines"] and s.extra == before
+    assert [sorted(map(str, f.collect())) for f in facts] == plain
